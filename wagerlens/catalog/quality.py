@@ -1,0 +1,267 @@
+"""Data-quality checks over the given data."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from wagerlens.catalog.lake import AS_OF, Lake
+from wagerlens.catalog.registry import query
+from wagerlens.catalog.sqlparts import AS_OF as AS_OF_SQL
+from wagerlens.operators import quality as q
+from wagerlens.plans import declared
+from wagerlens.schemas import DEVICES, FILE_SCHEMAS, struct
+from wagerlens.sources.files import file_columns, write_file
+from wagerlens.sources.scratch import scratch_dir
+
+
+def _register_file_checks() -> None:
+    for letter, dataset in zip("abcd", FILE_SCHEMAS):
+        names = FILE_SCHEMAS[dataset].names
+        sql = " UNION ALL ".join(
+            f"SELECT '{n}' AS \"column\", CAST(count(*) > 0 AS BOOLEAN) AS found FROM raw_{dataset}"
+            for n in names
+        )
+
+        def check(lake: Lake, dataset: str = dataset, names: list[str] = names) -> DataFrame:
+            """Write the file, then look its required columns up in it."""
+            path = scratch_dir(lake.spark, dataset)
+            write_file(lake.raw[dataset], dataset, path)
+            found = file_columns(lake.spark, dataset, path)
+            rows = [(n, n in found) for n in names]
+            return lake.spark.createDataFrame(rows, "column string, found boolean")
+
+        query(f"q0{letter}_required_columns_{dataset}", sql)(check)
+
+
+_register_file_checks()
+
+
+def _test_sql() -> str:
+    """Every declared test of the stored tables as one row."""
+    parts = []
+
+    def add(table: str, test: str, column: str, failures: str) -> None:
+        parts.append(
+            f"SELECT '{table}' AS \"table\", '{test}' AS test, '{column}' AS \"column\","
+            f" ({failures}) AS failures"
+        )
+
+    for table in TESTED:
+        for c in declared.NOT_NULL.get(table, []):
+            add(table, "not_null", c, f"SELECT count(*) FROM {table} WHERE {c} IS NULL")
+        for c, values in declared.ACCEPTED.get(table, {}).items():
+            listed = ", ".join(f"'{v}'" for v in values)
+            add(table, "accepted_values", c,
+                f"SELECT count(*) FROM {table} WHERE {c} NOT IN ({listed})")
+        for c in declared.UNIQUE.get(table, []):
+            add(table, "unique", c,
+                f"SELECT count(*) FROM (SELECT {c} FROM {table} WHERE {c} IS NOT NULL"
+                f" GROUP BY {c} HAVING count(*) > 1)")
+        for c, (parent, pc) in declared.RELATIONSHIPS.get(table, {}).items():
+            add(table, "relationships", c,
+                f"SELECT count(DISTINCT {c}) FROM {table} WHERE {c} NOT IN"
+                f" (SELECT {pc} FROM {parent})")
+    rows = " UNION ALL ".join(parts)
+    return (
+        f"SELECT *, CASE WHEN failures > 0 THEN 'warn' ELSE 'pass' END AS status FROM ({rows})"
+    )
+
+
+TESTED = [
+    *(f"raw_{d}" for d in FILE_SCHEMAS),
+    *(f"stg_{d}" for d in FILE_SCHEMAS),
+    "dim_players",
+    "dim_sessions",
+    "fct_transactions",
+    "dim_affiliates",
+    "fct_fraud_signals",
+    "fct_affiliate_performance",
+    "fct_financial_summary",
+]
+
+
+@query("q1_q2_q3_q4_declared_tests", _test_sql())
+def _(lake: Lake) -> DataFrame:
+    frames: dict[str, DataFrame] = {f"raw_{d}": df for d, df in lake.raw.items()}
+    frames |= {f"stg_{d}": lake.staging(d) for d in FILE_SCHEMAS}
+    for name in TESTED[8:12]:
+        frames[name] = lake.silver(name)
+    for name in TESTED[12:]:
+        frames[name] = lake.gold(name)
+    return declared.run_tests(frames)
+
+
+@query(
+    "q1_duplicates",
+    """SELECT session_id AS value, count(*) AS n_records FROM raw_sessions
+        GROUP BY session_id HAVING count(*) > 1""",
+)
+def _(lake: Lake) -> DataFrame:
+    return q.duplicates(lake.raw["sessions"], "session_id")
+
+
+@query("q2_nulls", "SELECT player_id, email FROM dim_players WHERE city IS NULL")
+def _(lake: Lake) -> DataFrame:
+    return q.nulls(lake.players, "city").select("player_id", "email")
+
+
+@query(
+    "q3_relationships",
+    """SELECT player_id AS value, count(*) AS n_records FROM raw_affiliates
+        WHERE player_id NOT IN (SELECT player_id FROM raw_sessions) GROUP BY player_id""",
+)
+def _(lake: Lake) -> DataFrame:
+    return q.orphans(lake.raw["affiliates"], "player_id", lake.raw["sessions"], "player_id")
+
+
+@query(
+    "q4_accepted_values",
+    """SELECT device AS value, count(*) AS n_records FROM raw_sessions
+        WHERE device NOT IN ('android', 'ios', 'desktop') GROUP BY device""",
+)
+def _(lake: Lake) -> DataFrame:
+    return q.not_accepted(lake.raw["sessions"], "device", DEVICES)
+
+
+def _metric_sql(check: str, value: str, limit: str, ok: str, source: str) -> str:
+    return (
+        f"SELECT '{check}' AS \"check\", CAST({value} AS DOUBLE) AS value,"
+        f" CAST({limit} AS DOUBLE) AS \"limit\","
+        f" CASE WHEN {ok} THEN 'OK' ELSE 'ALERT' END AS status FROM {source}"
+    )
+
+
+@query(
+    "q5_load_counts",
+    " UNION ALL ".join(
+        f"SELECT 'row_count:{d}' AS \"check\","
+        f" CAST((SELECT count(*) FROM {t}) AS DOUBLE) AS value,"
+        f" CAST(count(*) AS DOUBLE) AS \"limit\","
+        f" CASE WHEN count(*) = (SELECT count(*) FROM {t}) THEN 'OK' ELSE 'ALERT' END AS status"
+        f" FROM raw_{d}"
+        for d, t in zip(
+            FILE_SCHEMAS, ("dim_players", "dim_sessions", "fct_transactions", "dim_affiliates")
+        )
+    ),
+)
+def _(lake: Lake) -> DataFrame:
+    """Rows that reached silver against rows delivered; redeliveries raise alerts."""
+    tables = ("dim_players", "dim_sessions", "fct_transactions", "dim_affiliates")
+    return reduce(
+        DataFrame.unionByName,
+        [q.load_count(lake.raw[d], lake.silver(t), d) for d, t in zip(FILE_SCHEMAS, tables)],
+    )
+
+
+@query(
+    "q6_volume_alert",
+    " UNION ALL ".join(
+        _metric_sql(f"volume:{d}", f"count(*) / {n}.0", "0.9", f"count(*) / {n}.0 >= 0.9",
+                    f"raw_{d}")
+        for d, n in (("players", 600), ("sessions", 40000), ("transactions", 1800))
+    ),
+)
+def _(lake: Lake) -> DataFrame:
+    expected = {"players": 600, "sessions": 40_000, "transactions": 1_800}
+    return reduce(
+        DataFrame.unionByName,
+        [q.volume_alert(lake.raw[d], n, d) for d, n in expected.items()],
+    )
+
+
+@query(
+    "q7_schema_changes",
+    """SELECT * FROM (VALUES ('ip', 'missing', 'string', NULL),
+          ('ftd', 'type', 'string', 'bigint'), ('cpa_value', 'added', NULL, 'double'))
+        AS t("column", change, expected, found) WHERE (SELECT count(*) FROM raw_affiliates) > 0""",
+)
+def _(lake: Lake) -> DataFrame:
+    """The affiliate table held against a schema that differs in three places."""
+    expected = struct(
+        "affiliate_id string, player_id string, country string, clicks bigint,"
+        " registrations bigint, ftd string, ip string, _ingested_at timestamp"
+    )
+    return q.schema_changes(lake.raw["affiliates"], expected)
+
+
+_VALID = f"""CASE WHEN amount < 0 OR amount IS NULL
+          OR transaction_type NOT IN ('deposit', 'withdraw', 'bet')
+          OR transaction_timestamp > {AS_OF_SQL} THEN 0 ELSE 1 END"""
+
+
+@query(
+    "q8_valid_share",
+    _metric_sql("valid_rows", f"sum({_VALID}) / CAST(count(*) AS DOUBLE)", "0.95",
+                f"sum({_VALID}) >= 0.95 * count(*)", "fct_transactions"),
+)
+def _(lake: Lake) -> DataFrame:
+    return q.valid_share(q.mark_violations(lake.tx, q.transaction_rules(AS_OF)))
+
+
+@query(
+    "q9_freshness",
+    _metric_sql(
+        "freshness_hours:session_timestamp",
+        f"(epoch_ms({AS_OF_SQL}) // 1000 - epoch_ms(max(session_timestamp)) // 1000) / 3600.0",
+        "24",
+        f"(epoch_ms({AS_OF_SQL}) // 1000 - epoch_ms(max(session_timestamp)) // 1000) <= 24 * 3600",
+        "dim_sessions",
+    ),
+)
+def _(lake: Lake) -> DataFrame:
+    return q.freshness(lake.sessions, "session_timestamp", AS_OF)
+
+
+@query(
+    "q10_run_log",
+    " UNION ALL ".join(
+        f"SELECT 'silver' AS stage, '{t}' AS dataset, count(*) AS rows_out, 0 AS errors FROM {t}"
+        for t in ("dim_players", "dim_sessions")
+    ),
+)
+def _(lake: Lake) -> DataFrame:
+    path = f"{scratch_dir(lake.spark, 'quality')}/run_log"
+    entries = []
+    for name in ("dim_players", "dim_sessions"):
+        entries.append((AS_OF, "silver", name, lake.silver(name).count(), 0.0, None))
+    q.append_run_log(lake.spark, path, entries)
+    return (
+        lake.spark.read.parquet(path)
+        .groupBy("stage", "dataset")
+        .agg(
+            F.sum("rows_out").alias("rows_out"),
+            F.count("error").cast("int").alias("errors"),
+        )
+    )
+
+
+@query(
+    "q11_marked_rows",
+    f"""SELECT transaction_id,
+          concat_ws(',',
+            CASE WHEN amount IS NULL THEN 'amount_missing' END,
+            CASE WHEN amount < 200 THEN 'amount_small' END,
+            CASE WHEN transaction_timestamp > {AS_OF_SQL} THEN 'timestamp_in_future' END
+          ) AS violations FROM fct_transactions""",
+)
+def _(lake: Lake) -> DataFrame:
+    rules = q.transaction_rules(AS_OF)
+    chosen = {
+        "amount_missing": rules["amount_missing"],
+        "amount_small": F.col("amount") < 200,
+        "timestamp_in_future": rules["timestamp_in_future"],
+    }
+    return q.mark_violations(lake.tx, chosen).select(
+        "transaction_id", F.array_join("violations", ",").alias("violations")
+    )
+
+
+@query(
+    "q12_signal_counts",
+    "SELECT signal_type, count(*) AS signals FROM fct_fraud_signals GROUP BY signal_type",
+)
+def _(lake: Lake) -> DataFrame:
+    return q.signal_counts(lake.signals)

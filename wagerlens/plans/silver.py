@@ -16,6 +16,7 @@ from wagerlens.schemas import SILVER_KEYS, SILVER_SOURCE
 from wagerlens.sources.bronze import read_bronze
 from wagerlens.sources.tables import (
     BUCKETS,
+    PERIOD,
     Snapshot,
     merge_table,
     newest_stamp,
@@ -116,6 +117,7 @@ def refresh(
     bronze_root: str,
     silver_root: str,
     as_of: datetime,
+    period: str = PERIOD,
     buckets: int = BUCKETS,
     model=None,
 ) -> Snapshot:
@@ -132,7 +134,7 @@ def refresh(
     if snapshot(spark, path) is None:
         raw = read_bronze(spark, bronze_root, dataset)
         rows = audited(build(STAGING[dataset](raw)), as_of)
-        return replace_table(spark, path, rows, keys, buckets)
+        return replace_table(spark, path, rows, keys, period, buckets)
     mark = newest_stamp(spark, path) or EPOCH
     raw = read_bronze(spark, bronze_root, dataset, since=mark)
     rows = audited(build(STAGING[dataset](raw)), as_of)

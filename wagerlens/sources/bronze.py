@@ -32,7 +32,7 @@ def create_bronze(spark: SparkSession, root: str, dataset: str) -> None:
     path, empty = table_path(root, dataset), spark.createDataFrame([], BRONZE[dataset])
     if dataset == "affiliates":
         if snapshot(spark, path) is None:
-            replace_table(spark, path, empty, AFFILIATE_KEYS, buckets=8)
+            replace_table(spark, path, empty, AFFILIATE_KEYS)
     else:
         _write(empty, path, "ignore")
 
@@ -70,6 +70,18 @@ def read_bronze(
     return rows if since is None else rows.filter(F.col("_ingested_at") > stamp(since))
 
 
+def backfill(spark: SparkSession, root: str, dataset: str, rows: DataFrame) -> None:
+    """Add rows with the stamps they carry, such as the history of another system."""
+    create_bronze(spark, root, dataset)
+    path = table_path(root, dataset)
+    if dataset == "affiliates":
+        merge_table(spark, path, rows, AFFILIATE_KEYS, retire_if=F.lit(False))
+    else:
+        # Gathered by date first: every task would else write a file per date it sees.
+        by_date = rows.withColumn(INGEST_DATE, F.to_date("_ingested_at"))
+        _write(by_date.hint("rebalance", F.col(INGEST_DATE)), path, "append")
+
+
 def loaded_by(spark: SparkSession, root: str, dataset: str, as_of: datetime) -> DataFrame:
     """Rows that the run of that time loaded."""
     since = as_of - timedelta(microseconds=1)

@@ -14,7 +14,8 @@ FORMATS = {
     "affiliates": "csv",
 }
 
-TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
+# Spark writes milliseconds unless told otherwise; it reads any number of digits.
+TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 # The checks of these two also reject a file without rows.
 NON_EMPTY = ("players", "sessions")
@@ -87,7 +88,8 @@ def check_columns(dataset: str, found: list[str]) -> None:
 
 def write_file(df: DataFrame, dataset: str, path: str) -> None:
     """Write rows in the dataset's file format: JSON Lines, or CSV with a header."""
-    out = df.select(*FILE_SCHEMAS[dataset].names).write.mode("overwrite")
+    rows = df.select(*FILE_SCHEMAS[dataset].names)
+    out = rows.write.mode("overwrite").option("timestampFormat", TIMESTAMP_FORMAT)
     if FORMATS[dataset] == "json":
         out.option("ignoreNullFields", False).json(path)
     else:

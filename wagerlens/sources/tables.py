@@ -2,30 +2,34 @@
 
 Parquet has no MERGE, and a path cannot be overwritten while it is read. A table is therefore a
 set of write-once folders plus numbered snapshot files; each snapshot lists the folders that make
-up the table. Rows are laid out in units of (day of the ingest stamp, hash bucket of the key). A
-merge writes the new rows once and rewrites only the units that hold rows it retires, so a batch
+up the table. Rows are laid out in units of (period of the ingest stamp, hash bucket of the key).
+A merge writes the new rows once and rewrites only the units that hold rows it retires, so a batch
 of new facts costs little more than its own size. Readers of an older snapshot are not disturbed,
 and a run that dies before its snapshot is renamed into place leaves the table as it was.
+
+Period and buckets are fixed when a table is created. Choose them so that a unit holds some
+gigabytes: months and one bucket for a small table, days and many buckets for a large one.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wagerlens.functions.times import moment_of
 
 STAMP = "_ingested_at"
-BUCKETS = 8
+PERIOD = "month"
+BUCKETS = 1
 # A unit with this many folders is rewritten as one by the next merge that adds to it.
 MAX_FOLDERS = 16
-_NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+_NO_PERIOD = "__HIVE_DEFAULT_PARTITION__"
 
 
 @dataclass(frozen=True)
@@ -33,6 +37,7 @@ class Snapshot:
     version: int
     schema: T.StructType
     keys: list[str]
+    period: str
     buckets: int
     units: dict[str, list[str]] = field(default_factory=dict)
     added_rows: int = 0
@@ -41,11 +46,11 @@ class Snapshot:
         names = self.units if units is None else units
         return [f"{path}/{part}/{u}" for u in names for part in self.units[u]]
 
-    def days(self) -> list[str]:
-        return sorted({_day_of(u) for u in self.units} - {_NO_DAY})
+    def periods(self) -> list[str]:
+        return sorted({_period_of(u) for u in self.units} - {_NO_PERIOD})
 
 
-def _day_of(unit: str) -> str:
+def _period_of(unit: str) -> str:
     return unit.split("/")[0].split("=", 1)[1]
 
 
@@ -72,6 +77,7 @@ def _write_snapshot(spark: SparkSession, path: str, snap: Snapshot) -> None:
         "version": snap.version,
         "schema": snap.schema.jsonValue(),
         "keys": snap.keys,
+        "period": snap.period,
         "buckets": snap.buckets,
         "units": snap.units,
         "added_rows": snap.added_rows,
@@ -108,6 +114,7 @@ def snapshot(spark: SparkSession, path: str) -> Snapshot | None:
         body["version"],
         T.StructType.fromJson(body["schema"]),
         body["keys"],
+        body["period"],
         body["buckets"],
         body["units"],
         body["added_rows"],
@@ -126,30 +133,33 @@ def _load(spark: SparkSession, path: str, snap: Snapshot, units: Sequence[str] |
 def read_table(spark: SparkSession, path: str, since: datetime | None = None) -> DataFrame:
     """The table as of its newest snapshot.
 
-    `since` leaves out units of days before it; rows of that day are all returned.
+    `since` leaves out the units of periods before it; rows of its own period are all returned.
     """
     snap = snapshot(spark, path)
     if snap is None:
         raise FileNotFoundError(f"no table at {path}")
     if since is None:
         return _load(spark, path, snap)
-    first = since.strftime("%Y-%m-%d")
-    return _load(spark, path, snap, [u for u in snap.units if first <= _day_of(u) != _NO_DAY])
+    # A period is named by its first day, so the one `since` falls into is the last not after it.
+    day = since.strftime("%Y-%m-%d")
+    first = max((p for p in snap.periods() if p <= day), default="")
+    units = [u for u in snap.units if first <= _period_of(u) != _NO_PERIOD]
+    return _load(spark, path, snap, units)
 
 
 def newest_stamp(spark: SparkSession, path: str) -> datetime | None:
-    """Largest ingest stamp; reads the newest day only."""
+    """Largest ingest stamp; reads the newest period only."""
     snap = snapshot(spark, path)
-    if snap is None or not snap.days():
+    if snap is None or not snap.periods():
         return None
-    last = snap.days()[-1]
-    units = [u for u in snap.units if _day_of(u) == last]
+    last = snap.periods()[-1]
+    units = [u for u in snap.units if _period_of(u) == last]
     return moment_of(_load(spark, path, snap, units), F.max(STAMP))
 
 
-def _day(schema: T.StructType) -> Column:
+def _period(schema: T.StructType, period: str) -> Column:
     if STAMP in schema.names:
-        return F.to_date(STAMP)
+        return F.date_trunc(period, STAMP).cast("date")
     return F.lit(None).cast("date")
 
 
@@ -159,35 +169,46 @@ def _bucket(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
-def _unit(schema: T.StructType, keys: Sequence[str], buckets: int) -> Column:
+def _unit(snap: Snapshot) -> Column:
     return F.concat(
-        F.lit("_day="),
-        F.coalesce(_day(schema).cast("string"), F.lit(_NO_DAY)),
+        F.lit("_period="),
+        F.coalesce(_period(snap.schema, snap.period).cast("string"), F.lit(_NO_PERIOD)),
         F.lit("/_bucket="),
-        _bucket(keys, buckets).cast("string"),
+        _bucket(snap.keys, snap.buckets).cast("string"),
     )
 
 
 def _write_units(
-    spark: SparkSession, path: str, part: str, df: DataFrame, keys: Sequence[str], buckets: int
-) -> tuple[dict[str, list[str]], int]:
-    """Write rows to a new folder; returns the units in it and the number of rows."""
-    seen = Observation()
-    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    laid_out = counted.withColumn("_day", _day(df.schema)).withColumn("_bucket", _bucket(keys, buckets))
+    spark: SparkSession,
+    path: str,
+    part: str,
+    df: DataFrame,
+    keys: Sequence[str],
+    period: str,
+    buckets: int,
+) -> dict[str, list[str]]:
+    """Write rows to a new folder and return the units in it."""
+    laid_out = df.withColumns(
+        {"_period": _period(df.schema, period), "_bucket": _bucket(keys, buckets)}
+    )
     # Rebalancing splits a large unit over several tasks and keeps a small one in one file.
     (
-        laid_out.hint("rebalance", F.col("_day"), F.col("_bucket"))
+        laid_out.hint("rebalance", F.col("_period"), F.col("_bucket"))
         .write.mode("overwrite")
-        .partitionBy("_day", "_bucket")
+        .partitionBy("_period", "_bucket")
         .parquet(f"{path}/{part}")
     )
     units = {}
-    for day in _children(spark, f"{path}/{part}"):
-        if day.startswith("_day="):
-            for bucket in _children(spark, f"{path}/{part}/{day}"):
-                units[f"{day}/{bucket}"] = [part]
-    return units, seen.get.get("rows", 0)
+    for folder in _children(spark, f"{path}/{part}"):
+        if folder.startswith("_period="):
+            for bucket in _children(spark, f"{path}/{part}/{folder}"):
+                units[f"{folder}/{bucket}"] = [part]
+    return units
+
+
+def _rows_added(spark: SparkSession, path: str, snap: Snapshot) -> Snapshot:
+    """The snapshot with its number of new rows, taken from the parquet footers."""
+    return replace(snap, added_rows=_load(spark, path, snap).count())
 
 
 def replace_table(
@@ -195,13 +216,15 @@ def replace_table(
     path: str,
     df: DataFrame,
     keys: Sequence[str] = (),
-    buckets: int = 1,
+    period: str = PERIOD,
+    buckets: int = BUCKETS,
 ) -> Snapshot:
     """Full rebuild: readers see the old rows until the new ones are complete."""
     old = snapshot(spark, path)
     version = old.version + 1 if old else 1
-    units, rows = _write_units(spark, path, f"v={version}", df, keys, buckets)
-    snap = Snapshot(version, df.schema, list(keys), buckets, units, rows)
+    units = _write_units(spark, path, f"v={version}", df, keys, period, buckets)
+    snap = Snapshot(version, df.schema, list(keys), period, buckets, units)
+    snap = _rows_added(spark, path, snap)
     _write_snapshot(spark, path, snap)
     return snap
 
@@ -213,6 +236,7 @@ def merge_table(
     keys: Sequence[str],
     retire_by: DataFrame | None = None,
     retire_if: Column | None = None,
+    period: str = PERIOD,
     buckets: int = BUCKETS,
 ) -> Snapshot:
     """Add `new_rows`; rows they supersede leave the table.
@@ -224,11 +248,12 @@ def merge_table(
     keys = list(keys)
     old = snapshot(spark, path)
     if old is None:
-        return replace_table(spark, path, new_rows, keys, buckets)
+        return replace_table(spark, path, new_rows, keys, period, buckets)
     version = old.version + 1
-    added, rows = _write_units(spark, path, f"v={version}/new", new_rows, keys, old.buckets)
+    layout = (keys, old.period, old.buckets)
+    added = _write_units(spark, path, f"v={version}/new", new_rows, *layout)
+    fresh = _rows_added(spark, path, Snapshot(version, new_rows.schema, *layout, added))
     if retire_by is None:
-        fresh = Snapshot(version, new_rows.schema, keys, old.buckets, added)
         retire_by = _load(spark, path, fresh)
     retire_by = retire_by.alias("new")
     on = [F.col(f"old.{k}") == F.col(f"new.{k}") for k in keys]
@@ -239,7 +264,7 @@ def merge_table(
     touched = {
         r[0]
         for r in stored.join(retire_by, on, "left_semi")
-        .select(_unit(old.schema, keys, old.buckets))
+        .select(_unit(old))
         .distinct()
         .collect()  # names of units, at most as many as the snapshot lists
     }
@@ -249,11 +274,11 @@ def merge_table(
         remaining = (
             _load(spark, path, old, sorted(touched)).alias("old").join(retire_by, on, "left_anti")
         )
-        kept, _ = _write_units(spark, path, f"v={version}/kept", remaining, keys, old.buckets)
+        kept = _write_units(spark, path, f"v={version}/kept", remaining, *layout)
     units = {u: parts for u, parts in old.units.items() if u not in touched}
     for more in (kept, added):
         for u, parts in more.items():
             units[u] = units.get(u, []) + parts
-    snap = Snapshot(version, new_rows.schema, keys, old.buckets, units, rows)
+    snap = replace(fresh, units=units)
     _write_snapshot(spark, path, snap)
     return snap
