@@ -10,12 +10,13 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wagerlens.plans.finance import player_financials
 from wagerlens.plans.medallion import gold_frame
 from wagerlens.plans.silver import SILVER
 from wagerlens.plans.staging import STAGING
 from wagerlens.schemas import GOLD_TABLES, SILVER_SOURCE
 from wagerlens.sources.fixtures import bronze_frames
-from wagerlens.sources.scratch import scratch_dir
+from wagerlens.sources.scratch import WorkTables, scratch_dir
 
 AS_OF = datetime(2024, 2, 1)
 
@@ -26,6 +27,7 @@ class Lake:
         self.raw = bronze_frames(spark, sf_dir)
         self._dir = scratch_dir(spark, "lake")
         self._stored: dict[str, DataFrame] = {}
+        self.work = WorkTables(spark, f"{self._dir}/work")
 
     def staging(self, dataset: str) -> DataFrame:
         return STAGING[dataset](self.raw[dataset])
@@ -45,11 +47,15 @@ class Lake:
 
     def gold_model(self, name: str) -> DataFrame:
         """A gold model over stored silver tables, not stored."""
-        return gold_frame(name, _SilverTables(self), AS_OF)
+        return gold_frame(name, _SilverTables(self), AS_OF, self.work)
 
     def gold(self, name: str) -> DataFrame:
         return self._store(name, lambda: self.gold_model(name))
 
+    @property
+    def totals(self) -> DataFrame:
+        return self.work.keep("player_totals", player_financials(self.tx))
+
     @property
     def players(self) -> DataFrame:
         return self.silver("dim_players")

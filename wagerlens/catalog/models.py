@@ -135,17 +135,17 @@ def _(lake: Lake) -> DataFrame:
 
 @query("m9a_multi_accounting", one_signal_sql("MULTI_ACCOUNTING"))
 def _(lake: Lake) -> DataFrame:
-    return fraud.multi_accounting(lake.sessions)
+    return fraud.multi_accounting(lake.sessions, lake.work)
 
 
 @query("m9b_deposit_without_bet", one_signal_sql("DEPOSIT_WITHOUT_BET"))
 def _(lake: Lake) -> DataFrame:
-    return fraud.deposit_without_bet(lake.tx, AS_OF)
+    return fraud.deposit_without_bet(lake.totals, AS_OF)
 
 
 @query("m9c_device_sharing", one_signal_sql("DEVICE_SHARING"))
 def _(lake: Lake) -> DataFrame:
-    return fraud.device_signals(lake.sessions, AS_OF)
+    return fraud.device_signals(lake.sessions, AS_OF, lake.work)
 
 
 @query("m9d_rapid_deposit_withdraw", one_signal_sql("RAPID_DEPOSIT_WITHDRAW"))
@@ -174,7 +174,7 @@ _PAGE = f"CAST(CAST('0x' || substr(md5(player_id), 1, 8) AS BIGINT) % {_PAGES} A
         ) GROUP BY kind, related_group, distinct_players, page""",
 )
 def _(lake: Lake) -> DataFrame:
-    return fraud.related_player_pages(lake.sessions, larger_than=20, page_players=40)
+    return fraud.related_player_pages(lake.sessions, lake.work, 20, 40)
 
 
 @query("m10_fct_affiliate_performance", PERFORMANCE_SQL)
@@ -217,7 +217,7 @@ def _(lake: Lake) -> DataFrame:
           deposit_count, bet_count FROM no_bets""",
 )
 def _(lake: Lake) -> DataFrame:
-    return fraud.player_deposits_without_bet(lake.tx)
+    return fraud.player_deposits_without_bet(lake.totals)
 
 
 @query(

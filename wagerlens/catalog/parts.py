@@ -133,7 +133,7 @@ def _(lake: Lake) -> DataFrame:
     "SELECT ip, related_players, distinct_players FROM ip_sharing",
 )
 def _(lake: Lake) -> DataFrame:
-    signals = fraud.multi_accounting(lake.sessions)
+    signals = fraud.multi_accounting(lake.sessions, lake.work)
     return signals.select(
         F.col("related_group").alias("ip"),
         "related_players",
@@ -148,7 +148,7 @@ def _(lake: Lake) -> DataFrame:
         FROM metrics""",
 )
 def _(lake: Lake) -> DataFrame:
-    return finance.financial_metrics(lake.tx, lake.players).select(
+    return finance.financial_metrics(lake.totals, lake.players).select(
         "player_id", "customer_lifespan_days", "ggr", "net_deposit", "estimated_ltv"
     )
 
@@ -165,7 +165,7 @@ def _(lake: Lake) -> DataFrame:
           {money('total_bets - total_withdrawals')} AS net_revenue FROM per_player""",
 )
 def _(lake: Lake) -> DataFrame:
-    return affiliates.player_revenue(lake.tx)
+    return affiliates.player_revenue(lake.totals)
 
 
 @query(
@@ -174,7 +174,7 @@ def _(lake: Lake) -> DataFrame:
 )
 def _(lake: Lake) -> DataFrame:
     return (
-        finance.financial_metrics(lake.tx, lake.players)
+        finance.financial_metrics(lake.totals, lake.players)
         .withColumn("risk_classification", risk_class())
         .select("player_id", "active_days", "risk_classification")
     )
@@ -205,7 +205,7 @@ def _(lake: Lake) -> DataFrame:
           {money('global_total_bets')} AS global_total_bets, {money('global_ggr')} AS global_ggr,
           arpu_deposits, arpu_bets FROM everyone""")
 def _(lake: Lake) -> DataFrame:
-    metrics = finance.financial_metrics(lake.tx, lake.players)
+    metrics = finance.financial_metrics(lake.totals, lake.players)
     return finance.global_metrics(finance.city_metrics(metrics))
 
 
@@ -306,7 +306,7 @@ def _(lake: Lake) -> DataFrame:
           avg_deposit, avg_withdrawal, avg_bet FROM metrics""",
 )
 def _(lake: Lake) -> DataFrame:
-    return finance.financial_metrics(lake.tx, lake.players).select(
+    return finance.financial_metrics(lake.totals, lake.players).select(
         "player_id", "city", "active_days", "total_deposits", "avg_deposit", "avg_withdrawal",
         "avg_bet",
     )
@@ -320,7 +320,7 @@ def _(lake: Lake) -> DataFrame:
         FROM metrics AS m LEFT JOIN cities AS c ON m.city = c.city, everyone""",
 )
 def _(lake: Lake) -> DataFrame:
-    metrics = finance.financial_metrics(lake.tx, lake.players)
+    metrics = finance.financial_metrics(lake.totals, lake.players)
     cities = finance.city_metrics(metrics)
     joined = finance.with_city(metrics, cities)
     return finance.with_global(joined, finance.global_metrics(cities)).select(
@@ -348,7 +348,7 @@ def _(lake: Lake) -> DataFrame:
         FROM device_sharing AS g JOIN dim_sessions AS s ON g.device = s.device""",
 )
 def _(lake: Lake) -> DataFrame:
-    members = fraud.sharing_members(lake.sessions, "device", fraud.DEVICE_PLAYERS_OVER)
+    members = fraud.sharing_members(lake.sessions, "device", fraud.DEVICE_PLAYERS_OVER, lake.work)
     return members.select("device", "player_id", "distinct_players")
 
 
@@ -431,7 +431,7 @@ def _(lake: Lake) -> DataFrame:
           avg_deposits_per_player, avg_bets_per_player FROM cities""",
 )
 def _(lake: Lake) -> DataFrame:
-    return finance.city_metrics(finance.financial_metrics(lake.tx, lake.players))
+    return finance.city_metrics(finance.financial_metrics(lake.totals, lake.players))
 
 
 @query(

@@ -43,19 +43,6 @@ def amount_if(kind: str, type_col: str = "transaction_type", amount: str = "amou
     return F.when(F.col(type_col) == kind, F.col(amount)).otherwise(F.lit(0))
 
 
-def sum_of(kind: str) -> Column:
-    return F.sum(amount_if(kind)).cast(MONEY)
-
-
-def count_of(kind: str) -> Column:
-    return F.count(F.when(F.col("transaction_type") == kind, F.lit(1)))
-
-
-def avg_of(kind: str) -> Column:
-    """Average over rows of one type; NULL if there are none."""
-    return F.avg(F.when(F.col("transaction_type") == kind, F.col("amount"))).cast(AVERAGE)
-
-
 def average(total: Column | str, n: Column | str) -> Column:
     """Average from a sum and a count, NULL for no rows."""
     return F.try_divide(_col(total), _col(n)).cast(AVERAGE)

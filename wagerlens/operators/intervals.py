@@ -36,5 +36,5 @@ def followed_within(
         F.col(second_ts) < F.col(first_ts) + F.make_dt_interval(mins=F.lit(minutes))
     )
     return salted_pair_join(
-        left, right, [key, "_bucket"], in_time, [first_id], [second_id], min_rows
+        left, right, [key, "_bucket"], [key], in_time, [first_id], [second_id], min_rows
     ).drop("_bucket")

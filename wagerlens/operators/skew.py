@@ -20,16 +20,18 @@ def heavy_keys(
     weights: DataFrame,
     keys: Sequence[str],
     weight: str,
-    shares: int = SHARES,
+    total: DataFrame | None = None,
     min_rows: int = MIN_ROWS,
 ) -> DataFrame:
     """Keys above their share, with the number of slices each is cut into.
 
-    `weights` has one row per key. At most `shares` rows come out, and their slices sum to at
-    most twice that.
+    `weights` has one row per key. Fewer than SHARES rows come out, and their slices sum to less
+    than twice that. `total` is the one-row sum to take shares of, if not that of `weights`.
     """
-    total = weights.agg(F.sum(weight).cast("double"))
-    limit = F.greatest(F.lit(float(min_rows)), total.scalar() / F.lit(float(shares)))
+    total = weights.agg(F.sum(weight)) if total is None else total
+    limit = F.greatest(
+        F.lit(float(min_rows)), F.coalesce(total.scalar().cast("double"), F.lit(0.0)) / SHARES
+    )
     return (
         weights.dropna(subset=list(keys))
         .select(*keys, F.col(weight).cast("double").alias("_weight"), limit.alias("_limit"))
@@ -43,6 +45,21 @@ def row_weights(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
 
 
+def heavy_row_keys(
+    df: DataFrame, keys: Sequence[str], coarse: Sequence[str], min_rows: int = MIN_ROWS
+) -> DataFrame:
+    """heavy_keys() of a frame with many distinct keys.
+
+    A key can only be heavy if its coarse part is, so the rows are counted by the coarse part,
+    which has few values, and by the full key only where that is heavy.
+    """
+    per_coarse = row_weights(df, coarse)
+    total = per_coarse.agg(F.sum("_rows"))
+    suspects = F.broadcast(heavy_keys(per_coarse, coarse, "_rows", min_rows=min_rows))
+    rows = df.select(*keys).join(suspects.select(*coarse), list(coarse), "left_semi")
+    return heavy_keys(row_weights(rows, keys), keys, "_rows", total, min_rows)
+
+
 def _slice_of(spread: Sequence[str], slices: Column) -> Column:
     # Not a random number: a task that is run again must pick the same slices. The partition id
     # spreads rows that are exact copies of each other.
@@ -90,6 +107,7 @@ def salted_pair_join(
     left: DataFrame,
     right: DataFrame,
     keys: Sequence[str],
+    coarse: Sequence[str],
     condition: Column,
     left_spread: Sequence[str],
     right_spread: Sequence[str],
@@ -98,12 +116,12 @@ def salted_pair_join(
     """Inner join with many rows per key on both sides.
 
     A heavy key becomes a grid: each side is cut into its own slices and copied along the other
-    side's slices, so every pair meets in exactly one cell. Columns other than the keys must
-    have different names on the two sides.
+    side's slices, so every pair meets in exactly one cell. `coarse` names the keys with fewer
+    values. Columns other than the keys must have different names on the two sides.
     """
     keys = list(keys)
-    left_heavy = heavy_keys(row_weights(left, keys), keys, "_rows", min_rows=min_rows)
-    right_heavy = heavy_keys(row_weights(right, keys), keys, "_rows", min_rows=min_rows)
+    left_heavy = heavy_row_keys(left, keys, coarse, min_rows)
+    right_heavy = heavy_row_keys(right, keys, coarse, min_rows)
     grid = F.broadcast(
         left_heavy.withColumnRenamed("_slices", "_left_n").join(
             right_heavy.withColumnRenamed("_slices", "_right_n"), keys, "full"

@@ -13,11 +13,12 @@ from wagerlens.functions.measures import (
     money_percent,
     percent,
     safe_ratio,
-    sum_of,
 )
 from wagerlens.functions.text import surrogate_key
 from wagerlens.functions.times import stamp
 from wagerlens.operators.skew import MIN_ROWS, salted_join
+from wagerlens.plans.finance import player_financials
+from wagerlens.sources.scratch import WorkTables, kept
 
 REVENUE = ["total_deposits", "total_bets", "total_withdrawals", "net_revenue"]
 
@@ -56,22 +57,22 @@ def affiliate_metrics(affiliates: DataFrame) -> DataFrame:
     )
 
 
-def player_revenue(tx: DataFrame) -> DataFrame:
-    return (
-        tx.groupBy("player_id")
-        .agg(
-            sum_of("deposit").alias("total_deposits"),
-            sum_of("bet").alias("total_bets"),
-            sum_of("withdraw").alias("total_withdrawals"),
-        )
-        .withColumn(
-            "net_revenue", (F.col("total_bets") - F.col("total_withdrawals")).cast(MONEY)
-        )
+def player_revenue(totals: DataFrame) -> DataFrame:
+    return totals.select(
+        "player_id",
+        "total_deposits",
+        "total_bets",
+        "total_withdrawals",
+        (F.col("total_bets") - F.col("total_withdrawals")).cast(MONEY).alias("net_revenue"),
     )
 
 
 def affiliate_performance(
-    affiliates: DataFrame, tx: DataFrame, as_of: datetime, min_rows: int = MIN_ROWS
+    affiliates: DataFrame,
+    tx: DataFrame,
+    as_of: datetime,
+    work: WorkTables | None = None,
+    min_rows: int = MIN_ROWS,
 ) -> DataFrame:
     """One row per affiliate and country, with the revenue of the players referred.
 
@@ -80,9 +81,10 @@ def affiliate_performance(
     counts for each of them.
     """
     matched = F.col("affiliate_id").isNotNull() & F.col("country").isNotNull()
+    totals = kept(work, "player_totals", player_financials(tx))
     joined = salted_join(
         affiliates,
-        player_revenue(tx),
+        player_revenue(totals),
         ["player_id"],
         "left",
         spread=["affiliate_id"],

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from wagerlens.functions.measures import AVERAGE, MONEY, average, risk_class
 from wagerlens.functions.times import stamp
 from wagerlens.operators.skew import MIN_ROWS, salted_join
+from wagerlens.sources.scratch import WorkTables, kept
 
 # Name in the totals, transaction type, name in the counts and averages.
 KINDS = [
@@ -59,11 +60,10 @@ def player_financials(tx: DataFrame) -> DataFrame:
     )
 
 
-def financial_metrics(tx: DataFrame, players: DataFrame) -> DataFrame:
+def financial_metrics(totals: DataFrame, players: DataFrame) -> DataFrame:
     """Players that have transactions, with city, revenue and lifespan."""
     return (
-        player_financials(tx)
-        .join(players.select("player_id", "city", "created_at"), "player_id")
+        totals.join(players.select("player_id", "city", "created_at"), "player_id")
         .withColumns(
             {
                 "ggr": (F.col("total_bets") - F.col("total_withdrawals")).cast(MONEY),
@@ -182,10 +182,17 @@ SUMMARY_COLUMNS = [
 
 
 def financial_summary(
-    tx: DataFrame, players: DataFrame, as_of: datetime, min_rows: int = MIN_ROWS
+    tx: DataFrame,
+    players: DataFrame,
+    as_of: datetime,
+    work: WorkTables | None = None,
+    min_rows: int = MIN_ROWS,
 ) -> DataFrame:
-    metrics = financial_metrics(tx, players)
-    cities = city_metrics(metrics)
+    """Every player that has transactions. The metrics per player are read for the cities, for
+    the operator and for the rows themselves, so they are worth keeping."""
+    totals = kept(work, "player_totals", player_financials(tx))
+    metrics = kept(work, "player_metrics", financial_metrics(totals, players))
+    cities = kept(work, "city_metrics", city_metrics(metrics))
     return (
         with_global(with_city(metrics, cities, min_rows), global_metrics(cities))
         .withColumn("risk_classification", risk_class())

@@ -7,12 +7,12 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wagerlens.functions.measures import count_of, sum_of
 from wagerlens.functions.text import key_time, money_text, surrogate_key
 from wagerlens.functions.times import stamp
 from wagerlens.operators.intervals import followed_within
 from wagerlens.operators.sharing import (
     MAX_INLINE,
+    PAGE_PLAYERS,
     group_members,
     player_pages,
     shared_pairs,
@@ -20,6 +20,8 @@ from wagerlens.operators.sharing import (
     with_player_list,
 )
 from wagerlens.operators.skew import MIN_ROWS
+from wagerlens.plans.finance import player_financials
+from wagerlens.sources.scratch import WorkTables, kept
 
 IP_PLAYERS_OVER = 1
 DEVICE_PLAYERS_OVER = 5
@@ -61,17 +63,25 @@ def device_sharing(sessions: DataFrame) -> DataFrame:
 
 
 def sharing_members(
-    sessions: DataFrame, key: str, more_than: int, min_rows: int = MIN_ROWS
+    sessions: DataFrame,
+    key: str,
+    more_than: int,
+    work: WorkTables | None = None,
+    min_rows: int = MIN_ROWS,
 ) -> DataFrame:
-    pairs = shared_pairs(sessions, key)
+    """Players of each shared value. The pairs are read three times, so they are worth keeping."""
+    pairs = kept(work, f"{key}_players", shared_pairs(sessions, key))
     return group_members(pairs, sharing_groups(pairs, key, more_than), key, min_rows)
 
 
 def multi_accounting(
-    sessions: DataFrame, max_inline: int = MAX_INLINE, min_rows: int = MIN_ROWS
+    sessions: DataFrame,
+    work: WorkTables | None = None,
+    max_inline: int = MAX_INLINE,
+    min_rows: int = MIN_ROWS,
 ) -> DataFrame:
     """One signal per shared address and player on it, dated when the address was first seen."""
-    members = sharing_members(sessions, "ip", IP_PLAYERS_OVER, min_rows)
+    members = sharing_members(sessions, "ip", IP_PLAYERS_OVER, work, min_rows)
     return _signal(
         with_player_list(members, "ip", max_inline),
         "MULTI_ACCOUNTING",
@@ -89,24 +99,21 @@ def multi_accounting(
     )
 
 
-def player_deposits_without_bet(tx: DataFrame) -> DataFrame:
-    """Players with deposits who never wagered an amount."""
-    return (
-        tx.groupBy("player_id")
-        .agg(
-            sum_of("deposit").alias("total_deposits"),
-            sum_of("bet").alias("total_bets"),
-            sum_of("withdraw").alias("total_withdrawals"),
-            count_of("deposit").alias("deposit_count"),
-            count_of("bet").alias("bet_count"),
-        )
-        .filter((F.col("total_deposits") > 0) & (F.col("total_bets") == 0))
+def player_deposits_without_bet(totals: DataFrame) -> DataFrame:
+    """Players with deposits who never wagered an amount, from the totals per player."""
+    return totals.filter((F.col("total_deposits") > 0) & (F.col("total_bets") == 0)).select(
+        "player_id",
+        "total_deposits",
+        "total_bets",
+        "total_withdrawals",
+        "deposit_count",
+        "bet_count",
     )
 
 
-def deposit_without_bet(tx: DataFrame, as_of: datetime) -> DataFrame:
+def deposit_without_bet(totals: DataFrame, as_of: datetime) -> DataFrame:
     return _signal(
-        player_deposits_without_bet(tx),
+        player_deposits_without_bet(totals),
         "DEPOSIT_WITHOUT_BET",
         "MEDIUM",
         [],
@@ -122,11 +129,12 @@ def deposit_without_bet(tx: DataFrame, as_of: datetime) -> DataFrame:
 def device_signals(
     sessions: DataFrame,
     as_of: datetime,
+    work: WorkTables | None = None,
     max_inline: int = MAX_INLINE,
     min_rows: int = MIN_ROWS,
 ) -> DataFrame:
     """One signal per device over the limit and player on it."""
-    members = sharing_members(sessions, "device", DEVICE_PLAYERS_OVER, min_rows)
+    members = sharing_members(sessions, "device", DEVICE_PLAYERS_OVER, work, min_rows)
     return _signal(
         with_player_list(members, "device", max_inline),
         "DEVICE_SHARING",
@@ -197,6 +205,7 @@ def fraud_signals(
     sessions: DataFrame,
     tx: DataFrame,
     as_of: datetime,
+    work: WorkTables | None = None,
     max_inline: int = MAX_INLINE,
     min_rows: int = MIN_ROWS,
 ) -> DataFrame:
@@ -205,10 +214,11 @@ def fraud_signals(
     `fraud_signal_id` is built from player, type and time of detection and repeats where those
     do; `signal_event_id` is unique and the same in every run.
     """
+    totals = kept(work, "player_totals", player_financials(tx))
     return (
-        multi_accounting(sessions, max_inline, min_rows)
-        .unionByName(deposit_without_bet(tx, as_of))
-        .unionByName(device_signals(sessions, as_of, max_inline, min_rows))
+        multi_accounting(sessions, work, max_inline, min_rows)
+        .unionByName(deposit_without_bet(totals, as_of))
+        .unionByName(device_signals(sessions, as_of, work, max_inline, min_rows))
         .unionByName(rapid_deposit_withdraw(tx, min_rows))
         .select(
             surrogate_key(["player_id", "signal_type", key_time("detected_at")]).alias(
@@ -221,19 +231,22 @@ def fraud_signals(
 
 
 def related_player_pages(
-    sessions: DataFrame, larger_than: int = MAX_INLINE, page_players: int | None = None
+    sessions: DataFrame,
+    work: WorkTables | None = None,
+    larger_than: int = MAX_INLINE,
+    page_players: int = PAGE_PLAYERS,
 ) -> DataFrame:
     """Player lists of the groups too large to repeat on every signal row."""
-    size = {} if page_players is None else {"page_players": page_players}
-    out = None
-    for key, more_than in (("ip", IP_PLAYERS_OVER), ("device", DEVICE_PLAYERS_OVER)):
-        members = sharing_members(sessions, key, more_than)
-        pages = player_pages(members, key, larger_than, **size).withColumnRenamed(
-            key, "related_group"
+
+    def pages(key: str, more_than: int) -> DataFrame:
+        members = sharing_members(sessions, key, more_than, work)
+        return (
+            player_pages(members, key, larger_than, page_players)
+            .withColumnRenamed(key, "related_group")
+            .withColumn("kind", F.lit(key))
         )
-        pages = pages.withColumn("kind", F.lit(key))
-        out = pages if out is None else out.unionByName(pages)
-    return out
+
+    return pages("ip", IP_PLAYERS_OVER).unionByName(pages("device", DEVICE_PLAYERS_OVER))
 
 
 def multi_accounting_groups(sessions: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import datetime
 from functools import partial
@@ -16,6 +17,7 @@ from wagerlens.schemas import BRONZE_TABLES, GOLD_TABLES
 from wagerlens.session import pin_utc
 from wagerlens.sources.bronze import LOADS, loaded_by, read_bronze
 from wagerlens.sources.files import check_file, scan_file
+from wagerlens.sources.scratch import WorkTables
 from wagerlens.sources.tables import read_table, replace_table
 
 # Names of the delivered files.
@@ -45,6 +47,10 @@ class Layout:
     def gold(self) -> str:
         return f"{self.root}/gold"
 
+    @property
+    def work(self) -> str:
+        return f"{self.root}/work"
+
     @property
     def failures(self) -> str:
         return f"{self.root}/quality/failures"
@@ -73,13 +79,19 @@ class _Log:
             self.entries.append((self.as_of, stage, dataset, rows, seconds, error))
 
 
-def gold_frame(name: str, silver_frames: dict[str, DataFrame], as_of: datetime) -> DataFrame:
-    tx, sessions = silver_frames["fct_transactions"], silver_frames["dim_sessions"]
+def gold_frame(
+    name: str,
+    silver_frames: Mapping[str, DataFrame],
+    as_of: datetime,
+    work: WorkTables | None = None,
+) -> DataFrame:
+    """One gold model. Models given the same `work` share the totals per player."""
+    tx = silver_frames["fct_transactions"]
     if name == "fct_fraud_signals":
-        return fraud.fraud_signals(sessions, tx, as_of)
+        return fraud.fraud_signals(silver_frames["dim_sessions"], tx, as_of, work)
     if name == "fct_affiliate_performance":
-        return affiliates.affiliate_performance(silver_frames["dim_affiliates"], tx, as_of)
-    return finance.financial_summary(tx, silver_frames["dim_players"], as_of)
+        return affiliates.affiliate_performance(silver_frames["dim_affiliates"], tx, as_of, work)
+    return finance.financial_summary(tx, silver_frames["dim_players"], as_of, work)
 
 
 def read_silver(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
@@ -91,9 +103,15 @@ def read_gold(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
     return {n: read_table(spark, f"{layout.gold}/{n}") for n in GOLD_TABLES}
 
 
-def rebuild_gold(spark: SparkSession, layout: Layout, name: str, as_of: datetime) -> int:
+def rebuild_gold(
+    spark: SparkSession,
+    layout: Layout,
+    name: str,
+    as_of: datetime,
+    work: WorkTables | None = None,
+) -> int:
     """Replace one gold table; returns its number of rows."""
-    frame = gold_frame(name, read_silver(spark, layout), as_of)
+    frame = gold_frame(name, read_silver(spark, layout), as_of, work)
     return replace_table(spark, f"{layout.gold}/{name}", frame).added_rows
 
 
@@ -123,6 +141,7 @@ def run(
     """
     pin_utc(spark)
     layout, log = Layout(out_dir), _Log(as_of)
+    work = WorkTables(spark, layout.work)
 
     def check(dataset: str) -> None:
         check_file(spark, dataset, f"{in_dir}/{FILES[dataset]}", json_array)
@@ -143,7 +162,7 @@ def run(
         for name in silver.SILVER:
             log.stage("silver", name, partial(refresh, name))
         for name in GOLD_TABLES:
-            log.stage("gold", name, partial(rebuild_gold, spark, layout, name, as_of))
+            log.stage("gold", name, partial(rebuild_gold, spark, layout, name, as_of, work))
     finally:
         append_run_log(spark, layout.run_log, log.entries)
     frames = all_frames(spark, layout)

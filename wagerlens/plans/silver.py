@@ -143,9 +143,8 @@ def refresh(
 
 def bridge_player_sessions(sessions: DataFrame, players: DataFrame) -> DataFrame:
     """Each session of a known player with the player's city and sign-up date."""
-    pairs = sessions.select(
-        "player_id", "session_id", "session_timestamp", "ip", "device"
-    ).dropDuplicates(["player_id", "session_id"])
+    # Sessions are unique by their id already.
+    pairs = sessions.select("player_id", "session_id", "session_timestamp", "ip", "device")
     attributes = players.select("player_id", "city", F.col("created_at").alias("player_created_at"))
     return salted_join(pairs, attributes, ["player_id"], spread=["session_id"]).withColumn(
         "days_since_signup", F.datediff(F.to_date("session_timestamp"), "player_created_at")

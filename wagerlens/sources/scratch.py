@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
@@ -20,3 +20,28 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="wagerlens-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+class WorkTables:
+    """Intermediate results that several queries of one run read.
+
+    Each is written once under `root`, which a later run may write over. Readers then scan only
+    the columns they need instead of computing the result again, and a lost executor costs no
+    more than its own tasks.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        self._spark, self._root = spark, root
+        self._kept: dict[str, DataFrame] = {}
+
+    def keep(self, name: str, df: DataFrame) -> DataFrame:
+        if name not in self._kept:
+            path = f"{self._root}/{name}"
+            df.write.mode("overwrite").parquet(path)
+            self._kept[name] = self._spark.read.schema(df.schema).parquet(path)
+        return self._kept[name]
+
+
+def kept(work: WorkTables | None, name: str, df: DataFrame) -> DataFrame:
+    """The frame stored as a work table, or left lazy if there is no place for one."""
+    return df if work is None else work.keep(name, df)
