@@ -2,7 +2,7 @@
 
 
 def _load() -> None:
-    from wagerlens.catalog import dashboards, loads, models, parts, quality  # noqa: F401
+    from wagerlens.catalog import dashboards, loads, models, parts, quality, streams  # noqa: F401
 
 
 def queries() -> dict:

@@ -38,10 +38,13 @@ class Lake:
 
     def _store(self, name: str, build) -> DataFrame:
         if name not in self._stored:
-            build().write.mode("overwrite").parquet(f"{self._dir}/{name}")
-            self._stored[name] = self.spark.read.parquet(f"{self._dir}/{name}")
+            build().write.mode("overwrite").parquet(self.path(name))
+            self._stored[name] = self.spark.read.parquet(self.path(name))
         return self._stored[name]
 
+    def path(self, name: str) -> str:
+        return f"{self._dir}/{name}"
+
     def silver(self, name: str) -> DataFrame:
         return self._store(name, lambda: self.silver_model(name))
 

@@ -174,17 +174,22 @@ def _(lake: Lake) -> DataFrame:
 
 @query(
     "q7_schema_changes",
-    """SELECT * FROM (VALUES ('ip', 'missing', 'string', NULL),
-          ('ftd', 'type', 'string', 'bigint'), ('cpa_value', 'added', NULL, 'double'))
-        AS t("column", change, expected, found) WHERE (SELECT count(*) FROM raw_affiliates) > 0""",
+    """SELECT 'device' AS "column", 'type' AS change, 'bigint' AS expected, 'string' AS found
+        WHERE EXISTS (SELECT 1 FROM raw_sessions WHERE device IS NOT NULL)
+        UNION ALL SELECT 'app', 'added', NULL, 'string'
+        WHERE EXISTS (SELECT 1 FROM raw_sessions WHERE session_id LIKE 'S%7')
+        UNION ALL SELECT 'ip', 'missing', 'string', NULL
+        WHERE EXISTS (SELECT 1 FROM raw_sessions)""",
 )
 def _(lake: Lake) -> DataFrame:
-    """The affiliate table held against a schema that differs in three places."""
-    expected = struct(
-        "affiliate_id string, player_id string, country string, clicks bigint,"
-        " registrations bigint, ftd string, ip string, _ingested_at timestamp"
-    )
-    return q.schema_changes(lake.raw["affiliates"], expected)
+    """Delivered JSON whose fields are found by reading all of it: one field appears in some rows
+    only, one is gone, and one is not of the type expected."""
+    path = scratch_dir(lake.spark, "delivery")
+    rows = lake.raw["sessions"].withColumn("app", F.expr("IF(session_id LIKE 'S%7', 'x', NULL)"))
+    rows.select("session_id", "player_id", "device", "app").write.json(path)
+    found = lake.spark.read.json(path)
+    expected = struct("session_id string, player_id string, ip string, device bigint")
+    return q.schema_changes(found, expected)
 
 
 _VALID = f"""CASE WHEN amount < 0 OR amount IS NULL
