@@ -140,6 +140,11 @@ def salted_pair_join(
         .withColumn("_row", _copies(left_n))
         .drop("_left_n", "_right_n")
     )
+    # Both sides are shuffled even if one is small: the output can be far larger than the input,
+    # and must not be left to the few tasks that scan it.
     return (
-        left_s.join(right_s, [*keys, "_row", "_cell"]).filter(condition).drop("_row", "_cell")
+        left_s.hint("merge")
+        .join(right_s, [*keys, "_row", "_cell"])
+        .filter(condition)
+        .drop("_row", "_cell")
     )
