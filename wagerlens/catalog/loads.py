@@ -261,7 +261,7 @@ def _(lake: Lake) -> DataFrame:
 
 @query("l7_l9_staging_view", STG_SQL["sessions"])
 def _(lake: Lake) -> DataFrame:
-    register_views(lake.raw)
+    register_views(lake.raw, FIRST_RUN)
     return lake.spark.sql("SELECT * FROM stg_sessions")
 
 

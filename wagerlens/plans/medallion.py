@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Mapping
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 from functools import partial
@@ -20,6 +21,9 @@ from wagerlens.sources.files import check_file, scan_file
 from wagerlens.sources.scratch import WorkTables
 from wagerlens.sources.tables import read_table, replace_table
 
+# Player lists too long to repeat on every signal.
+PLAYER_PAGES = "related_player_pages"
+
 # Names of the delivered files.
 FILES = {
     "players": "players.json",
@@ -67,10 +71,10 @@ class _Log:
         self.as_of = as_of
         self.entries: list[tuple] = []
 
-    def stage(self, stage: str, dataset: str, work) -> None:
+    def stage(self, stage: str, dataset: str, step: Callable[[], int | None]) -> None:
         start, rows, error = time.monotonic(), None, None
         try:
-            rows = work()
+            rows = step()
         except Exception as e:
             error = f"{type(e).__name__}: {e}"[:500]
             raise
@@ -79,6 +83,14 @@ class _Log:
             self.entries.append((self.as_of, stage, dataset, rows, seconds, error))
 
 
+def _all(steps: Iterable[Callable[[], None]]) -> None:
+    """Run steps that do not depend on each other; Spark shares its cores among their jobs. All
+    of them end before the first error is raised."""
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        for done in [pool.submit(step) for step in steps]:
+            done.result()
+
+
 def gold_frame(
     name: str,
     silver_frames: Mapping[str, DataFrame],
@@ -104,15 +116,16 @@ def read_gold(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
 
 
 def rebuild_gold(
-    spark: SparkSession,
-    layout: Layout,
-    name: str,
-    as_of: datetime,
-    work: WorkTables | None = None,
+    spark: SparkSession, layout: Layout, as_of: datetime, work: WorkTables | None, name: str
 ) -> int:
     """Replace one gold table; returns its number of rows."""
-    frame = gold_frame(name, read_silver(spark, layout), as_of, work)
-    return replace_table(spark, f"{layout.gold}/{name}", frame).added_rows
+    tables = read_silver(spark, layout)
+    frame = gold_frame(name, tables, as_of, work)
+    rows = replace_table(spark, f"{layout.gold}/{name}", frame).added_rows
+    if name == "fct_fraud_signals":
+        pages = fraud.related_player_pages(tables["dim_sessions"], work)
+        replace_table(spark, f"{layout.gold}/{PLAYER_PAGES}", pages)
+    return rows
 
 
 def all_frames(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
@@ -147,22 +160,23 @@ def run(
         check_file(spark, dataset, f"{in_dir}/{FILES[dataset]}", json_array)
 
     def load(dataset: str) -> int:
+        # The file is parsed once, into the table the load reads.
         rows = scan_file(spark, dataset, f"{in_dir}/{FILES[dataset]}", json_array)
-        LOADS[dataset](spark, layout.bronze, rows, as_of)
+        delivered = work.keep(f"{BRONZE_TABLES[dataset]}_staging", rows)
+        LOADS[dataset](spark, layout.bronze, delivered, as_of)
         return loaded_by(spark, layout.bronze, dataset, as_of).count()
 
     def refresh(name: str) -> int:
         return silver.refresh(spark, name, layout.bronze, layout.silver, as_of).added_rows
 
     try:
-        for dataset in FILES:
-            log.stage("check", dataset, partial(check, dataset))
-        for dataset in FILES:
-            log.stage("bronze", dataset, partial(load, dataset))
-        for name in silver.SILVER:
-            log.stage("silver", name, partial(refresh, name))
-        for name in GOLD_TABLES:
-            log.stage("gold", name, partial(rebuild_gold, spark, layout, name, as_of, work))
+        for stage, names, step in (
+            ("check", FILES, check),
+            ("bronze", FILES, load),
+            ("silver", silver.SILVER, refresh),
+            ("gold", GOLD_TABLES, partial(rebuild_gold, spark, layout, as_of, work)),
+        ):
+            _all(partial(log.stage, stage, name, partial(step, name)) for name in names)
     finally:
         append_run_log(spark, layout.run_log, log.entries)
     frames = all_frames(spark, layout)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wagerlens.functions.text import lower_trimmed, trimmed, upper_trimmed
+from wagerlens.functions.times import stamp
 
 
 def stg_players(raw: DataFrame) -> DataFrame:
@@ -61,10 +64,10 @@ STAGING = {
 }
 
 
-def register_views(bronze: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Staging models as temporary views named stg_<dataset>."""
+def register_views(bronze: dict[str, DataFrame], as_of: datetime) -> dict[str, DataFrame]:
+    """Staging models as temporary views named stg_<dataset>, stamped with the time of the run."""
     views = {}
     for name, model in STAGING.items():
-        views[name] = model(bronze[name])
+        views[name] = model(bronze[name]).withColumn("_dbt_processed_at", stamp(as_of))
         views[name].createOrReplaceTempView(f"stg_{name}")
     return views

@@ -36,11 +36,12 @@ def scan_file(
     reader = spark.read.schema(FILE_SCHEMAS[dataset])
     if FORMATS[dataset] == "json":
         return reader.option("multiLine", json_array).json(path)
-    # Columns are found by name, whatever their order in the file.
+    # Columns are found by name, whatever their order. All files of a folder must share one
+    # header; a file with another one fails the scan instead of shifting its columns.
     header = file_columns(spark, dataset, path)
     by_name = {c.strip(): c for c in header}
-    text = spark.read.option("header", True).schema(", ".join(f"`{c}` string" for c in header))
-    rows = text.csv(path)
+    text = spark.read.option("header", True).option("enforceSchema", False)
+    rows = text.schema(", ".join(f"`{c}` string" for c in header)).csv(path)
     return rows.select(
         *[
             (F.col(f"`{by_name[f.name]}`") if f.name in by_name else F.lit(None))

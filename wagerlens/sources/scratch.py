@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,13 +34,16 @@ class WorkTables:
     def __init__(self, spark: SparkSession, root: str):
         self._spark, self._root = spark, root
         self._kept: dict[str, DataFrame] = {}
+        self._locks: dict[str, threading.Lock] = {}
 
     def keep(self, name: str, df: DataFrame) -> DataFrame:
-        if name not in self._kept:
-            path = f"{self._root}/{name}"
-            df.write.mode("overwrite").parquet(path)
-            self._kept[name] = self._spark.read.schema(df.schema).parquet(path)
-        return self._kept[name]
+        """The stored frame; written by the first caller, while others that ask for it wait."""
+        with self._locks.setdefault(name, threading.Lock()):
+            if name not in self._kept:
+                path = f"{self._root}/{name}"
+                df.write.mode("overwrite").parquet(path)
+                self._kept[name] = self._spark.read.schema(df.schema).parquet(path)
+            return self._kept[name]
 
 
 def kept(work: WorkTables | None, name: str, df: DataFrame) -> DataFrame:

@@ -48,7 +48,11 @@ def ingest_available(
 
     def load(batch: DataFrame, _batch_id: int) -> None:
         session, as_of = batch.sparkSession, now()
-        LOADS[dataset](session, bronze_root, batch, as_of)
+        batch.persist()  # a load reads its batch several times
+        try:
+            LOADS[dataset](session, bronze_root, batch, as_of)
+        finally:
+            batch.unpersist()
         if silver_root is not None:
             for name in tables:
                 refresh(session, name, bronze_root, silver_root, as_of)
