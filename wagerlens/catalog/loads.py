@@ -20,7 +20,7 @@ from wagerlens.plans.staging import register_views
 from wagerlens.schemas import BRONZE, FILE_SCHEMAS, SILVER_KEYS, SILVER_SOURCE
 from wagerlens.sources import bronze
 from wagerlens.sources.files import scan_file, write_file
-from wagerlens.sources.scratch import scratch_dir
+from wagerlens.sources.scratch import WorkTables, scratch_dir
 from wagerlens.sources.tables import read_table, replace_table
 
 FIRST_RUN = datetime(2024, 3, 1)
@@ -201,17 +201,20 @@ def _one_per_pair_sql(condition: str) -> str:
 def _(lake: Lake) -> DataFrame:
     """The second delivery updates the pairs the first one brought and inserts the others."""
     root = scratch_dir(lake.spark, "bronze")
-    for condition, run in (
-        (f"_ingested_at < '{_AFFILIATE_CUT}'", FIRST_RUN),
-        (f"_ingested_at >= '{_AFFILIATE_CUT}'", SECOND_RUN),
+    staging = WorkTables(lake.spark, f"{root}/staging")
+    for name, condition, run in (
+        ("first", f"_ingested_at < '{_AFFILIATE_CUT}'", FIRST_RUN),
+        ("second", f"_ingested_at >= '{_AFFILIATE_CUT}'", SECOND_RUN),
     ):
-        bronze.upsert_affiliates(lake.spark, root, _one_per_pair(lake, condition), run)
+        delivered = staging.keep(name, _one_per_pair(lake, condition))
+        bronze.upsert_affiliates(lake.spark, root, delivered, run)
     return bronze.read_bronze(lake.spark, root, "affiliates")
 
 
 # --- silver ---
 
-# Ingest stamps up to this one come with the first delivery.
+# Rows stamped up to this moment come with the first of two loads. Each load gives its rows one
+# stamp of its own.
 _MARKS = {
     "players": "2023-12-31",
     "sessions": "2024-01-16",
@@ -226,16 +229,27 @@ def _refresh_twice(lake: Lake, name: str, first_model=None) -> DataFrame:
     b, s = f"{root}/bronze", f"{root}/silver"
     early = F.col("_ingested_at") <= _MARKS[dataset]
     for part, run, model in ((early, FIRST_RUN, first_model), (~early, SECOND_RUN, None)):
-        bronze.backfill(lake.spark, b, dataset, lake.raw[dataset].filter(part))
+        rows = lake.raw[dataset].filter(part).withColumn("_ingested_at", stamp(run))
+        bronze.backfill(lake.spark, b, dataset, rows)
         refresh(lake.spark, name, b, s, run, model=model)
     return read_table(lake.spark, f"{s}/{name}")
 
 
+def _two_loads_sql(dataset: str) -> dict[str, str]:
+    raw = f"raw_{dataset}"
+    return {
+        raw: f"""SELECT * REPLACE (CASE WHEN _ingested_at <= TIMESTAMP '{_MARKS[dataset]}'
+          THEN {FIRST_SQL} ELSE {SECOND_SQL} END AS _ingested_at) FROM ({RELATIONS[raw]})"""
+    }
+
+
 def _register_refreshes() -> None:
     for letter, name in zip("abcd", SILVER_KEYS):
-        query(f"l5{letter}_f4_incremental_{name}", SILVER_SQL[name])(
-            lambda lake, name=name: _refresh_twice(lake, name)
-        )
+        query(
+            f"l5{letter}_f4_incremental_{name}",
+            SILVER_SQL[name],
+            _two_loads_sql(SILVER_SOURCE[name]),
+        )(lambda lake, name=name: _refresh_twice(lake, name))
 
 
 _register_refreshes()
@@ -250,9 +264,9 @@ def _old_sessions(stg: DataFrame) -> DataFrame:
     "l6_schema_sync",
     SILVER_SQL["dim_sessions"].replace(
         "day_of_week",
-        f"CASE WHEN _ingested_at > TIMESTAMP '{_MARKS['sessions']}' THEN day_of_week END"
-        " AS day_of_week",
+        f"CASE WHEN _ingested_at = {SECOND_SQL} THEN day_of_week END AS day_of_week",
     ),
+    _two_loads_sql("sessions"),
 )
 def _(lake: Lake) -> DataFrame:
     """Rows merged before the column existed have NULL in it; the dropped column is gone."""

@@ -12,6 +12,7 @@ from wagerlens.operators.skew import salted_join
 
 DATE_COLUMNS = ("detected_at", "transaction_date", "last_transaction")
 RISK_COLUMNS = ("risk_level", "risk_classification")
+ID_COLUMNS = ("signal_event_id", "transaction_id", "session_id", "affiliate_id", "player_id")
 
 
 @dataclass(frozen=True)
@@ -43,7 +44,13 @@ def between_dates(
 
 def _of_players(df: DataFrame, players: DataFrame) -> DataFrame:
     """Rows of the given players, whichever of them has most rows."""
-    return salted_join(df, players.select("player_id").distinct(), ["player_id"], "left_semi")
+    return salted_join(
+        df,
+        players.select("player_id").distinct(),
+        ["player_id"],
+        "left_semi",
+        spread=[_first_of(df, ID_COLUMNS)],
+    )
 
 
 def apply_filters(

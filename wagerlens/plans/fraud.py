@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wagerlens.functions.text import key_time, money_text, surrogate_key
@@ -23,9 +23,14 @@ from wagerlens.operators.skew import MIN_ROWS
 from wagerlens.plans.finance import player_financials
 from wagerlens.sources.scratch import WorkTables, kept
 
+# Thresholds and message texts.
 IP_PLAYERS_OVER = 1
 DEVICE_PLAYERS_OVER = 5
 RAPID_MINUTES = 60
+IP_TEXT = ("IP compartilhado entre ", " jogadores")
+NO_BET_TEXT = ("Depositos totais: $", " sem nenhuma aposta")
+DEVICE_TEXT = ("Device ", " usado por ", " jogadores")
+RAPID_TEXT = ("Deposito de $", " e saque de $", " em ", " minutos")
 
 SIGNAL_COLUMNS = [
     "player_id",
@@ -40,6 +45,14 @@ SIGNAL_COLUMNS = [
 ]
 
 
+def _message(texts: tuple[str, ...], *values: Column | str) -> Column:
+    """The texts with a value between each two; a prefix and a suffix for one value."""
+    parts = [F.lit(texts[0])]
+    for value, text in zip(values, [*texts[1:], ""]):
+        parts += [(F.col(value) if isinstance(value, str) else value).cast("string"), F.lit(text)]
+    return F.concat(*parts)
+
+
 def _signal(df: DataFrame, kind: str, risk: str, event: list[str], **cols) -> DataFrame:
     empty = {"related_players": "string", "related_count": "bigint", "related_group": "string"}
     out = {c: F.lit(None).cast(t) for c, t in empty.items()} | cols
@@ -87,11 +100,7 @@ def multi_accounting(
         "MULTI_ACCOUNTING",
         "HIGH",
         ["ip"],
-        signal_description=F.concat(
-            F.lit("IP compartilhado entre "),
-            F.col("distinct_players").cast("string"),
-            F.lit(" jogadores"),
-        ),
+        signal_description=_message(IP_TEXT, "distinct_players"),
         detected_at=F.col("first_seen"),
         related_players=F.col("related_players"),
         related_count=F.col("distinct_players"),
@@ -117,11 +126,7 @@ def deposit_without_bet(totals: DataFrame, as_of: datetime) -> DataFrame:
         "DEPOSIT_WITHOUT_BET",
         "MEDIUM",
         [],
-        signal_description=F.concat(
-            F.lit("Depositos totais: $"),
-            money_text("total_deposits"),
-            F.lit(" sem nenhuma aposta"),
-        ),
+        signal_description=_message(NO_BET_TEXT, money_text("total_deposits")),
         detected_at=stamp(as_of),
     )
 
@@ -140,13 +145,7 @@ def device_signals(
         "DEVICE_SHARING",
         "MEDIUM",
         ["device"],
-        signal_description=F.concat(
-            F.lit("Device "),
-            F.col("device"),
-            F.lit(" usado por "),
-            F.col("distinct_players").cast("string"),
-            F.lit(" jogadores"),
-        ),
+        signal_description=_message(DEVICE_TEXT, "device", "distinct_players"),
         detected_at=stamp(as_of),
         related_players=F.col("related_players"),
         related_count=F.col("distinct_players"),
@@ -188,14 +187,9 @@ def rapid_deposit_withdraw(tx: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame
         "RAPID_DEPOSIT_WITHDRAW",
         "HIGH",
         ["deposit_id", "withdraw_id"],
-        signal_description=F.concat(
-            F.lit("Deposito de $"),
-            money_text("deposit_amount"),
-            F.lit(" e saque de $"),
-            money_text("withdraw_amount"),
-            F.lit(" em "),
-            F.col("minutes_between").cast("string"),
-            F.lit(" minutos"),
+        signal_description=_message(
+            RAPID_TEXT, money_text("deposit_amount"), money_text("withdraw_amount"),
+            "minutes_between",
         ),
         detected_at=F.col("deposit_time"),
     )

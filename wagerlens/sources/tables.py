@@ -250,6 +250,8 @@ def merge_table(
     if old is None:
         return replace_table(spark, path, new_rows, keys, period, buckets)
     version = old.version + 1
+    if keys != old.keys:
+        raise ValueError(f"{path} is laid out by {old.keys}, not {keys}")
     layout = (keys, old.period, old.buckets)
     added = _write_units(spark, path, f"v={version}/new", new_rows, *layout)
     fresh = _rows_added(spark, path, Snapshot(version, new_rows.schema, *layout, added))
