@@ -11,7 +11,7 @@ from wagerlens.plans import medallion, silver
 from wagerlens.schemas import FILE_SCHEMAS, SILVER_KEYS, SILVER_SOURCE
 from wagerlens.sources import bronze
 from wagerlens.sources.files import SourceError, check_file, file_columns, scan_file, write_file
-from wagerlens.sources.tables import merge_table, read_table, replace_table, snapshot
+from wagerlens.sources.tables import expire, merge_table, read_table, replace_table, snapshot
 
 DAY1, DAY2, DAY3 = at("2024-03-01"), at("2024-03-02"), at("2024-03-03")
 
@@ -297,3 +297,49 @@ def test_a_failed_stage_is_logged(spark, root, lake):
     assert [(r["stage"], r["dataset"]) for r in log.filter("error IS NOT NULL").collect()] == [
         ("check", "players")
     ]
+
+
+def test_mark_is_the_largest_time_of_all_folders(spark, root):
+    path = bronze.table_path(root, "transactions")
+    for day, ts in ((DAY1, "2024-01-09 10:00:00.000001"), (DAY2, "2024-01-05")):
+        rows_of_day = bronze.with_stamp(tx(spark, [("t", ts)]), "transactions", day)
+        bronze.backfill(spark, root, "transactions", rows_of_day)
+    assert os.path.isdir(path)
+    assert bronze.loaded_mark(spark, root, "transactions") == at("2024-01-09 10:00:00.000001")
+
+
+def test_filter_before_dedup_equals_filter_after(lake):
+    from wagerlens.operators.dedup import latest
+
+    stg = lake.staging("transactions")
+    keys, order = ["transaction_id"], ["transaction_timestamp", "amount"]
+    newer = F.col("_ingested_at") > "2024-01-16"
+    assert same(latest(stg, keys, order).filter(newer), latest(stg.filter(newer), keys, order))
+
+
+def test_stored_times_keep_their_range(spark, root, lake):
+    import pyarrow.parquet as pq
+
+    replace_table(spark, f"{root}/t", lake.silver_model("dim_sessions"), ["session_id"])
+    file = next(
+        os.path.join(d, f) for d, _, fs in os.walk(f"{root}/t") for f in fs if f.endswith(".parquet")
+    )
+    meta = pq.ParquetFile(file).metadata.row_group(0)
+    stats = {meta.column(i).path_in_schema: meta.column(i).statistics for i in range(meta.num_columns)}
+    assert stats["_ingested_at"].has_min_max
+
+
+def test_expired_versions_are_deleted_and_the_table_stays(spark, root):
+    path = f"{root}/t"
+    for n in range(1, 6):
+        batch = _kv(spark, [("a", n, f"2024-0{n}-01"), (f"k{n}", n, "2024-01-01")])
+        merge_table(spark, path, batch, ["k"])
+    before, folders = rows(read_table(spark, path)), snapshot(spark, path).folders(path)
+    expire(spark, path, keep=2)
+    assert rows(read_table(spark, path)) == before and len(before) == 6
+    assert sorted(os.listdir(f"{path}/_snapshots"))[-2:] == ["4.json", "5.json"]
+    assert snapshot(spark, path).folders(path) == folders
+    # The first row of key "a" was alone in its unit of version 2, which nothing uses any more.
+    assert not os.path.exists(f"{path}/v=2/new/_period=2024-02-01/_bucket=0")
+    expire(spark, path, keep=2)
+    assert rows(read_table(spark, path)) == before

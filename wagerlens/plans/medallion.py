@@ -15,11 +15,11 @@ from wagerlens.operators.quality import append_run_log
 from wagerlens.plans import affiliates, declared, finance, fraud, silver
 from wagerlens.plans.staging import STAGING
 from wagerlens.schemas import BRONZE_TABLES, GOLD_TABLES
-from wagerlens.session import pin_utc
-from wagerlens.sources.bronze import LOADS, loaded_by, read_bronze
+from wagerlens.session import prepare
+from wagerlens.sources.bronze import LOADS, loaded_by, read_bronze, table_path
 from wagerlens.sources.files import check_file, scan_file
 from wagerlens.sources.scratch import WorkTables
-from wagerlens.sources.tables import read_table, replace_table
+from wagerlens.sources.tables import expire, read_table, replace_table
 
 # Player lists too long to repeat on every signal.
 PLAYER_PAGES = "related_player_pages"
@@ -152,7 +152,7 @@ def run(
     Returns the results of the declared tests. Running again with files already loaded inserts
     nothing but players, which every run appends.
     """
-    pin_utc(spark)
+    prepare(spark)
     layout, log = Layout(out_dir), _Log(as_of)
     work = WorkTables(spark, layout.work)
 
@@ -177,6 +177,11 @@ def run(
             ("gold", GOLD_TABLES, partial(rebuild_gold, spark, layout, as_of, work)),
         ):
             _all(partial(log.stage, stage, name, partial(step, name)) for name in names)
+        expire(spark, table_path(layout.bronze, "affiliates"))
+        for name in silver.SILVER:
+            expire(spark, f"{layout.silver}/{name}")
+        for name in (*GOLD_TABLES, PLAYER_PAGES):
+            expire(spark, f"{layout.gold}/{name}")
     finally:
         append_run_log(spark, layout.run_log, log.entries)
     frames = all_frames(spark, layout)

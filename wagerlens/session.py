@@ -21,7 +21,15 @@ def local_session(cores: int | str = 8, app: str = "wagerlens") -> SparkSession:
     return spark
 
 
-def pin_utc(spark: SparkSession) -> None:
-    """Dates and hours are taken in UTC, as the warehouse the models come from does."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+def prepare(spark: SparkSession) -> None:
+    """Settings the results or their storage depend on.
+
+    Dates and hours are taken in UTC. Timestamps are written in the parquet type that keeps
+    minima and maxima, so that a filter on a time mark skips row groups.
+    """
+    for name, value in (
+        ("spark.sql.session.timeZone", "UTC"),
+        ("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS"),
+    ):
+        if spark.conf.get(name) != value:
+            spark.conf.set(name, value)

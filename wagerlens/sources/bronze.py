@@ -11,7 +11,14 @@ from pyspark.sql import types as T
 from wagerlens.functions.times import moment_of, stamp
 from wagerlens.operators.skew import salted_join
 from wagerlens.schemas import BRONZE, BRONZE_TABLES
-from wagerlens.sources.tables import merge_table, read_table, replace_table, snapshot
+from wagerlens.sources.tables import (
+    NO_DATE,
+    children,
+    merge_table,
+    read_table,
+    replace_table,
+    snapshot,
+)
 
 # Rows at or before this moment never pass the mark of an empty table.
 FIRST_MARK = datetime(2020, 1, 1)
@@ -55,7 +62,11 @@ def _write(df: DataFrame, path: str, mode: str) -> None:
 
 
 def read_bronze(
-    spark: SparkSession, root: str, dataset: str, since: datetime | None = None
+    spark: SparkSession,
+    root: str,
+    dataset: str,
+    since: datetime | None = None,
+    keep_date: bool = False,
 ) -> DataFrame:
     """The whole table, or its rows with `_ingested_at` after `since`."""
     path = table_path(root, dataset)
@@ -66,7 +77,7 @@ def read_bronze(
         rows = spark.read.schema(schema).parquet(path)
         if since is not None:
             rows = rows.filter(F.col(INGEST_DATE) >= F.to_date(stamp(since)))
-        rows = rows.drop(INGEST_DATE)
+        rows = rows if keep_date else rows.drop(INGEST_DATE)
     return rows if since is None else rows.filter(F.col("_ingested_at") > stamp(since))
 
 
@@ -103,6 +114,23 @@ def high_water_mark(table: DataFrame, column: str = "timestamp") -> datetime:
     return moment_of(table, F.coalesce(F.max(column), stamp(FIRST_MARK)))
 
 
+def loaded_mark(spark: SparkSession, root: str, dataset: str) -> datetime:
+    """high_water_mark() of a stored table, without reading all of it.
+
+    The newest folder nearly always holds the largest time. It is read first; the rest is then
+    read with a filter that skips every row group without a larger one.
+    """
+    path, table = table_path(root, dataset), read_bronze(spark, root, dataset, keep_date=True)
+    folders = [n for n in children(spark, path) if n.startswith(f"{INGEST_DATE}=")]
+    dates = [n.split("=")[1] for n in folders if not n.endswith(NO_DATE)]
+    if not dates:
+        return high_water_mark(table)
+    last = F.lit(max(dates)).cast("date")
+    newest = high_water_mark(table.filter(F.col(INGEST_DATE) == last))
+    later = moment_of(table.filter(F.col("timestamp") > stamp(newest)), F.max("timestamp"))
+    return later or newest
+
+
 def unseen(batch: DataFrame, table: DataFrame, key: str) -> DataFrame:
     """Batch rows whose key the table does not hold.
 
@@ -129,7 +157,7 @@ def insert_new(
     """
     create_bronze(spark, root, dataset)
     table = read_bronze(spark, root, dataset)
-    mark = stamp(high_water_mark(table))
+    mark = stamp(loaded_mark(spark, root, dataset))
     if lookback_minutes:
         mark = mark - F.make_dt_interval(mins=F.lit(lookback_minutes))
     fresh = rows.withColumn("timestamp", F.col("timestamp").cast("timestamp")).filter(

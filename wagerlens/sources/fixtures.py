@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wagerlens.schemas import BRONZE
-from wagerlens.session import pin_utc
+from wagerlens.session import prepare
 
 REDELIVER_EVERY = 50
 
@@ -145,7 +145,7 @@ def raw_affiliates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    pin_utc(spark)
+    prepare(spark)
     return {
         "players": raw_players(spark, sf_dir),
         "sessions": raw_sessions(spark, sf_dir),

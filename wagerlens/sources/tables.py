@@ -29,7 +29,8 @@ PERIOD = "month"
 BUCKETS = 1
 # A unit with this many folders is rewritten as one by the next merge that adds to it.
 MAX_FOLDERS = 16
-_NO_PERIOD = "__HIVE_DEFAULT_PARTITION__"
+# Name Spark gives to the folder of rows without a date.
+NO_DATE = "__HIVE_DEFAULT_PARTITION__"
 
 
 @dataclass(frozen=True)
@@ -47,7 +48,7 @@ class Snapshot:
         return [f"{path}/{part}/{u}" for u in names for part in self.units[u]]
 
     def periods(self) -> list[str]:
-        return sorted({_period_of(u) for u in self.units} - {_NO_PERIOD})
+        return sorted({_period_of(u) for u in self.units} - {NO_DATE})
 
 
 def _period_of(unit: str) -> str:
@@ -65,7 +66,8 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def _children(spark: SparkSession, path: str) -> list[str]:
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it does not exist."""
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         return []
@@ -94,16 +96,19 @@ def _write_snapshot(spark: SparkSession, path: str, snap: Snapshot) -> None:
         raise RuntimeError(f"{path}: version {snap.version} was committed by another run")
 
 
-def snapshot(spark: SparkSession, path: str) -> Snapshot | None:
-    """The newest committed state, or None if the table does not exist."""
-    versions = [
-        int(n[:-5])
-        for n in _children(spark, f"{path}/_snapshots")
-        if n.endswith(".json") and n[:-5].isdigit()
-    ]
-    if not versions:
-        return None
-    fs, p = _fs(spark, f"{path}/_snapshots/{max(versions)}.json")
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    names = children(spark, f"{path}/_snapshots")
+    return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
+
+
+def snapshot(spark: SparkSession, path: str, version: int | None = None) -> Snapshot | None:
+    """A committed state, the newest if no version is given; None if the table does not exist."""
+    if version is None:
+        versions = _versions(spark, path)
+        if not versions:
+            return None
+        version = versions[-1]
+    fs, p = _fs(spark, f"{path}/_snapshots/{version}.json")
     stream = fs.open(p)
     try:
         text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
@@ -143,7 +148,7 @@ def read_table(spark: SparkSession, path: str, since: datetime | None = None) ->
     # A period is named by its first day, so the one `since` falls into is the last not after it.
     day = since.strftime("%Y-%m-%d")
     first = max((p for p in snap.periods() if p <= day), default="")
-    units = [u for u in snap.units if first <= _period_of(u) != _NO_PERIOD]
+    units = [u for u in snap.units if first <= _period_of(u) != NO_DATE]
     return _load(spark, path, snap, units)
 
 
@@ -172,7 +177,7 @@ def _bucket(keys: Sequence[str], buckets: int) -> Column:
 def _unit(snap: Snapshot) -> Column:
     return F.concat(
         F.lit("_period="),
-        F.coalesce(_period(snap.schema, snap.period).cast("string"), F.lit(_NO_PERIOD)),
+        F.coalesce(_period(snap.schema, snap.period).cast("string"), F.lit(NO_DATE)),
         F.lit("/_bucket="),
         _bucket(snap.keys, snap.buckets).cast("string"),
     )
@@ -191,17 +196,18 @@ def _write_units(
     laid_out = df.withColumns(
         {"_period": _period(df.schema, period), "_bucket": _bucket(keys, buckets)}
     )
-    # Rebalancing splits a large unit over several tasks and keeps a small one in one file.
+    if buckets > 1 or STAMP in df.columns:
+        # Splits a large unit over several tasks and keeps a small one in one file.
+        laid_out = laid_out.hint("rebalance", F.col("_period"), F.col("_bucket"))
     (
-        laid_out.hint("rebalance", F.col("_period"), F.col("_bucket"))
-        .write.mode("overwrite")
+        laid_out.write.mode("overwrite")
         .partitionBy("_period", "_bucket")
         .parquet(f"{path}/{part}")
     )
     units = {}
-    for folder in _children(spark, f"{path}/{part}"):
+    for folder in children(spark, f"{path}/{part}"):
         if folder.startswith("_period="):
-            for bucket in _children(spark, f"{path}/{part}/{folder}"):
+            for bucket in children(spark, f"{path}/{part}/{folder}"):
                 units[f"{folder}/{bucket}"] = [part]
     return units
 
@@ -284,3 +290,14 @@ def merge_table(
     snap = replace(fresh, units=units)
     _write_snapshot(spark, path, snap)
     return snap
+
+
+def expire(spark: SparkSession, path: str, keep: int = 2) -> None:
+    """Delete snapshots but the newest `keep`, and the folders only they used."""
+    versions = _versions(spark, path)
+    old, kept = versions[:-keep], versions[-keep:]
+    used = {f for v in kept for f in snapshot(spark, path, v).folders(path)}
+    unused = {f for v in old for f in snapshot(spark, path, v).folders(path)} - used
+    for name in [*unused, *(f"{path}/_snapshots/{v}.json" for v in old)]:
+        fs, p = _fs(spark, name)
+        fs.delete(p, True)
