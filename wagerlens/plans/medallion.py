@@ -177,7 +177,8 @@ def run(
             ("gold", GOLD_TABLES, partial(rebuild_gold, spark, layout, as_of, work)),
         ):
             _all(partial(log.stage, stage, name, partial(step, name)) for name in names)
-        expire(spark, table_path(layout.bronze, "affiliates"))
+        for dataset in FILES:
+            expire(spark, table_path(layout.bronze, dataset))
         for name in silver.SILVER:
             expire(spark, f"{layout.silver}/{name}")
         for name in (*GOLD_TABLES, PLAYER_PAGES):

@@ -6,15 +6,14 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from wagerlens.functions.times import moment_of, stamp
 from wagerlens.operators.skew import salted_join
 from wagerlens.schemas import BRONZE, BRONZE_TABLES
 from wagerlens.sources.tables import (
-    NO_DATE,
-    children,
+    append_table,
     merge_table,
+    newest_period,
     read_table,
     replace_table,
     snapshot,
@@ -22,8 +21,9 @@ from wagerlens.sources.tables import (
 
 # Rows at or before this moment never pass the mark of an empty table.
 FIRST_MARK = datetime(2020, 1, 1)
-INGEST_DATE = "_ingest_date"
 AFFILIATE_KEYS = ["affiliate_id", "player_id"]
+# An upsert rewrites whole units, an append none.
+PERIODS = {"affiliates": "month"}
 
 
 class MergeConflict(ValueError):
@@ -35,13 +35,15 @@ def table_path(root: str, dataset: str) -> str:
 
 
 def create_bronze(spark: SparkSession, root: str, dataset: str) -> None:
-    """Create the table if it is absent; an existing one is left alone."""
-    path, empty = table_path(root, dataset), spark.createDataFrame([], BRONZE[dataset])
-    if dataset == "affiliates":
-        if snapshot(spark, path) is None:
-            replace_table(spark, path, empty, AFFILIATE_KEYS)
-    else:
-        _write(empty, path, "ignore")
+    """Create the table if it is absent; an existing one is left alone.
+
+    Units are days of the ingest stamp, so that an incremental read opens only recent folders.
+    """
+    path = table_path(root, dataset)
+    if snapshot(spark, path) is None:
+        keys = AFFILIATE_KEYS if dataset == "affiliates" else []
+        empty = spark.createDataFrame([], BRONZE[dataset])
+        replace_table(spark, path, empty, keys, PERIODS.get(dataset, "day"))
 
 
 def with_stamp(df: DataFrame, dataset: str, as_of: datetime) -> DataFrame:
@@ -51,46 +53,18 @@ def with_stamp(df: DataFrame, dataset: str, as_of: datetime) -> DataFrame:
     return stamped.select(*[F.col(f.name).cast(f.dataType) for f in BRONZE[dataset].fields])
 
 
-def _write(df: DataFrame, path: str, mode: str) -> None:
-    # Partitioned by ingest date, so that an incremental read opens only recent folders.
-    (
-        df.withColumn(INGEST_DATE, F.to_date("_ingested_at"))
-        .write.mode(mode)
-        .partitionBy(INGEST_DATE)
-        .parquet(path)
-    )
-
-
 def read_bronze(
-    spark: SparkSession,
-    root: str,
-    dataset: str,
-    since: datetime | None = None,
-    keep_date: bool = False,
+    spark: SparkSession, root: str, dataset: str, since: datetime | None = None
 ) -> DataFrame:
     """The whole table, or its rows with `_ingested_at` after `since`."""
-    path = table_path(root, dataset)
-    if dataset == "affiliates":
-        rows = read_table(spark, path, since)
-    else:
-        schema = T.StructType([*BRONZE[dataset].fields, T.StructField(INGEST_DATE, T.DateType())])
-        rows = spark.read.schema(schema).parquet(path)
-        if since is not None:
-            rows = rows.filter(F.col(INGEST_DATE) >= F.to_date(stamp(since)))
-        rows = rows if keep_date else rows.drop(INGEST_DATE)
+    rows = read_table(spark, table_path(root, dataset), since)
     return rows if since is None else rows.filter(F.col("_ingested_at") > stamp(since))
 
 
 def backfill(spark: SparkSession, root: str, dataset: str, rows: DataFrame) -> None:
     """Add rows with the stamps they carry, such as the history of another system."""
     create_bronze(spark, root, dataset)
-    path = table_path(root, dataset)
-    if dataset == "affiliates":
-        merge_table(spark, path, rows, AFFILIATE_KEYS, retire_if=F.lit(False))
-    else:
-        # Gathered by date first: every task would else write a file per date it sees.
-        by_date = rows.withColumn(INGEST_DATE, F.to_date("_ingested_at"))
-        _write(by_date.hint("rebalance", F.col(INGEST_DATE)), path, "append")
+    append_table(spark, table_path(root, dataset), rows.select(*BRONZE[dataset].names))
 
 
 def loaded_by(spark: SparkSession, root: str, dataset: str, as_of: datetime) -> DataFrame:
@@ -104,9 +78,12 @@ def append_players(
 ) -> None:
     """Load every row of the delivery. `full_reload` replaces what earlier runs loaded."""
     create_bronze(spark, root, "players")
-    batch = rows.withColumn("created_at", F.to_date("created_at"))
-    mode = "overwrite" if full_reload else "append"
-    _write(with_stamp(batch, "players", as_of), table_path(root, "players"), mode)
+    batch = with_stamp(rows.withColumn("created_at", F.to_date("created_at")), "players", as_of)
+    path = table_path(root, "players")
+    if full_reload:
+        replace_table(spark, path, batch, period="day")
+    else:
+        append_table(spark, path, batch)
 
 
 def high_water_mark(table: DataFrame, column: str = "timestamp") -> datetime:
@@ -120,13 +97,9 @@ def loaded_mark(spark: SparkSession, root: str, dataset: str) -> datetime:
     The newest folder nearly always holds the largest time. It is read first; the rest is then
     read with a filter that skips every row group without a larger one.
     """
-    path, table = table_path(root, dataset), read_bronze(spark, root, dataset, keep_date=True)
-    folders = [n for n in children(spark, path) if n.startswith(f"{INGEST_DATE}=")]
-    dates = [n.split("=")[1] for n in folders if not n.endswith(NO_DATE)]
-    if not dates:
-        return high_water_mark(table)
-    last = F.lit(max(dates)).cast("date")
-    newest = high_water_mark(table.filter(F.col(INGEST_DATE) == last))
+    recent = newest_period(spark, table_path(root, dataset))
+    newest = FIRST_MARK if recent is None else high_water_mark(recent)
+    table = read_bronze(spark, root, dataset)
     later = moment_of(table.filter(F.col("timestamp") > stamp(newest)), F.max("timestamp"))
     return later or newest
 
@@ -163,9 +136,8 @@ def insert_new(
     fresh = rows.withColumn("timestamp", F.col("timestamp").cast("timestamp")).filter(
         F.col("timestamp") > mark
     )
-    _write(
-        with_stamp(unseen(fresh, table, key), dataset, as_of), table_path(root, dataset), "append"
-    )
+    new = with_stamp(unseen(fresh, table, key), dataset, as_of)
+    append_table(spark, table_path(root, dataset), new)
 
 
 def load_sessions(spark, root: str, rows: DataFrame, as_of: datetime, **options) -> None:

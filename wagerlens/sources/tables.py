@@ -61,11 +61,6 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return fs.exists(p)
-
-
 def children(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder; none if it does not exist."""
     fs, p = _fs(spark, path)
@@ -152,14 +147,19 @@ def read_table(spark: SparkSession, path: str, since: datetime | None = None) ->
     return _load(spark, path, snap, units)
 
 
-def newest_stamp(spark: SparkSession, path: str) -> datetime | None:
-    """Largest ingest stamp; reads the newest period only."""
+def newest_period(spark: SparkSession, path: str) -> DataFrame | None:
+    """Rows of the newest period; None if no row has a stamp."""
     snap = snapshot(spark, path)
     if snap is None or not snap.periods():
         return None
     last = snap.periods()[-1]
-    units = [u for u in snap.units if _period_of(u) == last]
-    return moment_of(_load(spark, path, snap, units), F.max(STAMP))
+    return _load(spark, path, snap, [u for u in snap.units if _period_of(u) == last])
+
+
+def newest_stamp(spark: SparkSession, path: str) -> datetime | None:
+    """Largest ingest stamp; reads the newest period only."""
+    rows = newest_period(spark, path)
+    return None if rows is None else moment_of(rows, F.max(STAMP))
 
 
 def _period(schema: T.StructType, period: str) -> Column:
@@ -235,6 +235,58 @@ def replace_table(
     return snap
 
 
+def _crowded(old: Snapshot, added: dict[str, list[str]]) -> set[str]:
+    return {u for u in added if len(old.units.get(u, [])) >= MAX_FOLDERS}
+
+
+def _commit(
+    spark: SparkSession,
+    path: str,
+    old: Snapshot,
+    fresh: Snapshot,
+    rewritten: set[str],
+    remaining: DataFrame | None,
+) -> Snapshot:
+    """The old units, with `remaining` rows in place of the rewritten ones, and the fresh rows."""
+    kept: dict[str, list[str]] = {}
+    if rewritten:
+        part = f"v={fresh.version}/kept"
+        kept = _write_units(spark, path, part, remaining, old.keys, old.period, old.buckets)
+    units = {u: parts for u, parts in old.units.items() if u not in rewritten}
+    for more in (kept, fresh.units):
+        for u, parts in more.items():
+            units[u] = units.get(u, []) + parts
+    snap = replace(fresh, units=units)
+    _write_snapshot(spark, path, snap)
+    return snap
+
+
+def _add(spark: SparkSession, path: str, old: Snapshot, rows: DataFrame) -> Snapshot:
+    """Write rows as the next version of the table, not committed yet."""
+    version = old.version + 1
+    layout = (old.keys, old.period, old.buckets)
+    units = _write_units(spark, path, f"v={version}/new", rows, *layout)
+    return _rows_added(spark, path, Snapshot(version, rows.schema, *layout, units))
+
+
+def append_table(
+    spark: SparkSession,
+    path: str,
+    rows: DataFrame,
+    keys: Sequence[str] = (),
+    period: str = PERIOD,
+    buckets: int = BUCKETS,
+) -> Snapshot:
+    """Add rows; readers see all of them or none."""
+    old = snapshot(spark, path)
+    if old is None:
+        return replace_table(spark, path, rows, keys, period, buckets)
+    fresh = _add(spark, path, old, rows)
+    crowded = _crowded(old, fresh.units)
+    remaining = _load(spark, path, old, sorted(crowded)) if crowded else None
+    return _commit(spark, path, old, fresh, crowded, remaining)
+
+
 def merge_table(
     spark: SparkSession,
     path: str,
@@ -251,19 +303,13 @@ def merge_table(
     `retire_if` holds for the two, which sees them as aliases `old` and `new`. The columns of
     `new_rows` become the columns of the table. NULL keys never match, so such rows are only added.
     """
-    keys = list(keys)
     old = snapshot(spark, path)
     if old is None:
         return replace_table(spark, path, new_rows, keys, period, buckets)
-    version = old.version + 1
-    if keys != old.keys:
-        raise ValueError(f"{path} is laid out by {old.keys}, not {keys}")
-    layout = (keys, old.period, old.buckets)
-    added = _write_units(spark, path, f"v={version}/new", new_rows, *layout)
-    fresh = _rows_added(spark, path, Snapshot(version, new_rows.schema, *layout, added))
-    if retire_by is None:
-        retire_by = _load(spark, path, fresh)
-    retire_by = retire_by.alias("new")
+    if list(keys) != old.keys:
+        raise ValueError(f"{path} is laid out by {old.keys}, not {list(keys)}")
+    fresh = _add(spark, path, old, new_rows)
+    retire_by = (_load(spark, path, fresh) if retire_by is None else retire_by).alias("new")
     on = [F.col(f"old.{k}") == F.col(f"new.{k}") for k in keys]
     if retire_if is not None:
         on.append(retire_if)
@@ -276,20 +322,12 @@ def merge_table(
         .distinct()
         .collect()  # names of units, at most as many as the snapshot lists
     }
-    touched |= {u for u in added if len(old.units.get(u, [])) >= MAX_FOLDERS}
-    kept: dict[str, list[str]] = {}
+    touched |= _crowded(old, fresh.units)
+    remaining = None
     if touched:
-        remaining = (
-            _load(spark, path, old, sorted(touched)).alias("old").join(retire_by, on, "left_anti")
-        )
-        kept = _write_units(spark, path, f"v={version}/kept", remaining, *layout)
-    units = {u: parts for u, parts in old.units.items() if u not in touched}
-    for more in (kept, added):
-        for u, parts in more.items():
-            units[u] = units.get(u, []) + parts
-    snap = replace(fresh, units=units)
-    _write_snapshot(spark, path, snap)
-    return snap
+        some = _load(spark, path, old, sorted(touched)).alias("old")
+        remaining = some.join(retire_by, on, "left_anti")
+    return _commit(spark, path, old, fresh, touched, remaining)
 
 
 def expire(spark: SparkSession, path: str, keep: int = 2) -> None:
