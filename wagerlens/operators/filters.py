@@ -42,11 +42,15 @@ def between_dates(
     return df
 
 
-def _of_players(df: DataFrame, players: DataFrame) -> DataFrame:
-    """Rows of the given players, whichever of them has most rows."""
+def _of_players(df: DataFrame, chosen: list[DataFrame]) -> DataFrame:
+    """Rows of the players that are in every given frame. The players are intersected first, so
+    that the rows are joined once."""
+    players = chosen[0].select("player_id").distinct()
+    for other in chosen[1:]:
+        players = players.join(other.select("player_id").distinct(), "player_id", "left_semi")
     return salted_join(
         df,
-        players.select("player_id").distinct(),
+        players,
         ["player_id"],
         "left_semi",
         spread=[_first_of(df, ID_COLUMNS)],
@@ -67,6 +71,7 @@ def apply_filters(
     risk_column = _first_of(df, RISK_COLUMNS)
     if filters.risks and risk_column:
         df = df.filter(F.col(risk_column).isin(*filters.risks))
+    chosen = []
     for values, column, through in (
         (filters.cities, "city", players),
         (filters.countries, "country", affiliates),
@@ -77,8 +82,8 @@ def apply_filters(
         if column in df.columns:
             df = df.filter(F.col(column).isin(*values))
         elif through is not None and "player_id" in df.columns:
-            df = _of_players(df, through.filter(F.col(column).isin(*values)))
-    return df
+            chosen.append(through.filter(F.col(column).isin(*values)))
+    return _of_players(df, chosen) if chosen else df
 
 
 def not_normal(df: DataFrame) -> DataFrame:
