@@ -1,11 +1,12 @@
 from __future__ import annotations
 
-from decimal import Decimal
+import random
+from decimal import ROUND_HALF_UP, Decimal, localcontext
 
 from conftest import at, rows
 from pyspark.sql import functions as F
 
-from wagerlens.functions.measures import money_percent, percent, risk_class, safe_ratio
+from wagerlens.functions.measures import average, money_percent, percent, risk_class, safe_ratio
 from wagerlens.functions.text import (
     NULL_KEY_PART,
     lower_trimmed,
@@ -16,6 +17,8 @@ from wagerlens.functions.text import (
 )
 from wagerlens.functions.times import moment_of, stamp
 
+D = Decimal
+
 
 def one(spark, column):
     return spark.range(1).select(column.alias("x")).first()[0]
@@ -37,6 +40,20 @@ def test_percent_edges(spark):
     assert got == [0.0, 150.0, 0.0, None, 33.33, 0.13, -0.13, 0.0]
 
 
+def test_percent_and_average_equal_exact_arithmetic(spark):
+    rnd = random.Random(7)
+    data = [(rnd.randrange(0, 10**rnd.randrange(1, 12)), rnd.randrange(1, 10**rnd.randrange(1, 10)))
+            for _ in range(500)]
+    df = spark.createDataFrame(data, "n long, d long").withColumn(
+        "m", (F.col("n") / 100).cast("decimal(18,2)")
+    )
+    exact = lambda x, digits: x.quantize(D(1).scaleb(-digits), ROUND_HALF_UP)
+    for n, d, p, a in df.select("n", "d", percent("n", "d"), average("m", "d")).collect():
+        with localcontext(prec=60):
+            assert p == float(exact(D(n) * 100 / D(d), 2))
+            assert a == exact(D(n) / 100 / D(d), 6)
+
+
 def test_money_percent_is_zero_without_cost(spark):
     df = spark.createDataFrame(
         [(Decimal("50.00"), Decimal("0.00")), (Decimal("-25.50"), Decimal("100.00"))],

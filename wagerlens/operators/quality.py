@@ -46,10 +46,10 @@ def not_accepted(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame
 def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Values without a parent, with their number of rows. NULL is not checked.
 
-    Child rows are counted per value before the join, so each value meets the parents once.
+    Both sides are cut to distinct values before the join, so no value is heavy in it.
     """
     values = _failing(child.filter(F.col(column).isNotNull()), column)
-    known = parent.select(F.col(parent_column).cast("string").alias("value"))
+    known = parent.select(F.col(parent_column).cast("string").alias("value")).distinct()
     return values.join(known, "value", "left_anti")
 
 

@@ -161,18 +161,20 @@ def upsert_affiliates(
         table.select(*keys, F.col("_ingested_at").alias("_stored_at"))
         .join(batch.select(*keys).distinct(), keys, "left_semi")
     )
-    claims = batch.groupBy(*keys).count().filter("count > 1")
-    if not claims.join(held, keys, "left_semi").isEmpty():
+    per_pair = batch.groupBy(*keys).count()
+    if not per_pair.filter("count > 1").join(held, keys, "left_semi").isEmpty():
         raise MergeConflict("two rows of the batch match one stored affiliate and player")
     updated = batch.join(held, keys).filter("_ingested_at > _stored_at").drop("_stored_at")
-    inserted = batch.join(held.select(*keys).distinct(), keys, "left_anti")
+    inserted = salted_join(
+        batch, held.select(*keys).distinct(), keys, "left_anti", weights=(per_pair, "count")
+    )
     columns = BRONZE["affiliates"].names
     merge_table(
         spark,
         path,
         updated.select(columns).unionByName(inserted.select(columns)),
         keys,
-        retire_by=batch,
+        retire_by=batch.select(*keys, "_ingested_at").distinct(),
         retire_if=F.col("new._ingested_at") > F.col("old._ingested_at"),
     )
 
