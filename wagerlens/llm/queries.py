@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wagerlens.llm.common import table
 from wagerlens.llm.packing import pack_documents
+from wagerlens.llm.token_files import token_file_digests
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -28,6 +29,11 @@ def cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+@query("op2_elias_fano_token_files")
+def elias_fano_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_file_digests(spark, table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
