@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wagerlens.llm.common import table
 from wagerlens.llm.packing import pack_documents
+from wagerlens.llm.simhash import near_duplicates
 from wagerlens.llm.token_files import token_file_digests
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +35,11 @@ def elias_fano_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_digests(spark, table(spark, sf_dir, "documents"))
 
 
+@query("op3_simhash_near_duplicates")
+def simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
