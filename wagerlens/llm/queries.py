@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from wagerlens.llm.common import table
+from wagerlens.llm import lines
 from wagerlens.llm.packing import pack_documents
 from wagerlens.llm.simhash import near_duplicates
 from wagerlens.llm.token_files import token_file_digests
@@ -40,6 +41,12 @@ def simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op5_site_line_frequency", lines.check_sql())
+def site_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return lines.drop_site_lines(docs, dropped="n_dropped")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
