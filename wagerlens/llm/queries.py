@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wagerlens.llm.common import table
 from wagerlens.llm import lines
+from wagerlens.llm.langid import identify
 from wagerlens.llm.packing import pack_documents
 from wagerlens.llm.simhash import near_duplicates
 from wagerlens.llm.token_files import token_file_digests
@@ -47,6 +48,11 @@ def site_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.drop_site_lines(docs, dropped="n_dropped")
 
 
+@query("op4_hierarchical_language")
+def hierarchical_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
