@@ -58,3 +58,29 @@ def bounded_side(df: DataFrame, rows: int, max_rows: int) -> DataFrame:
 
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
+
+
+def key_runs(batches, keys: int):
+    """Rows of equal leading `keys` columns, as one table each; the input is sorted by them.
+
+    Null keys are not expected. Only the rows of one run are held beyond the batch at hand.
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    held = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = rows if held is None else pa.concat_tables([held, rows])
+        if not rows.num_rows:
+            continue
+        change = np.zeros(rows.num_rows, dtype=bool)
+        for i in range(keys):
+            k = rows.column(i).to_numpy()
+            change[1:] |= k[1:] != k[:-1]
+        cuts = [0, *np.flatnonzero(change).tolist()]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            yield rows.slice(a, b - a)
+        held = rows.slice(cuts[-1])
+    if held is not None and held.num_rows:
+        yield held

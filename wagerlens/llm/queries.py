@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wagerlens.llm.common import table
-from wagerlens.llm import lines
+from wagerlens.llm import exact_topk, lines, multiindex
 from wagerlens.llm.langid import identify
 from wagerlens.llm.packing import pack_documents
 from wagerlens.llm.simhash import near_duplicates
@@ -53,6 +54,16 @@ def hierarchical_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+@query("op8_multi_index_near_vectors", multiindex.check_sql())
+def multi_index_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiindex.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op10_exact_top_k", exact_topk.check_sql())
+def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
