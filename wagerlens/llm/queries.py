@@ -11,6 +11,7 @@ from wagerlens.llm.common import table
 from wagerlens.llm import exact_topk, lines, multiindex
 from wagerlens.llm.langid import identify
 from wagerlens.llm.packing import pack_documents
+from wagerlens.llm.resharding import reshard
 from wagerlens.llm.simhash import near_duplicates
 from wagerlens.llm.token_files import token_file_digests
 
@@ -54,6 +55,13 @@ def hierarchical_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+@query("op7_minimum_cost_resharding")
+def minimum_cost_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From six shards by source, one of them far larger than the others, to eight even ones."""
+    docs = table(spark, sf_dir, "documents")
+    return reshard(docs, F.pmod(F.xxhash64(F.col("source").cast("string")), F.lit(6)), shards=8)
+
+
 @query("op8_multi_index_near_vectors", multiindex.check_sql())
 def multi_index_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiindex.near_vectors(table(spark, sf_dir, "embeddings"))
