@@ -12,8 +12,10 @@ from wagerlens.llm import exact_topk, lines, multiindex
 from wagerlens.llm.langid import identify
 from wagerlens.llm.packing import pack_documents
 from wagerlens.llm.resharding import reshard
+from wagerlens.llm.sampling import sampled_digests
 from wagerlens.llm.simhash import near_duplicates
 from wagerlens.llm.token_files import token_file_digests
+from wagerlens.llm.wordpiece import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -55,6 +57,11 @@ def hierarchical_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+@query("op6_longest_match_counts")
+def longest_match_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"))
+
+
 @query("op7_minimum_cost_resharding")
 def minimum_cost_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From six shards by source, one of them far larger than the others, to eight even ones."""
@@ -67,6 +74,11 @@ def multi_index_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiindex.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+@query("op9_sampled_segmentation")
+def sampled_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampled_digests(table(spark, sf_dir, "documents"))
+
+
 @query("op10_exact_top_k", exact_topk.check_sql())
 def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
