@@ -14,7 +14,6 @@ from wagerlens.operators.sharing import (
     player_pages,
     shared_pairs,
     sharing_groups,
-    with_player_list,
 )
 from wagerlens.operators.skew import SHARES, heavy_keys, row_weights, salted_join
 from wagerlens.operators.topk import top_rows, top_with_ties
@@ -149,38 +148,49 @@ def test_groups_need_two_players(sessions):
     assert rows(groups, "ip", "distinct_players") == [("2.2.2.2", 2), ("4.4.4.4", 30)]
 
 
-def _naive_lists(sessions):
-    return (
+@pytest.mark.parametrize("min_rows", [0, 5, 10**9])
+def test_members_equal_collect_and_explode(sessions, min_rows):
+    naive = (
         sessions.filter("ip IS NOT NULL AND player_id IS NOT NULL")
         .groupBy("ip")
         .agg(F.array_sort(F.collect_set("player_id")).alias("l"))
         .filter("size(l) > 1")
-        .select("ip", F.explode("l").alias("player_id"), F.array_join("l", ", ").alias("text"))
+        .select("ip", F.explode("l").alias("player_id"))
     )
-
-
-@pytest.mark.parametrize("min_rows", [0, 5, 10**9])
-def test_player_lists_equal_collect_and_explode(sessions, min_rows):
     pairs = shared_pairs(sessions, "ip")
     members = group_members(pairs, sharing_groups(pairs, "ip", 1), "ip", min_rows)
-    got = with_player_list(members, "ip").select(
-        "ip", "player_id", F.col("related_players").alias("text")
-    )
-    assert same(_naive_lists(sessions), got)
+    assert same(naive, members.select("ip", "player_id"))
 
 
-def test_large_groups_keep_all_rows_and_put_their_list_in_pages(sessions):
+def test_lists_of_all_groups_stand_once_in_pages(sessions):
     pairs = shared_pairs(sessions, "ip")
     members = group_members(pairs, sharing_groups(pairs, "ip", 1), "ip")
-    listed = with_player_list(members, "ip", max_inline=10)
-    assert listed.filter("ip = '4.4.4.4' AND related_players IS NULL").count() == 30
-    assert listed.filter("ip = '2.2.2.2' AND related_players = 'p1, p2'").count() == 2
-    pages = player_pages(members, "ip", larger_than=10, page_players=8).collect()
-    assert {r["ip"] for r in pages} == {"4.4.4.4"} and 1 < len(pages) <= 4
-    players = sorted(p for r in pages for p in r["related_players"].split(", "))
+    pages = player_pages(members, "ip", page_players=8).collect()
+    of = lambda ip: [r for r in pages if r["ip"] == ip]
+    assert [r["related_players"] for r in of("2.2.2.2")] == ["p1, p2"]
+    assert 1 < len(of("4.4.4.4")) <= 4 and {r["ip"] for r in pages} == {"2.2.2.2", "4.4.4.4"}
+    players = sorted(p for r in of("4.4.4.4") for p in r["related_players"].split(", "))
     assert players == [f"q{i:02d}" for i in range(30)]
 
 
+@pytest.mark.parametrize("n", [2_000, 2_001, 25_000])
+def test_a_group_of_any_size_has_its_whole_list(spark, n):
+    from wagerlens.plans import fraud
+
+    sessions = spark.range(n).select(
+        F.concat(F.lit("p"), F.col("id").cast("string")).alias("player_id"),
+        F.lit("one").alias("device"),
+        F.lit(None).cast("string").alias("ip"),
+        F.lit(at("2024-01-01")).alias("session_timestamp"),
+    )
+    signals = fraud.device_signals(sessions, at("2024-02-01"))
+    assert rows(signals.groupBy("related_group", "related_count").count()) == [("one", n, n)]
+    pages = fraud.related_player_pages(sessions).collect()
+    assert len(pages) == -(-n // 10_000) and {r["related_group"] for r in pages} == {"one"}
+    listed = [p for r in pages for p in r["related_players"].split(", ")]
+    assert len(listed) == len(set(listed)) == n
+
+
 # --- top-k and filters ---
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from wagerlens.catalog.lake import AS_OF, Lake
 from wagerlens.catalog.registry import query
 from wagerlens.catalog.sqlparts import avg6, day, money, ts
+from wagerlens.operators.sharing import PAGE_PLAYERS
 from wagerlens.plans import affiliates, finance, fraud, silver
 
 STG_SQL = {
@@ -43,7 +44,7 @@ SILVER_SQL = {
 
 _SIGNAL_LIST = (
     f"player_id, signal_type, signal_description, risk_level, {ts('detected_at')} AS detected_at,"
-    f" related_players, related_count, related_group, signal_event_id"
+    f" related_count, related_group, signal_event_id"
 )
 
 SIGNALS_SQL = f"SELECT fraud_signal_id, {_SIGNAL_LIST} FROM fct_fraud_signals"
@@ -153,28 +154,24 @@ def _(lake: Lake) -> DataFrame:
     return fraud.rapid_deposit_withdraw(lake.tx)
 
 
-# Pages of 40 players, so that lists are split at every scale.
-_PAGES = "CAST(ceil(distinct_players / 40.0) AS BIGINT)"
+# The page of a player, by the default size of pages.
+_PAGES = f"CAST(ceil(distinct_players / {PAGE_PLAYERS}.0) AS BIGINT)"
 _PAGE = f"CAST(CAST('0x' || substr(md5(player_id), 1, 8) AS BIGINT) % {_PAGES} AS INTEGER)"
-
-
-@query(
-    "m9_related_player_pages",
-    f"""SELECT kind, related_group, distinct_players, page, count(*) AS page_players,
+PAGES_SQL = f"""SELECT kind, related_group, distinct_players, page, count(*) AS page_players,
           string_agg(player_id, ', ' ORDER BY player_id) AS related_players
         FROM (
           SELECT DISTINCT 'device' AS kind, g.device AS related_group, distinct_players,
                  s.player_id, {_PAGE} AS page
           FROM device_sharing AS g JOIN dim_sessions AS s ON g.device = s.device
-          WHERE distinct_players > 20
           UNION ALL
           SELECT DISTINCT 'ip', g.ip, distinct_players, s.player_id, {_PAGE}
           FROM ip_sharing AS g JOIN dim_sessions AS s ON g.ip = s.ip
-          WHERE distinct_players > 20
-        ) GROUP BY kind, related_group, distinct_players, page""",
-)
+        ) WHERE player_id IS NOT NULL GROUP BY kind, related_group, distinct_players, page"""
+
+
+@query("m9_related_player_pages", PAGES_SQL)
 def _(lake: Lake) -> DataFrame:
-    return fraud.related_player_pages(lake.sessions, lake.work, 20, 40)
+    return fraud.related_player_pages(lake.sessions, lake.work)
 
 
 @query("m10_fct_affiliate_performance", PERFORMANCE_SQL)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wagerlens.catalog.lake import Lake
+from wagerlens.catalog.models import PAGES_SQL
 from wagerlens.catalog.registry import query
 from wagerlens.catalog.sqlparts import amount_text, avg6, key, money, pct, ts
 from wagerlens.functions.measures import percent, risk_class, safe_ratio
@@ -130,15 +131,15 @@ def _(lake: Lake) -> DataFrame:
 
 @query(
     "p21_a_arr_player_lists",
-    "SELECT ip, related_players, distinct_players FROM ip_sharing",
+    f"SELECT related_group AS ip, page, related_players, distinct_players FROM ({PAGES_SQL})"
+    " WHERE kind = 'ip'",
 )
 def _(lake: Lake) -> DataFrame:
-    signals = fraud.multi_accounting(lake.sessions, lake.work)
-    return signals.select(
-        F.col("related_group").alias("ip"),
-        "related_players",
-        F.col("related_count").alias("distinct_players"),
-    ).distinct()
+    return (
+        fraud.related_player_pages(lake.sessions, lake.work)
+        .filter("kind = 'ip'")
+        .select(F.col("related_group").alias("ip"), "page", "related_players", "distinct_players")
+    )
 
 
 @query(

@@ -6,11 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wagerlens.functions.text import list_text
-from wagerlens.operators.skew import MIN_ROWS, salted_join
+from wagerlens.operators.skew import salted_join
 
-# Longest player list written onto every row of its group. A list of n players repeated on n rows
-# is n * n ids; longer lists are stored once per group, in pages (`player_pages`).
-MAX_INLINE = 2_000
+# A list of n players repeated on n rows is n * n ids, so lists stand once per group, whatever its
+# size, in pages of about this many players (`player_pages`).
 PAGE_PLAYERS = 10_000
 
 
@@ -43,7 +42,7 @@ def sharing_groups(pairs: DataFrame, key: str, more_than: int) -> DataFrame:
 
 
 def group_members(
-    pairs: DataFrame, groups: DataFrame, key: str, min_rows: int = MIN_ROWS
+    pairs: DataFrame, groups: DataFrame, key: str, min_rows: int | None = None
 ) -> DataFrame:
     """One row per group and player, with the group's columns."""
     players = pairs.select(key, "player_id").filter(F.col("player_id").isNotNull())
@@ -57,30 +56,6 @@ def group_members(
     )
 
 
-def with_player_list(members: DataFrame, key: str, max_inline: int = MAX_INLINE) -> DataFrame:
-    """Members with the text list of their whole group.
-
-    Groups up to `max_inline` players are gathered and unfolded again. Larger ones are never
-    gathered: their rows carry NULL, and player_pages() holds their lists.
-    """
-    group_cols = ["distinct_players", "first_seen", "last_seen"]
-    listed = (
-        members.filter(F.col("distinct_players") <= max_inline)
-        .groupBy(key, *group_cols)
-        .agg(F.sort_array(F.collect_list("player_id")).alias("players"))
-        .select(
-            key,
-            *group_cols,
-            F.array_join("players", ", ").alias("related_players"),
-            F.explode("players").alias("player_id"),
-        )
-    )
-    large = members.filter(F.col("distinct_players") > max_inline).withColumn(
-        "related_players", F.lit(None).cast("string")
-    )
-    return listed.unionByName(large)
-
-
 def page_of(player: Column | str, pages: Column) -> Column:
     """Page of a player: an even, repeatable spread over the group's pages."""
     head = F.conv(F.substring(F.md5(F.col(player) if isinstance(player, str) else player), 1, 8), 16, 10)
@@ -88,16 +63,12 @@ def page_of(player: Column | str, pages: Column) -> Column:
 
 
 def player_pages(
-    members: DataFrame,
-    key: str,
-    larger_than: int = MAX_INLINE,
-    page_players: int = PAGE_PLAYERS,
+    members: DataFrame, key: str, page_players: int = PAGE_PLAYERS
 ) -> DataFrame:
-    """The whole lists of large groups, stored once per group in pages of about equal size."""
+    """The whole lists of all groups, once per group in pages of about equal size."""
     pages = F.ceil(F.col("distinct_players") / F.lit(page_players)).cast("int")
     return (
-        members.filter(F.col("distinct_players") > larger_than)
-        .withColumn("page", page_of("player_id", pages))
+        members.withColumn("page", page_of("player_id", pages))
         .groupBy(key, "distinct_players", "page")
         .agg(
             F.count(F.lit(1)).alias("page_players"),

@@ -11,15 +11,12 @@ from wagerlens.functions.text import key_time, money_text, surrogate_key
 from wagerlens.functions.times import stamp
 from wagerlens.operators.intervals import followed_within
 from wagerlens.operators.sharing import (
-    MAX_INLINE,
     PAGE_PLAYERS,
     group_members,
     player_pages,
     shared_pairs,
     sharing_groups,
-    with_player_list,
 )
-from wagerlens.operators.skew import MIN_ROWS
 from wagerlens.plans.finance import player_financials
 from wagerlens.sources.scratch import WorkTables, kept
 
@@ -38,7 +35,6 @@ SIGNAL_COLUMNS = [
     "signal_description",
     "risk_level",
     "detected_at",
-    "related_players",
     "related_count",
     "related_group",
     "signal_event_id",
@@ -54,7 +50,7 @@ def _message(texts: tuple[str, ...], *values: Column | str) -> Column:
 
 
 def _signal(df: DataFrame, kind: str, risk: str, event: list[str], **cols) -> DataFrame:
-    empty = {"related_players": "string", "related_count": "bigint", "related_group": "string"}
+    empty = {"related_count": "bigint", "related_group": "string"}
     out = {c: F.lit(None).cast(t) for c, t in empty.items()} | cols
     return df.select(
         "player_id",
@@ -80,7 +76,7 @@ def sharing_members(
     key: str,
     more_than: int,
     work: WorkTables | None = None,
-    min_rows: int = MIN_ROWS,
+    min_rows: int | None = None,
 ) -> DataFrame:
     """Players of each shared value. The pairs are read three times, so they are worth keeping."""
     pairs = kept(work, f"{key}_players", shared_pairs(sessions, key))
@@ -90,19 +86,17 @@ def sharing_members(
 def multi_accounting(
     sessions: DataFrame,
     work: WorkTables | None = None,
-    max_inline: int = MAX_INLINE,
-    min_rows: int = MIN_ROWS,
+    min_rows: int | None = None,
 ) -> DataFrame:
     """One signal per shared address and player on it, dated when the address was first seen."""
     members = sharing_members(sessions, "ip", IP_PLAYERS_OVER, work, min_rows)
     return _signal(
-        with_player_list(members, "ip", max_inline),
+        members,
         "MULTI_ACCOUNTING",
         "HIGH",
         ["ip"],
         signal_description=_message(IP_TEXT, "distinct_players"),
         detected_at=F.col("first_seen"),
-        related_players=F.col("related_players"),
         related_count=F.col("distinct_players"),
         related_group=F.col("ip"),
     )
@@ -135,25 +129,23 @@ def device_signals(
     sessions: DataFrame,
     as_of: datetime,
     work: WorkTables | None = None,
-    max_inline: int = MAX_INLINE,
-    min_rows: int = MIN_ROWS,
+    min_rows: int | None = None,
 ) -> DataFrame:
     """One signal per device over the limit and player on it."""
     members = sharing_members(sessions, "device", DEVICE_PLAYERS_OVER, work, min_rows)
     return _signal(
-        with_player_list(members, "device", max_inline),
+        members,
         "DEVICE_SHARING",
         "MEDIUM",
         ["device"],
         signal_description=_message(DEVICE_TEXT, "device", "distinct_players"),
         detected_at=stamp(as_of),
-        related_players=F.col("related_players"),
         related_count=F.col("distinct_players"),
         related_group=F.col("device"),
     )
 
 
-def rapid_cycles(tx: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
+def rapid_cycles(tx: DataFrame, min_rows: int | None = None) -> DataFrame:
     """Every withdrawal less than an hour after a deposit of the same player."""
 
     def side(kind: str, prefix: str) -> DataFrame:
@@ -181,7 +173,7 @@ def rapid_cycles(tx: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
     )
 
 
-def rapid_deposit_withdraw(tx: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
+def rapid_deposit_withdraw(tx: DataFrame, min_rows: int | None = None) -> DataFrame:
     return _signal(
         rapid_cycles(tx, min_rows),
         "RAPID_DEPOSIT_WITHDRAW",
@@ -200,19 +192,19 @@ def fraud_signals(
     tx: DataFrame,
     as_of: datetime,
     work: WorkTables | None = None,
-    max_inline: int = MAX_INLINE,
-    min_rows: int = MIN_ROWS,
+    min_rows: int | None = None,
 ) -> DataFrame:
     """All four signals.
 
+    Rows of shared addresses and devices name their group; related_player_pages() has its players.
     `fraud_signal_id` is built from player, type and time of detection and repeats where those
     do; `signal_event_id` is unique and the same in every run.
     """
     totals = kept(work, "player_totals", player_financials(tx))
     return (
-        multi_accounting(sessions, work, max_inline, min_rows)
+        multi_accounting(sessions, work, min_rows)
         .unionByName(deposit_without_bet(totals, as_of))
-        .unionByName(device_signals(sessions, as_of, work, max_inline, min_rows))
+        .unionByName(device_signals(sessions, as_of, work, min_rows))
         .unionByName(rapid_deposit_withdraw(tx, min_rows))
         .select(
             surrogate_key(["player_id", "signal_type", key_time("detected_at")]).alias(
@@ -227,15 +219,14 @@ def fraud_signals(
 def related_player_pages(
     sessions: DataFrame,
     work: WorkTables | None = None,
-    larger_than: int = MAX_INLINE,
     page_players: int = PAGE_PLAYERS,
 ) -> DataFrame:
-    """Player lists of the groups too large to repeat on every signal row."""
+    """Player lists of all shared addresses and devices, once per group."""
 
     def pages(key: str, more_than: int) -> DataFrame:
         members = sharing_members(sessions, key, more_than, work)
         return (
-            player_pages(members, key, larger_than, page_players)
+            player_pages(members, key, page_players)
             .withColumnRenamed(key, "related_group")
             .withColumn("kind", F.lit(key))
         )
