@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wagerlens.operators.skew import MIN_ROWS, salted_pair_join
+from wagerlens.operators.skew import salted_pair_join
 
 
 def followed_within(
@@ -17,7 +17,7 @@ def followed_within(
     first_id: str,
     second_id: str,
     minutes: int = 60,
-    min_rows: int = MIN_ROWS,
+    min_rows: int | None = None,
 ) -> DataFrame:
     """All pairs with first_ts < second_ts < first_ts + minutes.
 

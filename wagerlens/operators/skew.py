@@ -21,7 +21,7 @@ def heavy_keys(
     keys: Sequence[str],
     weight: str,
     total: DataFrame | None = None,
-    min_rows: int = MIN_ROWS,
+    min_rows: int | None = None,
 ) -> DataFrame:
     """Keys above their share, with the number of slices each is cut into.
 
@@ -30,7 +30,8 @@ def heavy_keys(
     """
     total = weights.agg(F.sum(weight)) if total is None else total
     limit = F.greatest(
-        F.lit(float(min_rows)), F.coalesce(total.scalar().cast("double"), F.lit(0.0)) / SHARES
+        F.lit(float(MIN_ROWS if min_rows is None else min_rows)),
+        F.coalesce(total.scalar().cast("double"), F.lit(0.0)) / SHARES
     )
     return (
         weights.dropna(subset=list(keys))
@@ -46,7 +47,7 @@ def row_weights(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def heavy_row_keys(
-    df: DataFrame, keys: Sequence[str], coarse: Sequence[str], min_rows: int = MIN_ROWS
+    df: DataFrame, keys: Sequence[str], coarse: Sequence[str], min_rows: int | None = None
 ) -> DataFrame:
     """heavy_keys() of a frame with many distinct keys.
 
@@ -79,14 +80,21 @@ def salted_join(
     how: str = "inner",
     weights: tuple[DataFrame, str] | None = None,
     spread: Sequence[str] | None = None,
-    min_rows: int = MIN_ROWS,
+    min_rows: int | None = None,
 ) -> DataFrame:
     """Join many left rows to at most one right row per key.
 
     Left rows of a heavy key are spread over slices by a hash of `spread`, and the right row is
     copied once per slice. `weights` gives the rows per key where the caller knows them already.
     Left rows with a NULL key match nothing and are spread too.
+
+    Without `weights` the rows per key would have to be counted by a pass of their own. Adaptive
+    execution knows the sizes once the left side is shuffled, cuts the partition of a hot key into
+    slices and reads the right one for each, so the plain join is left to it, and either side is
+    read once. `min_rows` asks for salting all the same, where adaptive execution is off.
     """
+    if weights is None and min_rows is None:
+        return left.join(right, list(keys), how)
     spread = list(spread or left.columns)
     per_key, weight = weights or (row_weights(left, keys), "_rows")
     heavy = F.broadcast(heavy_keys(per_key, keys, weight, min_rows=min_rows))
@@ -111,15 +119,21 @@ def salted_pair_join(
     condition: Column,
     left_spread: Sequence[str],
     right_spread: Sequence[str],
-    min_rows: int = MIN_ROWS,
+    min_rows: int | None = None,
 ) -> DataFrame:
     """Inner join with many rows per key on both sides.
 
     A heavy key becomes a grid: each side is cut into its own slices and copied along the other
     side's slices, so every pair meets in exactly one cell. `coarse` names the keys with fewer
     values. Columns other than the keys must have different names on the two sides.
+
+    Counting rows per key reads both sides twice more. Unless `min_rows` asks for it, the grid is
+    left to adaptive execution, which cuts the partitions of hot keys on both sides.
     """
     keys = list(keys)
+    if min_rows is None:
+        # Shuffled even if one side is small, see below.
+        return left.hint("merge").join(right, keys).filter(condition)
     left_heavy = heavy_row_keys(left, keys, coarse, min_rows)
     right_heavy = heavy_row_keys(right, keys, coarse, min_rows)
     grid = F.broadcast(

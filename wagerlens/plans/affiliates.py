@@ -16,7 +16,7 @@ from wagerlens.functions.measures import (
 )
 from wagerlens.functions.text import surrogate_key
 from wagerlens.functions.times import stamp
-from wagerlens.operators.skew import MIN_ROWS, salted_join
+from wagerlens.operators.skew import salted_join
 from wagerlens.plans.finance import player_financials
 from wagerlens.sources.scratch import WorkTables, kept
 
@@ -72,7 +72,7 @@ def affiliate_performance(
     tx: DataFrame,
     as_of: datetime,
     work: WorkTables | None = None,
-    min_rows: int = MIN_ROWS,
+    min_rows: int | None = None,
 ) -> DataFrame:
     """One row per affiliate and country, with the revenue of the players referred.
 
@@ -127,7 +127,7 @@ def affiliate_performance(
 
 
 def affiliate_fraud(
-    affiliates: DataFrame, signals: DataFrame, min_rows: int = MIN_ROWS
+    affiliates: DataFrame, signals: DataFrame, min_rows: int | None = None
 ) -> DataFrame:
     """Share of each affiliate's players that carry a fraud signal. The rule is our own choice:
     an affiliate is suspicious when at least half of its players do."""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wagerlens.functions.measures import AVERAGE, MONEY, average, risk_class
 from wagerlens.functions.times import stamp
-from wagerlens.operators.skew import MIN_ROWS, salted_join
+from wagerlens.operators.skew import salted_join
 from wagerlens.sources.scratch import WorkTables, kept
 
 # Name in the totals, transaction type, name in the counts and averages.
@@ -114,7 +114,7 @@ def global_metrics(cities: DataFrame) -> DataFrame:
     )
 
 
-def with_city(metrics: DataFrame, cities: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
+def with_city(metrics: DataFrame, cities: DataFrame, min_rows: int | None = None) -> DataFrame:
     """Metrics with the totals of the player's city; NULL for players without one."""
     named = cities.select(
         "city",
@@ -186,7 +186,7 @@ def financial_summary(
     players: DataFrame,
     as_of: datetime,
     work: WorkTables | None = None,
-    min_rows: int = MIN_ROWS,
+    min_rows: int | None = None,
 ) -> DataFrame:
     """Every player that has transactions. The metrics per player are read for the cities, for
     the operator and for the rows themselves, so they are worth keeping."""
