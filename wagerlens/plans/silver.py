@@ -13,29 +13,39 @@ from wagerlens.operators.dedup import latest
 from wagerlens.operators.skew import salted_join
 from wagerlens.plans.staging import STAGING
 from wagerlens.schemas import SILVER_KEYS, SILVER_SOURCE
-from wagerlens.sources.bronze import read_bronze
+from wagerlens.sources.bronze import read_bronze, table_path
 from wagerlens.sources.tables import (
     BUCKETS,
     PERIOD,
     Snapshot,
     merge_table,
     newest_stamp,
+    read_added,
+    read_table,
     replace_table,
     snapshot,
 )
 
-EPOCH = datetime(1970, 1, 1)
+# Columns that settle which of several rows of a key and a stamp is the latest.
+TIES = {
+    "dim_players": ["email", "city", "created_at"],
+    "dim_sessions": ["session_timestamp", "player_id", "ip", "device"],
+    "fct_transactions": ["transaction_timestamp", "player_id", "transaction_type", "amount"],
+    "dim_affiliates": ["clicks", "registrations", "ftd_count", "cpa_value", "country"],
+}
+
+
+def _latest(rows: DataFrame, name: str) -> DataFrame:
+    return latest(rows, SILVER_KEYS[name], TIES[name])
 
 
 def dim_players(stg: DataFrame) -> DataFrame:
-    return latest(stg, ["player_id"], ["email", "city", "created_at"])
+    return _latest(stg, "dim_players")
 
 
 def dim_sessions(stg: DataFrame) -> DataFrame:
     ts = F.col("session_timestamp")
-    return latest(
-        stg, ["session_id"], ["session_timestamp", "player_id", "ip", "device"]
-    ).select(
+    return _latest(stg, "dim_sessions").select(
         "session_id",
         "player_id",
         "ip",
@@ -50,11 +60,7 @@ def dim_sessions(stg: DataFrame) -> DataFrame:
 
 def fct_transactions(stg: DataFrame) -> DataFrame:
     ts = F.col("transaction_timestamp")
-    return latest(
-        stg,
-        ["transaction_id"],
-        ["transaction_timestamp", "player_id", "transaction_type", "amount"],
-    ).select(
+    return _latest(stg, "fct_transactions").select(
         "transaction_id",
         "player_id",
         "transaction_type",
@@ -70,11 +76,7 @@ def fct_transactions(stg: DataFrame) -> DataFrame:
 
 
 def dim_affiliates(stg: DataFrame) -> DataFrame:
-    return latest(
-        stg,
-        ["affiliate_id", "player_id"],
-        ["clicks", "registrations", "ftd_count", "cpa_value", "country"],
-    ).select(
+    return _latest(stg, "dim_affiliates").select(
         "affiliate_id",
         "player_id",
         "country",
@@ -123,22 +125,30 @@ def refresh(
 ) -> Snapshot:
     """Bring one silver table up to date.
 
-    The first run builds all rows. Later runs take bronze rows stamped after the newest stamp in
-    the table and merge them by key. Filtering before the deduplication gives the same rows as
-    filtering after it, since the latest row of a key passes the mark whenever any of its rows
-    does; so only the new slice is sorted. An empty table counts as never loaded.
+    The first run builds all rows. Later runs take the bronze rows that were added after the bronze
+    version this table holds already, whatever stamps they carry, and merge them by key. Only that
+    slice is sorted. If some of its rows are not newer than all of silver (a second delivery under
+    one stamp, an earlier one, a backfill), stored rows of the same keys compete with them.
     """
     path, keys = f"{silver_root}/{name}", SILVER_KEYS[name]
     build = model or SILVER[name]
     dataset = SILVER_SOURCE[name]
-    if snapshot(spark, path) is None:
+    source = table_path(bronze_root, dataset)
+    # Taken before the rows are read: what is committed in between is merged again by the next run.
+    marks = {dataset: snapshot(spark, source).version}
+    old = snapshot(spark, path)
+    if old is None:
         raw = read_bronze(spark, bronze_root, dataset)
         rows = audited(build(STAGING[dataset](raw)), as_of)
-        return replace_table(spark, path, rows, keys, period, buckets)
-    mark = newest_stamp(spark, path) or EPOCH
-    raw = read_bronze(spark, bronze_root, dataset, since=mark)
+        return replace_table(spark, path, rows, keys, period, buckets, marks)
+    raw = read_added(spark, source, old.marks.get(dataset, 0))
     rows = audited(build(STAGING[dataset](raw)), as_of)
-    return merge_table(spark, path, rows, keys)
+    newest = newest_stamp(spark, path)
+    if newest and not raw.filter(F.col("_ingested_at") <= stamp(newest)).isEmpty():
+        held = read_table(spark, path).join(rows.select(*keys), keys, "left_semi")
+        both = rows.unionByName(held, allowMissingColumns=True).select(rows.columns)
+        rows = _latest(both, name)
+    return merge_table(spark, path, rows, keys, marks=marks)
 
 
 def bridge_player_sessions(sessions: DataFrame, players: DataFrame) -> DataFrame:
@@ -146,6 +156,6 @@ def bridge_player_sessions(sessions: DataFrame, players: DataFrame) -> DataFrame
     # Sessions are unique by their id already.
     pairs = sessions.select("player_id", "session_id", "session_timestamp", "ip", "device")
     attributes = players.select("player_id", "city", F.col("created_at").alias("player_created_at"))
-    return salted_join(pairs, attributes, ["player_id"], spread=["session_id"]).withColumn(
+    return salted_join(pairs, attributes, ["player_id"]).withColumn(
         "days_since_signup", F.datediff(F.to_date("session_timestamp"), "player_created_at")
     )

@@ -5,7 +5,9 @@ set of write-once folders plus numbered snapshot files; each snapshot lists the
 up the table. Rows are laid out in units of (period of the ingest stamp, hash bucket of the key).
 A merge writes the new rows once and rewrites only the units that hold rows it retires, so a batch
 of new facts costs little more than its own size. Readers of an older snapshot are not disturbed,
-and a run that dies before its snapshot is renamed into place leaves the table as it was.
+and a run that dies before its snapshot is renamed into place leaves the table as it was. Folders
+carry a name of their own per write and a version number is taken by one writer only, so of two
+writers that started from one version the first to commit wins and the other fails without a trace.
 
 Period and buckets are fixed when a table is created. Choose them so that a unit holds some
 gigabytes: months and one bucket for a small table, days and many buckets for a large one.
@@ -14,10 +16,12 @@ gigabytes: months and one bucket for a small table, days and many buckets for a
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
 from datetime import datetime
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,12 +31,16 @@ from wagerlens.functions.times import moment_of
 STAMP = "_ingested_at"
 PERIOD = "month"
 BUCKETS = 1
-# A unit with this many folders is rewritten as one by the next merge that adds to it.
-MAX_FOLDERS = 16
+# compact() rewrites units of at least this many folders.
+MANY_FOLDERS = 16
 # Name Spark gives to the folder of rows without a date.
 NO_DATE = "__HIVE_DEFAULT_PARTITION__"
 
 
+class CommitConflict(RuntimeError):
+    """Another writer committed the version that this one was going to be."""
+
+
 @dataclass(frozen=True)
 class Snapshot:
     version: int
@@ -42,6 +50,8 @@ class Snapshot:
     buckets: int
     units: dict[str, list[str]] = field(default_factory=dict)
     added_rows: int = 0
+    # Versions of other tables whose rows this one holds, by name.
+    marks: dict[str, int] = field(default_factory=dict)
 
     def folders(self, path: str, units: Sequence[str] | None = None) -> list[str]:
         names = self.units if units is None else units
@@ -69,6 +79,38 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p)]
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def _claim(spark: SparkSession, tmp: str, final: str) -> bool:
+    """Give a file its final name unless that is taken, as one step."""
+    fs, source = _fs(spark, tmp)
+    _, target = _fs(spark, final)
+    if fs.getUri().getScheme() != "file":
+        # HDFS refuses to rename onto a file.
+        return not fs.exists(target) and fs.rename(source, target)
+    # A local rename writes over its target, a link does not.
+    local = lambda p: spark._jvm.java.io.File(p.toUri().getPath()).toPath()
+    try:
+        spark._jvm.java.nio.file.Files.createLink(local(target), local(source))
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in e.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
+def _new_part(version: int) -> str:
+    """Folder of one write; its number tells which version brought the rows."""
+    return f"v={version}-{uuid.uuid4().hex[:12]}"
+
+
+def _version_of(part: str) -> int:
+    return int(part.split("/")[0].split("=", 1)[1].split("-")[0])
+
+
 def _write_snapshot(spark: SparkSession, path: str, snap: Snapshot) -> None:
     body = {
         "version": snap.version,
@@ -78,17 +120,31 @@ def _write_snapshot(spark: SparkSession, path: str, snap: Snapshot) -> None:
         "buckets": snap.buckets,
         "units": snap.units,
         "added_rows": snap.added_rows,
+        "marks": snap.marks,
     }
-    fs, tmp = _fs(spark, f"{path}/_snapshots/.{snap.version}.tmp")
-    _, final = _fs(spark, f"{path}/_snapshots/{snap.version}.json")
-    out = fs.create(tmp, True)
+    tmp = f"{path}/_snapshots/.{snap.version}-{uuid.uuid4().hex}.tmp"
+    fs, file = _fs(spark, tmp)
+    out = fs.create(file, False)
     try:
         out.write(bytearray(json.dumps(body).encode("utf-8")))
     finally:
         out.close()
-    # The rename fails if another writer has taken this number.
-    if fs.exists(final) or not fs.rename(tmp, final):
-        raise RuntimeError(f"{path}: version {snap.version} was committed by another run")
+    try:
+        if not _claim(spark, tmp, f"{path}/_snapshots/{snap.version}.json"):
+            raise CommitConflict(f"{path}: version {snap.version} was committed by another run")
+    finally:
+        if fs.exists(file):
+            _delete(spark, tmp)
+
+
+def _publish(spark: SparkSession, path: str, part: str, snap: Snapshot) -> Snapshot:
+    """Commit a snapshot, or delete the folder that was written for it."""
+    try:
+        _write_snapshot(spark, path, snap)
+    except CommitConflict:
+        _delete(spark, f"{path}/{part}")
+        raise
+    return snap
 
 
 def _versions(spark: SparkSession, path: str) -> list[int]:
@@ -118,6 +174,7 @@ def snapshot(spark: SparkSession, path: str, version: int | None = None) -> Snap
         body["buckets"],
         body["units"],
         body["added_rows"],
+        body.get("marks", {}),
     )
 
 
@@ -147,6 +204,18 @@ def read_table(spark: SparkSession, path: str, since: datetime | None = None) ->
     return _load(spark, path, snap, units)
 
 
+def read_added(spark: SparkSession, path: str, after: int) -> DataFrame:
+    """Rows of the folders written after a version: all rows added since, whatever stamps they
+    carry, and rows that were rewritten since."""
+    snap = snapshot(spark, path)
+    if snap is None:
+        raise FileNotFoundError(f"no table at {path}")
+    units = {
+        u: new for u, parts in snap.units.items() if (new := [p for p in parts if _version_of(p) > after])
+    }
+    return _load(spark, path, replace(snap, units=units))
+
+
 def newest_period(spark: SparkSession, path: str) -> DataFrame | None:
     """Rows of the newest period; None if no row has a stamp."""
     snap = snapshot(spark, path)
@@ -199,11 +268,7 @@ def _write_units(
     if buckets > 1 or STAMP in df.columns:
         # Splits a large unit over several tasks and keeps a small one in one file.
         laid_out = laid_out.hint("rebalance", F.col("_period"), F.col("_bucket"))
-    (
-        laid_out.write.mode("overwrite")
-        .partitionBy("_period", "_bucket")
-        .parquet(f"{path}/{part}")
-    )
+    laid_out.write.partitionBy("_period", "_bucket").parquet(f"{path}/{part}")
     units = {}
     for folder in children(spark, f"{path}/{part}"):
         if folder.startswith("_period="):
@@ -224,24 +289,21 @@ def replace_table(
     keys: Sequence[str] = (),
     period: str = PERIOD,
     buckets: int = BUCKETS,
+    marks: dict[str, int] | None = None,
 ) -> Snapshot:
     """Full rebuild: readers see the old rows until the new ones are complete."""
     old = snapshot(spark, path)
     version = old.version + 1 if old else 1
-    units = _write_units(spark, path, f"v={version}", df, keys, period, buckets)
-    snap = Snapshot(version, df.schema, list(keys), period, buckets, units)
-    snap = _rows_added(spark, path, snap)
-    _write_snapshot(spark, path, snap)
-    return snap
-
-
-def _crowded(old: Snapshot, added: dict[str, list[str]]) -> set[str]:
-    return {u for u in added if len(old.units.get(u, [])) >= MAX_FOLDERS}
+    part = _new_part(version)
+    units = _write_units(spark, path, part, df, keys, period, buckets)
+    snap = Snapshot(version, df.schema, list(keys), period, buckets, units, marks=marks or {})
+    return _publish(spark, path, part, _rows_added(spark, path, snap))
 
 
 def _commit(
     spark: SparkSession,
     path: str,
+    part: str,
     old: Snapshot,
     fresh: Snapshot,
     rewritten: set[str],
@@ -250,23 +312,23 @@ def _commit(
     """The old units, with `remaining` rows in place of the rewritten ones, and the fresh rows."""
     kept: dict[str, list[str]] = {}
     if rewritten:
-        part = f"v={fresh.version}/kept"
-        kept = _write_units(spark, path, part, remaining, old.keys, old.period, old.buckets)
+        layout = (old.keys, old.period, old.buckets)
+        kept = _write_units(spark, path, f"{part}/kept", remaining, *layout)
     units = {u: parts for u, parts in old.units.items() if u not in rewritten}
     for more in (kept, fresh.units):
         for u, parts in more.items():
             units[u] = units.get(u, []) + parts
-    snap = replace(fresh, units=units)
-    _write_snapshot(spark, path, snap)
-    return snap
+    return _publish(spark, path, part, replace(fresh, units=units))
 
 
-def _add(spark: SparkSession, path: str, old: Snapshot, rows: DataFrame) -> Snapshot:
+def _add(
+    spark: SparkSession, path: str, part: str, old: Snapshot, rows: DataFrame, marks: dict | None
+) -> Snapshot:
     """Write rows as the next version of the table, not committed yet."""
-    version = old.version + 1
     layout = (old.keys, old.period, old.buckets)
-    units = _write_units(spark, path, f"v={version}/new", rows, *layout)
-    return _rows_added(spark, path, Snapshot(version, rows.schema, *layout, units))
+    units = _write_units(spark, path, f"{part}/new", rows, *layout)
+    fresh = Snapshot(old.version + 1, rows.schema, *layout, units, marks=old.marks | (marks or {}))
+    return _rows_added(spark, path, fresh)
 
 
 def append_table(
@@ -277,14 +339,24 @@ def append_table(
     period: str = PERIOD,
     buckets: int = BUCKETS,
 ) -> Snapshot:
-    """Add rows; readers see all of them or none."""
+    """Add rows; readers see all of them or none. Nothing that is stored is rewritten."""
     old = snapshot(spark, path)
     if old is None:
         return replace_table(spark, path, rows, keys, period, buckets)
-    fresh = _add(spark, path, old, rows)
-    crowded = _crowded(old, fresh.units)
-    remaining = _load(spark, path, old, sorted(crowded)) if crowded else None
-    return _commit(spark, path, old, fresh, crowded, remaining)
+    part = _new_part(old.version + 1)
+    fresh = _add(spark, path, part, old, rows, None)
+    return _commit(spark, path, part, old, fresh, set(), None)
+
+
+def compact(spark: SparkSession, path: str, folders: int = MANY_FOLDERS) -> Snapshot | None:
+    """Rewrite units of many folders as one each; meant for quiet hours, never part of a load."""
+    old = snapshot(spark, path)
+    many = {u for u, parts in old.units.items() if len(parts) >= folders} if old else set()
+    if not many:
+        return old
+    part = _new_part(old.version + 1)
+    fresh = replace(old, version=old.version + 1, units={}, added_rows=0)
+    return _commit(spark, path, part, old, fresh, many, _load(spark, path, old, sorted(many)))
 
 
 def merge_table(
@@ -296,38 +368,53 @@ def merge_table(
     retire_if: Column | None = None,
     period: str = PERIOD,
     buckets: int = BUCKETS,
+    marks: dict[str, int] | None = None,
 ) -> Snapshot:
     """Add `new_rows`; rows they supersede leave the table.
 
     A stored row is retired if it has the key of a row of `retire_by` (default: the new rows) and
     `retire_if` holds for the two, which sees them as aliases `old` and `new`. The columns of
     `new_rows` become the columns of the table. NULL keys never match, so such rows are only added.
+
+    Only buckets that keys of `retire_by` fall into are searched for rows to retire.
     """
     old = snapshot(spark, path)
     if old is None:
-        return replace_table(spark, path, new_rows, keys, period, buckets)
+        return replace_table(spark, path, new_rows, keys, period, buckets, marks)
     if list(keys) != old.keys:
         raise ValueError(f"{path} is laid out by {old.keys}, not {list(keys)}")
-    fresh = _add(spark, path, old, new_rows)
-    retire_by = (_load(spark, path, fresh) if retire_by is None else retire_by).alias("new")
+    part = _new_part(old.version + 1)
+    fresh = _add(spark, path, part, old, new_rows, marks)
+    retire_by = _load(spark, path, fresh) if retire_by is None else retire_by
     on = [F.col(f"old.{k}") == F.col(f"new.{k}") for k in keys]
     if retire_if is not None:
         on.append(retire_if)
 
-    stored = _load(spark, path, old).alias("old")
-    touched = {
-        r[0]
-        for r in stored.join(retire_by, on, "left_semi")
-        .select(_unit(old))
-        .distinct()
-        .collect()  # names of units, at most as many as the snapshot lists
-    }
-    touched |= _crowded(old, fresh.units)
+    candidates = _units_for(old, retire_by, keys)
+    touched: set[str] = set()
+    if candidates:
+        stored = _load(spark, path, old, candidates).alias("old")
+        touched = {
+            r[0]
+            for r in stored.join(retire_by.alias("new"), on, "left_semi")
+            .select(_unit(old))
+            .distinct()
+            .collect()  # names of units, at most as many as the snapshot lists
+        }
     remaining = None
     if touched:
         some = _load(spark, path, old, sorted(touched)).alias("old")
-        remaining = some.join(retire_by, on, "left_anti")
-    return _commit(spark, path, old, fresh, touched, remaining)
+        remaining = some.join(retire_by.alias("new"), on, "left_anti")
+    return _commit(spark, path, part, old, fresh, touched, remaining)
+
+
+def _units_for(old: Snapshot, rows: DataFrame, keys: Sequence[str]) -> list[str]:
+    """Units whose bucket holds a key of the rows."""
+    if old.buckets == 1:
+        return [] if rows.isEmpty() else list(old.units)
+    found = rows.select(_bucket(keys, old.buckets).alias("b")).distinct().collect()
+    names = {f"_bucket={r['b']}" for r in found}
+    return [u for u in old.units if u.split("/")[1] in names]
 
 
 def expire(spark: SparkSession, path: str, keep: int = 2) -> None:
@@ -337,5 +424,4 @@ def expire(spark: SparkSession, path: str, keep: int = 2) -> None:
     used = {f for v in kept for f in snapshot(spark, path, v).folders(path)}
     unused = {f for v in old for f in snapshot(spark, path, v).folders(path)} - used
     for name in [*unused, *(f"{path}/_snapshots/{v}.json" for v in old)]:
-        fs, p = _fs(spark, name)
-        fs.delete(p, True)
+        _delete(spark, name)
