@@ -19,7 +19,13 @@ from wagerlens.plans.silver import dim_sessions, refresh
 from wagerlens.plans.staging import register_views
 from wagerlens.schemas import BRONZE, FILE_SCHEMAS, SILVER_KEYS, SILVER_SOURCE
 from wagerlens.sources import bronze
-from wagerlens.sources.files import scan_file, write_file
+from wagerlens.sources.files import (
+    good_rows,
+    parse_file,
+    rejected_rows,
+    scan_file,
+    write_file,
+)
 from wagerlens.sources.scratch import WorkTables, scratch_dir
 from wagerlens.sources.tables import read_table, replace_table
 
@@ -60,20 +66,59 @@ def _(lake: Lake) -> DataFrame:
 
 @query(
     "l1c_scan_transactions_csv",
-    f"""SELECT transaction_id, player_id, trim(type) AS type, amount,
+    f"""SELECT transaction_id, player_id, type, amount,
           {ts('"timestamp"')} AS "timestamp" FROM raw_transactions""",
 )
 def _(lake: Lake) -> DataFrame:
-    return _scan(lake, "transactions").withColumn("type", F.trim("type"))
+    return _scan(lake, "transactions")
 
 
 @query(
     "l1d_scan_affiliates_csv",
-    """SELECT affiliate_id, player_id, trim(country) AS country, clicks, registrations, ftd,
+    """SELECT affiliate_id, player_id, country, clicks, registrations, ftd,
           cpa_value FROM raw_affiliates""",
 )
 def _(lake: Lake) -> DataFrame:
-    return _scan(lake, "affiliates").withColumn("country", F.trim("country"))
+    return _scan(lake, "affiliates")
+
+
+_BROKEN = {"players": "player_id", "sessions": "session_id", "transactions": "transaction_id",
+           "affiliates": "affiliate_id"}
+
+
+@query(
+    "l1e_rejected_rows",
+    " UNION ALL ".join(
+        f"""SELECT '{d}' AS dataset,
+          count(*) FILTER (NOT {k} LIKE '%7') AS good, count(*) FILTER ({k} LIKE '%7') AS rejected
+        FROM raw_{d}"""
+        for d, k in _BROKEN.items()
+    ),
+)
+def _(lake: Lake) -> DataFrame:
+    """Deliveries in which every row whose key ends in 7 is broken: JSON lines are cut short, CSV
+    rows have a word for a number."""
+    root, counts = scratch_dir(lake.spark, "broken"), []
+    for dataset, key in _BROKEN.items():
+        rows, path = _file_columns(lake.raw[dataset], dataset), f"{root}/{dataset}"
+        hit = F.col(key).like("%7")
+        if dataset in ("players", "sessions"):
+            line = F.to_json(F.struct(*rows.columns))
+            cut = F.when(hit, F.substring(line, 1, 12)).otherwise(line)
+            rows.select(cut.alias("value")).write.text(path)
+        else:
+            number = "amount" if dataset == "transactions" else "clicks"
+            text = F.col(number).cast("string")
+            word = rows.withColumn(number, F.when(hit, "many").otherwise(text))
+            write_file(word, dataset, path)
+        parsed = parse_file(lake.spark, dataset, path)
+        counts.append(
+            good_rows(parsed)
+            .agg(F.count(F.lit(1)).alias("good"))
+            .crossJoin(rejected_rows(parsed, dataset).agg(F.count("text").alias("rejected")))
+            .select(F.lit(dataset).alias("dataset"), "good", "rejected")
+        )
+    return reduce(DataFrame.unionByName, counts)
 
 
 # --- bronze ---
@@ -255,6 +300,33 @@ def _register_refreshes() -> None:
 _register_refreshes()
 
 
+@query(
+    "l5e_one_stamp_several_deliveries",
+    SILVER_SQL["dim_sessions"],
+    {
+        "raw_sessions": f"""SELECT * REPLACE (CASE WHEN session_id LIKE '%3'
+          THEN TIMESTAMP '2024-02-01' ELSE {FIRST_SQL} END AS _ingested_at)
+          FROM ({RELATIONS["raw_sessions"]})"""
+    },
+)
+def _(lake: Lake) -> DataFrame:
+    """Deliveries under one stamp, then one under an earlier stamp: all of them reach silver."""
+    root = scratch_dir(lake.spark, "stamps")
+    b, s = f"{root}/bronze", f"{root}/silver"
+    rows = lake.raw["sessions"]
+    ends = lambda *digits: F.substring("session_id", -1, 1).isin(*digits)
+    for part, moment in (
+        (ends("0", "1", "2"), FIRST_RUN),
+        (ends("4", "5", "6"), FIRST_RUN),
+        (ends("3"), datetime(2024, 2, 1)),
+        (ends("7", "8", "9"), FIRST_RUN),
+    ):
+        delivery = rows.filter(part).withColumn("_ingested_at", stamp(moment))
+        bronze.backfill(lake.spark, b, "sessions", delivery)
+        refresh(lake.spark, "dim_sessions", b, s, FIRST_RUN)
+    return read_table(lake.spark, f"{s}/dim_sessions")
+
+
 def _old_sessions(stg: DataFrame) -> DataFrame:
     """An earlier form of the model: no weekday, and a column that was dropped since."""
     return dim_sessions(stg).drop("day_of_week").withColumn("platform", F.col("device"))
@@ -320,15 +392,11 @@ def _(lake: Lake) -> DataFrame:
 
 
 def _run_relations() -> dict[str, str]:
-    """Bronze as one run loads it: event times after the first mark, one stamp for all rows."""
-    late = " WHERE \"timestamp\" > TIMESTAMP '2020-01-01'"
-    out = {}
-    for name in ("raw_players", "raw_affiliates", "raw_sessions", "raw_transactions"):
-        keep = late if name in ("raw_sessions", "raw_transactions") else ""
-        out[name] = (
-            f"SELECT * REPLACE ({FIRST_SQL} AS _ingested_at) FROM ({RELATIONS[name]}){keep}"
-        )
-    return out
+    """Bronze as one run loads it: one stamp for all rows."""
+    return {
+        name: f"SELECT * REPLACE ({FIRST_SQL} AS _ingested_at) FROM ({RELATIONS[name]})"
+        for name in ("raw_players", "raw_affiliates", "raw_sessions", "raw_transactions")
+    }
 
 
 @query(

@@ -87,7 +87,9 @@ RELATIONS = {
                  CAST(o_custkey AS VARCHAR) AS player_id,
                  CASE o_orderstatus WHEN 'F' THEN ' BET' WHEN 'O' THEN 'Deposit '
                    ELSE 'withdraw' END AS type,
-                 o_totalprice AS amount, o_orderdate AS "timestamp"
+                 o_totalprice AS amount, CAST(DATE '2020-02-01' + CAST(date_diff('day',
+                   DATE '1992-01-01', CAST(o_orderdate AS DATE)) % 1400 AS INTEGER) AS TIMESTAMP)
+                   AS "timestamp"
           FROM orders
           UNION ALL
           SELECT event_id, 'E' || event_id, CAST(user_id AS VARCHAR),
@@ -153,13 +155,11 @@ RELATIONS = {
           cpa_value DESC, country DESC NULLS LAST) = 1""",
     "ip_sharing": """
         SELECT ip, count(DISTINCT player_id) AS distinct_players,
-               string_agg(DISTINCT player_id, ', ' ORDER BY player_id) AS related_players,
                min(session_timestamp) AS first_seen, max(session_timestamp) AS last_seen
         FROM dim_sessions WHERE ip IS NOT NULL GROUP BY ip
         HAVING count(DISTINCT player_id) > 1""",
     "device_sharing": """
         SELECT device, count(DISTINCT player_id) AS distinct_players,
-               string_agg(DISTINCT player_id, ', ' ORDER BY player_id) AS related_players,
                min(session_timestamp) AS first_seen, max(session_timestamp) AS last_seen
         FROM dim_sessions WHERE device IS NOT NULL GROUP BY device
         HAVING count(DISTINCT player_id) > 5""",
@@ -190,27 +190,27 @@ RELATIONS = {
         SELECT DISTINCT s.player_id, 'MULTI_ACCOUNTING' AS signal_type,
                'IP compartilhado entre ' || g.distinct_players || ' jogadores'
                  AS signal_description, 'HIGH' AS risk_level, g.first_seen AS detected_at,
-               g.related_players, g.distinct_players AS related_count, ip AS related_group
+               g.distinct_players AS related_count, ip AS related_group
         FROM ip_sharing AS g JOIN dim_sessions AS s USING (ip)""",
     "sig_no_bet": f"""
         SELECT player_id, 'DEPOSIT_WITHOUT_BET' AS signal_type,
                'Depositos totais: $' || {amount_text('total_deposits')} || ' sem nenhuma aposta'
                  AS signal_description, 'MEDIUM' AS risk_level, {AS_OF} AS detected_at,
-               CAST(NULL AS VARCHAR) AS related_players, CAST(NULL AS BIGINT) AS related_count,
+               CAST(NULL AS BIGINT) AS related_count,
                CAST(NULL AS VARCHAR) AS related_group
         FROM no_bets""",
     "sig_device": f"""
         SELECT DISTINCT s.player_id, 'DEVICE_SHARING' AS signal_type,
                'Device ' || device || ' usado por ' || g.distinct_players || ' jogadores'
                  AS signal_description, 'MEDIUM' AS risk_level, {AS_OF} AS detected_at,
-               g.related_players, g.distinct_players AS related_count, device AS related_group
+               g.distinct_players AS related_count, device AS related_group
         FROM device_sharing AS g JOIN dim_sessions AS s USING (device)""",
     "sig_rapid": f"""
         SELECT player_id, 'RAPID_DEPOSIT_WITHDRAW' AS signal_type,
                'Deposito de $' || {amount_text('deposit_amount')} || ' e saque de $'
                  || {amount_text('withdraw_amount')} || ' em ' || minutes_between || ' minutos'
                  AS signal_description, 'HIGH' AS risk_level, deposit_time AS detected_at,
-               CAST(NULL AS VARCHAR) AS related_players, CAST(NULL AS BIGINT) AS related_count,
+               CAST(NULL AS BIGINT) AS related_count,
                CAST(NULL AS VARCHAR) AS related_group,
                {key("'RAPID_DEPOSIT_WITHDRAW'", 'player_id', 'deposit_id', 'withdraw_id')}
                  AS signal_event_id

@@ -15,13 +15,14 @@ from wagerlens.operators.quality import append_run_log
 from wagerlens.plans import affiliates, declared, finance, fraud, silver
 from wagerlens.plans.staging import STAGING
 from wagerlens.schemas import BRONZE_TABLES, GOLD_TABLES
+from wagerlens.functions.times import stamp
 from wagerlens.session import prepare
 from wagerlens.sources.bronze import LOADS, loaded_by, read_bronze, table_path
-from wagerlens.sources.files import check_file, scan_file
+from wagerlens.sources.files import check_file, good_rows, parse_file, rejected_rows
 from wagerlens.sources.scratch import WorkTables
 from wagerlens.sources.tables import expire, read_table, replace_table
 
-# Player lists too long to repeat on every signal.
+# Player lists of the groups that signals name.
 PLAYER_PAGES = "related_player_pages"
 
 # Names of the delivered files.
@@ -59,6 +60,11 @@ class Layout:
     def failures(self) -> str:
         return f"{self.root}/quality/failures"
 
+    @property
+    def rejected(self) -> str:
+        """Rows of deliveries that could not be read, by run."""
+        return f"{self.root}/quality/rejected"
+
     @property
     def run_log(self) -> str:
         return f"{self.root}/quality/run_log"
@@ -76,7 +82,7 @@ class _Log:
         try:
             rows = step()
         except Exception as e:
-            error = f"{type(e).__name__}: {e}"[:500]
+            error = f"{type(e).__name__}: {e}"
             raise
         finally:
             seconds = time.monotonic() - start
@@ -161,9 +167,14 @@ def run(
 
     def load(dataset: str) -> int:
         # The file is parsed once, into the table the load reads.
-        rows = scan_file(spark, dataset, f"{in_dir}/{FILES[dataset]}", json_array)
+        rows = parse_file(spark, dataset, f"{in_dir}/{FILES[dataset]}", json_array)
         delivered = work.keep(f"{BRONZE_TABLES[dataset]}_staging", rows)
-        LOADS[dataset](spark, layout.bronze, delivered, as_of)
+        bad = rejected_rows(delivered, dataset).withColumn("as_of", stamp(as_of))
+        n_bad = bad.count()
+        if n_bad:
+            bad.write.mode("append").parquet(layout.rejected)
+            log.entries.append((as_of, "rejected", dataset, n_bad, 0.0, None))
+        LOADS[dataset](spark, layout.bronze, good_rows(delivered), as_of)
         return loaded_by(spark, layout.bronze, dataset, as_of).count()
 
     def refresh(name: str) -> int:

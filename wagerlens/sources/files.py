@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wagerlens.schemas import FILE_SCHEMAS
 
@@ -25,33 +28,76 @@ class SourceError(ValueError):
     """A source file that must not be loaded."""
 
 
-def scan_file(
+# Text of a row that can't be read with the dataset's schema; NULL for a good row.
+REJECTED = "_rejected"
+
+
+def parse_file(
     spark: SparkSession, dataset: str, path: str, json_array: bool = False
 ) -> DataFrame:
-    """Read one dataset with its fixed schema; nothing is inferred.
+    """All rows of a file with their fixed schema, and REJECTED.
+
+    One rule for every format: a row that is malformed, or has a value that is not of its column's
+    type, is rejected whole and carries its text; nothing is loaded as NULL that was not.
 
     JSON is read as one object per line, which Spark can split. `json_array` reads a file that is
     one top-level array; such a file goes to a single task, so it suits small deliveries only.
     """
-    reader = spark.read.schema(FILE_SCHEMAS[dataset])
+    schema = FILE_SCHEMAS[dataset]
     if FORMATS[dataset] == "json":
-        return reader.option("multiLine", json_array).json(path)
+        wide = T.StructType([*schema.fields, T.StructField(REJECTED, T.StringType())])
+        if json_array:
+            return spark.read.schema(wide).json(
+                path, multiLine=True, columnNameOfCorruptRecord=REJECTED
+            )
+        lines = spark.read.text(path).filter(F.trim("value") != "")
+        options = {"columnNameOfCorruptRecord": REJECTED, "mode": "PERMISSIVE"}
+        return lines.select(F.from_json("value", wide, options).alias("r")).select("r.*")
     # Columns are found by name, whatever their order. All files of a folder must share one
     # header; a file with another one fails the scan instead of shifting its columns.
     header = file_columns(spark, dataset, path)
     by_name = {c.strip(): c for c in header}
     text = spark.read.option("header", True).option("enforceSchema", False)
-    rows = text.schema(", ".join(f"`{c}` string" for c in header)).csv(path)
+    whole = [f"`{c}` string" for c in [*header, REJECTED]]
+    rows = text.schema(", ".join(whole)).csv(
+        path,
+        columnNameOfCorruptRecord=REJECTED,
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    )
+    cells = {
+        f.name: F.col(f"`{by_name[f.name]}`") if f.name in by_name else F.lit(None).cast("string")
+        for f in schema.fields
+    }
+    values = {f.name: cells[f.name].try_cast(f.dataType) for f in schema.fields}
+    bad = reduce(
+        Column.__or__, (cells[n].isNotNull() & values[n].isNull() for n in schema.names)
+    )
+    line = F.coalesce(F.col(REJECTED), F.to_csv(F.struct(*[F.col(f"`{c}`") for c in header])))
     return rows.select(
-        *[
-            (F.col(f"`{by_name[f.name]}`") if f.name in by_name else F.lit(None))
-            .cast(f.dataType)
-            .alias(f.name)
-            for f in FILE_SCHEMAS[dataset].fields
-        ]
+        *[v.alias(n) for n, v in values.items()],
+        F.when(bad | F.col(REJECTED).isNotNull(), line).alias(REJECTED),
     )
 
 
+def good_rows(parsed: DataFrame) -> DataFrame:
+    return parsed.filter(F.col(REJECTED).isNull()).drop(REJECTED)
+
+
+def rejected_rows(parsed: DataFrame, dataset: str) -> DataFrame:
+    """dataset and text of each row that was rejected."""
+    return parsed.filter(F.col(REJECTED).isNotNull()).select(
+        F.lit(dataset).alias("dataset"), F.col(REJECTED).alias("text")
+    )
+
+
+def scan_file(
+    spark: SparkSession, dataset: str, path: str, json_array: bool = False
+) -> DataFrame:
+    """The good rows of a file; see parse_file()."""
+    return good_rows(parse_file(spark, dataset, path, json_array))
+
+
 def file_columns(
     spark: SparkSession, dataset: str, path: str, json_array: bool = False
 ) -> list[str]:
@@ -94,4 +140,5 @@ def write_file(df: DataFrame, dataset: str, path: str) -> None:
     if FORMATS[dataset] == "json":
         out.option("ignoreNullFields", False).json(path)
     else:
-        out.option("header", True).csv(path)
+        # Blanks at the ends of a value belong to it.
+        out.csv(path, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
