@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wagerlens.llm.common import importable
+from wagerlens.llm.common import fresh, importable
 from wagerlens.llm.svm import train
 
 UNKNOWN = "und"
@@ -84,11 +84,11 @@ def features(texts: list[str]) -> np.ndarray:
             keep = ~(blank & np.r_[False, blank[:-1]])
             keep[: len(tail)] = True
             b = joined[keep].astype(np.uint32)
-            fresh = len(tail)
+            reach = len(tail)
             two = b[:-1] * np.uint32(257) + b[1:]
             three = two[:-1] * np.uint32(259) + b[2:]
             for grams, size in ((b, 1), (two, 2), (three, 3)):
-                new = grams[max(0, fresh - size + 1) :]
+                new = grams[max(0, reach - size + 1) :]
                 mixed = (new * np.uint32(2654435761) + np.uint32(size * 40503)) >> np.uint32(20)
                 counts += np.bincount(mixed, minlength=DIMS)
             tail = b[-2:].astype(np.uint8)
@@ -220,8 +220,10 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     return Model.fit(x, np.array([r["lang"] for r in rows], dtype=object))
 
 
-def predict(docs: DataFrame, model: Model, carry: list[str]) -> DataFrame:
-    """The `carry` columns, then lang_pred and score, of every whole text."""
+def predict(
+    docs: DataFrame, model: Model, carry: list[str], lang_pred: str = "lang_pred", sure: str = "score"
+) -> DataFrame:
+    """The `carry` columns, then the language and its score, of every whole text."""
     spark = docs.sparkSession
     importable(spark)
     shared = spark.sparkContext.broadcast(model)  # a few weights per pair of languages
@@ -235,35 +237,39 @@ def predict(docs: DataFrame, model: Model, carry: list[str]) -> DataFrame:
                 langs, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
                 some = [i for i, t in enumerate(texts) if has_letter(t)]
                 if some:
-                    names, sure = known.predict(features([texts[i] for i in some]))
+                    names, scores = known.predict(features([texts[i] for i in some]))
                     for i, name in zip(some, names, strict=True):
                         langs[i] = name
-                    score[some] = sure
+                    score[some] = scores
                 columns = [part.column(i) for i in range(len(carry))]
                 yield pa.RecordBatch.from_arrays(
                     [*columns, pa.array(langs, pa.string()), pa.array(score, pa.float64())],
-                    names=[*carry, "lang_pred", "score"],
+                    names=[*carry, lang_pred, sure],
                 )
 
     kinds = docs.select(*[F.col(f"`{c}`") for c in carry]).schema
-    schema = kinds.add("lang_pred", "string").add("score", "double")
-    picked = docs.select(*[F.col(f"`{c}`") for c in carry], F.col("text").cast("string").alias("_text"))
-    return picked.mapInArrow(label, schema)
+    text = F.col("text").cast("string").alias("_text")
+    picked = docs.select(*[F.col(f"`{c}`") for c in carry], text)
+    return picked.mapInArrow(label, kinds.add(lang_pred, "string").add(sure, "double"))
 
 
 def identify(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every document."""
     model = fit(docs, sample_rows)
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return predict(ids, model, ["doc_id"]).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+    return predict(ids, model, ["doc_id"]).select(
+        "doc_id", held_out().alias("held_out"), "lang_pred", "score"
+    )
 
 
-def keep_identified(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, least: float = 0.0) -> DataFrame:
+def keep_identified(
+    docs: DataFrame, sample_rows: int = SAMPLE_ROWS, least: float = 0.0
+) -> DataFrame:
     """The documents in a learned language with a score of at least `least`.
 
     Texts that are null or hold no letter go. All columns, in their order, are those of the input.
     """
     model = fit(docs, sample_rows)
-    taken = predict(docs, model, list(docs.columns))
-    found = taken.filter((taken["lang_pred"] != UNKNOWN) & (taken["score"] >= least))
-    return found.drop("lang_pred", "score")
+    lang, score = fresh(docs.columns, "lang_pred", "score")
+    found = predict(docs, model, docs.columns, lang, score)
+    return found.filter((F.col(lang) != UNKNOWN) & (F.col(score) >= least)).drop(lang, score)
