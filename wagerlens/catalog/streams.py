@@ -72,7 +72,8 @@ def _(lake: Lake) -> DataFrame:
 
 @query(
     "x4_stream_ip_per_hour",
-    f"""SELECT ip, {ts('start')} AS hour_start, count(*) AS logins
+    f"""SELECT ip, {ts('start')} AS hour_start,
+          {ts('start + INTERVAL 1 HOUR')} AS hour_end, count(*) AS logins
         FROM (SELECT ip, session_timestamp, time_bucket(INTERVAL 10 MINUTE, session_timestamp)
                 - INTERVAL 10 MINUTE * k AS start
               FROM dim_sessions, (VALUES (0), (1), (2), (3), (4), (5)) AS s(k))
@@ -83,4 +84,4 @@ def _(lake: Lake) -> DataFrame:
 def _(lake: Lake) -> DataFrame:
     """Windows that the watermark has closed."""
     counted = live.ip_sharing_per_hour(_stream_of(lake, "dim_sessions"))
-    return _drain(lake, counted).select("ip", "hour_start", "logins")
+    return _drain(lake, counted)
