@@ -37,13 +37,17 @@ class WorkTables:
         self._locks: dict[str, threading.Lock] = {}
 
     def keep(self, name: str, df: DataFrame) -> DataFrame:
-        """The stored frame; written by the first caller, while others that ask for it wait."""
-        with self._locks.setdefault(name, threading.Lock()):
-            if name not in self._kept:
-                path = f"{self._root}/{name}"
+        """The stored frame; written by the first caller, while others that ask for it wait.
+
+        Frames are told apart by name and plan, so another input under the same name is stored anew.
+        """
+        key = f"{name}-{df.semanticHash() & 0xFFFFFFFF:08x}"
+        with self._locks.setdefault(key, threading.Lock()):
+            if key not in self._kept:
+                path = f"{self._root}/{key}"
                 df.write.mode("overwrite").parquet(path)
-                self._kept[name] = self._spark.read.schema(df.schema).parquet(path)
-            return self._kept[name]
+                self._kept[key] = self._spark.read.schema(df.schema).parquet(path)
+            return self._kept[key]
 
 
 def kept(work: WorkTables | None, name: str, df: DataFrame) -> DataFrame:
