@@ -280,7 +280,15 @@ def test_two_hourly_runs(spark, root, lake):
     assert tables["dim_sessions"].count() == 1000
     assert gold["fct_fraud_signals"].count() > first
     log = spark.read.parquet(layout.run_log)
-    assert log.filter("error IS NOT NULL").isEmpty() and log.count() == 2 * 15
+    assert log.filter("error IS NOT NULL").isEmpty()
+    assert log.filter("stage NOT IN ('late', 'rejected')").count() == 2 * 20
+    metrics = spark.read.parquet(layout.metrics).filter(F.col("run_at") == DAY2)
+    status = {r["check"]: r["status"] for r in metrics.collect()}
+    assert status["volume:players"] == "ALERT" and status["row_count:players"] == "OK"
+    assert {"valid_rows", "seconds:gold", "freshness_hours:transaction_timestamp"} <= set(status)
+    for name in medallion.MARTS:
+        assert read_table(spark, f"{layout.gold}/{name}").count() > 0
+    assert not os.listdir(layout.work)
     failing = {tuple(r) for r in results.filter("failures > 0").select("table", "test").collect()}
     # Players are appended by both runs, and redeliveries repeat keys in bronze.
     assert ("raw_players", "unique") in failing and ("dim_players", "unique") not in failing
@@ -299,6 +307,33 @@ def test_a_failed_stage_is_logged(spark, root, lake):
     ]
 
 
+def test_added_columns_end_the_run_before_any_load(spark, root, lake):
+    _deliver(lake, f"{root}/in", "timestamp < '2024-01-15'")
+    people = lake.raw["players"].drop("_ingested_at").withColumn("vip", F.lit("x"))
+    people.write.mode("overwrite").json(f"{root}/in/players.json")
+    with pytest.raises(SourceError, match="vip"):
+        medallion.run(spark, f"{root}/in", f"{root}/out", DAY1)
+    assert not os.path.exists(f"{root}/out/bronze")
+
+
+def test_late_events_are_counted_and_the_first_mark_moves(spark, root):
+    rows_1999 = tx(spark, [("old", "1999-05-05"), ("new", "2024-01-01")])
+    assert bronze.load_transactions(spark, f"{root}/a", rows_1999, DAY1) == 1
+    assert bronze.load_transactions(
+        spark, f"{root}/b", rows_1999, DAY1, first_mark=at("1990-01-01")
+    ) == 0
+    assert bronze.read_bronze(spark, f"{root}/b", "transactions").count() == 2
+
+
+def test_work_tables_tell_inputs_apart(spark, root):
+    from wagerlens.sources.scratch import WorkTables
+
+    work = WorkTables(spark, f"{root}/work")
+    few, many = spark.range(3), spark.range(5)
+    assert (work.keep("t", few).count(), work.keep("t", many).count()) == (3, 5)
+    assert work.keep("t", spark.range(3)).count() == 3 and len(os.listdir(f"{root}/work")) == 2
+
+
 def test_mark_is_the_largest_time_of_all_folders(spark, root):
     path = bronze.table_path(root, "transactions")
     for day, ts in ((DAY1, "2024-01-09 10:00:00.000001"), (DAY2, "2024-01-05")):

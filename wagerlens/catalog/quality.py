@@ -11,29 +11,52 @@ from wagerlens.catalog.lake import AS_OF, Lake
 from wagerlens.catalog.registry import query
 from wagerlens.catalog.sqlparts import AS_OF as AS_OF_SQL
 from wagerlens.operators import quality as q
-from wagerlens.plans import declared
+from wagerlens.plans import declared, medallion
+from wagerlens.plans.medallion import EXPECTED_ROWS
 from wagerlens.schemas import DEVICES, FILE_SCHEMAS, struct
-from wagerlens.sources.files import file_columns, write_file
+from wagerlens.sources.files import NON_EMPTY, SourceError, check_file, write_file
 from wagerlens.sources.scratch import scratch_dir
 
 
+def _deliveries_sql(dataset: str) -> str:
+    """What check_file() says of a whole delivery, of one without its last column, and of one
+    without rows (a CSV file keeps its header)."""
+    names = FILE_SCHEMAS[dataset].names
+    empty = "'file is empty'" if dataset in NON_EMPTY else "'ok'"
+    return f"""SELECT 'whole' AS delivery, 'ok' AS outcome, count(*) AS rows FROM raw_{dataset}
+        UNION ALL
+        SELECT 'cut', 'missing columns [\'\'{names[-1]}\'\']', count(*) FROM raw_{dataset}
+        UNION ALL SELECT 'empty', {empty}, 0""".replace("\\'", "'")
+
+
 def _register_file_checks() -> None:
     for letter, dataset in zip("abcd", FILE_SCHEMAS):
-        names = FILE_SCHEMAS[dataset].names
-        sql = " UNION ALL ".join(
-            f"SELECT '{n}' AS \"column\", CAST(count(*) > 0 AS BOOLEAN) AS found FROM raw_{dataset}"
-            for n in names
-        )
 
-        def check(lake: Lake, dataset: str = dataset, names: list[str] = names) -> DataFrame:
-            """Write the file, then look its required columns up in it."""
-            path = scratch_dir(lake.spark, dataset)
-            write_file(lake.raw[dataset], dataset, path)
-            found = file_columns(lake.spark, dataset, path)
-            rows = [(n, n in found) for n in names]
-            return lake.spark.createDataFrame(rows, "column string, found boolean")
-
-        query(f"q0{letter}_required_columns_{dataset}", sql)(check)
+        def check(lake: Lake, dataset=dataset) -> DataFrame:
+            root = scratch_dir(lake.spark, "delivered")
+            names, rows = FILE_SCHEMAS[dataset].names, lake.raw[dataset]
+            write_file(rows, dataset, f"{root}/whole")
+            if dataset in ("players", "sessions"):
+                rows.select(*names[:-1]).write.json(f"{root}/cut")
+            else:
+                rows.select(*names[:-1]).write.csv(f"{root}/cut", header=True)
+            write_file(rows.limit(0), dataset, f"{root}/empty")
+            found = []
+            for delivery in ("whole", "cut", "empty"):
+                try:
+                    check_file(lake.spark, dataset, f"{root}/{delivery}")
+                    outcome = "ok"
+                except SourceError as e:
+                    outcome = str(e).removeprefix(f"{dataset}: ")
+                n = rows if delivery != "empty" else rows.limit(0)
+                found.append(
+                    n.agg(F.count(F.lit(1)).alias("rows")).select(
+                        F.lit(delivery).alias("delivery"), F.lit(outcome).alias("outcome"), "rows"
+                    )
+                )
+            return reduce(DataFrame.unionByName, found)
+
+        query(f"q0{letter}_required_columns_{dataset}", _deliveries_sql(dataset))(check)
 
 
 _register_file_checks()
@@ -161,14 +184,13 @@ def _(lake: Lake) -> DataFrame:
     " UNION ALL ".join(
         _metric_sql(f"volume:{d}", f"count(*) / {n}.0", "0.9", f"count(*) / {n}.0 >= 0.9",
                     f"raw_{d}")
-        for d, n in (("players", 600), ("sessions", 40000), ("transactions", 1800))
+        for d, n in EXPECTED_ROWS.items()
     ),
 )
 def _(lake: Lake) -> DataFrame:
-    expected = {"players": 600, "sessions": 40_000, "transactions": 1_800}
     return reduce(
         DataFrame.unionByName,
-        [q.volume_alert(lake.raw[d], n, d) for d, n in expected.items()],
+        [q.volume_alert(lake.raw[d], n, d) for d, n in EXPECTED_ROWS.items()],
     )
 
 
@@ -220,27 +242,30 @@ def _(lake: Lake) -> DataFrame:
     return q.freshness(lake.sessions, "session_timestamp", AS_OF)
 
 
+_MISSING = "SourceError: players: missing columns [''email'']"
+
+
 @query(
     "q10_run_log",
     " UNION ALL ".join(
-        f"SELECT 'silver' AS stage, '{t}' AS dataset, count(*) AS rows_out, 0 AS errors FROM {t}"
-        for t in ("dim_players", "dim_sessions")
+        f"""SELECT 'check' AS stage, '{d}' AS dataset, CAST(NULL AS BIGINT) AS rows_out,
+          {f"'{_MISSING}'" if d == "players" else "CAST(NULL AS VARCHAR)"} AS error"""
+        for d in FILE_SCHEMAS
     ),
 )
 def _(lake: Lake) -> DataFrame:
-    path = f"{scratch_dir(lake.spark, 'quality')}/run_log"
-    entries = []
-    for name in ("dim_players", "dim_sessions"):
-        entries.append((AS_OF, "silver", name, lake.silver(name).count(), 0.0, None))
-    q.append_run_log(lake.spark, path, entries)
-    return (
-        lake.spark.read.parquet(path)
-        .groupBy("stage", "dataset")
-        .agg(
-            F.sum("rows_out").alias("rows_out"),
-            F.count("error").cast("int").alias("errors"),
-        )
-    )
+    """The log of a run whose players come without a column: it ends after the checks."""
+    root = scratch_dir(lake.spark, "run")
+    for dataset, file in medallion.FILES.items():
+        write_file(lake.raw[dataset], dataset, f"{root}/in/{file}")
+    people = lake.raw["players"].select("player_id", "city", "created_at")
+    people.write.mode("overwrite").json(f"{root}/in/{medallion.FILES['players']}")
+    try:
+        medallion.run(lake.spark, f"{root}/in", f"{root}/out", AS_OF)
+    except SourceError:
+        log = lake.spark.read.parquet(medallion.Layout(f"{root}/out").run_log)
+        return log.select("stage", "dataset", "rows_out", "error")
+    raise AssertionError("the run went on")
 
 
 @query(

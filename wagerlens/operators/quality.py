@@ -109,6 +109,18 @@ def load_count(source: DataFrame, loaded: DataFrame, dataset: str) -> DataFrame:
     )
 
 
+def counted_load(source: DataFrame, loaded: int, dataset: str) -> DataFrame:
+    """load_count() where the number of rows loaded is known."""
+    counted = source.agg(F.count(F.lit(1)).alias("expected")).withColumn("n", F.lit(loaded))
+    return _metric(
+        counted,
+        f"row_count:{dataset}",
+        F.col("n"),
+        F.col("expected"),
+        F.col("n") == F.col("expected"),
+    )
+
+
 def volume_alert(loaded: DataFrame, expected: int, dataset: str) -> DataFrame:
     """Alert below 90 % of the expected rows."""
     share = F.try_divide(F.count(F.lit(1)).cast("double"), F.lit(expected).cast("double"))
@@ -158,6 +170,31 @@ def signal_counts(signals: DataFrame) -> DataFrame:
     return signals.groupBy("signal_type").agg(F.count(F.lit(1)).alias("signals"))
 
 
+def signal_metrics(signals: DataFrame) -> DataFrame:
+    """signal_counts() as metrics; they have no limit."""
+    return signal_counts(signals).select(
+        F.concat(F.lit("signals:"), F.col("signal_type")).alias("check"),
+        F.col("signals").cast("double").alias("value"),
+        F.lit(None).cast("double").alias("limit"),
+        F.lit("OK").alias("status"),
+    )
+
+
+def runtime_alert(
+    spark: SparkSession, entries: Sequence[tuple], limit_seconds: float
+) -> DataFrame:
+    """Seconds of each stage of a run; alert above the limit."""
+    log = spark.createDataFrame(list(entries), RUN_LOG_SCHEMA)
+    total = log.groupBy("stage").agg(F.sum("seconds").alias("seconds"))
+    ok = F.when(F.col("seconds") <= limit_seconds, "OK").otherwise("ALERT")
+    return total.select(
+        F.concat(F.lit("seconds:"), F.col("stage")).alias("check"),
+        F.col("seconds").alias("value"),
+        F.lit(limit_seconds).alias("limit"),
+        ok.alias("status"),
+    )
+
+
 # --- row marks ---
 
 

@@ -3,27 +3,55 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import datetime
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wagerlens.functions.times import stamp
+from wagerlens.operators import quality
 from wagerlens.operators.quality import append_run_log
 from wagerlens.plans import affiliates, declared, finance, fraud, silver
 from wagerlens.plans.staging import STAGING
 from wagerlens.schemas import BRONZE_TABLES, GOLD_TABLES
-from wagerlens.functions.times import stamp
 from wagerlens.session import prepare
-from wagerlens.sources.bronze import LOADS, loaded_by, read_bronze, table_path
-from wagerlens.sources.files import check_file, good_rows, parse_file, rejected_rows
-from wagerlens.sources.scratch import WorkTables
-from wagerlens.sources.tables import expire, read_table, replace_table
+from wagerlens.sources.bronze import FIRST_MARK, LOADS, read_bronze, table_path
+from wagerlens.sources.files import (
+    check_added,
+    check_file,
+    good_rows,
+    parse_file,
+    rejected_rows,
+)
+from wagerlens.sources.scratch import WorkTables, kept
+from wagerlens.sources.tables import (
+    BUCKETS,
+    PERIOD,
+    delete,
+    expire,
+    read_table,
+    replace_table,
+    snapshot,
+)
 
 # Player lists of the groups that signals name.
 PLAYER_PAGES = "related_player_pages"
+# Tables next to the three gold models, rebuilt after them.
+MARTS = (
+    "bridge_player_sessions",
+    "fct_multi_accounting",
+    "fct_deposit_without_bet",
+    "fct_affiliate_fraud",
+    "fct_player_ltv",
+)
+# Rows expected per delivery, hours until events are stale, seconds per stage.
+EXPECTED_ROWS = {"players": 600, "sessions": 4_000, "transactions": 1_800, "affiliates": 2_000}
+FRESH_HOURS = 24.0
+STAGE_SECONDS = 3600.0
 
 # Names of the delivered files.
 FILES = {
@@ -34,6 +62,31 @@ FILES = {
 }
 
 
+@dataclass(frozen=True)
+class Options:
+    """How a run loads and stores its tables.
+
+    `period` and `buckets` lay out silver tables when they are created; a unit should hold some
+    gigabytes. Events at or before `first_mark` never pass an empty table, and `lookback_minutes`
+    lets later loads take events that far behind the newest. `full_reload` replaces the players of
+    earlier runs. `expected_rows` are alerted on, not enforced.
+    """
+
+    period: str = PERIOD
+    buckets: int = BUCKETS
+    first_mark: datetime = FIRST_MARK
+    lookback_minutes: int = 0
+    full_reload: bool = False
+    expected_rows: Mapping[str, int] = field(default_factory=lambda: dict(EXPECTED_ROWS))
+
+    def of_load(self, dataset: str) -> dict:
+        if dataset == "players":
+            return {"full_reload": self.full_reload}
+        if dataset == "affiliates":
+            return {}
+        return {"lookback_minutes": self.lookback_minutes, "first_mark": self.first_mark}
+
+
 @dataclass(frozen=True)
 class Layout:
     """Folders of one warehouse."""
@@ -65,6 +118,10 @@ class Layout:
         """Rows of deliveries that could not be read, by run."""
         return f"{self.root}/quality/rejected"
 
+    @property
+    def metrics(self) -> str:
+        return f"{self.root}/quality/metrics"
+
     @property
     def run_log(self) -> str:
         return f"{self.root}/quality/run_log"
@@ -134,6 +191,47 @@ def rebuild_gold(
     return rows
 
 
+def mart_frame(name: str, tables: Mapping[str, DataFrame], work: WorkTables | None) -> DataFrame:
+    """One of MARTS from the silver and gold tables."""
+    if name == "bridge_player_sessions":
+        return silver.bridge_player_sessions(tables["dim_sessions"], tables["dim_players"])
+    if name == "fct_multi_accounting":
+        return fraud.multi_accounting_groups(tables["dim_sessions"])
+    if name == "fct_deposit_without_bet":
+        totals = kept(work, "player_totals", finance.player_financials(tables["fct_transactions"]))
+        return fraud.player_deposits_without_bet(totals)
+    if name == "fct_affiliate_fraud":
+        return affiliates.affiliate_fraud(tables["dim_affiliates"], tables["fct_fraud_signals"])
+    return finance.player_ltv(tables["fct_financial_summary"])
+
+
+def rebuild_mart(spark: SparkSession, layout: Layout, work: WorkTables | None, name: str) -> int:
+    tables = read_silver(spark, layout) | read_gold(spark, layout)
+    frame = mart_frame(name, tables, work)
+    return replace_table(spark, f"{layout.gold}/{name}", frame).added_rows
+
+
+def quality_metrics(
+    delivered: Mapping[str, DataFrame],
+    loaded: Mapping[str, int],
+    tables: Mapping[str, DataFrame],
+    entries: list[tuple],
+    as_of: datetime,
+    expected_rows: Mapping[str, int],
+) -> DataFrame:
+    """Metric rows of one run: volume and load counts per dataset, valid share and freshness of
+    transactions, signals per type, seconds per stage."""
+    tx, signals = tables["fct_transactions"], tables["fct_fraud_signals"]
+    some = next(iter(tables.values())).sparkSession
+    found = [quality.volume_alert(delivered[d], n, d) for d, n in expected_rows.items()]
+    found += [quality.counted_load(rows, loaded[d], d) for d, rows in delivered.items()]
+    found.append(quality.valid_share(quality.mark_violations(tx, quality.transaction_rules(as_of))))
+    found.append(quality.freshness(tx, "transaction_timestamp", as_of, FRESH_HOURS))
+    found.append(quality.signal_metrics(signals))
+    found.append(quality.runtime_alert(some, entries, STAGE_SECONDS))
+    return reduce(DataFrame.unionByName, found)
+
+
 def all_frames(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
     """Every table of the warehouse by name, staging models included."""
     bronze = {d: read_bronze(spark, layout.bronze, d) for d in BRONZE_TABLES}
@@ -152,33 +250,48 @@ def run(
     as_of: datetime,
     json_array: bool = False,
     store_failures: bool = False,
+    options: Options = Options(),
 ) -> DataFrame:
     """Check and load the files, refresh silver, rebuild gold, log the run, test the tables.
 
-    Returns the results of the declared tests. Running again with files already loaded inserts
-    nothing but players, which every run appends.
+    A file with missing or added columns ends the run before anything is loaded. Rows that can't be
+    read are kept aside and logged, and so are the numbers of events that came too late. Metrics of
+    the run are appended to the metrics table. Returns the results of the declared tests. Running
+    again with files already loaded inserts nothing but players, which every run appends.
     """
     prepare(spark)
     layout, log = Layout(out_dir), _Log(as_of)
-    work = WorkTables(spark, layout.work)
+    # Two runs on one warehouse must not share work tables.
+    work_dir = f"{layout.work}/{uuid.uuid4().hex}"
+    work = WorkTables(spark, work_dir)
+    delivered: dict[str, DataFrame] = {}
+    loaded: dict[str, int] = {}
 
     def check(dataset: str) -> None:
-        check_file(spark, dataset, f"{in_dir}/{FILES[dataset]}", json_array)
+        path = f"{in_dir}/{FILES[dataset]}"
+        check_added(dataset, check_file(spark, dataset, path, json_array))
 
     def load(dataset: str) -> int:
         # The file is parsed once, into the table the load reads.
         rows = parse_file(spark, dataset, f"{in_dir}/{FILES[dataset]}", json_array)
-        delivered = work.keep(f"{BRONZE_TABLES[dataset]}_staging", rows)
-        bad = rejected_rows(delivered, dataset).withColumn("as_of", stamp(as_of))
+        parsed = work.keep(f"{BRONZE_TABLES[dataset]}_staging", rows)
+        bad = rejected_rows(parsed, dataset).withColumn("as_of", stamp(as_of))
         n_bad = bad.count()
         if n_bad:
             bad.write.mode("append").parquet(layout.rejected)
             log.entries.append((as_of, "rejected", dataset, n_bad, 0.0, None))
-        LOADS[dataset](spark, layout.bronze, good_rows(delivered), as_of)
-        return loaded_by(spark, layout.bronze, dataset, as_of).count()
+        delivered[dataset] = good_rows(parsed)
+        load_options = options.of_load(dataset)
+        late = LOADS[dataset](spark, layout.bronze, delivered[dataset], as_of, **load_options)
+        if late:
+            log.entries.append((as_of, "late", dataset, late, 0.0, None))
+        loaded[dataset] = snapshot(spark, table_path(layout.bronze, dataset)).added_rows
+        return loaded[dataset]
 
     def refresh(name: str) -> int:
-        return silver.refresh(spark, name, layout.bronze, layout.silver, as_of).added_rows
+        return silver.refresh(
+            spark, name, layout.bronze, layout.silver, as_of, options.period, options.buckets
+        ).added_rows
 
     try:
         for stage, names, step in (
@@ -186,14 +299,21 @@ def run(
             ("bronze", FILES, load),
             ("silver", silver.SILVER, refresh),
             ("gold", GOLD_TABLES, partial(rebuild_gold, spark, layout, as_of, work)),
+            ("mart", MARTS, partial(rebuild_mart, spark, layout, work)),
         ):
             _all(partial(log.stage, stage, name, partial(step, name)) for name in names)
         for dataset in FILES:
             expire(spark, table_path(layout.bronze, dataset))
         for name in silver.SILVER:
             expire(spark, f"{layout.silver}/{name}")
-        for name in (*GOLD_TABLES, PLAYER_PAGES):
+        for name in (*GOLD_TABLES, *MARTS, PLAYER_PAGES):
             expire(spark, f"{layout.gold}/{name}")
+        tables = read_silver(spark, layout) | read_gold(spark, layout)
+        metrics = quality_metrics(
+            delivered, loaded, tables, log.entries, as_of, options.expected_rows
+        )
+        metrics.withColumn("run_at", stamp(as_of)).write.mode("append").parquet(layout.metrics)
+        delete(spark, work_dir)
     finally:
         append_run_log(spark, layout.run_log, log.entries)
     frames = all_frames(spark, layout)

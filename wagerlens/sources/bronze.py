@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +19,7 @@ from wagerlens.sources.tables import (
     snapshot,
 )
 
-# Rows at or before this moment never pass the mark of an empty table.
+# Rows at or before this moment never pass the mark of an empty table, unless a load says otherwise.
 FIRST_MARK = datetime(2020, 1, 1)
 AFFILIATE_KEYS = ["affiliate_id", "player_id"]
 # An upsert rewrites whole units, an append none.
@@ -67,12 +67,6 @@ def backfill(spark: SparkSession, root: str, dataset: str, rows: DataFrame) -> N
     append_table(spark, table_path(root, dataset), rows.select(*BRONZE[dataset].names))
 
 
-def loaded_by(spark: SparkSession, root: str, dataset: str, as_of: datetime) -> DataFrame:
-    """Rows that the run of that time loaded."""
-    since = as_of - timedelta(microseconds=1)
-    return read_bronze(spark, root, dataset, since).filter(F.col("_ingested_at") == stamp(as_of))
-
-
 def append_players(
     spark: SparkSession, root: str, rows: DataFrame, as_of: datetime, full_reload: bool = False
 ) -> None:
@@ -86,19 +80,23 @@ def append_players(
         append_table(spark, path, batch)
 
 
-def high_water_mark(table: DataFrame, column: str = "timestamp") -> datetime:
+def high_water_mark(
+    table: DataFrame, column: str = "timestamp", first_mark: datetime = FIRST_MARK
+) -> datetime:
     """Largest event time loaded so far."""
-    return moment_of(table, F.coalesce(F.max(column), stamp(FIRST_MARK)))
+    return moment_of(table, F.coalesce(F.max(column), stamp(first_mark)))
 
 
-def loaded_mark(spark: SparkSession, root: str, dataset: str) -> datetime:
+def loaded_mark(
+    spark: SparkSession, root: str, dataset: str, first_mark: datetime = FIRST_MARK
+) -> datetime:
     """high_water_mark() of a stored table, without reading all of it.
 
     The newest folder nearly always holds the largest time. It is read first; the rest is then
     read with a filter that skips every row group without a larger one.
     """
     recent = newest_period(spark, table_path(root, dataset))
-    newest = FIRST_MARK if recent is None else high_water_mark(recent)
+    newest = first_mark if recent is None else high_water_mark(recent, first_mark=first_mark)
     table = read_bronze(spark, root, dataset)
     later = moment_of(table.filter(F.col("timestamp") > stamp(newest)), F.max("timestamp"))
     return later or newest
@@ -122,30 +120,33 @@ def insert_new(
     rows: DataFrame,
     as_of: datetime,
     lookback_minutes: int = 0,
-) -> None:
+    first_mark: datetime = FIRST_MARK,
+) -> int:
     """Insert rows later than the newest event time loaded, unless their key is known.
 
-    Rows of one batch are not deduplicated against each other. Late rows are dropped unless
-    `lookback_minutes` moves the mark back.
+    Rows of one batch are not deduplicated against each other. Late rows, and rows without a time,
+    are dropped unless `lookback_minutes` moves the mark back; returned is how many there are.
     """
     create_bronze(spark, root, dataset)
     table = read_bronze(spark, root, dataset)
-    mark = stamp(loaded_mark(spark, root, dataset))
+    mark = stamp(loaded_mark(spark, root, dataset, first_mark))
     if lookback_minutes:
         mark = mark - F.make_dt_interval(mins=F.lit(lookback_minutes))
-    fresh = rows.withColumn("timestamp", F.col("timestamp").cast("timestamp")).filter(
-        F.col("timestamp") > mark
-    )
+    batch = rows.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    in_time = F.coalesce(F.col("timestamp") > mark, F.lit(False))
+    late = batch.agg(F.count_if(~in_time)).first()[0]
+    fresh = batch.filter(F.col("timestamp") > mark)
     new = with_stamp(unseen(fresh, table, key), dataset, as_of)
     append_table(spark, table_path(root, dataset), new)
+    return late
 
 
-def load_sessions(spark, root: str, rows: DataFrame, as_of: datetime, **options) -> None:
-    insert_new(spark, root, "sessions", "session_id", rows, as_of, **options)
+def load_sessions(spark, root: str, rows: DataFrame, as_of: datetime, **options) -> int:
+    return insert_new(spark, root, "sessions", "session_id", rows, as_of, **options)
 
 
-def load_transactions(spark, root: str, rows: DataFrame, as_of: datetime, **options) -> None:
-    insert_new(spark, root, "transactions", "transaction_id", rows, as_of, **options)
+def load_transactions(spark, root: str, rows: DataFrame, as_of: datetime, **options) -> int:
+    return insert_new(spark, root, "transactions", "transaction_id", rows, as_of, **options)
 
 
 def upsert_affiliates(

@@ -133,6 +133,13 @@ def check_columns(dataset: str, found: list[str]) -> None:
         raise SourceError(f"{dataset}: missing columns {missing}")
 
 
+def check_added(dataset: str, found: list[str]) -> None:
+    """Raise SourceError if a file has columns its schema doesn't know."""
+    added = [c for c in found if c.strip() not in FILE_SCHEMAS[dataset].names]
+    if added:
+        raise SourceError(f"{dataset}: added columns {added}")
+
+
 def write_file(df: DataFrame, dataset: str, path: str) -> None:
     """Write rows in the dataset's file format: JSON Lines, or CSV with a header."""
     rows = df.select(*FILE_SCHEMAS[dataset].names)

@@ -79,7 +79,7 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p)]
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)
 
@@ -134,7 +134,7 @@ def _write_snapshot(spark: SparkSession, path: str, snap: Snapshot) -> None:
             raise CommitConflict(f"{path}: version {snap.version} was committed by another run")
     finally:
         if fs.exists(file):
-            _delete(spark, tmp)
+            delete(spark, tmp)
 
 
 def _publish(spark: SparkSession, path: str, part: str, snap: Snapshot) -> Snapshot:
@@ -142,7 +142,7 @@ def _publish(spark: SparkSession, path: str, part: str, snap: Snapshot) -> Snaps
     try:
         _write_snapshot(spark, path, snap)
     except CommitConflict:
-        _delete(spark, f"{path}/{part}")
+        delete(spark, f"{path}/{part}")
         raise
     return snap
 
@@ -424,4 +424,4 @@ def expire(spark: SparkSession, path: str, keep: int = 2) -> None:
     used = {f for v in kept for f in snapshot(spark, path, v).folders(path)}
     unused = {f for v in old for f in snapshot(spark, path, v).folders(path)} - used
     for name in [*unused, *(f"{path}/_snapshots/{v}.json" for v in old)]:
-        _delete(spark, name)
+        delete(spark, name)
