@@ -27,8 +27,8 @@ def test_chunks_give_the_features_of_the_whole(monkeypatch):
 
 
 def test_letters():
-    assert [langid.has_letter(t) for t in (None, "", "12 _!", "é", "漢", "1a")] == [
-        False, False, False, True, True, True,
+    assert [langid.has_letter(t) for t in (None, "", "12 _!", "² ½ Ⅷ", "é", "漢", "1a")] == [
+        False, False, False, False, True, True, True,
     ]
 
 

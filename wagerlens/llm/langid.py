@@ -18,13 +18,13 @@ Repeated rows are predicted alike; extra columns are left to the caller.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,7 +51,7 @@ FAMILIES = {
     "malayic": "id ms",
 }
 
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 # ASCII letters and all bytes of other characters stay; the rest becomes one blank.
 _PLACE = np.array(
     [b if b >= 128 or chr(b).isalpha() else 32 for b in range(256)], dtype=np.uint8
