@@ -30,7 +30,7 @@ from wagerlens.llm.tokens import vocabulary
 
 MARK = "▁"
 SHARPNESS = 0.3
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 1_000_000
 # Stand-ins for the 256 bytes inside a lattice; the characters themselves have no piece.
 BYTE_AT = 0x10FF00
 BYTES = f"{chr(BYTE_AT)}-{chr(BYTE_AT + 255)}"
