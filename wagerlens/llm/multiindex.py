@@ -40,7 +40,7 @@ QUERIES = 512
 MOST_CODES = 1024
 POINTS_PER_CELL = 8
 LEAST_VISITS = 8
-SLICE = 2048
+SLICE = 512
 MAX_BROADCAST_CELLS = 100_000
 
 
