@@ -175,16 +175,23 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def learnable(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """lang and text of the labelled documents that are fitted on, `sample_rows` at most."""
     rows = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
-    named = rows.select(F.col("lang").cast("string").alias("lang"), F.col("doc_id").cast("long").alias("doc_id"))
-    langs = [
-        r["lang"]
-        for r in named.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    ]
+    named = rows.select(
+        F.col("lang").cast("string").alias("lang"), F.col("doc_id").cast("long").alias("doc_id")
+    )
+    counts = named.groupBy("lang").count().orderBy(F.desc("count"), "lang")
+    langs = {r["lang"]: r["count"] for r in counts.limit(MAX_LANGUAGES).collect()}
     each = max(1, sample_rows // max(1, len(langs)))
+    # Of a language with many rows only those of small hash are ranked, twice as many as needed on
+    # average, so no task gets all rows of a common language.
+    small = F.lit(False)
+    for lang, n in langs.items():
+        share = min(1.0, (2 * each + 100) / n)
+        low = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))
+        small = F.when(F.col("lang") == lang, low).otherwise(small)
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     # Ids are ranked without their texts; the texts of the few picked are fetched after that.
     picked = (
-        named.filter(F.col("lang").isin(langs))
+        named.filter(small)
         .withColumn("place", F.row_number().over(order))
         .filter(F.col("place") <= each)
         .select("doc_id", "lang")
@@ -196,7 +203,8 @@ def learnable(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
         F.col("text").cast("string").alias("text"),
     )
     # At most `sample_rows` ids and languages are broadcast.
-    return texts.join(F.broadcast(picked), ["doc_id", "lang"], "left_semi").select("lang", "text").limit(sample_rows)
+    found = texts.join(F.broadcast(picked), ["doc_id", "lang"], "left_semi")
+    return found.select("lang", "text").limit(sample_rows)
 
 
 def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
