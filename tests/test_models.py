@@ -230,3 +230,13 @@ def test_single_pass_revenue_equals_join_back(lake, min_rows):
     )
     got = affiliates.affiliate_performance(lake.affiliates, lake.tx, AS_OF, min_rows=min_rows)
     assert same(naive, got.select(naive.columns))
+
+
+def test_a_burst_across_the_hour_is_whole_in_one_window(spark):
+    moments = ["2024-01-01 09:55:00", "2024-01-01 10:05:00", "2024-01-01 10:20:00"]
+    sessions = spark.createDataFrame(
+        [("1.1.1.1", f"p{i % 2}", at(m)) for i, m in enumerate(moments)],
+        "ip string, player_id string, session_timestamp timestamp",
+    )
+    most = fraud.ip_logins_per_hour(sessions).orderBy(F.desc("logins")).first()
+    assert (most["logins"], most["distinct_players"]) == (3, 2)

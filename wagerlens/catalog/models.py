@@ -253,10 +253,13 @@ def _(lake: Lake) -> DataFrame:
 
 @query(
     "m18_ip_logins_per_hour",
-    f"""SELECT ip, {ts("date_trunc('hour', session_timestamp)")} AS hour, count(*) AS logins,
+    f"""SELECT ip, {ts('start')} AS hour_start, count(*) AS logins,
           count(DISTINCT player_id) AS distinct_players
-        FROM dim_sessions WHERE ip IS NOT NULL
-        GROUP BY ip, date_trunc('hour', session_timestamp)""",
+        FROM (SELECT ip, player_id, time_bucket(INTERVAL 10 MINUTE, session_timestamp)
+                - INTERVAL 10 MINUTE * k AS start
+              FROM dim_sessions, (VALUES (0), (1), (2), (3), (4), (5)) AS s(k)
+              WHERE ip IS NOT NULL)
+        GROUP BY ip, start""",
 )
 def _(lake: Lake) -> DataFrame:
     return fraud.ip_logins_per_hour(lake.sessions)

@@ -253,14 +253,22 @@ _GROUP_COLUMNS = ["distinct_players", "first_seen", "last_seen"]
 
 
 def ip_logins_per_hour(sessions: DataFrame) -> DataFrame:
-    """Logins and distinct players per address and clock hour."""
-    # Counted per player first, so that a busy address is spread over its players.
-    hour = F.date_trunc("hour", "session_timestamp").alias("hour")
-    per_player = (
-        sessions.filter(F.col("ip").isNotNull())
-        .groupBy("ip", hour, "player_id")
+    """Logins and distinct players per address and hour; hours start every ten minutes, so that a
+    burst is whole in one of them wherever it begins."""
+    # Counted per slot and player first: a busy address is spread over its players, and what is
+    # copied to the six hours that hold a slot is a count.
+    slot = F.window("session_timestamp", "10 minutes")["start"]
+    per_slot = (
+        sessions.filter(F.col("ip").isNotNull() & F.col("session_timestamp").isNotNull())
+        .groupBy("ip", slot.alias("slot"), "player_id")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    return per_player.groupBy("ip", "hour").agg(
+    starts = [F.col("slot") - F.make_dt_interval(mins=F.lit(10 * k)) for k in range(6)]
+    per_player = (
+        per_slot.withColumn("hour_start", F.explode(F.array(*starts)))
+        .groupBy("ip", "hour_start", "player_id")
+        .agg(F.sum("n").alias("n"))
+    )
+    return per_player.groupBy("ip", "hour_start").agg(
         F.sum("n").alias("logins"), F.count("player_id").alias("distinct_players")
     )
