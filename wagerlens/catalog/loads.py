@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from wagerlens.catalog.lake import Lake
 from wagerlens.catalog.models import SILVER_SQL, STG_SQL, SUMMARY_SQL
 from wagerlens.catalog.registry import query
+from wagerlens.catalog.sqlparts import AS_OF as AS_OF_SQL
 from wagerlens.catalog.sqlparts import RELATIONS, day, ts
 from wagerlens.functions.times import stamp
 from wagerlens.operators.dedup import latest
@@ -345,6 +346,37 @@ def _(lake: Lake) -> DataFrame:
     return _refresh_twice(lake, "dim_sessions", _old_sessions)
 
 
+@query(
+    "p10_audit_stamps",
+    f"""SELECT 'silver' AS layer, {ts('_ingested_at')} AS processed_at,
+          {ts('_ingested_at')} AS updated_at, count(*) AS rows
+        FROM dim_sessions GROUP BY _ingested_at
+        UNION ALL
+        SELECT 'staging', {ts(FIRST_SQL)}, NULL, count(*) FROM raw_sessions
+        UNION ALL
+        SELECT 'gold', {ts(AS_OF_SQL)}, NULL, count(*) FROM fct_financial_summary""",
+    _two_loads_sql("sessions"),
+)
+def _(lake: Lake) -> DataFrame:
+    """The stamps that say which run wrote a row; rows of the first load keep its stamp."""
+    register_views(lake.raw, FIRST_RUN)
+    none = F.lit(None).cast("timestamp")
+    parts = [
+        ("silver", _refresh_twice(lake, "dim_sessions"), "_dbt_processed_at", "_silver_updated_at"),
+        ("staging", lake.spark.table("stg_sessions"), "_dbt_processed_at", None),
+        ("gold", lake.gold_model("fct_financial_summary"), "_gold_processed_at", None),
+    ]
+    counted = [
+        rows.groupBy(
+            F.lit(layer).alias("layer"),
+            F.col(processed).alias("processed_at"),
+            (F.col(updated) if updated else none).alias("updated_at"),
+        ).agg(F.count(F.lit(1)).alias("rows"))
+        for layer, rows, processed, updated in parts
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
 @query("l7_l9_staging_view", STG_SQL["sessions"])
 def _(lake: Lake) -> DataFrame:
     register_views(lake.raw, FIRST_RUN)
