@@ -9,10 +9,12 @@ each host's digests fit in one array, which is joined to its pages. Everything r
 
 The count shuffles (host, digest, count), summed per task first, so a host with a third of all
 pages sends no more than its distinct lines. Pages are not shuffled while the boilerplate table,
-whose rows are counted, stays under `max_broadcast` lines; beyond that the join is salted.
+whose rows are counted, stays under `max_broadcast` lines; beyond that they are joined by host, and
+adaptive execution splits the partition of a hot one.
 
 Nulls, empty texts: a null text stays null and counts as a page without lines. Pages without a host
-form a host of their own. Repeated rows are pages of their own. An empty table gives an empty result.
+form a host of their own. Repeated rows are pages of their own. An empty table gives an empty
+result.
 Columns and their order are kept; working columns take names that are free.
 """
 
@@ -48,7 +50,9 @@ def site_lines(
     nameless = F.col(host).isNull()
     digests = F.array_distinct(F.transform(lines_of(F.col(text)), digest))
     per_line = (
-        pages.select(site.alias("host"), nameless.alias("nameless"), F.explode(digests).alias("digest"))
+        pages.select(
+            site.alias("host"), nameless.alias("nameless"), F.explode(digests).alias("digest")
+        )
         .filter(F.col("digest").isNotNull())
         .groupBy("host", "nameless", "digest")
         .agg(F.count(F.lit(1)).alias("n_pages"))

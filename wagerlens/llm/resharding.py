@@ -1,10 +1,11 @@
 """Resharding by minimum-cost flow: move the fewest bytes from old shards to new capacities.
 
-The old layout is a Parquet folder cut by shard and block (a block is a hash slice of a shard). From the bytes of the old shards and the capacities of the new ones a flow
-network gives how many bytes go from each to each; a byte costs nothing where it stays and one
-where it moves. The flows of an old shard are laid along its blocks: blocks that lie within one flow
-go whole, a block on a border is cut between documents. The few documents on a border itself go,
-largest first, to the shard that is smallest then, so sizes differ by one document at most.
+The old layout is a Parquet folder cut by shard and block (a block is a hash slice of a shard).
+From the bytes of the old shards and the capacities of the new ones a flow network gives how many
+bytes go from each to each; a byte costs nothing where it stays and one where it moves. The flows
+of an old shard are laid along its blocks: blocks that lie within one flow go whole, a block on a
+border is cut between documents. The few documents on a border itself go, largest first, to the
+shard that is smallest then, so sizes differ by one document at most.
 Files of blocks that stay whole are read where they are; files of all other blocks are rewritten.
 
 What reaches the driver: bytes per old shard, and the documents on borders (fewer than old plus
