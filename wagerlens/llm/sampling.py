@@ -19,9 +19,11 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +33,7 @@ from wagerlens.llm.tokens import vocabulary
 MARK = "▁"
 SHARPNESS = 0.3
 BATCH_CHARS = 1_000_000
+BATCH_ROWS = 256
 # Stand-ins for the 256 bytes inside a lattice; the characters themselves have no piece.
 BYTE_AT = 0x10FF00
 BYTES = f"{chr(BYTE_AT)}-{chr(BYTE_AT + 255)}"
@@ -38,8 +41,29 @@ SPLITS = re.compile(rf"{MARK}*[^{MARK}{BYTES}]+|{MARK}+|[{BYTES}]")
 CODE_BITS = 21
 
 
+def piece_bytes(path: str) -> list[bytes]:
+    """What each id stands for in a text."""
+    from sentencepiece import SentencePieceProcessor
+
+    model = SentencePieceProcessor(model_file=path)
+    out = []
+    for i in range(model.get_piece_size()):
+        if model.is_byte(i):
+            out.append(bytes([int(model.id_to_piece(i)[3:-1], 16)]))
+        elif model.is_control(i) or model.is_unknown(i) or model.is_unused(i):
+            out.append(b"")
+        else:
+            out.append(model.id_to_piece(i).replace(MARK, " ").encode("utf-8"))
+    return out
+
+
+def decoded(ids: np.ndarray, pieces: list[bytes]) -> str:
+    """The text that was cut into these ids."""
+    return b"".join(map(pieces.__getitem__, ids.tolist()))[1:].decode("utf-8")
+
+
 class Lattice:
-    """Pieces and weights of a vocabulary; see `sample` and `decode`."""
+    """Pieces and weights of a vocabulary; see `sample`."""
 
     def __init__(self, path: str, sharpness: float = SHARPNESS):
         from sentencepiece import SentencePieceProcessor
@@ -47,17 +71,14 @@ class Lattice:
         model = SentencePieceProcessor(model_file=path)
         size = model.get_piece_size()
         self.ids: dict[str, int] = {}
-        self.bytes_of: list[bytes] = [b""] * size
         for i in range(size):
             if model.is_byte(i):
-                byte = int(model.id_to_piece(i)[3:-1], 16)
-                self.ids[chr(BYTE_AT + byte)], self.bytes_of[i] = i, bytes([byte])
+                self.ids[chr(BYTE_AT + int(model.id_to_piece(i)[3:-1], 16))] = i
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
                 piece = model.id_to_piece(i)
                 if MARK in piece.lstrip(MARK) or (len(piece) > 1 and piece[-1] >= chr(BYTE_AT)):
                     raise ValueError(f"piece {piece!r} crosses words")
                 self.ids[piece] = i
-                self.bytes_of[i] = piece.replace(MARK, " ").encode("utf-8")
         order = sorted(range(size), key=lambda i: (-model.get_score(i), i))
         self.log_weight = np.empty(size)
         self.log_weight[order] = -sharpness * np.log(np.arange(size) + 1.0)
@@ -200,10 +221,6 @@ class Lattice:
             ids[ends[own] - 1 - back] = chosen
         return ids, np.bincount(text_of, weights=counts, minlength=len(texts)).astype(np.int64)
 
-    def decode(self, ids: np.ndarray) -> str:
-        raw = b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
-        return raw[1:].decode("utf-8")
-
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -232,6 +249,23 @@ def lattice(path: str, sharpness: float = SHARPNESS) -> Lattice:
     return _LATTICES[path, sharpness]
 
 
+@cache
+def _pieces(path: str) -> list[bytes]:
+    return piece_bytes(path)
+
+
+def _short_runs(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows of a batch, up to BATCH_CHARS bytes of text (or one text) at a time."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy()
+    run = np.cumsum(sizes)
+    first = 0
+    while first < batch.num_rows:
+        before = int(run[first - 1]) if first else 0
+        end = max(first + 1, int(np.searchsorted(run, before + BATCH_CHARS, side="right")))
+        yield batch.slice(first, end - first)
+        first = end
+
+
 def encode_sampled(
     docs: DataFrame,
     key: str = "doc_id",
@@ -245,26 +279,19 @@ def encode_sampled(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter = lattice(vocabulary(vocab), sharpness)
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            first = chars = 0
-            for i, text in enumerate(texts):
-                chars += len(text or "")
-                if chars < BATCH_CHARS and i + 1 < len(texts):
-                    continue
-                some = slice(first, i + 1)
-                ids, counts = cutter.sample(keys[some], texts[some], seed)
+            for rows in _short_runs(batch):
+                keys, texts = rows.column(0).to_pylist(), rows.column(1).to_pylist()
+                ids, counts = cutter.sample(keys, texts, seed)
                 ends = np.concatenate(([0], np.cumsum(counts)))
                 raw = ids.astype("<u4").tobytes()
                 parts = [
                     raw[4 * a : 4 * b]
                     for a, b in zip(ends.tolist(), ends[1:].tolist(), strict=False)
                 ]
-                rows = batch.slice(first, i + 1 - first)
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column(0), rows.column(1), pa.array(counts), pa.array(parts, pa.binary())],
+                    [*rows.columns, pa.array(counts), pa.array(parts, pa.binary())],
                     names=["key", "text", "n_tokens", "ids"],
                 )
-                first, chars = i + 1, 0
 
     return docs.select(
         F.col(key).cast("long").alias("key"), F.col("text").cast("string").alias("text")
@@ -276,14 +303,16 @@ def decode_ids(encoded: DataFrame, vocab: str = "piece_bpe_32k.model") -> DataFr
     importable(encoded.sparkSession)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cutter = lattice(vocabulary(vocab))
+        pieces = _pieces(vocabulary(vocab))
         for batch in batches:
-            ids = batch.column(batch.schema.get_field_index("ids"))
-            texts = [cutter.decode(np.frombuffer(x.as_py(), dtype="<u4")) for x in ids]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(texts, pa.string())],
-                names=[*batch.schema.names, "decoded"],
-            )
+            at = batch.schema.get_field_index("ids")
+            for first in range(0, batch.num_rows, BATCH_ROWS):
+                rows = batch.slice(first, BATCH_ROWS)
+                ids = (np.frombuffer(x.as_py(), dtype="<u4") for x in rows.column(at))
+                texts = pa.array([decoded(x, pieces) for x in ids], pa.string())
+                yield pa.RecordBatch.from_arrays(
+                    [*rows.columns, texts], names=[*rows.schema.names, "decoded"]
+                )
 
     schema = encoded.select(*encoded.columns).schema
     return encoded.mapInArrow(decode, schema.add("decoded", "string"))
