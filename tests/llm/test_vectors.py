@@ -92,6 +92,35 @@ def test_crowded_cells_are_sliced(spark, monkeypatch):
     assert core == {w[2] for w in want if w[0] < 120}
 
 
+def paired(rng, points, pairs, dims=16, cosine=0.905):
+    """Random vectors, and `pairs` more, each at the given cosine to one of them."""
+    x = rng.normal(size=(points, dims))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    side = rng.normal(size=(pairs, dims))
+    side -= (side * x[:pairs]).sum(axis=1)[:, None] * x[:pairs]
+    side /= np.linalg.norm(side, axis=1)[:, None]
+    return np.r_[x, cosine * x[:pairs] + (1 - cosine**2) ** 0.5 * side]
+
+
+def test_rare_links_are_found(spark):
+    x = paired(np.random.default_rng(3), 1500, 30)
+    rows = [(i, v.tolist(), 0, "x", "x") for i, v in enumerate(x)]
+    got = multiindex.near_vectors(spark.createDataFrame(rows, VECTORS), queries=2).collect()
+    assert sorted(map(tuple, got)) == sorted(plain_links(rows))
+
+
+def test_copies_have_no_say_in_recall(spark):
+    rng = np.random.default_rng(4)
+    x = paired(rng, 500, 300)
+    x[400:410] = x[400] + 0.01 * rng.normal(size=(10, 16))
+    rows = [(i, v.tolist(), 0, "x", "x") for i, v in enumerate(x)]
+    hot = [(1000 + i, x[400].tolist(), 0, "x", "x") for i in range(30_000)]
+    frame = spark.createDataFrame(rows + hot, VECTORS).repartition(3)
+    got = {r.vec_id: r.n_links for r in multiindex.near_vectors(frame).collect()}
+    want = [w for w in plain_links(rows) if not 400 <= w[0] < 410]
+    assert sum(got[w[0]] for w in want) >= 0.99 * sum(w[1] for w in want)
+
+
 def plain_top(rows, step=50, k=5):
     kept = [(i, v) for i, v, *_ in rows if i is not None and usable(v)]
     limit = 1 << 28

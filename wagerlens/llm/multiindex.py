@@ -3,10 +3,16 @@
 Unit vectors are cut into halves; a codebook for each half, learned apart, makes a grid of cells.
 A vector lies in the cell of its two nearest codes and visits the cells nearest to it in the order
 of the summed distances of its halves (multi-sequence traversal). The members of a visited cell are
-verified by cosine in double precision. How many cells to visit is measured: `queries` vectors
-are compared with all vectors, and the count is the least that reaches `recall` of their links, plus
-a quarter. Bounded are the sample for the codebooks, the codebooks (broadcast) and the measured
-queries (broadcast), by the parameters of the same names; every vector is indexed and visits.
+verified by cosine in double precision. How many cells to visit is measured: sampled points are
+compared with all points, and the count is the least that reaches `recall` of the linked pairs of one
+half of them, plus a quarter, if it also reaches `recall` on the other half. Each pair weighs one,
+whatever its copies, and the mean recall of the linked points must reach `recall` as well, so that
+one dense group doesn't decide alone. `queries` points a half are asked first, more until each half
+has LEAST_PAIRS pairs of LEAST_LINKED points or 32 * `queries` points (or all) are asked. Where that
+doesn't settle the count, nothing is left out instead: cells are the codes of the first halves, and a
+vector visits each whose farthest member may lie within the distance that the cosine allows (nearly
+all pairs are compared then). Bounded are the sample for the codebooks, the codebooks (broadcast) and
+the measured queries (broadcast); every vector is indexed and visits.
 
 Equal vectors are one point with a count. A crowded cell is cut into slices by a hash, and each
 slice of visitors meets each slice of members in a task of its own. A meeting gives the number of
@@ -25,7 +31,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
@@ -40,6 +46,8 @@ QUERIES = 512
 MOST_CODES = 1024
 POINTS_PER_CELL = 8
 LEAST_VISITS = 8
+LEAST_PAIRS = 1000
+LEAST_LINKED = 32
 SLICE = 512
 MAX_BROADCAST_CELLS = 100_000
 
@@ -134,77 +142,164 @@ def learn_grid(points: DataFrame, count: int, dims: int, sample: int = SAMPLE) -
 
 def visits_needed(
     points: DataFrame, grid: Grid, count: int, queries: int, cosine: float, recall: float
-) -> tuple[int, float]:
-    """Cells to visit for the wanted recall of the measured queries, and the recall they reach.
+) -> int | None:
+    """Cells to visit for the wanted recall; None where the sampled points can't tell.
 
-    Each query is compared with every point; the rank of a linked point's cell is the number of
-    cells nearer to the query.
+    Each round asks points that were not asked before. Those of one half choose the count, those of
+    the other check it; when all points are asked, all choose.
+    """
+    asked, size, rounds = 0, 2 * queries, []
+    while asked < min(count, 32 * queries):
+        rounds.append(linked_ranks(points, grid, count, asked, asked + size, cosine))
+        asked += size
+        size = asked
+        ranks = np.concatenate(rounds)
+        if asked >= count:
+            return cells_for(ranks, recall)
+        one, two = (ranks[ranks["half"] == half] for half in (0, 1))
+        if min(one["pairs"].sum(), two["pairs"].sum()) < LEAST_PAIRS or min(
+            one["linked"].sum(), two["linked"].sum()
+        ) < LEAST_LINKED:
+            continue
+        visits = cells_for(one, recall)
+        near = two[two["rank"] < visits]
+        if all(near[w].sum() >= (recall - 1e-9) * two[w].sum() for w in ("pairs", "linked")):
+            return visits
+    return None
+
+
+def cells_for(ranks: np.ndarray, recall: float) -> int:
+    """Cells that hold `recall` of the pairs and of the points' mean shares, and a quarter more."""
+    ranks = np.sort(ranks, order="rank")
+    least = 0
+    for weight in ("pairs", "linked"):
+        sums = np.cumsum(ranks[weight])
+        if len(sums):
+            at = np.searchsorted(sums, recall * sums[-1] - 1e-9 * sums[-1])
+            least = max(least, int(ranks["rank"][at]))
+    return max(LEAST_VISITS, (least + 1) * 5 // 4 + 1)
+
+
+def linked_ranks(
+    points: DataFrame, grid: Grid, count: int, start: int, end: int, cosine: float
+) -> np.ndarray:
+    """half, rank, pairs, linked: linked pairs of the sampled points by the rank of the cell.
+
+    Of about `count` points in the order of a hash those from `start` to `end` are asked, each
+    compared with every point. The rank of a linked point's cell is the number of cells nearer to
+    the asked point, `linked` the sum of the shares of each asked point's pairs.
     """
     spark = points.sparkSession
-    share = min(1.0, 1.2 * queries / max(1, count))
-    picked = points.filter(
-        F.pmod(F.xxhash64("point", F.lit(5)), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)) + 1)
-    )
-    asked = picked.select("point", "embedding").limit(queries).toArrow()
-    shared = spark.sparkContext.broadcast(
-        (grid, asked.column("point").to_numpy(), matrix(asked.column("embedding"), grid.dims, float))
-    )
+    top = 1 << 40
+    first, last = (min(top, int(n / count * top)) for n in (start, end))
+    at = F.pmod(F.xxhash64("point", F.lit(5)), F.lit(top))
+    asked = points.filter((at >= first) & (at < last)).select("point", "embedding").toArrow()
+    names = asked.column("point").to_numpy()
+    order = np.argsort(names)
+    raw = matrix(asked.column("embedding"), grid.dims, float)[order]
+    shared = spark.sparkContext.broadcast((grid, names[order], raw))
 
     def ranks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grid, names, raw = shared.value
-        q = unit(raw)
-        one, two = grid.gaps(q)
-        two_sorted = np.sort(two, axis=1)
+        q = unit(raw) if len(raw) else raw
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            x = unit(matrix(batch.column(1), grid.dims, np.float64))
-            a, b = grid.gaps(x)
-            own = np.stack((a.argmin(axis=1), b.argmin(axis=1)), axis=1)
-            weight = batch.column(2).to_numpy()
-            close = (q @ x.T >= cosine) & (names[:, None] != batch.column(0).to_numpy()[None])
-            found = []
-            for k in np.flatnonzero(close.any(axis=1)).tolist():
-                cells, at = np.unique(own[close[k]], axis=0, return_inverse=True)
-                hits = np.bincount(at.reshape(-1), weights=weight[close[k]])
-                for (i, j), n in zip(cells.tolist(), hits.tolist(), strict=True):
-                    gap = one[k, i] + two[k, j]
-                    found.append((int(np.searchsorted(two_sorted[k], gap - one[k]).sum()), int(n)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], names=["rank", "n"]
-            )
+            for start in range(0, batch.num_rows, 1024):
+                part = batch.slice(start, 1024)
+                x = unit(matrix(part.column(1), grid.dims, np.float64))
+                a, b = grid.gaps(x)
+                own = np.stack((a.argmin(axis=1), b.argmin(axis=1)), axis=1)
+                others = part.column(0).to_numpy()
+                found = []
+                for low in range(0, len(q), 2048):
+                    close = q[low : low + 2048] @ x.T >= cosine
+                    close &= names[low : low + 2048, None] != others[None]
+                    some = np.flatnonzero(close.any(axis=1))
+                    if not len(some):
+                        continue
+                    one, two = grid.gaps(q[low + some])
+                    two_sorted = np.sort(two, axis=1)
+                    for r, k in enumerate(some.tolist()):
+                        cells, n = np.unique(own[close[k]], axis=0, return_counts=True)
+                        for (i, j), pairs in zip(cells.tolist(), n.tolist(), strict=True):
+                            gap = one[r, i] + two[r, j]
+                            rank = int(np.searchsorted(two_sorted[r], gap - one[r]).sum())
+                            found.append((low + k, rank, pairs))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([f[i] for f in found], pa.int64()) for i in range(3)],
+                    names=["asked", "rank", "n"],
+                )
 
-    seen = (
-        points.select("point", "embedding", "copies")
-        .mapInArrow(ranks, "rank long, n long")
-        .groupBy("rank")
+    per_point = (
+        points.select("point", "embedding")
+        .mapInArrow(ranks, "asked long, rank long, n long")
+        .groupBy("asked", "rank")
         .agg(F.sum("n").alias("n"))
-        .orderBy("rank")
+    )
+    share = F.col("n") / F.sum("n").over(Window.partitionBy("asked"))
+    seen = (
+        per_point.withColumn("share", share)
+        .groupBy((F.col("asked") % 2).alias("half"), "rank")
+        .agg(F.sum("n").alias("pairs"), F.sum("share").alias("linked"))
         .collect()  # ranks lie below the number of cells
     )
-    total, covered = sum(r["n"] for r in seen), 0
-    for r in seen:
-        covered += r["n"]
-        if covered >= recall * total:
-            return max(LEAST_VISITS, (r["rank"] + 1) * 5 // 4 + 1), covered / total
-    return LEAST_VISITS, 1.0
+    kind = [("half", "i8"), ("rank", "i8"), ("pairs", "i8"), ("linked", "f8")]
+    return np.array([tuple(r) for r in seen], dtype=kind)
 
 
-def place(points: DataFrame, grid: Grid, visits: int) -> tuple[DataFrame, DataFrame]:
-    """Members (cell, point, embedding, copies) and visitors (cell, point, embedding)."""
+def radii(points: DataFrame, grid: Grid) -> np.ndarray:
+    """Distance of each first code to the farthest first half next to it; -1 for none."""
     shared = points.sparkSession.sparkContext.broadcast(grid)
 
-    def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def farthest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grid = shared.value
+        most = np.full(len(grid.first), -1.0)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                one, _ = grid.gaps(unit(matrix(part.column(0), grid.dims, np.float64)))
+                # All codes that tie but for rounding, as either may be found the nearest later.
+                near = one <= one.min(axis=1)[:, None] + 1e-9
+                most = np.maximum(most, np.where(near, np.sqrt(one), -1).max(axis=0))
+        some = np.flatnonzero(most >= 0)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(some, pa.int64()), pa.array(most[some])], names=["code", "radius"]
+        )
+
+    found = points.select("embedding").mapInArrow(farthest, "code long, radius double")
+    most = np.full(len(grid.first), -1.0)
+    for r in found.groupBy("code").agg(F.max("radius").alias("radius")).collect():
+        most[r["code"]] = r["radius"]
+    return most
+
+
+def place(
+    points: DataFrame, grid: Grid, visits: int | None, cosine: float
+) -> tuple[DataFrame, DataFrame]:
+    """Members (cell, point, embedding, copies) and visitors (cell, point, embedding).
+
+    Without `visits`, cells are the first codes and all that can hold a link are visited.
+    """
+    wide = radii(points, grid) if visits is None else None
+    # Halves of linked unit vectors are no farther apart than the vectors; a little for rounding.
+    apart = max(0.0, 2 - 2 * cosine) ** 0.5 + 1e-6
+    shared = points.sparkSession.sparkContext.broadcast((grid, wide))
+
+    def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grid, wide = shared.value
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
                 one, two = grid.gaps(unit(matrix(part.column(1), grid.dims, np.float64)))
-                home = grid.number(one.argmin(axis=1), two.argmin(axis=1))
-                ways = [
-                    [grid.number(i, j) for i, j in multi_sequence(one[k], two[k], visits)]
-                    for k in range(part.num_rows)
-                ]
+                if wide is None:
+                    home = grid.number(one.argmin(axis=1), two.argmin(axis=1))
+                    ways = [
+                        [grid.number(i, j) for i, j in multi_sequence(one[k], two[k], visits)]
+                        for k in range(part.num_rows)
+                    ]
+                else:
+                    home = one.argmin(axis=1)
+                    may = (wide >= 0) & (np.sqrt(one) - wide <= apart)
+                    ways = [np.flatnonzero(row) for row in may]
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(home, pa.int64()), pa.array(ways, pa.list_(pa.int64()))],
                     names=[*part.schema.names, "cell", "ways"],
@@ -320,8 +415,8 @@ def near_vectors(
     ).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     if count:
         grid = learn_grid(points, count, dims, sample)
-        visits, _ = visits_needed(points, grid, count, queries, cosine, recall)
-        met = store(meet(*place(points, grid, visits), dims, cosine), "meetings")
+        visits = visits_needed(points, grid, count, queries, cosine, recall)
+        met = store(meet(*place(points, grid, visits, cosine), dims, cosine), "meetings")
         links = met.groupBy("point").agg(F.sum("links").alias("links"))
         joined = components(
             met.filter(F.col("other").isNotNull()).select(
