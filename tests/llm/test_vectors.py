@@ -121,6 +121,19 @@ def test_copies_have_no_say_in_recall(spark):
     assert sum(got[w[0]] for w in want) >= 0.99 * sum(w[1] for w in want)
 
 
+def test_links_count_for_both_ends(spark, monkeypatch):
+    x = paired(np.random.default_rng(5), 800, 300)
+    rows = [(i, v.tolist(), 0, "x", "x") for i, v in enumerate(np.r_[x, x[:5]])]
+    monkeypatch.setattr(multiindex, "visits_needed", lambda *_: 2)
+    got = multiindex.near_vectors(spark.createDataFrame(rows, VECTORS)).collect()
+    size = Counter(r.component_id for r in got)
+    links = {w[0]: w[1] for w in plain_links(rows)}
+    assert all(r.n_links <= links[r.vec_id] for r in got)
+    small = [r for r in got if size[r.component_id] == 2]
+    assert len(small) > 300
+    assert all(r.n_links == 1 for r in small)
+
+
 def plain_top(rows, step=50, k=5):
     kept = [(i, v) for i, v, *_ in rows if i is not None and usable(v)]
     limit = 1 << 28

@@ -16,7 +16,8 @@ the measured queries (broadcast); every vector is indexed and visits.
 
 Equal vectors are one point with a count. A crowded cell is cut into slices by a hash, and each
 slice of visitors meets each slice of members in a task of its own. A meeting gives the number of
-links per visitor and links that connect what it connects, never all pairs.
+links per visitor and links that connect what it connects, never all pairs. A link counts for both
+its ends: where the member's own cells leave out the visitor's, the meeting counts for the member too.
 
 Nulls: vectors that are null, empty, zero or hold null or non-finite components link with nothing;
 missing trailing components count as zero. Repeated rows link with each other. A row without vec_id
@@ -275,9 +276,10 @@ def radii(points: DataFrame, grid: Grid) -> np.ndarray:
 def place(
     points: DataFrame, grid: Grid, visits: int | None, cosine: float
 ) -> tuple[DataFrame, DataFrame]:
-    """Members (cell, point, embedding, copies) and visitors (cell, point, embedding).
+    """Members and visitors: cell, point, embedding, copies, home, ways.
 
-    Without `visits`, cells are the first codes and all that can hold a link are visited.
+    `home` is the cell of a visitor, `ways` are the cells a member visits; empty where every link is
+    found from both its ends. Without `visits`, cells are the first codes and all that can hold a link are visited.
     """
     wide = radii(points, grid) if visits is None else None
     # Halves of linked unit vectors are no farther apart than the vectors; a little for rounding.
@@ -314,9 +316,12 @@ def place(
         ),
         "located",
     )
-    members = located.select("cell", "point", "embedding", "copies")
-    visitors = located.select(F.explode("ways").alias("cell"), "point", "embedding")
-    return members, visitors
+    none = F.array().cast(ArrayType(LongType()))
+    columns = ["point", "embedding", "copies", F.col("cell").alias("home")]
+    ways = none if visits is None else F.col("ways")
+    members = located.select("cell", *columns, ways.alias("ways"))
+    visitors = located.select(F.explode("ways").alias("way"), *columns)
+    return members, visitors.withColumnRenamed("way", "cell").withColumn("ways", none)
 
 
 def meet(members: DataFrame, visitors: DataFrame, dims: int, cosine: float) -> DataFrame:
@@ -341,9 +346,9 @@ def meet(members: DataFrame, visitors: DataFrame, dims: int, cosine: float) -> D
     v = visitors.join(side, "cell").withColumns(
         {"v": own("visitor_slices"), "m": others("member_slices")}
     )
-    columns = ["cell", "m", "v", "visits", "point", "embedding", "copies"]
+    columns = ["cell", "m", "v", "visits", "point", "embedding", "copies", "home", "ways"]
     both = m.withColumn("visits", F.lit(0)).select(columns).unionByName(
-        v.withColumns({"visits": F.lit(1), "copies": F.lit(0).cast("long")}).select(columns)
+        v.withColumn("visits", F.lit(1)).select(columns)
     )
     importable(spark)
 
@@ -354,17 +359,21 @@ def meet(members: DataFrame, visitors: DataFrame, dims: int, cosine: float) -> D
                 continue
             names = run.column(4).to_numpy()
             x = unit(matrix(run.column(5), dims, np.float64))
-            weight = run.column(6).to_numpy()[~visits]
+            copies = run.column(6).to_numpy()
             a, b = names[visits], names[~visits]
             close = (x[visits] @ x[~visits].T >= cosine) & (a[:, None] != b[None])
-            counts = close @ weight
+            counts = close @ copies[~visits]
             some = np.flatnonzero(counts)
             if not len(some):
                 continue
+            ways = run.column(8).filter(pa.array(~visits))
+            met = _visited(run.column(7).to_numpy()[visits], ways)
+            back = copies[visits] @ (close & ~met) if met is not None else np.zeros(len(b))
+            other_some = np.flatnonzero(back)
             links = _connecting(close, a, b)
-            points = np.r_[a[some], [p for p, _ in links]].astype(np.int64)
-            number = np.r_[counts[some], np.zeros(len(links))].astype(np.int64)
-            other = [None] * len(some) + [int(q) for _, q in links]
+            points = np.r_[a[some], b[other_some], [p for p, _ in links]].astype(np.int64)
+            number = np.r_[counts[some], back[other_some], np.zeros(len(links))].astype(np.int64)
+            other = [None] * (len(some) + len(other_some)) + [int(q) for _, q in links]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(points), pa.array(number), pa.array(other, pa.int64())],
                 names=["point", "links", "other"],
@@ -377,6 +386,21 @@ def meet(members: DataFrame, visitors: DataFrame, dims: int, cosine: float) -> D
     )
 
 
+def _visited(homes: np.ndarray, ways: pa.ChunkedArray) -> np.ndarray | None:
+    """Whether the cells in each of `ways` (columns) hold each home (rows); None without ways."""
+    rows = ways.combine_chunks()
+    cells = rows.flatten().to_numpy()
+    if not len(cells):
+        return None
+    column = np.repeat(np.arange(len(rows)), rows.value_lengths().to_numpy())
+    distinct, at = np.unique(homes, return_inverse=True)
+    place = np.minimum(np.searchsorted(distinct, cells), len(distinct) - 1)
+    some = distinct[place] == cells
+    found = np.zeros((len(distinct), len(rows)), dtype=bool)
+    found[place[some], column[some]] = True
+    return found[at]
+
+
 def _connecting(close: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     """Links (row name, column name) that connect whatever the true entries connect."""
     links = []
