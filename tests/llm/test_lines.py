@@ -53,6 +53,33 @@ def test_lines_above_the_ratio_go(spark, max_broadcast):
     assert any(r[2] == "" for r in want) and any("Subscribe" in (r[2] or "") for r in want)
 
 
+def joins_of(frame):
+    return frame._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("max_list", [0, 1, 2])
+def test_long_lists_are_joined_by_line(spark, max_list):
+    rows = pages()
+    frame = spark.createDataFrame(rows, PAGES)
+    whole = lines.drop_site_lines(frame, "text", "host", 0.1, 2, dropped="n")
+    got = lines.drop_site_lines(frame, "text", "host", 0.1, 2, dropped="n", max_list=max_list)
+    assert got.columns == whole.columns and got.schema["n"].dataType == whole.schema["n"].dataType
+    key = lambda r: (r[0], str(r))
+    want = sorted(plain(rows, 0.1, 2), key=key)
+    assert sorted((tuple(r)[:4] for r in got.collect()), key=key) == want
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(map(tuple, whole.collect()), key=key)
+    assert "posexplode" in joins_of(got).lower()
+
+
+def test_no_host_has_a_list_beyond_the_bound(spark):
+    text = "\n".join(f"line {i}" for i in range(lines.MAX_LIST + 1))
+    rows = [(i, "a", text + f"\nown {i}", "x") for i in range(6)]
+    rows += [(9, "b", "one\ntwo", "x"), (10, None, None, "x")]
+    got = lines.drop_site_lines(spark.createDataFrame(rows, PAGES), "text", "host", 0.3, 4)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(plain(rows, 0.3, 4), key=str)
+    assert "posexplode" in joins_of(got).lower()
+
+
 def test_odd_documents_and_empty_table(spark):
     docs = odd_docs(spark)
     got = lines.drop_site_lines(docs, dropped="n_dropped")
