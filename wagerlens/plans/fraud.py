@@ -253,8 +253,8 @@ _GROUP_COLUMNS = ["distinct_players", "first_seen", "last_seen"]
 
 
 def ip_logins_per_hour(sessions: DataFrame) -> DataFrame:
-    """Logins and distinct players per address and hour; hours start every ten minutes, so that a
-    burst is whole in one of them wherever it begins."""
+    """Logins and distinct players per address and hour; hours start every ten minutes, so a burst of
+    up to 50 minutes is whole in one of them wherever it begins. A longer one can be cut."""
     # Counted per slot and player first: a busy address is spread over its players, and what is
     # copied to the six hours that hold a slot is a count.
     slot = F.window("session_timestamp", "10 minutes")["start"]
