@@ -3,6 +3,7 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pytest
 from odd import TEXTS, no_docs, odd_docs
 
 from wagerlens.llm import langid
@@ -73,6 +74,25 @@ def test_labels_and_held_out_rows_teach_nothing(spark):
     assert langid.learnable(docs, sample_rows=2).count() <= 2
 
 
+def test_repeated_ids_hide_no_language(spark):
+    rows = [(1 + i % 4, f"a hot text {i}", "en") for i in range(400)]
+    rows += [(100 + i, f"ein Text {i}", "de") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    got = langid.learnable(docs, sample_rows=10).collect()
+    assert {r.lang for r in got} == {"en", "de"} and len(got) <= 10
+    for lang in ("en", "de"):
+        assert len({r.text for r in got if r.lang == lang}) == sum(r.lang == lang for r in got) <= 5
+
+
+def test_every_language_is_learned_or_the_run_ends(spark):
+    rows = [(i, f"text {i}", f"x{i % 250}") for i in range(2500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = langid.learnable(docs, max_languages=250).collect()
+    assert len({r.lang for r in got}) == 250
+    with pytest.raises(ValueError, match="more than 200 languages"):
+        langid.learnable(docs)
+
+
 def test_held_out_accuracy(spark, sf_dir):
     path = sf_dir.replace("sf0.001", "sf0.01")
     docs = spark.read.parquet(f"{path}/documents.parquet").select("doc_id", "lang", "text")

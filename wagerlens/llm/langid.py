@@ -6,7 +6,10 @@ one. One linear support vector machine per family, against all others, picks the
 one machine per pair of languages votes, ties going to the larger sum of margins.
 
 The machines are fitted on at most `sample_rows` labelled documents (the bound of what reaches the
-driver), the same number of each language, picked by a hash of doc_id. Every text is predicted
+driver), the same number of each language, picked by a hash of doc_id; of rows that repeat a doc_id
+and language the least text is taken. All languages are learned: more than `max_languages` end the
+run with an error, as one machine is fitted for each family and each pair within it. A `sample_rows`
+below the number of languages leaves the rarest out, with a warning. Every text is predicted
 whole. `score` is the product of the family's and the language's confidence, each a logistic
 function of margins.
 
@@ -18,6 +21,7 @@ Repeated rows are predicted alike; extra columns are left to the caller.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import combinations
@@ -172,14 +176,22 @@ def held_out(doc_id: str = "doc_id") -> Column:
     )
 
 
-def learnable(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+def learnable(
+    docs: DataFrame, sample_rows: int = SAMPLE_ROWS, max_languages: int = MAX_LANGUAGES
+) -> DataFrame:
     """lang and text of the labelled documents that are fitted on, `sample_rows` at most."""
     rows = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
     named = rows.select(
         F.col("lang").cast("string").alias("lang"), F.col("doc_id").cast("long").alias("doc_id")
-    )
-    counts = named.groupBy("lang").count().orderBy(F.desc("count"), "lang")
-    langs = {r["lang"]: r["count"] for r in counts.limit(MAX_LANGUAGES).collect()}
+    ).distinct()
+    counts = named.groupBy("lang").count()
+    found = counts.limit(max_languages + 1).collect()
+    if len(found) > max_languages:
+        raise ValueError(f"more than {max_languages} languages to learn: raise max_languages")
+    found.sort(key=lambda r: (-r["count"], r["lang"]))
+    if len(found) > sample_rows:
+        warnings.warn(f"{sample_rows} of {len(found)} languages are learned: raise sample_rows")
+    langs = {r["lang"]: r["count"] for r in found[:sample_rows]}
     each = max(1, sample_rows // max(1, len(langs)))
     # Of a language with many rows only those of small hash are ranked, twice as many as needed on
     # average, so no task gets all rows of a common language.
@@ -195,7 +207,6 @@ def learnable(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
         .withColumn("place", F.row_number().over(order))
         .filter(F.col("place") <= each)
         .select("doc_id", "lang")
-        .distinct()
     )
     texts = rows.select(
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -204,10 +215,12 @@ def learnable(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     )
     # At most `sample_rows` ids and languages are broadcast.
     found = texts.join(F.broadcast(picked), ["doc_id", "lang"], "left_semi")
-    return found.select("lang", "text").limit(sample_rows)
+    return found.groupBy("doc_id", "lang").agg(F.min("text").alias("text")).select("lang", "text")
 
 
-def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
+def fit(
+    docs: DataFrame, sample_rows: int = SAMPLE_ROWS, max_languages: int = MAX_LANGUAGES
+) -> Model:
     """The model of a bounded sample; its features are made by Spark's tasks."""
     importable(docs.sparkSession)
 
@@ -220,7 +233,7 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
                         [pa.array([lang]), pa.array([row], pa.binary())], names=["lang", "x"]
                     )
 
-    rows = learnable(docs, sample_rows).mapInArrow(describe, "lang string, x binary").collect()
+    rows = learnable(docs, sample_rows, max_languages).mapInArrow(describe, "lang string, x binary").collect()
     if not rows:
         return Model()
     rows.sort(key=lambda r: (r["lang"], bytes(r["x"])))
@@ -261,9 +274,11 @@ def predict(
     return picked.mapInArrow(label, kinds.add(lang_pred, "string").add(sure, "double"))
 
 
-def identify(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+def identify(
+    docs: DataFrame, sample_rows: int = SAMPLE_ROWS, max_languages: int = MAX_LANGUAGES
+) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every document."""
-    model = fit(docs, sample_rows)
+    model = fit(docs, sample_rows, max_languages)
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return predict(ids, model, ["doc_id"]).select(
         "doc_id", held_out().alias("held_out"), "lang_pred", "score"
