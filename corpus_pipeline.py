@@ -1,7 +1,7 @@
 """From raw documents to packed training sequences.
 
 Each stage takes the documents its predecessor kept, written as Parquet and read again; all but
-the last return the columns of `documents`. Language identification drops what it can't place,
+the last return the columns of `documents`. Language identification drops null and letterless texts,
 line dedup takes a site's repeated lines out of the texts, SimHash keeps one document of each
 group of near-duplicates, and packing returns the pieces with the sequence each lies in.
 """
@@ -21,12 +21,16 @@ from wagerlens.llm.lines import drop_site_lines  # noqa: E402
 from wagerlens.llm.packing import pack_documents  # noqa: E402
 from wagerlens.llm.simhash import one_of_each  # noqa: E402
 
-#: Both steps of the language decision were hardly better than a coin toss.
+#: Both steps of the language decision were hardly better than a coin toss; rejects next to nothing.
 LEAST_LANGUAGE_SCORE = 0.3
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts that are null, hold no letter, or are in no learned language."""
+    """Drops texts that are null or hold no letter.
+
+    A text in a language that was never learned gets a learned one and stays: scores are relative, so
+    hardly any falls below the least.
+    """
     return keep_identified(docs, least=LEAST_LANGUAGE_SCORE)
 
 
