@@ -15,6 +15,7 @@ from wagerlens.llm.resharding import reshard
 from wagerlens.llm.sampling import sampled_digests
 from wagerlens.llm.simhash import near_duplicates
 from wagerlens.llm.token_files import token_file_digests
+from wagerlens.llm.whitening import whiten
 from wagerlens.llm.wordpiece import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,6 +85,11 @@ def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+@query("op12_embedding_whitening")
+def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
