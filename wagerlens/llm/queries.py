@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wagerlens.llm.common import table
-from wagerlens.llm import exact_topk, lines, multiindex
+from wagerlens.llm import exact_topk, lines, multiindex, phrases
 from wagerlens.llm.langid import identify
 from wagerlens.llm.packing import pack_documents
 from wagerlens.llm.resharding import reshard
@@ -90,6 +90,11 @@ def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(table(spark, sf_dir, "embeddings"))
 
 
+@query("op13_phrase_collocations", phrases.check_sql())
+def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
