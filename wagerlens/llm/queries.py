@@ -11,6 +11,7 @@ from wagerlens.llm.common import table
 from wagerlens.llm import exact_topk, lines, multiindex, phrases
 from wagerlens.llm.langid import identify
 from wagerlens.llm.packing import pack_documents
+from wagerlens.llm.pii import private_digests
 from wagerlens.llm.resharding import reshard
 from wagerlens.llm.sampling import sampled_digests
 from wagerlens.llm.simhash import near_duplicates
@@ -85,6 +86,11 @@ def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+@query("op11_candidate_boosting")
+def candidate_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private_digests(table(spark, sf_dir, "documents"))
+
+
 @query("op12_embedding_whitening")
 def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(table(spark, sf_dir, "embeddings"))
