@@ -97,3 +97,45 @@ def test_query_is_lossless(spark, sf_dir):
     got = QUERIES["op9_sampled_segmentation"](spark, sf_dir).collect()
     assert len(got) == len(docs) and all(r.lossless for r in got)
     assert all(r.text_crc32 == zlib.crc32((docs[r.doc_id] or "").encode()) for r in got)
+
+
+def test_ids_depend_on_nothing_but_key_and_text(lattice, monkeypatch):
+    from wagerlens.llm import sampling
+
+    rng = np.random.RandomState(4)
+    letters = list("abcdefghijklmnopqrstuvwxyzé")
+    word = lambda: "".join(rng.choice(letters, rng.randint(1, 14)))
+    texts = [" ".join(word() for _ in range(40)) for _ in range(300)] + ["zz" * 5000]
+    keys = list(range(len(texts)))
+    lattice.forget()
+    together, counts = lattice.sample(keys, texts)
+    edges = {w: (int(lattice.kept_base.rows[i]), int(lattice.kept_size.rows[i])) for w, i in lattice.known.items()}
+    parts = {w: _parts(lattice, *at) for w, at in edges.items()}
+    for size in (1, 100):
+        lattice.forget()
+        found = [lattice.sample(keys[i : i + size], texts[i : i + size])[0] for i in range(0, len(keys), size)]
+        assert (np.concatenate(found) == together).all()
+    lattice.forget()
+    lattice.sample([0], [" ".join(word() for _ in range(60_000))])
+    assert len(lattice.known) > 40_000
+    after, sizes = lattice.sample(keys, texts)
+    assert (after == together).all() and (sizes == counts).all()
+    for w, p in parts.items():
+        i = lattice.known[w]
+        assert p == _parts(lattice, int(lattice.kept_base.rows[i]), int(lattice.kept_size.rows[i]))
+    monkeypatch.setattr(sampling, "KEPT_EDGES", 100)
+    found = [lattice.sample(keys[i : i + 7], texts[i : i + 7])[0] for i in range(0, len(keys), 7)]
+    assert (np.concatenate(found) == together).all()
+    assert len(lattice.known) < 500
+
+
+def _parts(lattice, base, size):
+    """Parts of every place of a kept word; each place's end with the whole."""
+    firsts = lattice.kept_first.rows[base + 1 : base + size].tolist()
+    out = []
+    for first in firsts:
+        row = []
+        while not row or row[-1] < (1 << 32) - 1:
+            row.append(int(lattice.kept_run.rows[first + len(row)]))
+        out.append(row)
+    return out

@@ -7,9 +7,11 @@ A piece weighs `(rank + 1) ** -sharpness`, its rank being its place in the vocab
 Characters without a piece are written as bytes.
 
 No piece has the blank mark behind another character, so the lattice of a text falls apart into
-those of its words, which are filtered once per distinct word. Random numbers are a hash of the row
-key, the place in the text and the step: they depend on nothing else, and a task that is run again
-draws them again.
+those of its words. A worker keeps the filtered lattices of words it has met, up to `KEPT_EDGES` pieces,
+and starts anew beyond that. Shares are whole numbers of 2 ** -32 that are worked out word by word;
+random numbers are a hash of the row key, the place in the text and the step. So ids depend on
+nothing but key, text, vocabulary and seed: not on the batch, on neighbours or on what a worker
+keeps, and a task that is run again draws them again.
 
 Nulls, empty texts: both have no ids and decode to an empty text. Rows with equal keys and texts
 are cut alike; a null key is a key. An empty table gives an empty result.
@@ -32,6 +34,9 @@ from wagerlens.llm.tokens import vocabulary
 
 MARK = "▁"
 SHARPNESS = 0.3
+# Shares of a place are cut into so many whole parts.
+PARTS = 1 << 32
+KEPT_EDGES = 10_000_000
 BATCH_CHARS = 1_000_000
 BATCH_ROWS = 256
 # Stand-ins for the 256 bytes inside a lattice; the characters themselves have no piece.
@@ -83,6 +88,7 @@ class Lattice:
         self.log_weight = np.empty(size)
         self.log_weight[order] = -sharpness * np.log(np.arange(size) + 1.0)
         self._build_trie()
+        self.forget()
 
     def _build_trie(self) -> None:
         """Edges as sorted numbers (node, code) and the nodes they lead to; a piece id per node."""
@@ -145,10 +151,12 @@ class Lattice:
             at, node = at[more], node[more]
         return tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
-    def filtered(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Start, piece id and (end place + cumulated share) of all pieces, by end place.
+    def filtered(self, words: list[str]) -> tuple[np.ndarray, ...]:
+        """All pieces by end place, the likeliest of a place first: how far back each starts, its id,
+        its end place, and the last part of the place that is its own.
 
-        Sums run in logarithms, over all words at once, from the first place to the last.
+        Sums run in logarithms, over all words at once, from the first place to the last. Parts are
+        rounded piece by piece and summed as whole numbers, so they don't depend on other words.
         """
         start, end, depth, piece = self.matches(words)
         order = np.argsort(end, kind="stable")
@@ -170,58 +178,127 @@ class Lattice:
             value = total[start[some]] + weight[some]
             most = np.maximum.reduceat(value, cuts)
             part = np.exp(value - np.repeat(most, lots))
-            summed = np.add.reduceat(part, cuts)
+            summed = np.add.reduceat(part, cuts)  # each sum from its own pieces, in their order
             total[ends[cuts]] = most + np.log(summed)
             share[some] = part / np.repeat(summed, lots)
+        parts = np.rint(share * PARTS).astype(np.int64)
+        order = np.argsort((end << 33) - parts, kind="stable")  # of equal ones the shorter first
+        start, end, piece, parts = start[order], end[order], piece[order], parts[order]
         cuts = np.flatnonzero(np.r_[True, end[1:] != end[:-1]])
         lots = np.diff(np.r_[cuts, len(end)])
-        run = np.cumsum(share)
-        run -= np.repeat(run[cuts] - share[cuts], lots)
-        run[cuts + lots - 1] = 1.0
-        return start, piece, end + np.minimum(run, 1.0)
+        run = np.cumsum(parts)  # below 2 ** 63 for 2 ** 31 places
+        run -= np.repeat(run[cuts] - parts[cuts], lots)
+        run[cuts + lots - 1] = PARTS
+        return end - start, piece, end, run - 1
+
+    def _keep(self, words: list[str]) -> None:
+        """Filter words that were not met yet and add their pieces to the kept ones."""
+        back, piece, end, run = self.filtered(words)
+        sizes = np.array([len(w) + 1 for w in words])
+        edges = np.bincount(end, minlength=int(sizes.sum()))
+        kept = len(self.kept_back)
+        first = kept + np.cumsum(edges) - edges
+        self.kept_base.extend(len(self.kept_first) + np.cumsum(sizes) - sizes)
+        self.kept_size.extend(sizes)
+        self.kept_first.extend(first)
+        self.kept_back.extend(back)
+        self.kept_piece.extend(piece)
+        self.kept_run.extend(run)
+
+    def forget(self) -> None:
+        """Start anew with no words kept."""
+        self.known = Numbered()
+        self.kept_base, self.kept_size = Growing(np.int64), Growing(np.int64)  # per word
+        self.kept_first = Growing(np.int64)  # per place: its first piece
+        self.kept_back, self.kept_piece = Growing(np.uint16), Growing(np.uint32)  # per piece
+        self.kept_run = Growing(np.uint32)
 
     def sample(self, keys: list, texts: list[str], seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and how many each text has."""
-        number: dict[str, int] = {}
+        if len(self.kept_back) > KEPT_EDGES:
+            self.forget()
+        met = len(self.known)
         words: list[int] = []
         per_text = []
         for text in texts:
             cut = SPLITS.findall(self.prepared(text)) if text else []
-            words.extend([number.setdefault(w, len(number)) for w in cut])
+            words.extend(map(self.known.__getitem__, cut))
             per_text.append(len(cut))
         if not words:
             return np.empty(0, dtype=np.uint32), np.zeros(len(texts), dtype=np.int64)
-        start, piece, share = self.filtered(list(number))
-        sizes = np.array([len(w) + 1 for w in number])
-        base = np.cumsum(sizes) - sizes  # the first place of each word
+        if len(self.known) > met:
+            self._keep(self.known.listed)
+            self.known.listed.clear()
         per_text = np.array(per_text)
         word = np.array(words)
         text_of = np.repeat(np.arange(len(texts)), per_text)
         within = np.arange(len(word)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
         state = mixed(row_seeds(keys, seed)[text_of] + within.astype(np.uint64) * GOLDEN)
-        first, node = base[word], base[word] + sizes[word] - 1
+        base = self.kept_base.rows[word]
+        node = base + self.kept_size.rows[word] - 1
+        first, run = self.kept_first.rows, self.kept_run.rows
+        back, piece = self.kept_back.rows, self.kept_piece.rows
         live = np.arange(len(word))
         picked, owner = [], []
         step = 0
         while len(live):
             step += 1
             salt = np.uint64(step * int(GOLDEN) % (1 << 64))
-            drawn = mixed(state[live] + salt) >> np.uint64(36)
-            at = node[live] + drawn.astype(np.float64) * 2.0**-28
-            at = np.minimum(at, np.nextafter(node[live] + 1.0, 0))
-            edge = np.minimum(np.searchsorted(share, at, side="right"), len(share) - 1)
+            drawn = (mixed(state[live] + salt) >> np.uint64(32)).astype(np.uint32)
+            edge = first[node[live]]
+            more = np.flatnonzero(run[edge] < drawn)
+            while len(more):  # likely pieces come first, so few draws look at many
+                edge[more] += 1
+                more = more[run[edge[more]] < drawn[more]]
             picked.append(piece[edge])
             owner.append(live)
-            node[live] = start[edge]
-            live = live[node[live] > first[live]]
+            node[live] -= back[edge]
+            live = live[node[live] > base[live]]
         counts = np.bincount(np.concatenate(owner), minlength=len(word))
         ends = np.cumsum(counts)
         ids = np.empty(int(ends[-1]), dtype=np.uint32)
-        for back, (own, chosen) in enumerate(zip(owner, picked, strict=True)):
-            ids[ends[own] - 1 - back] = chosen
+        for before, (own, chosen) in enumerate(zip(owner, picked, strict=True)):
+            ids[ends[own] - 1 - before] = chosen
         return ids, np.bincount(text_of, weights=counts, minlength=len(texts)).astype(np.int64)
 
 
+class Numbered(dict):
+    """Numbers words as they come; `listed` are those that were not filtered yet."""
+
+    def __init__(self):
+        super().__init__()
+        self.listed: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        self.listed.append(word)
+        return number
+
+
+class Growing:
+    """An array that is added to at its end, in space that doubles."""
+
+    def __init__(self, kind):
+        self._all = np.empty(1024, dtype=kind)
+        self._n = 0
+
+    def __len__(self) -> int:
+        return self._n
+
+    @property
+    def rows(self) -> np.ndarray:
+        return self._all[: self._n]
+
+    def extend(self, rows: np.ndarray) -> None:
+        end = self._n + len(rows)
+        if end > len(self._all):
+            grown = np.empty(max(end, 2 * len(self._all)), dtype=self._all.dtype)
+            grown[: self._n] = self.rows
+            self._all = grown
+        self._all[self._n : end] = rows
+        self._n = end
+
+
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
