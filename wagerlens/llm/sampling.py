@@ -36,7 +36,7 @@ MARK = "▁"
 SHARPNESS = 0.3
 # Shares of a place are cut into so many whole parts.
 PARTS = 1 << 32
-KEPT_EDGES = 10_000_000
+KEPT_EDGES = 4_000_000
 BATCH_CHARS = 1_000_000
 BATCH_ROWS = 256
 # Stand-ins for the 256 bytes inside a lattice; the characters themselves have no piece.
