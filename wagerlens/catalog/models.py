@@ -265,6 +265,34 @@ def _(lake: Lake) -> DataFrame:
     return fraud.ip_logins_per_hour(lake.sessions)
 
 
+_TRAILING_SQL = """SELECT a.ip, a.t AS login_time, count(*) AS logins,
+          count(DISTINCT b.player_id) AS distinct_players
+        FROM (SELECT DISTINCT ip, session_timestamp AS t FROM dim_sessions
+              WHERE ip IS NOT NULL AND session_timestamp IS NOT NULL) AS a
+        JOIN dim_sessions AS b ON a.ip = b.ip AND b.session_timestamp <= a.t
+          AND b.session_timestamp > a.t - INTERVAL 1 HOUR
+        GROUP BY a.ip, a.t"""
+
+
+@query(
+    "m18_trailing_hour",
+    f"SELECT ip, {ts('login_time')} AS login_time, logins, distinct_players FROM ({_TRAILING_SQL})",
+)
+def _(lake: Lake) -> DataFrame:
+    return fraud.trailing_hour(lake.sessions)
+
+
+@query(
+    "m18_busiest_hours",
+    f"""SELECT ip, max(logins) AS peak_logins, max(distinct_players) AS peak_players,
+          {ts('arg_min(login_time, (-logins, login_time))')} AS peak_logins_at,
+          {ts('arg_min(login_time, (-distinct_players, login_time))')} AS peak_players_at
+        FROM ({_TRAILING_SQL}) GROUP BY ip""",
+)
+def _(lake: Lake) -> DataFrame:
+    return fraud.busiest_hours(lake.sessions)
+
+
 @query(
     "m19_period_totals",
     f"""SELECT {day("date_trunc('month', transaction_date)")} AS period, transaction_type,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wagerlens.functions.text import key_time, money_text, surrogate_key
@@ -253,8 +253,8 @@ _GROUP_COLUMNS = ["distinct_players", "first_seen", "last_seen"]
 
 
 def ip_logins_per_hour(sessions: DataFrame) -> DataFrame:
-    """Logins and distinct players per address and hour; hours start every ten minutes, so a burst of
-    up to 50 minutes is whole in one of them wherever it begins. A longer one can be cut."""
+    """Logins and distinct players per address and hour, for hours that start every ten minutes. For bursts
+    that begin anywhere see trailing_hour()."""
     # Counted per slot and player first: a busy address is spread over its players, and what is
     # copied to the six hours that hold a slot is a count.
     slot = F.window("session_timestamp", "10 minutes")["start"]
@@ -272,3 +272,97 @@ def ip_logins_per_hour(sessions: DataFrame) -> DataFrame:
     return per_player.groupBy("ip", "hour_start").agg(
         F.sum("n").alias("logins"), F.count("player_id").alias("distinct_players")
     )
+
+
+TRAILING = 60  # minutes
+
+
+def trailing_hour(sessions: DataFrame, minutes: int = TRAILING) -> DataFrame:
+    """ip, login_time, logins, distinct_players: for every address and time of a login, all logins of
+    the address within the time before it (start excluded, login included) and the players behind them.
+
+    A sweep over openings and closings: a login opens a stretch that closes `minutes` later, and what
+    is open at a time is the running sum. Stretches of one player that overlap are merged, so open
+    stretches are distinct players. Logins of a player within one slot of that length always overlap;
+    merging needs the first and last of each slot only, never the single logins of a busy player.
+    Running sums are made per address and minute and carried over from minute to minute, so a busy
+    address is spread over its minutes. Logins without address or time are left out; those without a
+    player count as logins.
+    """
+    length = F.make_dt_interval(mins=F.lit(minutes))
+    logins = sessions.filter(F.col("ip").isNotNull() & F.col("session_timestamp").isNotNull()).select(
+        "ip", "player_id", F.col("session_timestamp").alias("time")
+    )
+    opened = (
+        logins.groupBy("ip", "time")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select("ip", "time", "n", F.lit(0).cast("long").alias("players"))
+    )
+    events = (
+        opened.withColumn("is_login", F.lit(True))
+        .unionByName(
+            opened.select("ip", (F.col("time") + length).alias("time"), (-F.col("n")).alias("n"),
+                          "players", F.lit(False).alias("is_login"))
+        )
+        .unionByName(_player_stretches(logins, minutes))
+        .groupBy("ip", "time")
+        .agg(F.sum("n").alias("n"), F.sum("players").alias("players"), F.max("is_login").alias("is_login"))
+        .withColumn("slot", F.date_trunc("minute", "time"))
+    )
+    before = Window.partitionBy("ip").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    carried = events.groupBy("ip", "slot").agg(F.sum("n").alias("n"), F.sum("players").alias("players")).select(
+        "ip", "slot",
+        *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_before") for c in ("n", "players")],
+    )
+    so_far = Window.partitionBy("ip", "slot").orderBy("time").rowsBetween(Window.unboundedPreceding, 0)
+    summed = events.withColumns({c: F.sum(c).over(so_far) for c in ("n", "players")})
+    return (
+        summed.filter("is_login")
+        .join(carried, ["ip", "slot"])
+        .select(
+            "ip", F.col("time").alias("login_time"), (F.col("n") + F.col("n_before")).alias("logins"),
+            (F.col("players") + F.col("players_before")).alias("distinct_players"),
+        )
+    )
+
+
+def _player_stretches(logins: DataFrame, minutes: int) -> DataFrame:
+    """+1 where a stretch of a player on an address opens and -1 where it closes."""
+    length = F.make_dt_interval(mins=F.lit(minutes))
+    per_slot = (
+        logins.filter(F.col("player_id").isNotNull())
+        .groupBy("ip", "player_id", F.window("time", f"{minutes} minutes")["start"].alias("slot"))
+        .agg(F.min("time").alias("first"), F.max("time").alias("last"))
+    )
+    along = Window.partitionBy("ip", "player_id").orderBy("slot")
+    ends = per_slot.withColumns(
+        {"was": F.lag("last").over(along), "next": F.lead("first").over(along)}
+    )
+    opens = F.col("was").isNull() | (F.col("was") + length <= F.col("first"))
+    closes = F.col("next").isNull() | (F.col("last") + length <= F.col("next"))
+    both = F.array_compact(
+        F.array(
+            F.when(opens, F.struct(F.col("first").alias("time"), F.lit(1).alias("players"))),
+            F.when(closes, F.struct((F.col("last") + length).alias("time"), F.lit(-1).alias("players"))),
+        )
+    )
+    return ends.select("ip", F.explode(both).alias("e")).select(
+        "ip", F.col("e.time").alias("time"), F.lit(0).cast("long").alias("n"),
+        F.col("e.players").cast("long").alias("players"), F.lit(False).alias("is_login"),
+    )
+
+
+def busiest_hours(sessions: DataFrame, minutes: int = TRAILING) -> DataFrame:
+    """Per address the most logins and the most players within one trailing hour, wherever it begins, and
+    when each was reached first."""
+    at = trailing_hour(sessions, minutes)
+    best = lambda c: F.max(F.struct(F.col(c), -F.unix_micros("login_time")))
+    when = lambda c: F.timestamp_micros(-F.col(f"{c}.col2"))
+    return (
+        at.groupBy("ip")
+        .agg(best("logins").alias("l"), best("distinct_players").alias("p"))
+        .select(
+            "ip", F.col("l.logins").alias("peak_logins"), when("l").alias("peak_logins_at"),
+            F.col("p.distinct_players").alias("peak_players"), when("p").alias("peak_players_at"),
+        )
+    )
