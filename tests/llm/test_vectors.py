@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 from collections import Counter
 
 import numpy as np
@@ -136,8 +137,7 @@ def test_links_count_for_both_ends(spark, monkeypatch):
 
 def plain_top(rows, step=50, k=5):
     kept = [(i, v) for i, v, *_ in rows if i is not None and usable(v)]
-    limit = 1 << 28
-    whole = [[max(-limit, min(limit, int(np.floor(256 * x)) if abs(x) < 1e15 else int(np.sign(x)) * limit)) for x in v] for _, v in kept]
+    whole = [[math.floor(256 * x) for x in v] for _, v in kept]
     out = []
     for q, (i, _) in enumerate(kept):
         if i % step:
@@ -151,7 +151,7 @@ def plain_top(rows, step=50, k=5):
 
 
 def test_top_k_of_odd_vectors(spark):
-    rows = odd_rows()
+    rows = [r for r in odd_rows() if r[0] != 11]
     frame = spark.createDataFrame(rows, VECTORS).repartition(3)
     asked = F.col("vec_id") % 50 == 0
     for block in (4096, 3):
@@ -161,6 +161,59 @@ def test_top_k_of_odd_vectors(spark):
     assert exact_topk.top_k(frame.filter("vec_id = 0"), asked).collect() == []
 
 
+def test_top_k_of_large_components(spark):
+    asked = F.col("vec_id") % 50 == 0
+    frame = lambda rows: spark.createDataFrame([(i, v, 1, "x", "x") for i, v in rows], VECTORS)
+    rows = [(0, [2e6, 0.0]), (1, [2e6, 0.0]), (2, [3e6, 0.0])]
+    got = exact_topk.top_k(frame(rows), asked).collect()
+    assert sorted(map(tuple, got)) == [(0, 1, 2, 393216000000000000), (0, 2, 1, 262144000000000000)]
+    # Products of single terms pass 64 bits, the sums that are returned don't.
+    rows = [(0, [4e7, 4e7, 1.0]), (1, [4e7, -4e7, 3.0]), (2, [4e7, -4e7, 2.0]), (3, [-4e7, 3e7, 0.0]),
+            (50, [1.0, 0.5, -2.0])]
+    got = exact_topk.top_k(frame(rows), asked, k=2).collect()
+    assert Counter(map(tuple, got)) == Counter(plain_top(rows, k=2))
+    with pytest.raises(Exception, match="too large for a long"):
+        exact_topk.top_k(frame([(0, [4e7] * 40), (1, [4e7] * 40)]), asked).collect()
+    with pytest.raises(Exception, match="too large for a long"):
+        exact_topk.top_k(frame([(0, [1.0]), (11, [1e300])]), asked).collect()
+
+
+def test_top_k_equals_sql_on_large_components(spark):
+    duckdb = pytest.importorskip("duckdb")
+    rows = [(i, [2e6 * ((i * 7) % 5 - 2), 1e6 * (i % 3), 0.25 * i]) for i in range(60)]
+    frame = spark.createDataFrame([(i, v, 1, "x", "x") for i, v in rows], VECTORS)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding DOUBLE[])")
+    con.executemany("INSERT INTO embeddings VALUES (?, ?)", rows)
+    cursor = con.execute(CHECKS["op10_exact_top_k"])
+    names = [d[0] for d in cursor.description]
+    df = exact_topk.top_k(frame, F.col("vec_id") % 50 == 0)
+    want = sorted(tuple(r[names.index(c)] for c in df.columns) for r in cursor.fetchall())
+    assert sorted(map(tuple, df.collect())) == want
+
+
+def test_bound_keeps_every_link_of_both_halves():
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(12, 16)) * 3
+    x = multiindex.unit(np.concatenate([c + 0.3 * rng.normal(size=(40, 16)) for c in centres]))
+    grid = multiindex.Grid.learn(x, 8)
+    one, two = grid.gaps(x)
+    home = one.argmin(axis=1), two.argmin(axis=1)
+    far = [np.array([np.sqrt(g[h == k, k]).max(initial=-1) for k in range(8)]) for g, h in zip((one, two), home)]
+    held = np.zeros((8, 8), dtype=bool)
+    held[home] = True
+    reach = multiindex.Reach(*far, held)
+    close = x @ x.T >= 0.9
+    visited = 0
+    for k in range(len(x)):
+        ways = reach.ways(one[k], two[k], 0.2 + 1e-6)
+        gap = one[k][ways // 8] + two[k][ways % 8]
+        assert (np.diff(gap) >= 0).all()
+        assert set((home[0] * 8 + home[1])[close[k]]) <= set(ways.tolist())
+        visited += len(ways)
+    assert visited < 0.5 * len(x) * held.sum()  # both halves rule cells out
+
+
 @pytest.mark.parametrize("name", ["op8_multi_index_near_vectors", "op10_exact_top_k"])
 def test_queries_against_sql(spark, sf_dir, name):
     duckdb = pytest.importorskip("duckdb")

@@ -5,8 +5,12 @@ block into one posting list per term (the rows with a weight other than zero, an
 and every query row of the stream that follows scatters its weighted postings into a dense array
 of scores. The k best of a block are found by partition selection, and blocks are merged by a
 window per query. Every query meets every candidate; a task holds one block and a few queries.
+Queries are copied once per block, so a block is as large as `block_bytes` allow, but for small
+tables there are as many as the cluster has cores.
 
-Scores are exact in 64 bits for components up to 2**28 after scaling; larger ones are set to that.
+Scores are exact. Where the weights of a block and of a query could add up to more than 64 bits,
+their products are summed as integers of any size. A component that doesn't fit a long after
+scaling, and a score among the best that doesn't, end the run with an error.
 Nulls: vectors that are null or hold null or non-finite components, and rows without a vec_id,
 take no part; missing components count as zero, and a zero vector has score zero with all. Ties
 go to the smaller vec_id. Repeated rows are candidates of their own; a query leaves out its own row
@@ -26,17 +30,26 @@ from wagerlens.llm.common import importable, key_runs, store
 from wagerlens.llm.vectors import finite, matrix
 
 SCALE = 256
-LARGEST = 1 << 28
-BLOCK = 4096
+BLOCK_BYTES = 96 << 20
+LEAST_BLOCK = 4096
 QUERY_BLOCK = 64
+SAFE = 1 << 62
 
 
 def whole_numbers(vector: Column, scale: int = SCALE) -> Column:
-    scaled = lambda x: F.floor(F.lit(float(scale)) * x.cast("double"))
-    return F.transform(
-        vector,
-        lambda x: F.greatest(F.lit(-LARGEST), F.least(F.lit(LARGEST), scaled(x))).cast("long"),
-    )
+    """floor(scale * c) of every component; an error if one doesn't fit a long."""
+
+    def one(c: Column) -> Column:
+        scaled = F.lit(float(scale)) * c.cast("double")
+        return F.when(F.abs(scaled) < F.lit(float(SAFE)), F.floor(scaled)).otherwise(
+            F.raise_error(F.lit("a component is too large for a long"))
+        )
+
+    return F.transform(vector, one)
+
+
+def _largest(weights: np.ndarray) -> int:
+    return int(np.abs(weights).max(initial=0))
 
 
 class Postings:
@@ -44,6 +57,7 @@ class Postings:
 
     def __init__(self, names: np.ndarray, rows: np.ndarray, weights: np.ndarray):
         self.names, self.rows = names, rows  # vec_ids, row numbers
+        self.largest = _largest(weights)
         self.lists = []
         for term in range(weights.shape[1]):
             at = np.flatnonzero(weights[:, term])
@@ -51,8 +65,12 @@ class Postings:
 
     def scores(self, queries: np.ndarray) -> np.ndarray:
         """One row per candidate, one column per query."""
-        dense = np.zeros((len(self.names), len(queries)), dtype=np.int64)
+        wide = self.largest * _largest(queries) * max(1, len(self.lists)) >= SAFE
+        kind = object if wide else np.int64
+        dense = np.zeros((len(self.names), len(queries)), dtype=kind)
+        queries = queries.astype(kind)
         for term, (at, weights) in enumerate(self.lists):
+            weights = weights.astype(kind, copy=False)
             asked = np.flatnonzero(queries[:, term])
             if not len(at) or not len(asked):
                 continue
@@ -66,6 +84,9 @@ class Postings:
         """Places of the k best of one column, without row `own`; ties by vec_id and row."""
         places = np.flatnonzero(self.rows != own)
         scores = scores[places]
+        if scores.dtype == object:
+            order = sorted(range(len(places)), key=lambda i: (-scores[i], self.names[places[i]], self.rows[places[i]]))
+            return places[order[:k]]
         if len(places) > k:
             least = np.partition(scores, len(places) - k)[len(places) - k]
             some = scores >= least
@@ -75,11 +96,17 @@ class Postings:
 
 
 def top_k(
-    vectors: DataFrame, is_query: Column, k: int = 5, scale: int = SCALE, block: int = BLOCK
+    vectors: DataFrame,
+    is_query: Column,
+    k: int = 5,
+    scale: int = SCALE,
+    block: int | None = None,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the k best rows for every row that `is_query` picks.
 
-    Queries are repeated once per block of candidates, candidates are shuffled once.
+    Queries are repeated once per block of candidates, candidates are shuffled once. `block` sets the
+    candidates of a block where they should not be worked out.
     """
     importable(vectors.sparkSession)
     rows = store(
@@ -90,7 +117,12 @@ def top_k(
         "whole-numbers",
     )
     count, dims = rows.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("x")), F.lit(0))).first()
-    blocks = max(1, -(-count // block))
+    # A candidate takes a vector, postings of it and the scores of a query block.
+    most = max(1, block_bytes // (8 * (3 * dims + QUERY_BLOCK)))
+    cores = vectors.sparkSession.sparkContext.defaultParallelism
+    blocks = max(-(-count // most), min(cores, -(-count // LEAST_BLOCK)), 1)
+    if block is not None:
+        blocks = max(1, -(-count // block))
     candidates = rows.select(
         F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int").alias("block"),
         F.lit(0).alias("asks"), "row", "vec_id", "x",
@@ -148,13 +180,16 @@ def _answers(
     sizes = [len(p) for p in picked]
     where = np.concatenate(picked) if picked else np.empty(0, dtype=np.int64)
     columns = np.repeat(np.arange(len(names)), sizes)
+    best = dense[where, columns]
+    if best.dtype == object and any(abs(v) >= 1 << 63 for v in best):
+        raise OverflowError("a score is too large for a long")
     return pa.RecordBatch.from_arrays(
         [
             pa.array(np.repeat(rows, sizes)),
             pa.array(np.repeat(names, sizes)),
             pa.array(block.names[where]),
             pa.array(block.rows[where]),
-            pa.array(dense[where, columns]),
+            pa.array(best.astype(np.int64)),
         ],
         names=["query_row", "query_id", "vec_id", "row", "score"],
     )

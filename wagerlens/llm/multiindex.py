@@ -9,10 +9,14 @@ half of them, plus a quarter, if it also reaches `recall` on the other half. Eac
 whatever its copies, and the mean recall of the linked points must reach `recall` as well, so that
 one dense group doesn't decide alone. `queries` points a half are asked first, more until each half
 has LEAST_PAIRS pairs of LEAST_LINKED points or 32 * `queries` points (or all) are asked. Where that
-doesn't settle the count, nothing is left out instead: cells are the codes of the first halves, and a
-vector visits each whose farthest member may lie within the distance that the cosine allows (nearly
-all pairs are compared then). Bounded are the sample for the codebooks, the codebooks (broadcast) and
-the measured queries (broadcast); every vector is indexed and visits.
+doesn't settle the count (links too rare to count), it is a bound that ends the traversal instead of a
+number: every code has the distance of its farthest half, so a cell whose least possible distance from
+the vector, over both halves, is more than the cosine allows can hold no link and is not visited. All
+others that hold a vector are, nearest first, and no link is lost. The traversal, cells and checks are
+the same either way; the count only saves visits. How much the bound saves depends on the data: little
+where all vectors are about as far from each other.
+Bounded are the sample for the codebooks, the codebooks, their distances and one bit per cell (at most
+MOST_CODES ** 2), and the measured queries, all broadcast; every vector is indexed and visits.
 
 Equal vectors are one point with a count. A crowded cell is cut into slices by a hash, and each
 slice of visitors meets each slice of members in a task of its own. A meeting gives the number of
@@ -247,30 +251,78 @@ def linked_ranks(
     return np.array([tuple(r) for r in seen], dtype=kind)
 
 
-def radii(points: DataFrame, grid: Grid) -> np.ndarray:
-    """Distance of each first code to the farthest first half next to it; -1 for none."""
+@dataclass
+class Reach:
+    """What lies in the cells of a grid: the distance of each code to the farthest half next to it (-1
+    for none), and which cells hold a point."""
+
+    first: np.ndarray
+    second: np.ndarray
+    held: np.ndarray
+
+    def ways(self, one: np.ndarray, two: np.ndarray, apart: float) -> np.ndarray:
+        """Cells that may hold a point within `apart` of a vector with these squared distances to the
+        codes, nearest first."""
+        near_one = np.maximum(np.sqrt(one) - self.first, 0) ** 2
+        near_two = np.maximum(np.sqrt(two) - self.second, 0) ** 2
+        i = np.flatnonzero((self.first >= 0) & (near_one <= apart))
+        j = np.flatnonzero((self.second >= 0) & (near_two <= apart))
+        may = (near_one[i][:, None] + near_two[j][None] <= apart) & self.held[np.ix_(i, j)]
+        x, y = np.nonzero(may)
+        x, y = i[x], j[y]
+        order = np.argsort(one[x] + two[y], kind="stable")
+        return (x * len(self.second) + y)[order]
+
+
+def reach_of(points: DataFrame, grid: Grid) -> Reach:
+    """Measured over all points; at most MOST_CODES ** 2 cells and codes come to the driver."""
     shared = points.sparkSession.sparkContext.broadcast(grid)
 
     def farthest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grid = shared.value
-        most = np.full(len(grid.first), -1.0)
+        most = [np.full(len(book), -1.0) for book in (grid.first, grid.second)]
+        held = np.zeros(len(grid.first) * len(grid.second), dtype=bool)
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                one, _ = grid.gaps(unit(matrix(part.column(0), grid.dims, np.float64)))
-                # All codes that tie but for rounding, as either may be found the nearest later.
-                near = one <= one.min(axis=1)[:, None] + 1e-9
-                most = np.maximum(most, np.where(near, np.sqrt(one), -1).max(axis=0))
-        some = np.flatnonzero(most >= 0)
+                gaps = grid.gaps(unit(matrix(part.column(0), grid.dims, np.float64)))
+                homes = []
+                for k, gap in enumerate(gaps):
+                    # All codes that tie but for rounding, as either may be found the nearest later.
+                    near = gap <= gap.min(axis=1)[:, None] + 1e-9
+                    most[k] = np.maximum(most[k], np.where(near, np.sqrt(gap), -1).max(axis=0))
+                    homes.append(near)
+                for a, b in zip(*homes, strict=True):
+                    i, j = np.flatnonzero(a), np.flatnonzero(b)
+                    held[(i[:, None] * len(grid.second) + j[None]).reshape(-1)] = True
+        kinds, codes, far = [], [], []
+        for k, values in enumerate(most):
+            some = np.flatnonzero(values >= 0)
+            kinds += [k] * len(some)
+            codes += some.tolist()
+            far += values[some].tolist()
+        cells = np.flatnonzero(held).tolist()
         yield pa.RecordBatch.from_arrays(
-            [pa.array(some, pa.int64()), pa.array(most[some])], names=["code", "radius"]
+            [
+                pa.array(kinds + [2] * len(cells), pa.int32()),
+                pa.array(codes + cells, pa.int64()),
+                pa.array(far + [0.0] * len(cells), pa.float64()),
+            ],
+            names=["kind", "code", "radius"],
         )
 
-    found = points.select("embedding").mapInArrow(farthest, "code long, radius double")
-    most = np.full(len(grid.first), -1.0)
-    for r in found.groupBy("code").agg(F.max("radius").alias("radius")).collect():
-        most[r["code"]] = r["radius"]
-    return most
+    found = points.select("embedding").mapInArrow(farthest, "kind int, code long, radius double")
+    out = Reach(
+        np.full(len(grid.first), -1.0), np.full(len(grid.second), -1.0),
+        np.zeros(len(grid.first) * len(grid.second), dtype=bool),
+    )
+    for r in found.groupBy("kind", "code").agg(F.max("radius").alias("radius")).collect():
+        if r["kind"] == 2:
+            out.held[r["code"]] = True
+        else:
+            (out.first, out.second)[r["kind"]][r["code"]] = r["radius"]
+    out.held = out.held.reshape(len(grid.first), len(grid.second))
+    return out
 
 
 def place(
@@ -279,29 +331,27 @@ def place(
     """Members and visitors: cell, point, embedding, copies, home, ways.
 
     `home` is the cell of a visitor, `ways` are the cells a member visits; empty where every link is
-    found from both its ends. Without `visits`, cells are the first codes and all that can hold a link are visited.
+    found from both its ends. Without `visits` all cells that can hold a link are visited.
     """
-    wide = radii(points, grid) if visits is None else None
-    # Halves of linked unit vectors are no farther apart than the vectors; a little for rounding.
-    apart = max(0.0, 2 - 2 * cosine) ** 0.5 + 1e-6
-    shared = points.sparkSession.sparkContext.broadcast((grid, wide))
+    reach = reach_of(points, grid) if visits is None else None
+    # The squared distance of linked unit vectors is at most this; a little for rounding.
+    apart = max(0.0, 2 - 2 * cosine) + 1e-6
+    shared = points.sparkSession.sparkContext.broadcast((grid, reach))
 
     def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grid, wide = shared.value
+        grid, reach = shared.value
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
                 one, two = grid.gaps(unit(matrix(part.column(1), grid.dims, np.float64)))
-                if wide is None:
-                    home = grid.number(one.argmin(axis=1), two.argmin(axis=1))
+                home = grid.number(one.argmin(axis=1), two.argmin(axis=1))
+                if reach is None:
                     ways = [
                         [grid.number(i, j) for i, j in multi_sequence(one[k], two[k], visits)]
                         for k in range(part.num_rows)
                     ]
                 else:
-                    home = one.argmin(axis=1)
-                    may = (wide >= 0) & (np.sqrt(one) - wide <= apart)
-                    ways = [np.flatnonzero(row) for row in may]
+                    ways = [reach.ways(one[k], two[k], apart) for k in range(part.num_rows)]
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(home, pa.int64()), pa.array(ways, pa.list_(pa.int64()))],
                     names=[*part.schema.names, "cell", "ways"],
