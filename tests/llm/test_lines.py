@@ -105,3 +105,18 @@ def test_query_against_sql(spark, sf_dir):
     want = sorted(tuple(r[names.index(c)] for c in df.columns) for r in cursor.fetchall())
     assert sorted(map(tuple, df.collect())) == want
     assert sum(r[3] for r in want) > 0
+
+
+@pytest.mark.parametrize("max_list", [1000, 0])
+def test_a_page_of_many_lines_takes_no_longer_than_its_text(spark, max_list):
+    import time
+
+    often = "\n".join(f"often {i}" for i in range(20))
+    rows = [(i, "a", f"{often}\nown {i}", "x") for i in range(5)]
+    rows.append((9, "a", often + "\n" + "\n".join(f"line {i}" for i in range(200_000)), "x"))
+    start = time.monotonic()
+    got = lines.drop_site_lines(spark.createDataFrame(rows, PAGES), "text", "host", 0.3, 4, max_list=max_list)
+    texts = {r[0]: r[2] for r in got.collect()}
+    assert time.monotonic() - start < 60  # comparing every two lines takes many minutes
+    assert texts[9].startswith("line 0\nline 1\n") and texts[9].count("\n") == 199_999
+    assert texts[3] == "own 3"

@@ -38,9 +38,12 @@ def lines_of(text: Column) -> Column:
 
 
 def digest(line: Column) -> Column:
-    """Digest of a line without blanks at its ends; null for an empty one."""
+    """Digest of a line without blanks at its ends; null for an empty one.
+
+    Kept as text: Spark finds distinct texts of an array by hashing, but compares every two binaries.
+    """
     bare = F.btrim(line, F.lit(BLANKS))
-    return F.when(bare != "", F.unhex(F.md5(bare)))
+    return F.when(bare != "", F.md5(bare))
 
 
 def site_lines(
@@ -121,7 +124,7 @@ def _without_joined(
         F.col(row).alias("page"), *keys, F.posexplode(lines_of(F.col(text))).alias("at", "line")
     )
     # Empty lines match nothing and get keys of their own, longer than any digest.
-    alone = F.concat(F.lit("an empty line, "), F.concat_ws(",", "page", "at")).cast("binary")
+    alone = F.concat(F.lit("an empty line, "), F.concat_ws(",", "page", "at"))
     each = each.withColumn("digest", F.coalesce(digest(F.col("line")), alone))
     marked = salted_join(each, found.withColumn("bad", F.lit(True)), [*keys, "digest"], "left")
     whole = (
