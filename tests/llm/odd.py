@@ -40,3 +40,14 @@ def odd_docs(spark, clashing: bool = True):
 
 def no_docs(spark):
     return spark.createDataFrame([], DOCS)
+
+
+def library_ids(vocab: str):
+    """The ids that a fresh tokenizer of the library gives by its plain call, as bytes."""
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    from wagerlens.llm.tokens import vocabulary
+
+    plain = Tokenizer.from_file(vocabulary(vocab))
+    return lambda text: np.array(plain.encode(text or "", add_special_tokens=False).ids, "<u4").tobytes()

@@ -5,9 +5,10 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from odd import TEXTS, no_docs, odd_docs
+from odd import TEXTS, library_ids, no_docs, odd_docs
+from pyspark.sql import functions as F
 
-from wagerlens.llm.packing import lightest_fit, pack_documents
+from wagerlens.llm.packing import lightest_fit, pack, pack_documents, piece_rows
 from wagerlens.llm.queries import QUERIES
 from wagerlens.llm.tokens import Encoder, encoder, vocabulary
 
@@ -20,20 +21,20 @@ ODD = [
 
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_words_give_the_ids_of_the_whole_text(name):
-    coder = Encoder(vocabulary(name))
+    coder, plain = Encoder(vocabulary(name)), library_ids(name)
     texts = [*ODD, " ".join(ODD), "".join(ODD), *[t for _, t, *_ in TEXTS if t and len(t) < 999]]
     for text in texts + texts:  # the second time from kept words
-        assert coder.encode(text) == (coder.whole(text) if text else b"")
+        assert coder.encode(text) == plain(text)
     assert coder.encode(None) == b""
 
 
 def test_random_latin_texts_give_the_library_s_ids():
     rng = np.random.default_rng(5)
     for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
-        coder = encoder(vocabulary(name))
+        coder, plain = encoder(vocabulary(name)), library_ids(name)
         for _ in range(300):
             text = "".join(map(chr, rng.choice([*range(1, 256), *[32] * 60, 10, 39], 40)))
-            assert coder.encode(text) == coder.whole(text), repr(text)
+            assert coder.encode(text) == plain(text), repr(text)
 
 
 def test_longest_pieces_go_to_the_cheapest_sequence_with_room():
@@ -52,10 +53,10 @@ def test_longest_pieces_go_to_the_cheapest_sequence_with_room():
 
 
 def check(rows, texts, vocab="word_bpe_49k.json", end=1, length=2048):
-    coder = Encoder(vocabulary(vocab))
+    plain = library_ids(vocab)
     want = Counter()
     for doc, text in texts:
-        ids = (coder.whole(text) if text else b"") + np.array([end], "<u4").tobytes()
+        ids = plain(text) + np.array([end], "<u4").tobytes()
         n = len(ids) // 4
         want.update(
             (doc, a, min(length, n - a), zlib.crc32(ids[4 * a : 4 * (a + length)]), n)
@@ -85,3 +86,21 @@ def test_query_packs_whole_documents_with_little_padding(spark, sf_dir):
     rows = QUERIES["op1_cost_balanced_packing"](spark, sf_dir).collect()
     by = check(rows, docs)
     assert sum(r.length for r in rows) > 0.95 * 2048 * len(by)
+
+
+def test_added_tokens_of_a_text_have_their_ids():
+    ids = lambda name, text: np.frombuffer(Encoder(vocabulary(name)).encode(text), "<u4").tolist()
+    assert ids("byte_bpe_50k.json", "hello <|endoftext|> world") == [31373, 220, 50256, 995]
+    assert 49407 in ids("word_bpe_49k.json", "hello <|endoftext|> world")
+
+
+def test_columns_named_like_the_result_stay(spark):
+    docs = odd_docs(spark, clashing=False)
+    pieces = piece_rows(docs, "word_bpe_49k.json", 1).withColumns(
+        {c: F.lit(c) for c in ("offset", "sequence_id", "row", "group", "size")}
+    )
+    got = pack(pieces)
+    assert got.columns == [*pieces.columns, "_sequence_id", "_offset"]
+    rows = got.collect()
+    assert len(rows) == pieces.count()
+    assert all(r["offset"] == "offset" and r["sequence_id"] == "sequence_id" for r in rows)

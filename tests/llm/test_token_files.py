@@ -4,7 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
-from odd import TEXTS, no_docs, odd_docs
+from odd import TEXTS, library_ids, no_docs, odd_docs
 
 from wagerlens.llm.queries import QUERIES
 from wagerlens.llm.token_files import (
@@ -14,7 +14,6 @@ from wagerlens.llm.token_files import (
     token_file_digests,
     write_token_files,
 )
-from wagerlens.llm.tokens import Encoder, vocabulary
 
 
 @pytest.mark.parametrize("n", [1, 2, 255, 256, 257, 3000])
@@ -27,6 +26,10 @@ def test_select_returns_every_value(n, below):
         assert coded.select(i) == values[i]
     with pytest.raises(IndexError):
         coded.select(n)
+    for first in {0, 1, n // 2, n - 1, *range(0, n, 200)}:
+        for count in (1, 7, 256, 600):
+            assert (coded.run(first, count) == values[first : first + count]).all()
+    assert len(coded.run(n)) == 0
 
 
 def test_space_is_near_the_least():
@@ -42,9 +45,9 @@ def test_no_values():
 
 def expected(texts):
     """doc_id, start, n_tokens, crc by the library, in ascending doc_id order."""
-    coder, at, out = Encoder(vocabulary("byte_bpe_50k.json")), 0, []
+    plain, at, out = library_ids("byte_bpe_50k.json"), 0, []
     for doc, text in sorted(texts, key=lambda x: (x[0] is not None, x[0] or 0)):
-        ids = (coder.whole(text) if text else b"") + b"\0\0\0\0"
+        ids = plain(text) + b"\0\0\0\0"
         out.append((doc, at, len(ids) // 4, zlib.crc32(ids)))
         at += len(ids) // 4
     return out
@@ -73,3 +76,17 @@ def test_query_against_the_library(spark, sf_dir):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     got = QUERIES["op2_elias_fano_token_files"](spark, sf_dir).collect()
     assert sorted(map(tuple, got)) == expected(docs)
+
+
+def test_documents_are_found_by_select(spark, monkeypatch):
+    def unpacked(self):
+        raise AssertionError("all values at once")
+
+    monkeypatch.setattr(EliasFano, "values", unpacked)
+    rows = [(i if i % 3 else None, f"text {i} " * (i % 5)) for i in range(700)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = token_file_digests(spark, docs).collect()
+    want = expected(rows)
+    known = lambda found: sorted(map(tuple, (r for r in found if r[0] is not None)))
+    assert known(got) == known(want)
+    assert sorted(r[2:] for r in map(tuple, got) if r[0] is None) == sorted(r[2:] for r in want if r[0] is None)

@@ -10,7 +10,8 @@ thousand lengths each whatever the size of the corpus, and padding is that of a
 group.
 
 Nulls, empty texts: a null text is empty and holds the end id alone. Null and repeated doc_ids are
-rows like others. An empty table gives an empty result. Further columns are carried along.
+rows like others. An empty table gives an empty result. Further columns are carried along; where one
+is named `sequence_id` or `offset` already, the new column gets a `_` in front.
 """
 
 from __future__ import annotations
@@ -108,28 +109,29 @@ def pack(
     `pieces` is stored once with a number for each row, so that a task that is run again deals
     its rows into the same groups.
     """
-    row, group = fresh([*pieces.columns, "sequence_id", "offset"], "row", "group")
+    seq, off = fresh(pieces.columns, "sequence_id", "offset")
+    row, group, size = fresh([*pieces.columns, seq, off], "row", "group", "size")
     kept = store(pieces.withColumn(row, F.monotonically_increasing_id()), "pieces")
-    small = kept.filter(F.col(length) < capacity).select(row, F.col(length).alias("length"))
+    small = kept.filter(F.col(length) < capacity).select(row, F.col(length).alias(size))
     groups = max(1, -(-small.count() // group_pieces))
 
     def deal(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(["length", row], ascending=[False, True])
+        part = part.sort_values([size, row], ascending=[False, True])
         sequence, offset = lightest_fit(
-            part["length"].to_numpy(dtype=np.int64), capacity, linear, quadratic
+            part[size].to_numpy(dtype=np.int64), capacity, linear, quadratic
         )
         first = int(part[group].iloc[0]) << 32
         return pd.DataFrame(
-            {row: part[row].to_numpy(), "sequence_id": 2 * (first + sequence), "offset": offset}
+            {row: part[row].to_numpy(), seq: 2 * (first + sequence), off: offset}
         )
 
     dealt = (
         small.withColumn(group, F.pmod(F.xxhash64(row), F.lit(groups)))
         .groupBy(group)
-        .applyInPandas(deal, f"`{row}` long, sequence_id long, offset long")
+        .applyInPandas(deal, f"`{row}` long, `{seq}` long, `{off}` long")
     )
     whole = kept.filter(F.col(length) >= capacity).select(
-        "*", (2 * F.col(row) + 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
+        "*", (2 * F.col(row) + 1).alias(seq), F.lit(0).cast("long").alias(off)
     )
     packed = kept.filter(F.col(length) < capacity).join(dealt, row)
     return packed.unionByName(whole).drop(row)

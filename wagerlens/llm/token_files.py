@@ -90,6 +90,29 @@ class EliasFano:
         part = int.from_bytes(self.low[first // 8 : -(-last // 8)], "little")
         return (part >> (first % 8)) & ((1 << self.bits) - 1)
 
+    def run(self, first: int, count: int = STEP) -> np.ndarray:
+        """Values first .. first + count - 1 (fewer at the end) by select: from the samples around
+        them and the bits between, whatever the length of the sequence."""
+        last = min(self.n, first + count)
+        if not 0 <= first < last:
+            return np.zeros(0, dtype=np.int64)
+        samples = np.frombuffer(self.samples, dtype="<u4")
+        begin = int(samples[first // STEP])
+        stop = (last - 1) // STEP + 1
+        end = int(samples[stop]) if stop < len(samples) else 8 * len(self.high)
+        window = np.frombuffer(self.high, np.uint8)[begin // 8 : -(-end // 8)]
+        ones = np.flatnonzero(np.unpackbits(window, bitorder="little")) + begin // 8 * 8
+        skip = int(np.searchsorted(ones, begin)) + first % STEP
+        at = ones[skip : skip + last - first]
+        high = (at - np.arange(first, last)).astype(np.uint64)
+        if not self.bits:
+            return high.astype(np.int64)
+        bit = first * self.bits
+        flat = np.unpackbits(np.frombuffer(self.low, np.uint8)[bit // 8 : -(-last * self.bits // 8)], bitorder="little")
+        places = flat[bit % 8 : bit % 8 + (last - first) * self.bits].reshape(-1, self.bits).astype(np.uint64)
+        low = (places << np.arange(self.bits, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
+        return ((high << np.uint64(self.bits)) | low).astype(np.int64)
+
     def values(self) -> np.ndarray:
         """All values, as `select` gives them one by one."""
         ones = np.unpackbits(np.frombuffer(self.high, np.uint8), bitorder="little")
@@ -158,10 +181,12 @@ def write_token_files(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("text").cast("string").alias("text"),
         F.xxhash64(F.col("text").cast("string")).alias("tie"),
+        # Copies of one row are told apart by the task that reads them, or all would meet in one range.
+        F.spark_partition_id().alias("copy"),
     )
     (
-        rows.repartitionByRange("doc_id", "tie")
-        .sortWithinPartitions("doc_id", "tie")
+        rows.repartitionByRange("doc_id", "tie", "copy")
+        .sortWithinPartitions("doc_id", "tie", "copy")
         .select("doc_id", "text")
         .mapInArrow(blocks, BLOCK_DDL)
         .write.option("compression", "zstd")
@@ -207,27 +232,33 @@ def read_documents(blocks: DataFrame) -> DataFrame:
                 n, null = b["n_docs"], b["n_null"]
                 ends = EliasFano(
                     n, b["ends_bits"], b["ends_low"], b["ends_high"], b["ends_select"]
-                ).values()
+                )
                 names = EliasFano(
                     n - null, b["docs_bits"], b["docs_low"], b["docs_high"], b["docs_select"]
-                ).values()
-                starts = np.concatenate(([0], ends[:-1]))
-                doc_ids = [None] * null + (names + b["first_doc"]).tolist()
-                raw = ids.tobytes()
-                parts = [
-                    raw[4 * s : 4 * e] for s, e in zip(starts.tolist(), ends.tolist(), strict=True)
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([b["shard"]] * n, pa.int32()),
-                        pa.array([b["block"]] * n, pa.int32()),
-                        pa.array(doc_ids, pa.int64()),
-                        pa.array(starts, pa.int64()),
-                        pa.array(ends - starts, pa.int64()),
-                        pa.array(parts, pa.binary()),
-                    ],
-                    schema=schema,
                 )
+                raw = ids.tobytes()
+                for at in range(0, n, STEP):
+                    # Where the documents of a run lie is found by select; no table of all ends is made.
+                    stops = ends.run(at)
+                    before = ends.select(at - 1) if at else 0
+                    starts = np.concatenate(([before], stops[:-1]))
+                    known = names.run(max(0, at - null), min(at + STEP, n) - max(at, null))
+                    unknown = [None] * (len(stops) - len(known))
+                    parts = [
+                        raw[4 * s : 4 * e] for s, e in zip(starts.tolist(), stops.tolist(), strict=True)
+                    ]
+                    many = len(stops)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([b["shard"]] * many, pa.int32()),
+                            pa.array([b["block"]] * many, pa.int32()),
+                            pa.array(unknown + (known + b["first_doc"]).tolist(), pa.int64()),
+                            pa.array(starts, pa.int64()),
+                            pa.array(stops - starts, pa.int64()),
+                            pa.array(parts, pa.binary()),
+                        ],
+                        schema=schema,
+                    )
 
     return blocks.mapInArrow(
         documents, "shard int, block int, doc_id long, first long, n_tokens long, ids binary"

@@ -4,8 +4,9 @@ The library spends nearly all of its time on words it has seen before. Both voca
 are byte-level BPE models whose pre-tokenizer cuts a text into words that are merged on their own,
 so the ids of a text are the ids of its words in a row. `Encoder` cuts texts by the same rule and
 keeps the ids of words it has met; new words go to the library's own model. Texts with characters
-beyond Latin-1, where rules depend on the version of the character tables, and vocabularies with
-other pre-tokenizers go to the library whole.
+beyond Latin-1, where rules depend on the version of the character tables, texts that may hold one of
+the vocabulary's added tokens, such as `<|endoftext|>`, and vocabularies with other pre-tokenizers go
+to the library whole. Ids are those of the library's plain call: an added token in a text gets its id.
 """
 
 from __future__ import annotations
@@ -48,7 +49,9 @@ class Encoder(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # What all added tokens begin with, up to the first letter; None if there are none.
+        self._sign = re.match(r"[^A-Za-z]*", os.path.commonprefix(added))[0] if added else None
         self._model = self.tokenizer.model
         self._letters = byte_letters()
         with open(path, encoding="utf-8") as f:
@@ -79,7 +82,7 @@ class Encoder(dict):
         """Ids of the whole text, without special tokens; a null text is an empty one."""
         if not text:
             return b""
-        if self._words is None or not _latin(text):
+        if self._words is None or not _latin(text) or (self._sign is not None and self._sign in text):
             return self.whole(text)
         words = self._words.findall(text.lower() if self._lower else text)
         return b"".join(map(self.__getitem__, words))
