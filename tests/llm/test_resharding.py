@@ -89,3 +89,22 @@ def test_query(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
     rows = QUERIES["op7_minimum_cost_resharding"](spark, sf_dir).collect()
     check(rows, [tuple(r) for r in docs])
+
+
+def test_rows_without_an_old_shard_and_clashing_columns_stay(spark, root):
+    rows = [(i, f"text {i}", 5 * i, "mine", -i) for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, size long, shard string, old int")
+    old = F.when(F.col("doc_id") % 2 == 0, F.col("old") % 3)  # null or not above zero
+    check(reshard(docs, old).collect(), [(r[0], r[1]) for r in rows])
+    layout = write_layout(docs, f"{root}/old", old, least_block=64)
+    new = rewrite(plan_moves(layout, 4), f"{root}/new")
+    got = new.select("doc_id", "text", "doc_size", "doc_shard", "doc_old").collect()
+    assert sorted(map(tuple, got)) == rows
+
+
+def test_copies_are_spread_over_blocks(spark, root):
+    docs = spark.range(0, 4000, 1, 8).selectExpr("CAST(NULL AS LONG) AS doc_id", "'copy' AS text")
+    layout = write_layout(docs, f"{root}/old", F.lit(0), least_block=16)
+    blocks = [r[1] for r in layout.groupBy("block").count().collect()]
+    assert len(blocks) >= 6 and max(blocks) < 2000
+    check(reshard(docs, F.lit(0)).collect(), [(None, "copy")] * 4000)

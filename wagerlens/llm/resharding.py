@@ -13,7 +13,9 @@ new shards). Blocks are numbered by sums per shard over the block list, never ov
 rows are only ordered within a block.
 
 Nulls, empty texts: a null text has size 1 and the crc32 of nothing. Null doc_ids and repeated rows
-are placed like others. An empty table gives an empty layout. Further columns are rewritten too.
+are placed like others. Rows whose old shard is null or negative count as lying in shard 0. An empty
+table gives an empty layout. Further columns are rewritten too; one that has the name of a column of
+the layout is stored with `doc_` in front.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from wagerlens.sources.scratch import scratch_dir
 LEAST_BLOCK, MOST_BLOCK, SHARES = 1 << 20, 256 << 20, 512
 MAX_BROADCAST_BLOCKS = 100_000
 # Names of the layout's own columns.
-LAYOUT = {"shard", "block", "size", "crc", "tie", "first", "new_shard", "old", "chosen"}
+LAYOUT = ["shard", "block", "size", "crc", "tie", "first", "new_shard", "old", "chosen"]
 
 
 def flows(
@@ -100,15 +102,19 @@ def write_layout(
     """Store `docs` by shard and block and open the result.
 
     Columns size, crc and tie (order within a block) are added. Columns of `docs` that carry one
-    of the names of the layout are not stored.
+    of the names of the layout are stored with `doc_` in front.
     """
-    names = [c for c in docs.columns if c.lower() not in LAYOUT]
+    names: list[str] = []
+    for c in docs.columns:
+        name = f"doc_{c}" if c.lower() in LAYOUT else c
+        others = [*LAYOUT, *names, *(o for o in docs.columns if o != c)]
+        names += fresh(others, name) if name != c else [c]
     placed = docs.select(
-        *[F.col(f"`{c}`") for c in names],
+        *[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True)],
         size_of(text).alias("size"),
         F.crc32(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary")).alias("crc"),
         F.xxhash64("doc_id", F.col(text).cast("string")).alias("tie"),
-        shard.cast("int").alias("shard"),
+        F.greatest(F.coalesce(shard.cast("int"), F.lit(0)), F.lit(0)).alias("shard"),
     )
     per_shard = placed.groupBy("shard").agg(F.sum("size").alias("bytes"))
     share = per_shard.agg(F.sum("bytes")).scalar() / SHARES
@@ -119,8 +125,12 @@ def write_layout(
     # One row per old shard; their number is a parameter of the layout.
     dealt = (
         placed.join(F.broadcast(blocks), "shard")
-        .withColumn("block", F.pmod(F.xxhash64("doc_id", "tie"), F.col("blocks")).cast("int"))
-        .select(*names, "size", "crc", "tie", "shard", "block")
+        # The reading task is in the hash: copies of one row would all meet in one block without it.
+        .withColumn(
+            "block",
+            F.pmod(F.xxhash64("doc_id", "tie", F.spark_partition_id()), F.col("blocks")).cast("int"),
+        )
+        .select(*[F.col(f"`{n}`") for n in names], "size", "crc", "tie", "shard", "block")
     )
     (
         dealt.repartition("shard", "block")
