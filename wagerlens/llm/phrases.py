@@ -1,15 +1,18 @@
 """Phrase mining: word n-grams that are more frequent than their parts make likely.
 
 Texts are cut at piece marks, pieces into words. Tasks number the words of a chunk of text and keep the
-chunk as numbers; words frequent enough in their language get dense ids by a join of the chunks'
-word lists. n-grams of 2, 3, ... words are counted in counting quotient filters, one per chunk and
-key range, which are merged by range: what is shuffled is the distinct n-grams of a chunk, however
-often they occur. No n-gram is more frequent than its parts, so the next length looks only at places
-where both parts are frequent; the merging task answers each filter with one bit per entry, and a chunk
-drops all other places. Nothing is dropped that could reach `min_count`; counts are exact.
-
-Nothing is broadcast that grows with the data. A chunk holds up to `CHUNK_BYTES` of text (a longer
-text is cut between pieces; a single longer piece stays whole), a range about `RANGE_KEYS` entries.
+chunk as numbers. The chunk's distinct words go, by a hash, to tasks that sum them up, give dense ids
+to those frequent enough in their language and answer each chunk. n-grams of 2, 3, ... words are then
+counted in counting quotient filters, one per chunk and key range, which are merged by range: what is
+shuffled is the distinct n-grams of a chunk, however often they occur. No n-gram is more frequent than
+its parts, so the next length looks only at places where both parts are frequent; the merging task
+answers each filter with one bit per entry, and a chunk drops all other places. Nothing is dropped
+that could reach `min_count`; counts are exact.
+
+Nothing is broadcast that grows with rows; one number per word bucket (`BUCKET_BYTES` of text) travels
+with the tasks. A chunk holds up to `CHUNK_BYTES` of text (a longer text is cut between pieces; a
+single longer piece stays whole), a range about `RANGE_KEYS` entries. A filter per chunk and range
+should hold some hundred entries at least, so for corpora of many TB raise both.
 
 Nulls: a null text is empty, a null language is `und`. Empty texts hold no words. Repeated rows count
 each. An empty table, or one without frequent phrases, gives an empty result. Other columns are not
@@ -19,6 +22,7 @@ read. Scores are exact while 1000 * a * n stays below 10 ** 38.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -36,14 +40,15 @@ TOP = 2000
 PERCENT = 100
 CHUNK_BYTES = 8 << 20
 RANGE_KEYS = 2_000_000
-ID_BUCKETS = 256
+BUCKET_BYTES = 32 << 20
 MARKS = b".,;:!?\n\x0b\x0c\r"
 # All marks become one, tabs become blanks, and only A-Z are lower-cased.
 PLAIN = bytes(
     46 if b in MARKS else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256)
 )
 MARK = b"."
-CODED, MASKS, COUNTS = "coded", "masks", "counts"
+TOKENS, LISTED, IDS, LANGS = "tokens", "words", "ids", "langs"
+CODED, FILTERS, MASKS, COUNTS = "coded", "filters", "masks", "counts"
 
 
 class Words(dict):
@@ -73,9 +78,46 @@ def parts_of(text: bytes, limit: int) -> Iterator[bytes]:
     yield text[first:]
 
 
-def chunks(docs: DataFrame, text: str, lang: str, chunk_bytes: int) -> DataFrame:
-    """chunk, ids (little-endian 32 bit, -1 between pieces), and the langs, words and counts of its
-    numbers."""
+def squeezed(values: np.ndarray) -> bytes:
+    """Whole numbers from -1 to 2 ** 32 - 2 as compressed bytes, those of equal weight together."""
+    head = len(values).to_bytes(8, "little")
+    if not len(values):
+        return head
+    planes = (values + 1).astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return head + pa.compress(planes.tobytes(), "zstd", asbytes=True)
+
+
+def loosened(raw: bytes) -> np.ndarray:
+    n = int.from_bytes(raw[:8], "little")
+    if not n:
+        return np.zeros(0, dtype=np.int64)
+    flat = np.frombuffer(pa.decompress(raw[8:], 4 * n, "zstd"), dtype=np.uint8)
+    return np.ascontiguousarray(flat.reshape(4, n).T).view("<u4").reshape(-1).astype(np.int64) - 1
+
+
+CUT = "kind string, chunk long, number int, lang string, data binary, counts binary, names binary"
+
+
+def chunks(docs: DataFrame, text: str, lang: str, chunk_bytes: int, buckets: int) -> DataFrame:
+    """Per chunk a row with its texts as numbers (-1 between pieces), and for each language and bucket of
+    words a row with the numbers, counts and spellings of the chunk's words in it."""
+    kinds = [pa.string(), pa.int64(), pa.int32(), pa.string(), pa.binary(), pa.binary(), pa.binary()]
+    names = [c.split()[0] for c in CUT.split(", ")]
+
+    def rows_of(number: int, held: list[np.ndarray], listed: list) -> pa.RecordBatch:
+        ids = np.concatenate(held)
+        counts = np.bincount(ids[ids >= 0], minlength=len(listed))
+        rows = [(TOKENS, number, -1, None, squeezed(ids), None, None)]
+        places: dict[tuple, list[int]] = {}
+        for i, (code, word) in enumerate(listed):
+            places.setdefault((code, crc32(word) % buckets), []).append(i)
+        for (code, bucket), some in places.items():
+            spelled = b" ".join([listed[i][1] for i in some])  # no word holds a blank
+            at = np.array(some, dtype=np.int64)
+            rows.append((LISTED, number, bucket, code, squeezed(at), squeezed(counts[at]), spelled))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names
+        )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
@@ -83,22 +125,6 @@ def chunks(docs: DataFrame, text: str, lang: str, chunk_bytes: int) -> DataFrame
         words: dict[str, Words] = {}
         held: list[np.ndarray] = []
         size = 0
-
-        def row() -> pa.RecordBatch:
-            ids = np.concatenate(held)
-            counts = np.bincount(ids[ids >= 0], minlength=len(listed))
-            names = pa.array([w for _, w in listed], pa.binary()).cast(pa.string())
-            nested = [pa.array([lang for lang, _ in listed], pa.string()), names, pa.array(counts, pa.int64())]
-            ends = pa.array([0, len(listed)], pa.int32())
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([number]),
-                    pa.array([ids.astype("<i4").tobytes()], pa.binary()),
-                    *(pa.ListArray.from_arrays(ends, x) for x in nested),
-                ],
-                names=["chunk", "ids", "langs", "words", "counts"],
-            )
-
         for batch in batches:
             texts = batch.column(0).cast(pa.binary())
             for raw, name in zip(texts, batch.column(1), strict=True):
@@ -113,21 +139,54 @@ def chunks(docs: DataFrame, text: str, lang: str, chunk_bytes: int) -> DataFrame
                     held.append(np.array([*ids, -1], dtype=np.int32))
                     size += len(part)
                     if size >= chunk_bytes:
-                        yield row()
-                        number += 1
-                        size = 0
+                        yield rows_of(number, held, listed)
+                        number, size, listed = number + 1, 0, []
                         held.clear()
                         words.clear()
-                        listed = []
         if held:
-            yield row()
+            yield rows_of(number, held, listed)
 
     given = docs.select(
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
         F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
     )
-    kinds = "chunk long, ids binary, langs array<string>, words array<string>, counts array<long>"
-    return given.mapInArrow(work, kinds)
+    return given.mapInArrow(work, CUT)
+
+
+NUMBERED = "kind string, chunk long, number int, lang string, data binary, counts binary, word string, f long"
+
+
+def _numbered(min_count: int):
+    """Sums up the words of a bucket: ids from 0 for the frequent ones, which ids each chunk's words
+    have, and all words per language."""
+
+    def answer(key, rows):
+        bucket = key[0].as_py()
+        asked = list(zip(*(rows.column(c).to_pylist() for c in ("chunk", "lang", "data", "counts", "names")), strict=True))
+        total: dict[tuple, int] = {}
+        langs: dict[str, int] = {}
+        spelled = []
+        for _, code, _, counts, names in asked:
+            words = names.split(b" ")
+            spelled.append(words)
+            counts = loosened(counts).tolist()
+            langs[code] = langs.get(code, 0) + sum(counts)
+            for word, n in zip(words, counts, strict=True):
+                total[code, word] = total.get((code, word), 0) + n
+        often = sorted(k for k, n in total.items() if n >= min_count)
+        ids = {k: i for i, k in enumerate(often)}
+        out = [("words", None, i, code, None, None, word.decode("utf-8", "replace"), total[code, word]) for (code, word), i in ids.items()]
+        out += [(LANGS, None, bucket, code, None, None, None, n) for code, n in langs.items()]
+        for (chunk, code, at, _, _), words in zip(asked, spelled, strict=True):
+            found = np.array([ids.get((code, w), -1) for w in words], dtype=np.int64)
+            some = found >= 0
+            out.append((IDS, chunk, bucket, None, squeezed(loosened(at)[some]), squeezed(found[some]), None, None))
+        kinds = [pa.string(), pa.int64(), pa.int32(), pa.string(), pa.binary(), pa.binary(), pa.string(), pa.int64()]
+        named = [c.split()[0] for c in NUMBERED.split(", ")]
+        table = pa.Table.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=named)
+        return table.append_column("bucket", pa.array([bucket] * table.num_rows, pa.int32()))
+
+    return answer
 
 
 def windows(ids: np.ndarray, words: int) -> np.ndarray:
@@ -167,8 +226,8 @@ def _counted_rows(chunk: int, ids: np.ndarray, layout: Layout) -> pa.Table:
     rows = []
     if len(at):
         limbs, counts = counted(packed(layout, ids))
-        rows = [(CODED, chunk, -1, ids.astype("<i4").tobytes(), len(at))]
-        rows += [("filters", chunk, r, raw, 0) for r, raw in filters(layout, limbs, counts)]
+        rows = [(CODED, chunk, -1, squeezed(ids), len(at))]
+        rows += [(FILTERS, chunk, r, raw, 0) for r, raw in filters(layout, limbs, counts)]
     kinds = [pa.string(), pa.int64(), pa.int32(), pa.binary(), pa.int64()]
     columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
     return pa.Table.from_arrays(
@@ -177,14 +236,15 @@ def _counted_rows(chunk: int, ids: np.ndarray, layout: Layout) -> pa.Table:
     )
 
 
-def _first(layout: Layout, chunk: pa.Table, known: pa.Table) -> pa.Table:
-    """Local numbers become ids of frequent words."""
+def _first(layout: Layout, starts: np.ndarray, chunk: pa.Table, known: pa.Table) -> pa.Table:
+    """The chunk's own numbers become ids of frequent words; `starts` are the first ids of the buckets."""
     if not chunk.num_rows:
         return _counted_rows(0, np.zeros(0, dtype=np.int64), layout)
-    local = np.frombuffer(chunk.column("ids")[0].as_py(), dtype="<i4").astype(np.int64)
-    to = np.full(int(local.max(initial=-1)) + 2, -1, dtype=np.int64)  # the last place is for -1
-    to[known.column("at").to_numpy()] = known.column("id").to_numpy()
-    ids = to[local]
+    own = loosened(chunk.column("data")[0].as_py())
+    to = np.full(int(own.max(initial=-1)) + 2, -1, dtype=np.int64)  # the last place is for -1
+    for bucket, at, ids in zip(*(known.column(c).to_pylist() for c in ("number", "data", "counts")), strict=True):
+        to[loosened(at)] = loosened(ids) + starts[bucket]
+    ids = to[own]
     ids = trimmed(ids, np.flatnonzero(ids >= 0), 1)
     return _counted_rows(chunk.column("chunk")[0].as_py(), ids, layout)
 
@@ -193,7 +253,7 @@ def _next(before: Layout, layout: Layout, chunk: pa.Table, masks: pa.Table) -> p
     """Only places with frequent n-grams of the layout before stay."""
     if not chunk.num_rows:
         return _counted_rows(0, np.zeros(0, dtype=np.int64), layout)
-    ids = np.frombuffer(chunk.column("data")[0].as_py(), dtype="<i4").astype(np.int64)
+    ids = loosened(chunk.column("data")[0].as_py())
     at, limbs = windows(ids, before.words), packed(before, ids)
     order = np.argsort(limbs[0]) if len(limbs) == 1 else np.lexsort(limbs[::-1])
     new = np.zeros(len(order), dtype=bool)
@@ -243,9 +303,11 @@ def _answering(layout: Layout, min_count: int):
     return lambda key, rows: _merged(layout, min_count, key, rows)
 
 
-def _coding(layout: Layout, before: Layout | None = None):
-    if before is None:
-        return lambda chunk, known: _first(layout, chunk, known)
+def _coding(layout: Layout, starts: np.ndarray):
+    return lambda chunk, known: _first(layout, starts, chunk, known)
+
+
+def _recoding(layout: Layout, before: Layout):
     return lambda chunk, masks: _next(before, layout, chunk, masks)
 
 
@@ -256,31 +318,6 @@ def _by_kind(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def dictionary(listed: DataFrame, min_count: int) -> DataFrame:
-    """lang, word, f and a dense id from 0 of all words that are frequent in their language.
-
-    Ids are numbered within ID_BUCKETS buckets, whose sizes are all that goes to the driver.
-    """
-    found = store(
-        listed.groupBy("lang", "word")
-        .agg(F.sum("count").alias("f"))
-        .filter(F.col("f") >= min_count)
-        .withColumn("bucket", F.pmod(F.xxhash64("lang", "word"), F.lit(ID_BUCKETS)).cast("int")),
-        "frequent-words",
-    )
-    sizes = dict(found.groupBy("bucket").count().collect())
-    starts, total = [], 0
-    for b in range(ID_BUCKETS):
-        starts.append(total)
-        total += sizes.get(b, 0)
-    if total >= 2**31:
-        raise OverflowError(f"{total} frequent words; ids have 31 bits")
-    ordered = Window.partitionBy("bucket").orderBy("lang", "word")
-    start = F.element_at(F.array(*[F.lit(s) for s in starts]), F.col("bucket") + 1)
-    numbered = found.withColumn("id", (start + F.row_number().over(ordered) - 1).cast("int"))
-    return store(numbered.drop("bucket"), "word-ids")
-
-
 def phrase_counts(
     docs: DataFrame,
     text: str = "text",
@@ -292,30 +329,45 @@ def phrase_counts(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(words: lang, word, f, id), (phrases: words, a), (langs: lang, n); phrases have 2 words or more,
     as ids. All are stored."""
-    importable(docs.sparkSession)
-    cut = store(chunks(docs, text, lang, chunk_bytes), "phrase-chunks")
-    each = F.posexplode(F.arrays_zip("langs", "words", "counts"))
-    listed = cut.select("chunk", each.alias("at", "w")).select(
-        "chunk", "at", F.col("w.langs").alias("lang"), F.col("w.words").alias("word"),
-        F.col("w.counts").alias("count"),
-    )
-    langs = store(listed.groupBy("lang").agg(F.sum("count").alias("n")), "phrase-langs")
-    words = dictionary(listed, min_count)
-    many, total = words.agg(F.count(F.lit(1)), F.coalesce(F.sum("f"), F.lit(0))).first()
+    spark = docs.sparkSession
+    importable(spark)
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.coalesce(F.sum(F.octet_length(F.col(text).cast("string"))), F.lit(0))).first()[0]
+    buckets = max(least, -(-size // BUCKET_BYTES))
+    cut = _by_kind(chunks(docs, text, lang, chunk_bytes, buckets), "phrase-chunks")
+    numbered = _by_kind(
+        cut.filter(F.col("kind") == LISTED)
+        .select("number", "chunk", "lang", "data", "counts", "names")
+        .groupBy("number")
+        .applyInArrow(_numbered(min_count), f"{NUMBERED}, bucket int"),
+        "phrase-words",
+    )
+    langs = numbered.filter(F.col("kind") == LANGS).groupBy("lang").agg(F.sum("f").alias("n"))
+    spelled = numbered.filter(F.col("kind") == "words")
+    sizes = np.zeros(buckets + 1, dtype=np.int64)
+    total = 0
+    for r in spelled.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("f").alias("f")).collect():
+        sizes[r["bucket"] + 1] = r["n"]
+        total += r["f"]
+    starts = np.cumsum(sizes)
+    many = int(starts[-1])
+    if many >= 2**31:
+        raise OverflowError(f"{many} frequent words; ids have 31 bits")
+    first = spark.createDataFrame(list(enumerate(starts[:-1].tolist())), "bucket int, first long")
+    words = spelled.join(F.broadcast(first), "bucket").select(
+        "lang", "word", "f", (F.col("first") + F.col("number")).cast("int").alias("id")
+    )
     bits = max(1, (many - 1).bit_length())
-    ranges = max(1, -(-total // range_keys))
-    tasks = max(ranges, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    ranges = min(tasks, 1 << min(30, 2 * bits))
-    known = listed.join(words, ["lang", "word"]).select(F.col("chunk").alias("of_chunk"), "at", "id")
-    right, by = known, "of_chunk"
-    left, step = cut.select("chunk", "ids"), _coding(Layout(2, bits, ranges))
-    found = None
+    ranges = min(max(least, -(-total // range_keys)), 1 << min(30, 2 * bits))
+    left = cut.filter(F.col("kind") == TOKENS).select("chunk", "data")
+    right = numbered.filter(F.col("kind") == IDS).select("chunk", "number", "data", "counts")
+    step, found = _coding(Layout(2, bits, ranges), starts), None
     for k in range(2, max_words + 1):
         layout = Layout(k, bits, ranges)
-        met = left.groupBy("chunk").cogroup(right.groupBy(by))
+        met = left.groupBy("chunk").cogroup(right.groupBy("chunk"))
         counted_chunks = _by_kind(met.applyInArrow(step, KEPT), f"phrases-{k}")
         merged = _by_kind(
-            counted_chunks.filter(F.col("kind") == "filters")
+            counted_chunks.filter(F.col("kind") == FILTERS)
             .select("chunk", "number", "data")
             .groupBy("number")
             .applyInArrow(_answering(layout, min_count), f"{KEPT}, words array<int>"),
@@ -324,9 +376,9 @@ def phrase_counts(
         here = merged.filter(F.col("kind") == COUNTS).select("words", F.col("grams").alias("a"))
         found = here if found is None else found.unionByName(here)
         left = counted_chunks.filter(F.col("kind") == CODED).select("chunk", "data")
-        right, by = merged.filter(F.col("kind") == MASKS).select("chunk", "number", "data", "grams"), "chunk"
+        right = merged.filter(F.col("kind") == MASKS).select("chunk", "number", "data", "grams")
         if k < max_words:
-            step = _coding(Layout(k + 1, bits, ranges), layout)
+            step = _recoding(Layout(k + 1, bits, ranges), layout)
     return words, found, langs
 
 
