@@ -2,7 +2,6 @@ from __future__ import annotations
 
 import json
 import os
-import re
 
 import pytest
 from conftest import at, rows, same
@@ -12,7 +11,8 @@ from wagerlens.plans import medallion, silver
 from wagerlens.schemas import FILE_SCHEMAS, SILVER_KEYS, SILVER_SOURCE
 from wagerlens.sources import bronze
 from wagerlens.sources.files import SourceError, check_file, file_columns, scan_file, write_file
-from wagerlens.sources.tables import expire, merge_table, read_table, replace_table, snapshot
+from wagerlens.sources import tables
+from wagerlens.sources.tables import expire, merge_table, read_table, replace_table, state
 
 DAY1, DAY2, DAY3 = at("2024-03-01"), at("2024-03-02"), at("2024-03-03")
 
@@ -177,25 +177,55 @@ def _kv(spark, data):
     )
 
 
-def test_merge_rewrites_only_touched_units(spark, root):
+def _files(path):
+    """Data files of a table with their times, by bucket."""
+    out = {}
+    for folder, _, names in os.walk(path):
+        if "_bucket=" in folder:
+            files = {n: os.stat(f"{folder}/{n}").st_mtime_ns for n in names if n.startswith("part-")}
+            out.setdefault(int(folder.split("_bucket=")[1]), {}).update(files)
+    return out
+
+
+def test_merge_rewrites_only_touched_buckets(spark, root):
     path = f"{root}/t"
-    replace_table(spark, path, _kv(spark, [("a", 1, "2024-01-05"), ("b", 1, "2024-02-05"),
-                                           ("c", 1, "2024-03-05")]), ["k"])
-    before = snapshot(spark, path)
-    merge_table(spark, path, _kv(spark, [("a", 2, "2024-04-01"), ("d", 2, "2024-03-06")]), ["k"])
-    after = snapshot(spark, path)
-    assert rows(read_table(spark, path), "k", "v") == [("a", 2), ("b", 1), ("c", 1), ("d", 2)]
-    feb, mar = "_period=2024-02-01/_bucket=0", "_period=2024-03-01/_bucket=0"
-    assert after.units[feb] == before.units[feb]  # untouched
-    assert after.units[mar][:-1] == before.units[mar]  # only added to
-    assert re.fullmatch("v=2-[0-9a-f]{12}/new", after.units[mar][-1])
-    assert "_period=2024-01-01/_bucket=0" not in after.units  # its one row was retired
-    assert after.added_rows == 2
-    assert rows(read_table(spark, path, since=at("2024-03-20")), "k") == [("a",), ("c",), ("d",)]
-
-
-@pytest.mark.parametrize("period,buckets", [("day", 3), ("month", 1), ("year", 2)])
-def test_merges_equal_latest_per_key(spark, root, period, buckets):
+    data = [(f"k{i}", i, "2024-01-05") for i in range(64)]
+    replace_table(spark, path, _kv(spark, data), ["k"], buckets=16)
+    before = _files(path)
+    batch = _kv(spark, [("k1", -1, "2024-04-01"), ("new", 7, "2024-04-01")])
+    touched = tables.buckets_of(batch, state(spark, path))
+    assert merge_table(spark, path, batch, ["k"]).added_rows == 2
+    after = _files(path)
+    assert {b for b in after if after[b] != before.get(b)} == set(touched) and len(touched) < 3
+    assert dict(rows(read_table(spark, path), "k", "v")) == {
+        **{f"k{i}": i for i in range(64)}, "k1": -1, "new": 7,
+    }
+
+
+def test_a_load_reads_only_the_buckets_of_its_keys(spark, root, monkeypatch):
+    first = tx(spark, [(f"t{i}", "2024-01-01") for i in range(200)])
+    bronze.load_transactions(spark, root, first, DAY1, buckets=32)
+    path, seen, read = bronze.table_path(root, "transactions"), [], tables.read_table
+
+    def watched(spark, path, since=None, buckets=None):
+        found = read(spark, path, since, buckets)
+        seen.append((buckets, {int(f.split("_bucket=")[1].split("/")[0]) for f in found.inputFiles()}, found.count()))
+        return found
+
+    monkeypatch.setattr(bronze, "read_table", watched)
+    batch = tx(spark, [("t5", "2024-01-02"), ("t1000", "2024-01-02")])
+    bronze.load_transactions(spark, root, batch, DAY2)
+    ((asked, opened, n),) = seen
+    want = tables.buckets_of(batch, state(spark, path))
+    assert asked == want and opened <= set(want)
+    whole = read(spark, path)
+    in_buckets = whole.filter(F.pmod(F.xxhash64("transaction_id"), F.lit(32)).isin(want))
+    assert n == in_buckets.filter(F.col("_ingested_at") == DAY1).count() < 40
+    assert whole.count() == 201  # t5 was known
+
+
+@pytest.mark.parametrize("buckets", [3, 1, 2])
+def test_merges_equal_latest_per_key(spark, root, buckets):
     path = f"{root}/t"
     batches = [
         [(f"k{(i * 7 + n) % 40}", 100 * n + i, f"2024-0{n + 1}-{i % 28 + 1:02d}") for i in range(25)]
@@ -203,7 +233,7 @@ def test_merges_equal_latest_per_key(spark, root, period, buckets):
     ]
     expected = {}
     for batch in batches:
-        merge_table(spark, path, _kv(spark, batch), ["k"], period=period, buckets=buckets)
+        merge_table(spark, path, _kv(spark, batch), ["k"], buckets=buckets)
         expected |= {k: v for k, v, _ in batch}
     assert dict(rows(read_table(spark, path), "k", "v")) == expected
 
@@ -215,16 +245,34 @@ def test_null_keys_are_added_never_matched(spark, root):
     assert rows(read_table(spark, path), "v") == [(1,), (2,)]
 
 
-def test_a_run_that_dies_before_commit_leaves_the_table_alone(spark, root):
+@pytest.mark.parametrize("kind", ["replace", "append", "merge"])
+def test_a_load_that_dies_leaves_the_table_alone(spark, root, kind):
+    path = f"{root}/t"
+    replace_table(spark, path, _kv(spark, [("a", 1, "2024-01-05")]), ["k"], keyed=kind != "append")
+    before = state(spark, path)
+    broken = F.when(F.col("k") == "b", F.raise_error(F.lit("lost"))).otherwise(F.col("v")).cast("int")
+    batch = _kv(spark, [("a", 2, "2024-01-06"), ("b", 2, "2024-01-06")])
+    write = {
+        "replace": lambda df: replace_table(spark, path, df, ["k"]),
+        "append": lambda df: tables.append_table(spark, path, df),
+        "merge": lambda df: merge_table(spark, path, df, ["k"]),
+    }[kind]
+    with pytest.raises(Exception, match="lost"):
+        write(batch.withColumn("v", broken))
+    assert rows(read_table(spark, path), "k", "v") == [("a", 1)]
+    assert state(spark, path) == before
+    write(batch)  # and can be run again
+    assert ("b", 2) in rows(read_table(spark, path), "k", "v")
+
+
+def test_a_rebuild_without_its_last_step_is_not_seen(spark, root):
     path = f"{root}/t"
     replace_table(spark, path, _kv(spark, [("a", 1, "2024-01-05")]), ["k"])
-    # Files of a run that never committed its snapshot.
-    _kv(spark, [("x", 9, "2024-01-05")]).write.parquet(
-        f"{path}/v=2-0123456789ab/new/_period=2024-01-01/_bucket=0"
-    )
+    n = state(spark, path).load
+    _kv(spark, [("x", 9, "2024-01-05")]).write.parquet(f"{path}/_load={n + 1}/_bucket=0")
     assert rows(read_table(spark, path), "k") == [("a",)]
-    merge_table(spark, path, _kv(spark, [("b", 1, "2024-01-06")]), ["k"])
-    assert rows(read_table(spark, path), "k") == [("a",), ("b",)]
+    assert replace_table(spark, path, _kv(spark, [("b", 1, "2024-01-05")]), ["k"]).load == n + 2
+    assert rows(read_table(spark, path), "k") == [("b",)]
 
 
 # --- silver ---
@@ -357,106 +405,49 @@ def test_stored_times_keep_their_range(spark, root, lake):
 
     replace_table(spark, f"{root}/t", lake.silver_model("dim_sessions"), ["session_id"])
     file = next(
-        os.path.join(d, f) for d, _, fs in os.walk(f"{root}/t") for f in fs if f.endswith(".parquet")
+        os.path.join(d, f) for d, _, fs in os.walk(f"{root}/t") for f in fs
+        if f.endswith(".parquet") and tables.LOG not in d
     )
     meta = pq.ParquetFile(file).metadata.row_group(0)
     stats = {meta.column(i).path_in_schema: meta.column(i).statistics for i in range(meta.num_columns)}
     assert stats["_ingested_at"].has_min_max
 
 
-def test_expired_versions_are_deleted_and_the_table_stays(spark, root):
+def test_replaced_rows_are_deleted_and_the_table_stays(spark, root):
     path = f"{root}/t"
-    for n in range(1, 6):
-        batch = _kv(spark, [("a", n, f"2024-0{n}-01"), (f"k{n}", n, "2024-01-01")])
-        merge_table(spark, path, batch, ["k"])
-    before, folders = rows(read_table(spark, path)), snapshot(spark, path).folders(path)
-    gone = snapshot(spark, path, 2).units["_period=2024-02-01/_bucket=0"][0]
-    expire(spark, path, keep=2)
-    assert rows(read_table(spark, path)) == before and len(before) == 6
-    assert sorted(os.listdir(f"{path}/_snapshots"))[-2:] == ["4.json", "5.json"]
-    assert snapshot(spark, path).folders(path) == folders
-    # The first row of key "a" was alone in its unit of version 2, which nothing uses any more.
-    assert not os.path.exists(f"{path}/{gone}/_period=2024-02-01/_bucket=0")
+    for n in range(1, 5):
+        replace_table(spark, path, _kv(spark, [("a", n, "2024-01-01")]))
+    assert len([f for f in os.listdir(path) if f.startswith("_load=")]) == 4
     expire(spark, path, keep=2)
-    assert rows(read_table(spark, path)) == before
-
-
-def test_many_small_appends_are_gathered_on_request(spark, root):
-    from wagerlens.sources import tables
-
+    assert rows(read_table(spark, path), "v") == [(4,)]
+    assert [f for f in os.listdir(path) if f.startswith("_load=")] == ["_load=4"]
+    assert sorted(f for f in os.listdir(f"{path}/{tables.LOG}")) == ["_load=3", "_load=4"]
+    merged = f"{root}/m"
+    for n in range(1, 5):
+        batch = _kv(spark, [("a", n, "2024-01-01"), (f"k{n}", n, "2024-01-01")])
+        merge_table(spark, merged, batch, ["k"])
+    before = rows(read_table(spark, merged))
+    expire(spark, merged)
+    assert rows(read_table(spark, merged)) == before and len(before) == 5
+
+
+def test_rows_added_since_a_load(spark, root):
     path = f"{root}/t"
-    n = tables.MANY_FOLDERS + 1
-    for i in range(n):
-        tables.append_table(spark, path, _kv(spark, [(f"k{i}", i, "2024-01-01")]))
-    assert len(snapshot(spark, path).folders(path)) == n
-    before = rows(read_table(spark, path))
-    assert tables.compact(spark, path).version == n + 1
-    assert len(snapshot(spark, path).folders(path)) == 1
-    assert rows(read_table(spark, path)) == before and len(before) == n
-    assert tables.compact(spark, path).version == n + 1  # nothing left to do
-
-
-def _write(kind, spark, path, data):
-    from wagerlens.sources import tables
-
-    df = _kv(spark, data)
-    if kind == "replace":
-        return replace_table(spark, path, df, ["k"])
-    if kind == "append":
-        return tables.append_table(spark, path, df)
-    return merge_table(spark, path, df, ["k"])
-
-
-@pytest.mark.parametrize("loser", ["replace", "append", "merge"])
-@pytest.mark.parametrize("winner", ["replace", "append", "merge"])
-def test_of_two_writers_one_wins_and_the_other_leaves_no_trace(
-    spark, root, monkeypatch, winner, loser
-):
-    from wagerlens.sources import tables
+    merge_table(spark, path, _kv(spark, [("a", 1, "2024-01-01"), ("b", 1, "2024-01-01")]), ["k"])
+    first = state(spark, path).load
+    merge_table(spark, path, _kv(spark, [("b", 2, "2023-01-01")]), ["k"])
+    assert rows(tables.read_added(spark, path, first), "k", "v") == [("b", 2)]
+    assert rows(tables.read_added(spark, path, 0), "k", "v") == [("a", 1), ("b", 2)]
 
-    path = f"{root}/t"
-    replace_table(spark, path, _kv(spark, [("a", 1, "2024-01-05"), ("b", 1, "2024-01-05")]), ["k"])
-    commit, state = tables._write_snapshot, {}
-
-    def interleaved(spark, path, snap):
-        if not state:
-            # The other writer starts from the same version and commits first.
-            state["started"] = True
-            _write(winner, spark, path, [("a", 2, "2024-01-06"), ("c", 2, "2024-01-06")])
-            state["rows"] = rows(read_table(spark, path))
-            state["files"] = sorted(os.listdir(path))
-        commit(spark, path, snap)
-
-    monkeypatch.setattr(tables, "_write_snapshot", interleaved)
-    with pytest.raises(tables.CommitConflict):
-        _write(loser, spark, path, [("b", 3, "2024-01-07"), ("d", 3, "2024-01-07")])
-    assert rows(read_table(spark, path)) == state["rows"]
-    assert snapshot(spark, path).version == 2
-    assert len(os.listdir(path)) == len(state["files"]) - 1  # the loser's folder is gone
-    assert not [f for f in os.listdir(f"{path}/_snapshots") if f.endswith(".tmp")]
-    # The loser may try again.
-    _write(loser, spark, path, [("b", 3, "2024-01-07"), ("d", 3, "2024-01-07")])
-    assert ("d", 3) in rows(read_table(spark, path), "k", "v")
-
-
-def test_small_merges_read_only_their_buckets(spark, root, monkeypatch):
-    from wagerlens.sources import tables
 
+def test_a_load_whose_folder_exists_is_refused(spark, root, monkeypatch):
     path = f"{root}/t"
-    data = [(f"k{i}", i, "2024-01-05") for i in range(64)]
-    replace_table(spark, path, _kv(spark, data), ["k"], buckets=16)
-    opened, load = [], tables._load
-
-    def watched(spark, path, snap, units=None):
-        opened.append((snap.version, set(snap.units if units is None else units)))
-        return load(spark, path, snap, units)
-
-    monkeypatch.setattr(tables, "_load", watched)
-    merge_table(spark, path, _kv(spark, [("k1", -1, "2024-01-06")]), ["k"])
-    assert all(len(units) == 1 for version, units in opened if version == 1)
-    assert dict(rows(read_table(spark, path), "k", "v")) == {
-        **{f"k{i}": i for i in range(64)}, "k1": -1,
-    }
+    replace_table(spark, path, _kv(spark, [("a", 1, "2024-01-05")]), keyed=False)
+    monkeypatch.setattr(tables, "_next_load", lambda *_: 2)  # two writers that start from one load
+    tables.append_table(spark, path, _kv(spark, [("b", 1, "2024-01-05")]))
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        tables.append_table(spark, path, _kv(spark, [("c", 1, "2024-01-05")]))
+    assert rows(read_table(spark, path), "k") == [("a",), ("b",)]
 
 
 def test_rows_reach_silver_whatever_their_stamp(spark, root):

@@ -28,15 +28,7 @@ from wagerlens.sources.files import (
     rejected_rows,
 )
 from wagerlens.sources.scratch import WorkTables, kept
-from wagerlens.sources.tables import (
-    BUCKETS,
-    PERIOD,
-    delete,
-    expire,
-    read_table,
-    replace_table,
-    snapshot,
-)
+from wagerlens.sources.tables import BUCKETS, delete, expire, read_table, replace_table, state
 
 # Player lists of the groups that signals name.
 PLAYER_PAGES = "related_player_pages"
@@ -66,13 +58,12 @@ FILES = {
 class Options:
     """How a run loads and stores its tables.
 
-    `period` and `buckets` lay out silver tables when they are created; a unit should hold some
-    gigabytes. Events at or before `first_mark` never pass an empty table, and `lookback_minutes`
+    `buckets` lays out bronze and silver tables by key when they are created; a bucket should hold some
+    gigabytes, and a load reads and writes those of its keys only. Events at or before `first_mark` never pass an empty table, and `lookback_minutes`
     lets later loads take events that far behind the newest. `full_reload` replaces the players of
     earlier runs. `expected_rows` are alerted on, not enforced.
     """
 
-    period: str = PERIOD
     buckets: int = BUCKETS
     first_mark: datetime = FIRST_MARK
     lookback_minutes: int = 0
@@ -81,10 +72,11 @@ class Options:
 
     def of_load(self, dataset: str) -> dict:
         if dataset == "players":
-            return {"full_reload": self.full_reload}
+            return {"full_reload": self.full_reload, "buckets": self.buckets}
         if dataset == "affiliates":
-            return {}
-        return {"lookback_minutes": self.lookback_minutes, "first_mark": self.first_mark}
+            return {"buckets": self.buckets}
+        return {"lookback_minutes": self.lookback_minutes, "first_mark": self.first_mark,
+                "buckets": self.buckets}
 
 
 @dataclass(frozen=True)
@@ -285,12 +277,12 @@ def run(
         late = LOADS[dataset](spark, layout.bronze, delivered[dataset], as_of, **load_options)
         if late:
             log.entries.append((as_of, "late", dataset, late, 0.0, None))
-        loaded[dataset] = snapshot(spark, table_path(layout.bronze, dataset)).added_rows
+        loaded[dataset] = state(spark, table_path(layout.bronze, dataset)).added_rows
         return loaded[dataset]
 
     def refresh(name: str) -> int:
         return silver.refresh(
-            spark, name, layout.bronze, layout.silver, as_of, options.period, options.buckets
+            spark, name, layout.bronze, layout.silver, as_of, options.buckets
         ).added_rows
 
     try:

@@ -16,14 +16,13 @@ from wagerlens.schemas import SILVER_KEYS, SILVER_SOURCE
 from wagerlens.sources.bronze import read_bronze, table_path
 from wagerlens.sources.tables import (
     BUCKETS,
-    PERIOD,
-    Snapshot,
+    State,
+    buckets_of,
     merge_table,
-    newest_stamp,
     read_added,
     read_table,
     replace_table,
-    snapshot,
+    state,
 )
 
 # Columns that settle which of several rows of a key and a stamp is the latest.
@@ -119,33 +118,33 @@ def refresh(
     bronze_root: str,
     silver_root: str,
     as_of: datetime,
-    period: str = PERIOD,
     buckets: int = BUCKETS,
     model=None,
-) -> Snapshot:
+) -> State:
     """Bring one silver table up to date.
 
     The first run builds all rows. Later runs take the bronze rows that were added after the bronze
-    version this table holds already, whatever stamps they carry, and merge them by key. Only that
-    slice is sorted. If some of its rows are not newer than all of silver (a second delivery under
-    one stamp, an earlier one, a backfill), stored rows of the same keys compete with them.
+    load this table holds already, whatever stamps they carry, and merge them by key: only that slice
+    is sorted, and only the buckets of its keys are read and written. If some of its rows are not newer
+    than all of silver (a second delivery under one stamp, an earlier one, a backfill), stored rows
+    of the same keys compete with them.
     """
     path, keys = f"{silver_root}/{name}", SILVER_KEYS[name]
     build = model or SILVER[name]
     dataset = SILVER_SOURCE[name]
     source = table_path(bronze_root, dataset)
-    # Taken before the rows are read: what is committed in between is merged again by the next run.
-    marks = {dataset: snapshot(spark, source).version}
-    old = snapshot(spark, path)
+    # Taken before the rows are read: what is loaded in between is merged again by the next run.
+    marks = {dataset: state(spark, source).load}
+    old = state(spark, path)
     if old is None:
         raw = read_bronze(spark, bronze_root, dataset)
         rows = audited(build(STAGING[dataset](raw)), as_of)
-        return replace_table(spark, path, rows, keys, period, buckets, marks)
+        return replace_table(spark, path, rows, keys, buckets=buckets, marks=marks)
     raw = read_added(spark, source, old.marks.get(dataset, 0))
     rows = audited(build(STAGING[dataset](raw)), as_of)
-    newest = newest_stamp(spark, path)
-    if newest and not raw.filter(F.col("_ingested_at") <= stamp(newest)).isEmpty():
-        held = read_table(spark, path).join(rows.select(*keys), keys, "left_semi")
+    if old.newest and not raw.filter(F.col("_ingested_at") <= stamp(old.newest)).isEmpty():
+        some = None if old.buckets == 1 else buckets_of(rows, old)
+        held = read_table(spark, path, buckets=some).join(rows.select(*keys), keys, "left_semi")
         both = rows.unionByName(held, allowMissingColumns=True).select(rows.columns)
         rows = _latest(both, name)
     return merge_table(spark, path, rows, keys, marks=marks)

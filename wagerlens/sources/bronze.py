@@ -11,19 +11,28 @@ from wagerlens.functions.times import moment_of, stamp
 from wagerlens.operators.skew import salted_join
 from wagerlens.schemas import BRONZE, BRONZE_TABLES
 from wagerlens.sources.tables import (
+    BUCKETS,
     append_table,
+    buckets_of,
+    create_table,
     merge_table,
-    newest_period,
     read_table,
     replace_table,
-    snapshot,
+    state,
 )
 
 # Rows at or before this moment never pass the mark of an empty table, unless a load says otherwise.
 FIRST_MARK = datetime(2020, 1, 1)
 AFFILIATE_KEYS = ["affiliate_id", "player_id"]
-# An upsert rewrites whole units, an append none.
-PERIODS = {"affiliates": "month"}
+# What a load looks rows up by; a table with many buckets is searched in those of the batch only.
+BRONZE_KEYS = {
+    "players": [],
+    "sessions": ["session_id"],
+    "transactions": ["transaction_id"],
+    "affiliates": AFFILIATE_KEYS,
+}
+# Event time, whose largest value is the mark of an incremental load.
+EVENT = {"sessions": "timestamp", "transactions": "timestamp"}
 
 
 class MergeConflict(ValueError):
@@ -34,16 +43,16 @@ def table_path(root: str, dataset: str) -> str:
     return f"{root}/{BRONZE_TABLES[dataset]}"
 
 
-def create_bronze(spark: SparkSession, root: str, dataset: str) -> None:
+def create_bronze(spark: SparkSession, root: str, dataset: str, buckets: int = BUCKETS) -> None:
     """Create the table if it is absent; an existing one is left alone.
 
-    Units are days of the ingest stamp, so that an incremental read opens only recent folders.
+    Loads are kept by day of the ingest stamp, so that an incremental read opens only recent folders;
+    affiliates are merged into by key.
     """
-    path = table_path(root, dataset)
-    if snapshot(spark, path) is None:
-        keys = AFFILIATE_KEYS if dataset == "affiliates" else []
-        empty = spark.createDataFrame([], BRONZE[dataset])
-        replace_table(spark, path, empty, keys, PERIODS.get(dataset, "day"))
+    create_table(
+        spark, table_path(root, dataset), BRONZE[dataset], BRONZE_KEYS[dataset],
+        dataset == "affiliates", "day", buckets,
+    )
 
 
 def with_stamp(df: DataFrame, dataset: str, as_of: datetime) -> DataFrame:
@@ -64,18 +73,28 @@ def read_bronze(
 def backfill(spark: SparkSession, root: str, dataset: str, rows: DataFrame) -> None:
     """Add rows with the stamps they carry, such as the history of another system."""
     create_bronze(spark, root, dataset)
-    append_table(spark, table_path(root, dataset), rows.select(*BRONZE[dataset].names))
+    path, rows = table_path(root, dataset), rows.select(*BRONZE[dataset].names)
+    if dataset == "affiliates":
+        # No stored row is retired: the history of a pair is kept until silver takes the latest.
+        merge_table(spark, path, rows, AFFILIATE_KEYS, retire_if=F.lit(False))
+    else:
+        append_table(spark, path, rows, EVENT.get(dataset))
 
 
 def append_players(
-    spark: SparkSession, root: str, rows: DataFrame, as_of: datetime, full_reload: bool = False
+    spark: SparkSession,
+    root: str,
+    rows: DataFrame,
+    as_of: datetime,
+    full_reload: bool = False,
+    buckets: int = BUCKETS,
 ) -> None:
     """Load every row of the delivery. `full_reload` replaces what earlier runs loaded."""
-    create_bronze(spark, root, "players")
+    create_bronze(spark, root, "players", buckets)
     batch = with_stamp(rows.withColumn("created_at", F.to_date("created_at")), "players", as_of)
     path = table_path(root, "players")
     if full_reload:
-        replace_table(spark, path, batch, period="day")
+        replace_table(spark, path, batch, period="day", keyed=False)
     else:
         append_table(spark, path, batch)
 
@@ -90,16 +109,9 @@ def high_water_mark(
 def loaded_mark(
     spark: SparkSession, root: str, dataset: str, first_mark: datetime = FIRST_MARK
 ) -> datetime:
-    """high_water_mark() of a stored table, without reading all of it.
-
-    The newest folder nearly always holds the largest time. It is read first; the rest is then
-    read with a filter that skips every row group without a larger one.
-    """
-    recent = newest_period(spark, table_path(root, dataset))
-    newest = first_mark if recent is None else high_water_mark(recent, first_mark=first_mark)
-    table = read_bronze(spark, root, dataset)
-    later = moment_of(table.filter(F.col("timestamp") > stamp(newest)), F.max("timestamp"))
-    return later or newest
+    """high_water_mark() of a stored table; every load keeps it, so no row is read."""
+    known = state(spark, table_path(root, dataset))
+    return max(known.high, first_mark) if known and known.high else first_mark
 
 
 def unseen(batch: DataFrame, table: DataFrame, key: str) -> DataFrame:
@@ -121,14 +133,16 @@ def insert_new(
     as_of: datetime,
     lookback_minutes: int = 0,
     first_mark: datetime = FIRST_MARK,
+    buckets: int = BUCKETS,
 ) -> int:
     """Insert rows later than the newest event time loaded, unless their key is known.
 
     Rows of one batch are not deduplicated against each other. Late rows, and rows without a time,
-    are dropped unless `lookback_minutes` moves the mark back; returned is how many there are.
+    are dropped unless `lookback_minutes` moves the mark back; returned is how many there are. Of
+    what is stored only the buckets of the batch's keys are searched.
     """
-    create_bronze(spark, root, dataset)
-    table = read_bronze(spark, root, dataset)
+    create_bronze(spark, root, dataset, buckets)
+    path = table_path(root, dataset)
     mark = stamp(loaded_mark(spark, root, dataset, first_mark))
     if lookback_minutes:
         mark = mark - F.make_dt_interval(mins=F.lit(lookback_minutes))
@@ -136,8 +150,12 @@ def insert_new(
     in_time = F.coalesce(F.col("timestamp") > mark, F.lit(False))
     late = batch.agg(F.count_if(~in_time)).first()[0]
     fresh = batch.filter(F.col("timestamp") > mark)
+    known = state(spark, path)
+    # With one bucket there is nothing to choose.
+    some = None if known.buckets == 1 else buckets_of(fresh, known)
+    table = read_table(spark, path, buckets=some)
     new = with_stamp(unseen(fresh, table, key), dataset, as_of)
-    append_table(spark, table_path(root, dataset), new)
+    append_table(spark, path, new, EVENT.get(dataset))
     return late
 
 
@@ -150,13 +168,17 @@ def load_transactions(spark, root: str, rows: DataFrame, as_of: datetime, **opti
 
 
 def upsert_affiliates(
-    spark: SparkSession, root: str, rows: DataFrame, as_of: datetime
+    spark: SparkSession, root: str, rows: DataFrame, as_of: datetime, buckets: int = BUCKETS
 ) -> None:
-    """Update stored rows that an incoming row of the same pair is newer than, insert new pairs."""
-    create_bronze(spark, root, "affiliates")
+    """Update stored rows that an incoming row of the same pair is newer than, insert new pairs.
+
+    Read and written are the buckets of the batch's pairs only.
+    """
+    create_bronze(spark, root, "affiliates", buckets)
     path = table_path(root, "affiliates")
-    table = read_table(spark, path)
     batch = with_stamp(rows, "affiliates", as_of)
+    known = state(spark, path)
+    table = read_table(spark, path, buckets=None if known.buckets == 1 else buckets_of(batch, known))
     keys = AFFILIATE_KEYS
     held = (
         table.select(*keys, F.col("_ingested_at").alias("_stored_at"))

@@ -1,73 +1,67 @@
-"""Stored tables on plain parquet that can be replaced and merged into.
-
-Parquet has no MERGE, and a path cannot be overwritten while it is read. A table is therefore a
-set of write-once folders plus numbered snapshot files; each snapshot lists the folders that make
-up the table. Rows are laid out in units of (period of the ingest stamp, hash bucket of the key).
-A merge writes the new rows once and rewrites only the units that hold rows it retires, so a batch
-of new facts costs little more than its own size. Readers of an older snapshot are not disturbed,
-and a run that dies before its snapshot is renamed into place leaves the table as it was. Folders
-carry a name of their own per write and a version number is taken by one writer only, so of two
-writers that started from one version the first to commit wins and the other fails without a trace.
-
-Period and buckets are fixed when a table is created. Choose them so that a unit holds some
-gigabytes: months and one bucket for a small table, days and many buckets for a large one.
+"""Stored tables: Parquet that Spark lays out, prunes and replaces by partition.
+
+A table is either a log, which is added to, or keyed, which is merged into.
+
+- A load of a log is a folder `_load=N` of its own, partitioned by the period of the ingest stamp and by
+  a hash bucket of the key. Rows added since a load, of recent periods or of some buckets are found
+  by partition.
+- A keyed table is partitioned by hash bucket of the key. A merge reads the buckets that its keys fall
+  into and writes them anew with dynamic partition overwrite; all others stay as they are.
+- A full rebuild writes a new `_load=N` folder; readers turn to it when it is complete.
+
+Each load ends by writing one row about the table (columns, layout, rows added, marks) to `_log`; the
+newest complete one holds. A load that dies before that has no effect on what readers of a log's
+marks or of a rebuilt table see, and it can be run again: loads skip keys that are stored, merges give
+the same rows. Spark refuses a load whose folder exists. One run at a time writes to a table, as the
+schedule asks for; two merges at once are not kept apart.
+
+Period and buckets are fixed when a table is created. Choose them so that a bucket holds some
+gigabytes: one for a small table, many for a large one.
 """
 
 from __future__ import annotations
 
 import json
-import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
 from datetime import datetime
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wagerlens.functions.times import moment_of
-
 STAMP = "_ingested_at"
 PERIOD = "month"
 BUCKETS = 1
-# compact() rewrites units of at least this many folders.
-MANY_FOLDERS = 16
+LOG = "_log"
 # Name Spark gives to the folder of rows without a date.
 NO_DATE = "__HIVE_DEFAULT_PARTITION__"
-
-
-class CommitConflict(RuntimeError):
-    """Another writer committed the version that this one was going to be."""
+_STATE = (
+    "load int, first int, keyed boolean, schema string, keys array<string>, period string,"
+    " buckets int, added_rows long, newest timestamp, marks map<string, int>, high timestamp"
+)
 
 
 @dataclass(frozen=True)
-class Snapshot:
-    version: int
+class State:
+    """What is known of a table after its load number `load`."""
+
+    load: int
+    first: int  # rows of earlier loads were replaced
+    keyed: bool
     schema: T.StructType
     keys: list[str]
     period: str
     buckets: int
-    units: dict[str, list[str]] = field(default_factory=dict)
     added_rows: int = 0
-    # Versions of other tables whose rows this one holds, by name.
+    newest: datetime | None = None  # largest ingest stamp
+    # Loads of other tables whose rows this one holds, by name.
     marks: dict[str, int] = field(default_factory=dict)
-
-    def folders(self, path: str, units: Sequence[str] | None = None) -> list[str]:
-        names = self.units if units is None else units
-        return [f"{path}/{part}/{u}" for u in names for part in self.units[u]]
-
-    def periods(self) -> list[str]:
-        return sorted({_period_of(u) for u in self.units} - {NO_DATE})
-
-
-def _period_of(unit: str) -> str:
-    return unit.split("/")[0].split("=", 1)[1]
+    high: datetime | None = None  # largest event time
 
 
 def _fs(spark: SparkSession, path: str):
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    p = hadoop.Path(path)
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
@@ -84,279 +78,226 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
-def _claim(spark: SparkSession, tmp: str, final: str) -> bool:
-    """Give a file its final name unless that is taken, as one step."""
-    fs, source = _fs(spark, tmp)
-    _, target = _fs(spark, final)
-    if fs.getUri().getScheme() != "file":
-        # HDFS refuses to rename onto a file.
-        return not fs.exists(target) and fs.rename(source, target)
-    # A local rename writes over its target, a link does not.
-    local = lambda p: spark._jvm.java.io.File(p.toUri().getPath()).toPath()
-    try:
-        spark._jvm.java.nio.file.Files.createLink(local(target), local(source))
-    except Py4JJavaError as e:
-        if "FileAlreadyExists" in e.java_exception.getClass().getName():
-            return False
-        raise
-    return True
-
-
-def _new_part(version: int) -> str:
-    """Folder of one write; its number tells which version brought the rows."""
-    return f"v={version}-{uuid.uuid4().hex[:12]}"
-
-
-def _version_of(part: str) -> int:
-    return int(part.split("/")[0].split("=", 1)[1].split("-")[0])
-
-
-def _write_snapshot(spark: SparkSession, path: str, snap: Snapshot) -> None:
-    body = {
-        "version": snap.version,
-        "schema": snap.schema.jsonValue(),
-        "keys": snap.keys,
-        "period": snap.period,
-        "buckets": snap.buckets,
-        "units": snap.units,
-        "added_rows": snap.added_rows,
-        "marks": snap.marks,
-    }
-    tmp = f"{path}/_snapshots/.{snap.version}-{uuid.uuid4().hex}.tmp"
-    fs, file = _fs(spark, tmp)
-    out = fs.create(file, False)
-    try:
-        out.write(bytearray(json.dumps(body).encode("utf-8")))
-    finally:
-        out.close()
-    try:
-        if not _claim(spark, tmp, f"{path}/_snapshots/{snap.version}.json"):
-            raise CommitConflict(f"{path}: version {snap.version} was committed by another run")
-    finally:
-        if fs.exists(file):
-            delete(spark, tmp)
-
-
-def _publish(spark: SparkSession, path: str, part: str, snap: Snapshot) -> Snapshot:
-    """Commit a snapshot, or delete the folder that was written for it."""
-    try:
-        _write_snapshot(spark, path, snap)
-    except CommitConflict:
-        delete(spark, f"{path}/{part}")
-        raise
-    return snap
-
-
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    names = children(spark, f"{path}/_snapshots")
-    return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
-
-
-def snapshot(spark: SparkSession, path: str, version: int | None = None) -> Snapshot | None:
-    """A committed state, the newest if no version is given; None if the table does not exist."""
-    if version is None:
-        versions = _versions(spark, path)
-        if not versions:
-            return None
-        version = versions[-1]
-    fs, p = _fs(spark, f"{path}/_snapshots/{version}.json")
-    stream = fs.open(p)
-    try:
-        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-    body = json.loads(text)
-    return Snapshot(
-        body["version"],
-        T.StructType.fromJson(body["schema"]),
-        body["keys"],
-        body["period"],
-        body["buckets"],
-        body["units"],
-        body["added_rows"],
-        body.get("marks", {}),
-    )
-
-
-def _load(spark: SparkSession, path: str, snap: Snapshot, units: Sequence[str] | None = None):
-    # Reading with the table's own schema gives NULL for columns a folder does not have yet and
-    # leaves out columns the table no longer has.
-    folders = snap.folders(path, units)
-    if not folders:
-        return spark.createDataFrame([], snap.schema)
-    return spark.read.schema(snap.schema).parquet(*folders)
+def _numbers(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the `_load=N` folders in a folder, in order."""
+    names = (n.removeprefix("_load=") for n in children(spark, path) if n.startswith("_load="))
+    return sorted(int(n) for n in names if n.isdigit())
 
 
-def read_table(spark: SparkSession, path: str, since: datetime | None = None) -> DataFrame:
-    """The table as of its newest snapshot.
+def _load_dir(path: str, load: int) -> str:
+    return f"{path}/_load={load}"
 
-    `since` leaves out the units of periods before it; rows of its own period are all returned.
-    """
-    snap = snapshot(spark, path)
-    if snap is None:
-        raise FileNotFoundError(f"no table at {path}")
-    if since is None:
-        return _load(spark, path, snap)
-    # A period is named by its first day, so the one `since` falls into is the last not after it.
-    day = since.strftime("%Y-%m-%d")
-    first = max((p for p in snap.periods() if p <= day), default="")
-    units = [u for u in snap.units if first <= _period_of(u) != NO_DATE]
-    return _load(spark, path, snap, units)
 
+def _complete(spark: SparkSession, folder: str) -> bool:
+    fs, p = _fs(spark, f"{folder}/_SUCCESS")
+    return fs.exists(p)
 
-def read_added(spark: SparkSession, path: str, after: int) -> DataFrame:
-    """Rows of the folders written after a version: all rows added since, whatever stamps they
-    carry, and rows that were rewritten since."""
-    snap = snapshot(spark, path)
-    if snap is None:
-        raise FileNotFoundError(f"no table at {path}")
-    units = {
-        u: new for u, parts in snap.units.items() if (new := [p for p in parts if _version_of(p) > after])
-    }
-    return _load(spark, path, replace(snap, units=units))
 
+def state(spark: SparkSession, path: str) -> State | None:
+    """What the newest complete load says; None if the table does not exist."""
+    for n in reversed(_numbers(spark, f"{path}/{LOG}")):
+        folder = _load_dir(f"{path}/{LOG}", n)
+        if _complete(spark, folder):
+            row = spark.read.schema(_STATE).parquet(folder).first().asDict()
+            schema = T.StructType.fromJson(json.loads(row.pop("schema")))
+            return State(schema=schema, **row)
+    return None
 
-def newest_period(spark: SparkSession, path: str) -> DataFrame | None:
-    """Rows of the newest period; None if no row has a stamp."""
-    snap = snapshot(spark, path)
-    if snap is None or not snap.periods():
-        return None
-    last = snap.periods()[-1]
-    return _load(spark, path, snap, [u for u in snap.units if _period_of(u) == last])
 
+def _write_state(spark: SparkSession, path: str, s: State) -> State:
+    row = (s.load, s.first, s.keyed, s.schema.json(), s.keys, s.period, s.buckets, s.added_rows,
+           s.newest, s.marks, s.high)
+    spark.createDataFrame([row], _STATE).write.parquet(_load_dir(f"{path}/{LOG}", s.load))
+    return s
 
-def newest_stamp(spark: SparkSession, path: str) -> datetime | None:
-    """Largest ingest stamp; reads the newest period only."""
-    rows = newest_period(spark, path)
-    return None if rows is None else moment_of(rows, F.max(STAMP))
 
+def _next_load(spark: SparkSession, path: str, old: State | None) -> int:
+    """Above every load there is, those included that never came to an end."""
+    return 1 + max([0, old.load if old else 0, *_numbers(spark, path), *_numbers(spark, f"{path}/{LOG}")])
 
-def _period(schema: T.StructType, period: str) -> Column:
-    if STAMP in schema.names:
-        return F.date_trunc(period, STAMP).cast("date")
-    return F.lit(None).cast("date")
+
+# --- reading ---
 
 
 def _bucket(keys: Sequence[str], buckets: int) -> Column:
-    if not keys:
+    if not keys or buckets == 1:
         return F.lit(0)
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
-def _unit(snap: Snapshot) -> Column:
-    return F.concat(
-        F.lit("_period="),
-        F.coalesce(_period(snap.schema, snap.period).cast("string"), F.lit(NO_DATE)),
-        F.lit("/_bucket="),
-        _bucket(snap.keys, snap.buckets).cast("string"),
-    )
+def buckets_of(rows: DataFrame, s: State) -> list[int]:
+    """Buckets that the keys of rows fall into; at most as many as the table has."""
+    found = rows.select(_bucket(s.keys, s.buckets).alias("b")).distinct()
+    return sorted(r["b"] for r in found.collect())
+
+
+def _first_day(moment: datetime, period: str) -> str:
+    """The day by which the period of a moment is named."""
+    day = moment.date()
+    if period == "year":
+        day = day.replace(month=1, day=1)
+    elif period == "month":
+        day = day.replace(day=1)
+    return day.isoformat()
+
+
+def _folders(spark: SparkSession, path: str, s: State, after: int, day: str, buckets: Sequence[int] | None) -> list[str]:
+    """Folders of the loads after a number, of periods from `day` on and of some buckets."""
+    loads = [n for n in _numbers(spark, path) if (n == s.first if s.keyed else max(after, s.first - 1) < n <= s.load)]
+    if buckets is None and not day:
+        return [_load_dir(path, n) for n in loads]
+    inner = "" if s.keyed else "/_period=*"
+    picked = "*" if buckets is None else "{" + ",".join(str(b) for b in buckets) + "}"
+    found = []
+    for n in loads:
+        fs, pattern = _fs(spark, f"{_load_dir(path, n)}{inner}/_bucket={picked}")
+        names = [f.getPath().toString() for f in fs.globStatus(pattern) or []]
+        found += [f for f in names if not day or "/_period=" not in f or _is_from(f, day)]
+    return found
 
 
-def _write_units(
+def _is_from(folder: str, day: str) -> bool:
+    period = folder.split("/_period=")[1].split("/")[0]
+    return period >= day and period != NO_DATE
+
+
+def _stored(
     spark: SparkSession,
     path: str,
-    part: str,
-    df: DataFrame,
-    keys: Sequence[str],
-    period: str,
-    buckets: int,
-) -> dict[str, list[str]]:
-    """Write rows to a new folder and return the units in it."""
-    laid_out = df.withColumns(
-        {"_period": _period(df.schema, period), "_bucket": _bucket(keys, buckets)}
-    )
-    if buckets > 1 or STAMP in df.columns:
-        # Splits a large unit over several tasks and keeps a small one in one file.
-        laid_out = laid_out.hint("rebalance", F.col("_period"), F.col("_bucket"))
-    laid_out.write.partitionBy("_period", "_bucket").parquet(f"{path}/{part}")
-    units = {}
-    for folder in children(spark, f"{path}/{part}"):
-        if folder.startswith("_period="):
-            for bucket in children(spark, f"{path}/{part}/{folder}"):
-                units[f"{folder}/{bucket}"] = [part]
-    return units
-
-
-def _rows_added(spark: SparkSession, path: str, snap: Snapshot) -> Snapshot:
-    """The snapshot with its number of new rows, taken from the parquet footers."""
-    return replace(snap, added_rows=_load(spark, path, snap).count())
+    s: State,
+    after: int = 0,
+    day: str = "",
+    buckets: Sequence[int] | None = None,
+) -> DataFrame:
+    """Rows of the loads after a number, with the columns the table is laid out by.
+
+    Reading with the table's own schema gives NULL for columns a file does not have yet and leaves
+    out columns the table no longer has.
+    """
+    extra = "_added int, _bucket int" if s.keyed else "_load int, _period date, _bucket int"
+    schema = T.StructType([*s.schema.fields, *T.StructType.fromDDL(extra).fields])
+    folders = _folders(spark, path, s, after, day, buckets)
+    if not folders:
+        return spark.createDataFrame([], schema)
+    base = _load_dir(path, s.first) if s.keyed else path
+    rows = spark.read.schema(schema).option("basePath", base).parquet(*folders)
+    return rows.filter(F.col("_added") > after) if s.keyed and after else rows
 
 
-def replace_table(
+def _known(spark: SparkSession, path: str) -> State:
+    s = state(spark, path)
+    if s is None:
+        raise FileNotFoundError(f"no table at {path}")
+    return s
+
+
+def read_table(
     spark: SparkSession,
     path: str,
-    df: DataFrame,
-    keys: Sequence[str] = (),
-    period: str = PERIOD,
-    buckets: int = BUCKETS,
-    marks: dict[str, int] | None = None,
-) -> Snapshot:
-    """Full rebuild: readers see the old rows until the new ones are complete."""
-    old = snapshot(spark, path)
-    version = old.version + 1 if old else 1
-    part = _new_part(version)
-    units = _write_units(spark, path, part, df, keys, period, buckets)
-    snap = Snapshot(version, df.schema, list(keys), period, buckets, units, marks=marks or {})
-    return _publish(spark, path, part, _rows_added(spark, path, snap))
+    since: datetime | None = None,
+    buckets: Sequence[int] | None = None,
+) -> DataFrame:
+    """The rows of a table.
+
+    `since` leaves out the periods of a log before it; rows of its own period are all returned.
+    `buckets` leaves out all other buckets.
+    """
+    s = _known(spark, path)
+    day = "" if since is None or s.keyed else _first_day(since, s.period)
+    return _stored(spark, path, s, 0, day, buckets).select(*s.schema.names)
+
+
+def read_added(spark: SparkSession, path: str, after: int) -> DataFrame:
+    """All rows that loads after a number have added, whatever stamps they carry."""
+    s = _known(spark, path)
+    return _stored(spark, path, s, after).select(*s.schema.names)
+
+
+# --- writing ---
+
+
+def _write(df: DataFrame, folder: str, by: Sequence[str], dynamic: bool = False) -> None:
+    # Splits a large partition over several tasks and keeps a small one in one file.
+    laid_out = df.hint("rebalance", *[F.col(c) for c in by])
+    out = laid_out.write.partitionBy(*by)
+    if dynamic:
+        out = out.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    out.parquet(folder)
+
+
+def _period(s: State) -> Column:
+    if STAMP in s.schema.names:
+        return F.date_trunc(s.period, STAMP).cast("date")
+    return F.lit(None).cast("date")
+
 
+def _measured(rows: DataFrame, s: State, event: str | None) -> State:
+    """The state with what the rows of its load, read back, say of themselves."""
+    none = F.lit(None).cast("timestamp")
+    stamp = F.max(STAMP) if STAMP in s.schema.names else none
+    high = F.max(event) if event else none
+    n, newest, highest = rows.agg(F.count(F.lit(1)), stamp, high).first()
+    later = lambda a, b: max((x for x in (a, b) if x is not None), default=None)
+    return replace(s, added_rows=n, newest=later(s.newest, newest), high=later(s.high, highest))
 
-def _commit(
+
+def _add_load(
+    spark: SparkSession, path: str, df: DataFrame, s: State, event: str | None
+) -> State:
+    """Write rows as the folder of load `s.load`."""
+    if s.keyed:
+        laid_out = df.withColumns({"_added": F.lit(s.load), "_bucket": _bucket(s.keys, s.buckets)})
+        _write(laid_out, _load_dir(path, s.load), ["_bucket"])
+    else:
+        laid_out = df.withColumns({"_period": _period(s), "_bucket": _bucket(s.keys, s.buckets)})
+        _write(laid_out, _load_dir(path, s.load), ["_period", "_bucket"])
+    return _write_state(spark, path, _measured(_stored(spark, path, s, s.load - 1), s, event))
+
+
+def create_table(
     spark: SparkSession,
     path: str,
-    part: str,
-    old: Snapshot,
-    fresh: Snapshot,
-    rewritten: set[str],
-    remaining: DataFrame | None,
-) -> Snapshot:
-    """The old units, with `remaining` rows in place of the rewritten ones, and the fresh rows."""
-    kept: dict[str, list[str]] = {}
-    if rewritten:
-        layout = (old.keys, old.period, old.buckets)
-        kept = _write_units(spark, path, f"{part}/kept", remaining, *layout)
-    units = {u: parts for u, parts in old.units.items() if u not in rewritten}
-    for more in (kept, fresh.units):
-        for u, parts in more.items():
-            units[u] = units.get(u, []) + parts
-    return _publish(spark, path, part, replace(fresh, units=units))
-
-
-def _add(
-    spark: SparkSession, path: str, part: str, old: Snapshot, rows: DataFrame, marks: dict | None
-) -> Snapshot:
-    """Write rows as the next version of the table, not committed yet."""
-    layout = (old.keys, old.period, old.buckets)
-    units = _write_units(spark, path, f"{part}/new", rows, *layout)
-    fresh = Snapshot(old.version + 1, rows.schema, *layout, units, marks=old.marks | (marks or {}))
-    return _rows_added(spark, path, fresh)
+    schema: T.StructType,
+    keys: Sequence[str] = (),
+    keyed: bool = False,
+    period: str = PERIOD,
+    buckets: int = BUCKETS,
+) -> State:
+    """A table without rows; one that exists is left alone."""
+    old = state(spark, path)
+    if old is not None:
+        return old
+    load = _next_load(spark, path, None)
+    return _write_state(spark, path, State(load, load + 1, keyed, schema, list(keys), period, buckets))
 
 
-def append_table(
+def replace_table(
     spark: SparkSession,
     path: str,
-    rows: DataFrame,
+    df: DataFrame,
     keys: Sequence[str] = (),
     period: str = PERIOD,
     buckets: int = BUCKETS,
-) -> Snapshot:
-    """Add rows; readers see all of them or none. Nothing that is stored is rewritten."""
-    old = snapshot(spark, path)
-    if old is None:
-        return replace_table(spark, path, rows, keys, period, buckets)
-    part = _new_part(old.version + 1)
-    fresh = _add(spark, path, part, old, rows, None)
-    return _commit(spark, path, part, old, fresh, set(), None)
+    marks: dict[str, int] | None = None,
+    keyed: bool | None = None,
+    event: str | None = None,
+) -> State:
+    """Full rebuild: readers see the old rows until the new ones are complete."""
+    load = _next_load(spark, path, state(spark, path))
+    is_keyed = bool(keys) if keyed is None else keyed
+    s = State(load, load, is_keyed, df.schema, list(keys), period, buckets, marks=marks or {})
+    return _add_load(spark, path, df, s, event)
 
 
-def compact(spark: SparkSession, path: str, folders: int = MANY_FOLDERS) -> Snapshot | None:
-    """Rewrite units of many folders as one each; meant for quiet hours, never part of a load."""
-    old = snapshot(spark, path)
-    many = {u for u, parts in old.units.items() if len(parts) >= folders} if old else set()
-    if not many:
-        return old
-    part = _new_part(old.version + 1)
-    fresh = replace(old, version=old.version + 1, units={}, added_rows=0)
-    return _commit(spark, path, part, old, fresh, many, _load(spark, path, old, sorted(many)))
+def append_table(
+    spark: SparkSession, path: str, rows: DataFrame, event: str | None = None
+) -> State:
+    """Add rows to a log as a load of their own; nothing that is stored is rewritten."""
+    old = _known(spark, path)
+    if old.keyed:
+        raise ValueError(f"{path} is merged into, not added to")
+    s = replace(old, load=_next_load(spark, path, old), schema=rows.schema)
+    return _add_load(spark, path, rows, s, event)
 
 
 def merge_table(
@@ -366,62 +307,48 @@ def merge_table(
     keys: Sequence[str],
     retire_by: DataFrame | None = None,
     retire_if: Column | None = None,
-    period: str = PERIOD,
     buckets: int = BUCKETS,
     marks: dict[str, int] | None = None,
-) -> Snapshot:
-    """Add `new_rows`; rows they supersede leave the table.
+) -> State:
+    """Add `new_rows` to a keyed table; rows they supersede leave it.
 
     A stored row is retired if it has the key of a row of `retire_by` (default: the new rows) and
-    `retire_if` holds for the two, which sees them as aliases `old` and `new`. The columns of
-    `new_rows` become the columns of the table. NULL keys never match, so such rows are only added.
+    `retire_if` holds for the two, which sees them as aliases `old` and `new`. Every key that
+    retires a row must be among the new rows. The columns of `new_rows` become the columns of the
+    table. NULL keys never match, so such rows are only added.
 
-    Only buckets that keys of `retire_by` fall into are searched for rows to retire.
+    Read and written are the buckets that new rows fall into.
     """
-    old = snapshot(spark, path)
+    old = state(spark, path)
     if old is None:
-        return replace_table(spark, path, new_rows, keys, period, buckets, marks)
-    if list(keys) != old.keys:
+        return replace_table(spark, path, new_rows, keys, buckets=buckets, marks=marks)
+    if list(keys) != old.keys or not old.keyed:
         raise ValueError(f"{path} is laid out by {old.keys}, not {list(keys)}")
-    part = _new_part(old.version + 1)
-    fresh = _add(spark, path, part, old, new_rows, marks)
-    retire_by = _load(spark, path, fresh) if retire_by is None else retire_by
+    load = _next_load(spark, path, old)
+    s = replace(old, load=load, schema=new_rows.schema, added_rows=0, marks=old.marks | (marks or {}))
+    touched = buckets_of(new_rows, old)
+    if not touched:
+        return _write_state(spark, path, s)
+    base = _load_dir(path, old.first)
+    stored = _stored(spark, path, s, buckets=touched)
     on = [F.col(f"old.{k}") == F.col(f"new.{k}") for k in keys]
     if retire_if is not None:
         on.append(retire_if)
-
-    candidates = _units_for(old, retire_by, keys)
-    touched: set[str] = set()
-    if candidates:
-        stored = _load(spark, path, old, candidates).alias("old")
-        touched = {
-            r[0]
-            for r in stored.join(retire_by.alias("new"), on, "left_semi")
-            .select(_unit(old))
-            .distinct()
-            .collect()  # names of units, at most as many as the snapshot lists
-        }
-    remaining = None
-    if touched:
-        some = _load(spark, path, old, sorted(touched)).alias("old")
-        remaining = some.join(retire_by.alias("new"), on, "left_anti")
-    return _commit(spark, path, part, old, fresh, touched, remaining)
-
-
-def _units_for(old: Snapshot, rows: DataFrame, keys: Sequence[str]) -> list[str]:
-    """Units whose bucket holds a key of the rows."""
-    if old.buckets == 1:
-        return [] if rows.isEmpty() else list(old.units)
-    found = rows.select(_bucket(keys, old.buckets).alias("b")).distinct().collect()
-    names = {f"_bucket={r['b']}" for r in found}
-    return [u for u in old.units if u.split("/")[1] in names]
+    retire_by = new_rows if retire_by is None else retire_by
+    remaining = stored.alias("old").join(retire_by.alias("new"), on, "left_anti")
+    fresh = new_rows.withColumns({"_added": F.lit(load), "_bucket": _bucket(old.keys, old.buckets)})
+    _write(remaining.unionByName(fresh), base, ["_bucket"], dynamic=True)
+    written = _stored(spark, path, s, load - 1, buckets=touched)
+    return _write_state(spark, path, _measured(written, s, None))
 
 
 def expire(spark: SparkSession, path: str, keep: int = 2) -> None:
-    """Delete snapshots but the newest `keep`, and the folders only they used."""
-    versions = _versions(spark, path)
-    old, kept = versions[:-keep], versions[-keep:]
-    used = {f for v in kept for f in snapshot(spark, path, v).folders(path)}
-    unused = {f for v in old for f in snapshot(spark, path, v).folders(path)} - used
-    for name in [*unused, *(f"{path}/_snapshots/{v}.json" for v in old)]:
-        delete(spark, name)
+    """Delete rows that were replaced, and what is known of loads before the newest `keep`."""
+    s = state(spark, path)
+    if s is None:
+        return
+    for n in _numbers(spark, f"{path}/{LOG}")[:-keep]:
+        delete(spark, _load_dir(f"{path}/{LOG}", n))
+    for n in _numbers(spark, path):
+        if n < s.first:
+            delete(spark, _load_dir(path, n))
