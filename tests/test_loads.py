@@ -7,7 +7,7 @@ import pytest
 from conftest import at, rows, same
 from pyspark.sql import functions as F
 
-from wagerlens.plans import medallion, silver
+from wagerlens.plans import declared, medallion, silver
 from wagerlens.schemas import FILE_SCHEMAS, SILVER_KEYS, SILVER_SOURCE
 from wagerlens.sources import bronze
 from wagerlens.sources.files import SourceError, check_file, file_columns, scan_file, write_file
@@ -340,8 +340,16 @@ def test_two_hourly_runs(spark, root, lake):
     failing = {tuple(r) for r in results.filter("failures > 0").select("table", "test").collect()}
     # Players are appended by both runs, and redeliveries repeat keys in bronze.
     assert ("raw_players", "unique") in failing and ("dim_players", "unique") not in failing
-    stored = spark.read.parquet(f"{layout.failures}/raw_players.unique.player_id")
-    assert stored.count() == 150
+    stored = declared.read_failures(spark, layout.failures)
+    of_players = stored.filter("`table` = 'raw_players' AND test = 'unique' AND `column` = 'player_id'")
+    assert of_players.count() == 150 and of_players.filter("n_records <> 2").isEmpty()
+    counts = stored.groupBy("table", "test", "column").agg(
+        F.when(F.col("test") == "unique", F.count("value")).when(
+            F.col("test") == "relationships", F.count("value")
+        ).otherwise(F.sum("n_records")).alias("failures")
+    )
+    told = results.filter("failures > 0").select("table", "test", "column", "failures")
+    assert rows(counts) == rows(told)
 
 
 def test_a_failed_stage_is_logged(spark, root, lake):

@@ -409,17 +409,6 @@ def _(lake: Lake) -> DataFrame:
     return bronze.read_bronze(lake.spark, root, "sessions", since=datetime(2024, 1, 25))
 
 
-@query(
-    "l13_stored_failures",
-    """SELECT transaction_id AS value, count(*) AS n_records
-        FROM raw_transactions GROUP BY transaction_id HAVING count(*) > 1""",
-)
-def _(lake: Lake) -> DataFrame:
-    path, name = scratch_dir(lake.spark, "failures"), "raw_transactions.unique.transaction_id"
-    declared.store_failures({"raw_transactions": lake.raw["transactions"]}, path, [name])
-    return lake.spark.read.parquet(f"{path}/{name}")
-
-
 # --- a whole run ---
 
 

@@ -106,15 +106,50 @@ TESTED = [
 ]
 
 
-@query("q1_q2_q3_q4_declared_tests", _test_sql())
-def _(lake: Lake) -> DataFrame:
+def _tested_frames(lake: Lake) -> dict[str, DataFrame]:
     frames: dict[str, DataFrame] = {f"raw_{d}": df for d, df in lake.raw.items()}
     frames |= {f"stg_{d}": lake.staging(d) for d in FILE_SCHEMAS}
     for name in TESTED[8:12]:
         frames[name] = lake.silver(name)
     for name in TESTED[12:]:
         frames[name] = lake.gold(name)
-    return declared.run_tests(frames)
+    return frames
+
+
+@query("q1_q2_q3_q4_declared_tests", _test_sql())
+def _(lake: Lake) -> DataFrame:
+    return declared.run_tests(_tested_frames(lake))
+
+
+def _failures_sql() -> str:
+    """Failing values of every declared test."""
+    parts = []
+
+    def add(table: str, test: str, column: str, where: str, having: str = "") -> None:
+        parts.append(
+            f"SELECT '{table}' AS \"table\", '{test}' AS test, '{column}' AS \"column\","
+            f" CAST({column} AS VARCHAR) AS value, count(*) AS n_records FROM {table}"
+            f" WHERE {where} GROUP BY {column} {having}"
+        )
+
+    for table in TESTED:
+        for c in declared.NOT_NULL.get(table, []):
+            add(table, "not_null", c, f"{c} IS NULL")
+        for c, values in declared.ACCEPTED.get(table, {}).items():
+            add(table, "accepted_values", c, f"{c} NOT IN ({', '.join(repr(v) for v in values)})")
+        for c in declared.UNIQUE.get(table, []):
+            add(table, "unique", c, f"{c} IS NOT NULL", "HAVING count(*) > 1")
+        for c, (parent, pc) in declared.RELATIONSHIPS.get(table, {}).items():
+            add(table, "relationships", c, f"{c} NOT IN (SELECT {pc} FROM {parent})")
+    return " UNION ALL ".join(parts)
+
+
+@query("l13_stored_failures", _failures_sql())
+def _(lake: Lake) -> DataFrame:
+    """All declared tests, stored and read back."""
+    path = scratch_dir(lake.spark, "failures")
+    declared.store_failures(_tested_frames(lake), path)
+    return declared.read_failures(lake.spark, path)
 
 
 @query(

@@ -73,8 +73,9 @@ def _(lake: Lake) -> DataFrame:
 @query(
     "x4_stream_ip_per_hour",
     f"""SELECT ip, {ts('start')} AS hour_start,
-          {ts('start + INTERVAL 1 HOUR')} AS hour_end, count(*) AS logins
-        FROM (SELECT ip, session_timestamp, time_bucket(INTERVAL 10 MINUTE, session_timestamp)
+          {ts('start + INTERVAL 1 HOUR')} AS hour_end, count(*) AS logins,
+          count(DISTINCT player_id) AS distinct_players
+        FROM (SELECT ip, player_id, session_timestamp, time_bucket(INTERVAL 10 MINUTE, session_timestamp)
                 - INTERVAL 10 MINUTE * k AS start
               FROM dim_sessions, (VALUES (0), (1), (2), (3), (4), (5)) AS s(k))
         WHERE start + INTERVAL 1 HOUR

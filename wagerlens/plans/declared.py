@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wagerlens.operators.quality import (
     duplicates,
-    not_accepted,
-    nulls,
     orphans,
     table_profile,
 )
@@ -102,24 +101,68 @@ def run_tests(frames: dict[str, DataFrame]) -> DataFrame:
     return results.withColumn("status", F.when(F.col("failures") > 0, "warn").otherwise("pass"))
 
 
-def failing_rows(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Failing rows per declared test, named <table>.<test>.<column>."""
-    out = {}
-    for table, df in frames.items():
-        for c in UNIQUE.get(table, []):
-            out[f"{table}.unique.{c}"] = duplicates(df, c)
-        for c in NOT_NULL.get(table, []):
-            out[f"{table}.not_null.{c}"] = nulls(df, c)
-        for c, values in ACCEPTED.get(table, {}).items():
-            out[f"{table}.accepted_values.{c}"] = not_accepted(df, c, values)
-        for c, (parent, parent_column) in RELATIONSHIPS.get(table, {}).items():
-            if parent in frames:
-                out[f"{table}.relationships.{c}"] = orphans(df, c, frames[parent], parent_column)
-    return out
+def failing_values(
+    table: str, frames: dict[str, DataFrame], names: Sequence[str] | None = None
+) -> DataFrame | None:
+    """test, column, value, n_records of all failures of one table; None if it declares no test.
+
+    The table is read once: each row gives the (test, column, value) it could fail by, which are counted
+    before they are shuffled. Values that occur once are dropped from the unique tests, values that
+    have a parent from the relationships, by one join for all of them. `names` picks tests.
+    """
+    rows = []
+
+    def add(test: str, column: str, may_fail: Column) -> None:
+        if names is None or f"{table}.{test}.{column}" in names:
+            value = F.col(column).cast("string").alias("value")
+            rows.append(
+                F.when(may_fail, F.struct(F.lit(test).alias("test"), F.lit(column).alias("column"), value))
+            )
+
+    for c in UNIQUE.get(table, []):
+        add("unique", c, F.col(c).isNotNull())
+    for c in NOT_NULL.get(table, []):
+        add("not_null", c, F.col(c).isNull())
+    for c, values in ACCEPTED.get(table, {}).items():
+        add("accepted_values", c, ~F.col(c).isin(*values))
+    parents = {}
+    for c, (parent, parent_column) in RELATIONSHIPS.get(table, {}).items():
+        if parent in frames:
+            parents[c] = frames[parent].select(F.col(parent_column).cast("string").alias("value"))
+            add("relationships", c, F.col(c).isNotNull())
+    if not rows:
+        return None
+    found = (
+        frames[table]
+        .select(F.explode(F.array_compact(F.array(*rows))).alias("f"))
+        .groupBy("f.test", "f.column", "f.value")
+        .agg(F.count(F.lit(1)).alias("n_records"))
+        .filter((F.col("test") != "unique") | (F.col("n_records") > 1))
+    )
+    if not parents:
+        return found
+    known = reduce(
+        DataFrame.unionByName,
+        [
+            p.distinct().select(F.lit("relationships").alias("test"), F.lit(c).alias("column"), "value")
+            for c, p in parents.items()
+        ],
+    )
+    return found.join(known, ["test", "column", "value"], "left_anti")
 
 
 def store_failures(frames: dict[str, DataFrame], path: str, names: list[str] | None = None) -> None:
-    """Write the failing rows of the tests to <path>/<table>.<test>.<column>."""
-    failing = failing_rows(frames)
-    for name in failing if names is None else names:
-        failing[name].write.mode("overwrite").parquet(f"{path}/{name}")
+    """Write the failing values of the tests, in one job per table, to folders by table, test and
+    column; see read_failures(). `names` picks tests, such as `raw_players.unique.player_id`."""
+    for table in frames:
+        found = failing_values(table, frames, names)
+        if found is not None:
+            out = found.write.mode("overwrite").partitionBy("test", "column")
+            out.parquet(f"{path}/table={table}")
+
+
+def read_failures(spark: SparkSession, path: str) -> DataFrame:
+    """table, test, column, value, n_records of what store_failures() wrote."""
+    schema = "value string, n_records long, table string, test string, column string"
+    found = spark.read.schema(schema).parquet(path)
+    return found.select("table", "test", "column", "value", "n_records")

@@ -134,22 +134,24 @@ def insert_new(
     lookback_minutes: int = 0,
     first_mark: datetime = FIRST_MARK,
     buckets: int = BUCKETS,
+    mark: datetime | None = None,
 ) -> int:
     """Insert rows later than the newest event time loaded, unless their key is known.
 
     Rows of one batch are not deduplicated against each other. Late rows, and rows without a time,
-    are dropped unless `lookback_minutes` moves the mark back; returned is how many there are. Of
-    what is stored only the buckets of the batch's keys are searched.
+    are dropped unless `lookback_minutes` moves the mark back; returned is how many there are. `mark`
+    stands for the newest event time where one delivery is loaded in several batches. Of what is
+    stored only the buckets of the batch's keys are searched.
     """
     create_bronze(spark, root, dataset, buckets)
     path = table_path(root, dataset)
-    mark = stamp(loaded_mark(spark, root, dataset, first_mark))
+    late_at = stamp(mark or loaded_mark(spark, root, dataset, first_mark))
     if lookback_minutes:
-        mark = mark - F.make_dt_interval(mins=F.lit(lookback_minutes))
+        late_at = late_at - F.make_dt_interval(mins=F.lit(lookback_minutes))
     batch = rows.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
-    in_time = F.coalesce(F.col("timestamp") > mark, F.lit(False))
+    in_time = F.coalesce(F.col("timestamp") > late_at, F.lit(False))
     late = batch.agg(F.count_if(~in_time)).first()[0]
-    fresh = batch.filter(F.col("timestamp") > mark)
+    fresh = batch.filter(F.col("timestamp") > late_at)
     known = state(spark, path)
     # With one bucket there is nothing to choose.
     some = None if known.buckets == 1 else buckets_of(fresh, known)

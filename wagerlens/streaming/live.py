@@ -17,11 +17,15 @@ def first_per_key(stream: DataFrame, key: str, event_ts: str, delay: str = "1 da
 def rapid_cycles(transactions: DataFrame, delay: str = "10 minutes") -> DataFrame:
     """Withdrawals less than an hour after a deposit, as they happen.
 
-    The time condition and the two watermarks together let Spark drop rows from its state once
-    no partner can arrive.
+    Rows meet by player and hour: a deposit lies in its own hour, a withdrawal goes to its own and the
+    one before, so each pair meets once, and what is kept of a busy player is spread over the hours
+    instead of lying in one task. The time condition and the two watermarks together let Spark drop
+    rows from its state once no partner can arrive.
     """
+    hour = RAPID_MINUTES * 60_000_000
 
-    def side(kind: str, prefix: str) -> DataFrame:
+    def side(kind: str, prefix: str, buckets: list[int]) -> DataFrame:
+        of_row = F.floor(F.unix_micros(f"{prefix}_time") / hour)
         return (
             transactions.filter(F.col("transaction_type") == kind)
             .select(
@@ -31,28 +35,43 @@ def rapid_cycles(transactions: DataFrame, delay: str = "10 minutes") -> DataFram
                 F.col("amount").alias(f"{prefix}_amount"),
             )
             .withWatermark(f"{prefix}_time", delay)
+            .withColumn(f"{prefix}_hour", F.explode(F.array(*[of_row - F.lit(k) for k in buckets])))
         )
 
     window = F.make_dt_interval(mins=F.lit(RAPID_MINUTES))
-    return side("deposit", "deposit").join(
-        side("withdraw", "withdraw"),
-        (F.col("deposit_player") == F.col("withdraw_player"))
-        & (F.col("withdraw_time") > F.col("deposit_time"))
-        & (F.col("withdraw_time") < F.col("deposit_time") + window),
+    return (
+        side("deposit", "deposit", [0])
+        .join(
+            side("withdraw", "withdraw", [0, 1]),
+            (F.col("deposit_player") == F.col("withdraw_player"))
+            & (F.col("deposit_hour") == F.col("withdraw_hour"))
+            & (F.col("withdraw_time") > F.col("deposit_time"))
+            & (F.col("withdraw_time") < F.col("deposit_time") + window),
+        )
+        .drop("deposit_hour", "withdraw_hour")
     )
 
 
 def ip_sharing_per_hour(sessions: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """Logins per address and sliding hour. Streams cannot count distinct players exactly, so they
-    are left to the batch form."""
-    return (
+    """Logins and distinct players per address and sliding hour.
+
+    Two counts in a row: logins per address, hour and player, and, once the watermark has closed the
+    hour, players and logins per address. The first one is spread over the players of an address and
+    holds each once, so the second counts distinct players exactly.
+    """
+    per_player = (
         sessions.withWatermark("session_timestamp", delay)
-        .groupBy("ip", F.window("session_timestamp", "1 hour", "10 minutes"))
-        .agg(F.count(F.lit(1)).alias("logins"))
+        .groupBy("ip", "player_id", F.window("session_timestamp", "1 hour", "10 minutes"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    return (
+        per_player.groupBy("ip", "window")
+        .agg(F.sum("n").alias("logins"), F.count("player_id").alias("distinct_players"))
         .select(
             "ip",
             F.col("window.start").alias("hour_start"),
             F.col("window.end").alias("hour_end"),
             "logins",
+            "distinct_players",
         )
     )
