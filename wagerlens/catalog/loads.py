@@ -8,14 +8,14 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wagerlens.catalog.lake import Lake
+from wagerlens.catalog.lake import AS_OF, Lake
 from wagerlens.catalog.models import SILVER_SQL, STG_SQL, SUMMARY_SQL
 from wagerlens.catalog.registry import query
 from wagerlens.catalog.sqlparts import AS_OF as AS_OF_SQL
 from wagerlens.catalog.sqlparts import RELATIONS, day, ts
 from wagerlens.functions.times import stamp
 from wagerlens.operators.dedup import latest
-from wagerlens.plans import declared, medallion
+from wagerlens.plans import medallion, upkeep
 from wagerlens.plans.silver import dim_sessions, refresh
 from wagerlens.plans.staging import register_views
 from wagerlens.schemas import BRONZE, FILE_SCHEMAS, SILVER_KEYS, SILVER_SOURCE
@@ -475,3 +475,23 @@ def _(lake: Lake) -> DataFrame:
             )
         )
     )
+
+
+@query(
+    "l14_summary_upkeep",
+    SUMMARY_SQL,
+    _two_loads_sql("transactions") | _two_loads_sql("players"),
+)
+def _(lake: Lake) -> DataFrame:
+    """The financial summary after two deliveries, the second one taken in by what it changes."""
+    root = scratch_dir(lake.spark, "upkeep")
+    b, s, out = (f"{root}/{n}" for n in ("bronze", "silver", "gold"))
+    for n, run in enumerate((FIRST_RUN, SECOND_RUN)):
+        for name in (upkeep.TX, upkeep.PLAYERS):
+            dataset = SILVER_SOURCE[name]
+            early = F.col("_ingested_at") <= _MARKS[dataset]
+            rows = lake.raw[dataset].filter(~early if n else early)
+            bronze.backfill(lake.spark, b, dataset, rows.withColumn("_ingested_at", stamp(run)))
+            refresh(lake.spark, name, b, s, run, buckets=8, keep_retired=True)
+        upkeep.refresh_summary(lake.spark, s, out, WorkTables(lake.spark, f"{root}/work{n}"), buckets=8)
+    return upkeep.read_summary(lake.spark, out, AS_OF)

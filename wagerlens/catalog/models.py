@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import date
+from functools import reduce
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from wagerlens.catalog.lake import AS_OF, Lake
 from wagerlens.catalog.registry import query
 from wagerlens.catalog.sqlparts import avg6, day, money, ts
+from wagerlens.operators.bitmaps import dense_numbers, distinct_counts, merged_sets
 from wagerlens.operators.sharing import PAGE_PLAYERS
 from wagerlens.plans import affiliates, finance, fraud, silver
 
@@ -303,3 +308,68 @@ def _(lake: Lake) -> DataFrame:
 def _(lake: Lake) -> DataFrame:
     return finance.period_totals(lake.tx, "month")
 
+
+def _player_sets(lake: Lake) -> DataFrame:
+    numbers = lake.work.keep("player_numbers", dense_numbers(lake.tx, "player_id"))
+    return lake.work.keep("player_sets", finance.active_player_sets(lake.tx, lake.players, numbers))
+
+
+_PERIODS = {"day": ["transaction_type"], "week": [], "month": ["transaction_type", "city"], "year": ["city"]}
+
+
+@query(
+    "m19_active_players_by_period",
+    " UNION ALL ".join(
+        f"""SELECT '{p}' AS period, {day(f"date_trunc('{p}', transaction_date)")} AS start,
+          {'transaction_type' if 'transaction_type' in by else 'CAST(NULL AS VARCHAR)'} AS transaction_type,
+          {'city' if 'city' in by else 'CAST(NULL AS VARCHAR)'} AS city,
+          count(DISTINCT t.player_id) AS players
+        FROM fct_transactions t LEFT JOIN dim_players p ON p.player_id = t.player_id
+        WHERE t.player_id IS NOT NULL
+        GROUP BY {', '.join([f"date_trunc('{p}', transaction_date)", *by])}"""
+        for p, by in _PERIODS.items()
+    ),
+)
+def _(lake: Lake) -> DataFrame:
+    """Distinct players per day, week, month and year, all rolled up from one table of sets."""
+    sets, none = _player_sets(lake), F.lit(None).cast("string")
+    return reduce(
+        DataFrame.unionByName,
+        [
+            finance.active_players(sets, p, by).select(
+                F.lit(p).alias("period"), "start",
+                *[(F.col(c) if c in by else none).alias(c) for c in ("transaction_type", "city")],
+                "players",
+            )
+            for p, by in _PERIODS.items()
+        ],
+    )
+
+
+@query(
+    "acd_active_players_of_a_selection",
+    """SELECT transaction_type, count(DISTINCT t.player_id) AS players
+        FROM fct_transactions t JOIN dim_players p ON p.player_id = t.player_id
+        WHERE transaction_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-18'
+          AND city IN ('NATION_1', 'NATION_2', 'NATION_3', 'NATION_4')
+        GROUP BY transaction_type
+        UNION ALL
+        SELECT 'any', count(DISTINCT t.player_id)
+        FROM fct_transactions t JOIN dim_players p ON p.player_id = t.player_id
+        WHERE transaction_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-18'
+          AND city IN ('NATION_1', 'NATION_2', 'NATION_3', 'NATION_4')""",
+)
+def _(lake: Lake) -> DataFrame:
+    """Distinct players of a dashboard's filters, by type and over all types, from the same sets; the
+    sets of two halves of the transactions are merged first, as after two loads."""
+    numbers = lake.work.keep("player_numbers", dense_numbers(lake.tx, "player_id"))
+    late = F.pmod(F.xxhash64("transaction_id"), F.lit(2)) == 1
+    sets = merged_sets(
+        *[finance.active_player_sets(lake.tx.filter(half), lake.players, numbers) for half in (late, ~late)]
+    )
+    chosen = sets.filter(
+        F.col("transaction_date").between(date(2024, 1, 5), date(2024, 1, 18))
+        & F.col("city").isin("NATION_1", "NATION_2", "NATION_3", "NATION_4")
+    )
+    total = distinct_counts(chosen, [F.lit("any").alias("transaction_type")], "players")
+    return distinct_counts(chosen, ["transaction_type"], "players").unionByName(total)

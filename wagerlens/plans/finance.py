@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wagerlens.functions.measures import AVERAGE, MONEY, average, risk_class
 from wagerlens.functions.times import stamp
+from wagerlens.operators.bitmaps import distinct_counts, distinct_sets
 from wagerlens.operators.skew import salted_join
 from wagerlens.sources.scratch import WorkTables, kept
 
@@ -20,21 +21,39 @@ KINDS = [
 ]
 
 
-def player_financials(tx: DataFrame) -> DataFrame:
-    """Totals, counts and averages per player and transaction type, and the days active.
-
-    Counted per player and day first: the distinct days become rows, and a player with very many
-    rows is added up in parts before the second shuffle.
-    """
+def player_days(tx: DataFrame) -> DataFrame:
+    """Sums per player and day, from which those of any longer time add up."""
     is_kind = {kind: F.col("transaction_type") == kind for _, kind, _ in KINDS}
     amount = F.col("amount")
-    daily = tx.groupBy("player_id", "transaction_date").agg(
+    return tx.groupBy("player_id", "transaction_date").agg(
         F.min("transaction_timestamp").alias("first_transaction"),
         F.max("transaction_timestamp").alias("last_transaction"),
         *[F.sum(F.when(is_kind[k], amount).otherwise(0)).alias(f"{k}_sum") for _, k, _ in KINDS],
         *[F.count(F.when(is_kind[k], 1)).alias(f"{k}_rows") for _, k, _ in KINDS],
         *[F.count(F.when(is_kind[k], amount)).alias(f"{k}_amounts") for _, k, _ in KINDS],
     )
+
+
+def added_days(days: DataFrame) -> DataFrame:
+    """Rows of player_days() of several parts of the transactions as one row per player and day."""
+    sums = [c for c in days.columns if c.endswith(("_sum", "_rows", "_amounts"))]
+    return days.groupBy("player_id", "transaction_date").agg(
+        F.min("first_transaction").alias("first_transaction"),
+        F.max("last_transaction").alias("last_transaction"),
+        *[F.sum(c).cast(days.schema[c].dataType).alias(c) for c in sums],
+    )
+
+
+def player_financials(tx: DataFrame) -> DataFrame:
+    """Totals, counts and averages per player and transaction type, and the days active.
+
+    Counted per player and day first: the distinct days become rows, and a player with very many
+    rows is added up in parts before the second shuffle.
+    """
+    return totals_of_days(player_days(tx))
+
+
+def totals_of_days(daily: DataFrame) -> DataFrame:
     sums = daily.groupBy("player_id").agg(
         F.count("transaction_date").alias("active_days"),
         F.min("first_transaction").alias("first_transaction"),
@@ -235,3 +254,20 @@ def period_totals(tx: DataFrame, period: str = "month") -> DataFrame:
         F.sum("amount").cast(MONEY).alias("total_amount"),
         (F.sum("amount") / F.count("amount")).cast(AVERAGE).alias("avg_amount"),
     )
+
+
+def active_player_sets(tx: DataFrame, players: DataFrame, numbers: DataFrame) -> DataFrame:
+    """transaction_date, transaction_type, city, part, bits: the players of each day, type and city.
+
+    `numbers` has a dense number per player; see operators.bitmaps.
+    """
+    pairs = tx.select("player_id", "transaction_date", "transaction_type").distinct()
+    known = numbers.join(players.select("player_id", "city"), "player_id", "left")
+    numbered = salted_join(pairs, known, ["player_id"])
+    return distinct_sets(numbered, ["transaction_date", "transaction_type", "city"])
+
+
+def active_players(sets: DataFrame, period: str, by: list[str]) -> DataFrame:
+    """Distinct players per period and further columns of the sets, added up from the days."""
+    start = F.date_trunc(period, "transaction_date").cast("date").alias("start")
+    return distinct_counts(sets, [start, *by], "players")

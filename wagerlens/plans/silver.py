@@ -120,6 +120,7 @@ def refresh(
     as_of: datetime,
     buckets: int = BUCKETS,
     model=None,
+    keep_retired: bool = False,
 ) -> State:
     """Bring one silver table up to date.
 
@@ -127,7 +128,7 @@ def refresh(
     load this table holds already, whatever stamps they carry, and merge them by key: only that slice
     is sorted, and only the buckets of its keys are read and written. If some of its rows are not newer
     than all of silver (a second delivery under one stamp, an earlier one, a backfill), stored rows
-    of the same keys compete with them.
+    of the same keys compete with them. `keep_retired` is for tables that others are kept up to date from.
     """
     path, keys = f"{silver_root}/{name}", SILVER_KEYS[name]
     build = model or SILVER[name]
@@ -147,7 +148,7 @@ def refresh(
         held = read_table(spark, path, buckets=some).join(rows.select(*keys), keys, "left_semi")
         both = rows.unionByName(held, allowMissingColumns=True).select(rows.columns)
         rows = _latest(both, name)
-    return merge_table(spark, path, rows, keys, marks=marks)
+    return merge_table(spark, path, rows, keys, marks=marks, keep_retired=keep_retired)
 
 
 def bridge_player_sessions(sessions: DataFrame, players: DataFrame) -> DataFrame:

@@ -34,6 +34,7 @@ STAMP = "_ingested_at"
 PERIOD = "month"
 BUCKETS = 1
 LOG = "_log"
+RETIRED = "_retired"
 # Name Spark gives to the folder of rows without a date.
 NO_DATE = "__HIVE_DEFAULT_PARTITION__"
 _STATE = (
@@ -113,7 +114,8 @@ def _write_state(spark: SparkSession, path: str, s: State) -> State:
 
 def _next_load(spark: SparkSession, path: str, old: State | None) -> int:
     """Above every load there is, those included that never came to an end."""
-    return 1 + max([0, old.load if old else 0, *_numbers(spark, path), *_numbers(spark, f"{path}/{LOG}")])
+    taken = [n for folder in ("", f"/{LOG}", f"/{RETIRED}") for n in _numbers(spark, f"{path}{folder}")]
+    return 1 + max([0, old.load if old else 0, *taken])
 
 
 # --- reading ---
@@ -213,6 +215,16 @@ def read_added(spark: SparkSession, path: str, after: int) -> DataFrame:
     return _stored(spark, path, s, after).select(*s.schema.names)
 
 
+def read_retired(spark: SparkSession, path: str, after: int) -> DataFrame:
+    """Rows that merges after a load have taken out of a keyed table, where they were kept."""
+    s = _known(spark, path)
+    folder = f"{path}/{RETIRED}"
+    loads = [n for n in _numbers(spark, folder) if after < n <= s.load]
+    if not loads:
+        return spark.createDataFrame([], s.schema)
+    return spark.read.schema(s.schema).parquet(*[_load_dir(folder, n) for n in loads])
+
+
 # --- writing ---
 
 
@@ -309,15 +321,16 @@ def merge_table(
     retire_if: Column | None = None,
     buckets: int = BUCKETS,
     marks: dict[str, int] | None = None,
+    keep_retired: bool = False,
 ) -> State:
     """Add `new_rows` to a keyed table; rows they supersede leave it.
 
     A stored row is retired if it has the key of a row of `retire_by` (default: the new rows) and
-    `retire_if` holds for the two, which sees them as aliases `old` and `new`. Every key that
-    retires a row must be among the new rows. The columns of `new_rows` become the columns of the
-    table. NULL keys never match, so such rows are only added.
+    `retire_if` holds for the two, which sees them as aliases `old` and `new`. The columns of
+    `new_rows` become the columns of the table. NULL keys never match, so such rows are only added.
 
-    Read and written are the buckets that new rows fall into.
+    Read and written are the buckets that new and retiring rows fall into. `keep_retired` stores the rows that leave
+    the table beside it, see read_retired().
     """
     old = state(spark, path)
     if old is None:
@@ -326,27 +339,38 @@ def merge_table(
         raise ValueError(f"{path} is laid out by {old.keys}, not {list(keys)}")
     load = _next_load(spark, path, old)
     s = replace(old, load=load, schema=new_rows.schema, added_rows=0, marks=old.marks | (marks or {}))
-    touched = buckets_of(new_rows, old)
+    retiring = new_rows if retire_by is None else retire_by
+    searched = new_rows.select(*keys).unionByName(retiring.select(*keys)) if retire_by is not None else new_rows
+    touched = buckets_of(searched, old)
     if not touched:
         return _write_state(spark, path, s)
     base = _load_dir(path, old.first)
+    files = {b: set(children(spark, f"{base}/_bucket={b}")) for b in touched}
     stored = _stored(spark, path, s, buckets=touched)
     on = [F.col(f"old.{k}") == F.col(f"new.{k}") for k in keys]
     if retire_if is not None:
         on.append(retire_if)
-    retire_by = new_rows if retire_by is None else retire_by
-    remaining = stored.alias("old").join(retire_by.alias("new"), on, "left_anti")
+    remaining = stored.alias("old").join(retiring.alias("new"), on, "left_anti")
+    if keep_retired:
+        gone = stored.alias("old").join(retiring.alias("new"), on, "left_semi")
+        gone.select(*old.schema.names).write.parquet(_load_dir(f"{path}/{RETIRED}", load))
     fresh = new_rows.withColumns({"_added": F.lit(load), "_bucket": _bucket(old.keys, old.buckets)})
     _write(remaining.unionByName(fresh), base, ["_bucket"], dynamic=True)
+    for b, names in files.items():
+        # Spark leaves a partition alone for which there are no rows: all of its rows were retired.
+        if names and set(children(spark, f"{base}/_bucket={b}")) == names:
+            delete(spark, f"{base}/_bucket={b}")
     written = _stored(spark, path, s, load - 1, buckets=touched)
     return _write_state(spark, path, _measured(written, s, None))
 
 
 def expire(spark: SparkSession, path: str, keep: int = 2) -> None:
-    """Delete rows that were replaced, and what is known of loads before the newest `keep`."""
+    """Delete rows that were replaced or retired, and what is known of loads, before the newest `keep`."""
     s = state(spark, path)
     if s is None:
         return
+    for n in _numbers(spark, f"{path}/{RETIRED}")[:-keep]:
+        delete(spark, _load_dir(f"{path}/{RETIRED}", n))
     for n in _numbers(spark, f"{path}/{LOG}")[:-keep]:
         delete(spark, _load_dir(f"{path}/{LOG}", n))
     for n in _numbers(spark, path):
