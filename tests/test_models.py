@@ -240,3 +240,23 @@ def test_a_burst_across_the_hour_is_whole_in_one_window(spark):
     )
     most = fraud.ip_logins_per_hour(sessions).orderBy(F.desc("logins")).first()
     assert (most["logins"], most["distinct_players"]) == (3, 2)
+
+
+def test_cards_equal_the_datasets_they_stand_for(spark, lake):
+    from wagerlens.plans import marts
+
+    signals, players = lake.signals, lake.players
+    cards = marts.fraud_cards(signals, players)
+    for name, whole in (
+        ("total", marts.total_signals(signals).withColumnRenamed("total_signals", "signals")),
+        ("type_and_risk", marts.signals_by_type(signals)),
+        ("city_and_risk", marts.signals_by_city(signals, players)),
+        ("day_and_type", marts.signals_by_day(signals)),
+    ):
+        assert same(marts.card(cards, name), whole.select(*marts.CARDS[name], "signals"))
+    shares = marts.cards_with_shares(cards).filter("card = 'type_and_risk'")
+    assert same(
+        shares.select("signal_type", "risk_level", "signals", "all_signals", "share"),
+        marts.signals_share_by_type(signals),
+    )
+    assert cards._jdf.queryExecution().optimizedPlan().toString().count("Expand") == 1

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 
 from wagerlens.catalog.lake import Lake
 from wagerlens.catalog.registry import query
 from wagerlens.catalog.sqlparts import avg6, day, money, ts
+from wagerlens.operators.filters import Filters, apply_filters
 from wagerlens.plans import marts
 
 
@@ -62,6 +65,49 @@ def _(lake: Lake) -> DataFrame:
     return marts.signals_by_day(lake.signals)
 
 
+_CARD_SQL = {
+    "total": "", "type": "signal_type", "type_and_risk": "signal_type, risk_level",
+    "city_and_risk": "city, risk_level", "day_and_type": "day, signal_type",
+}
+
+
+def _cards_sql() -> str:
+    parts = []
+    for name, by in _CARD_SQL.items():
+        listed = by.split(", ") if by else []
+        columns = ", ".join(
+            c if c in listed else f"CAST(NULL AS {'DATE' if c == 'day' else 'VARCHAR'}) AS {c}"
+            for c in ("signal_type", "risk_level", "city", "day")
+        )
+        of_type = "sum(count(*)) OVER (PARTITION BY signal_type)" if "signal_type" in listed else "NULL"
+        parts.append(
+            f"""SELECT '{name}' AS card, {columns}, count(*) AS signals, CAST({of_type} AS BIGINT) AS type_signals
+            FROM chosen {f"GROUP BY {by}" if by else ""}"""
+        )
+    rows = " UNION ALL ".join(parts)
+    return f"""SELECT card, signal_type, risk_level, city, {day('day')} AS day, signals, type_signals,
+          (SELECT count(*) FROM chosen) AS all_signals,
+          CAST(signals AS DOUBLE) / (SELECT count(*) FROM chosen) AS share,
+          CAST(signals AS DOUBLE) / type_signals AS share_of_type FROM ({rows})"""
+
+
+@query(
+    "adx3_b2_b4_b5_b6_fraud_cards",
+    _cards_sql(),
+    {
+        "chosen": """SELECT signal_type, risk_level, city, CAST(detected_at AS DATE) AS day
+          FROM fct_fraud_signals AS s LEFT JOIN dim_players AS p ON s.player_id = p.player_id
+          WHERE detected_at >= TIMESTAMP '2024-01-05' AND detected_at < TIMESTAMP '2024-01-21'"""
+    },
+)
+def _(lake: Lake) -> DataFrame:
+    """All cards of the fraud page within a selection of dates, and their shares."""
+    chosen = Filters(start=date(2024, 1, 5), end=date(2024, 1, 20))
+    signals = apply_filters(lake.signals, chosen)
+    cards = lake.work.keep("fraud_cards", marts.fraud_cards(signals, lake.players))
+    return marts.cards_with_shares(cards)
+
+
 @query(
     "b7_latest_signals",
     f"""SELECT player_id, signal_type, risk_level, signal_description,

@@ -493,5 +493,6 @@ def _(lake: Lake) -> DataFrame:
             rows = lake.raw[dataset].filter(~early if n else early)
             bronze.backfill(lake.spark, b, dataset, rows.withColumn("_ingested_at", stamp(run)))
             refresh(lake.spark, name, b, s, run, buckets=8, keep_retired=True)
-        upkeep.refresh_summary(lake.spark, s, out, WorkTables(lake.spark, f"{root}/work{n}"), buckets=8)
-    return upkeep.read_summary(lake.spark, out, AS_OF)
+        work = WorkTables(lake.spark, f"{root}/work{n}")
+        upkeep.refresh_summary(lake.spark, s, out, work, AS_OF, buckets=8)
+    return upkeep.read_summary(lake.spark, out)

@@ -75,6 +75,66 @@ def signals_by_day(signals: DataFrame) -> DataFrame:
     )
 
 
+CARD_COLUMNS = ["signal_type", "risk_level", "city", "day"]
+# What each card of the fraud page is counted by; `type` and `total` are what shares are taken of.
+CARDS = {
+    "total": [],
+    "type": ["signal_type"],
+    "type_and_risk": ["signal_type", "risk_level"],
+    "city_and_risk": ["city", "risk_level"],
+    "day_and_type": ["day", "signal_type"],
+}
+
+
+def fraud_cards(signals: DataFrame, players: DataFrame) -> DataFrame:
+    """card, signal_type, risk_level, city, day, signals: all cards of the fraud page by one pass over
+    the signals; columns a card is not counted by are NULL.
+
+    Counted per player, type, risk and day before the join, so each player meets the dimension with
+    counts only.
+    """
+    day = F.to_date("detected_at").alias("day")
+    counted = signals.groupBy("player_id", "signal_type", "risk_level", day).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    rows = counted.join(players.select("player_id", "city"), "player_id", "left")
+    card = F.lit(None).cast("string")
+    for name, by in CARDS.items():
+        # A bit for each column that is not counted by, the first column in the highest.
+        number = sum(1 << i for i, c in enumerate(reversed(CARD_COLUMNS)) if c not in by)
+        card = F.when(F.col("_set") == number, F.lit(name)).otherwise(card)
+    return (
+        rows.groupingSets([[F.col(c) for c in by] for by in CARDS.values()], *CARD_COLUMNS)
+        .agg(F.sum("n").alias("signals"), F.grouping_id(*CARD_COLUMNS).alias("_set"))
+        .select(card.alias("card"), *CARD_COLUMNS, "signals")
+    )
+
+
+def card(cards: DataFrame, name: str) -> DataFrame:
+    """One card of fraud_cards() with the columns it is counted by."""
+    return cards.filter(F.col("card") == name).select(*CARDS[name], "signals")
+
+
+def cards_with_shares(cards: DataFrame) -> DataFrame:
+    """Each row of the cards next to all signals within the filters, and to those of its type."""
+    total = card(cards, "total").agg(F.coalesce(F.sum("signals"), F.lit(0)))
+    of_type = card(cards, "type").select(
+        F.col("signal_type").alias("_type"), F.col("signals").alias("type_signals")
+    )
+    met = F.col("signal_type").eqNullSafe(F.col("_type")) & F.col("card").isin("type", "type_and_risk", "day_and_type")
+    return (
+        cards.join(of_type, met, "left")
+        .drop("_type")
+        .withColumn("all_signals", total.scalar())
+        .withColumns(
+            {
+                "share": safe_ratio("signals", "all_signals"),
+                "share_of_type": safe_ratio("signals", "type_signals"),
+            }
+        )
+    )
+
+
 def latest_signals(signals: DataFrame, k: int = TOP) -> DataFrame:
     """The newest signals, with all that tie with the last one."""
     return top_with_ties(signals, "detected_at", k).select(

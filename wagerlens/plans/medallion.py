@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from wagerlens.functions.times import stamp
 from wagerlens.operators import quality
 from wagerlens.operators.quality import append_run_log
-from wagerlens.plans import affiliates, declared, finance, fraud, silver
+from wagerlens.plans import affiliates, declared, finance, fraud, silver, upkeep
 from wagerlens.plans.staging import STAGING
 from wagerlens.schemas import BRONZE_TABLES, GOLD_TABLES
 from wagerlens.session import prepare
@@ -30,6 +30,7 @@ from wagerlens.sources.files import (
 from wagerlens.sources.scratch import WorkTables, kept
 from wagerlens.sources.tables import BUCKETS, delete, expire, read_table, replace_table, state
 
+SUMMARY = "fct_financial_summary"
 # Player lists of the groups that signals name.
 PLAYER_PAGES = "related_player_pages"
 # Tables next to the three gold models, rebuilt after them.
@@ -61,13 +62,16 @@ class Options:
     `buckets` lays out bronze and silver tables by key when they are created; a bucket should hold some
     gigabytes, and a load reads and writes those of its keys only. Events at or before `first_mark` never pass an empty table, and `lookback_minutes`
     lets later loads take events that far behind the newest. `full_reload` replaces the players of
-    earlier runs. `expected_rows` are alerted on, not enforced.
+    earlier runs. `upkeep` keeps the financial summary up to date by what each load changes instead of
+    rebuilding it; choose it for a warehouse from its first run on. `expected_rows` are alerted on, not
+    enforced.
     """
 
     buckets: int = BUCKETS
     first_mark: datetime = FIRST_MARK
     lookback_minutes: int = 0
     full_reload: bool = False
+    upkeep: bool = False
     expected_rows: Mapping[str, int] = field(default_factory=lambda: dict(EXPECTED_ROWS))
 
     def of_load(self, dataset: str) -> dict:
@@ -97,6 +101,11 @@ class Layout:
     def gold(self) -> str:
         return f"{self.root}/gold"
 
+    @property
+    def summary(self) -> str:
+        """What the summary is put together from, where it is kept up to date."""
+        return f"{self.root}/gold/summary_parts"
+
     @property
     def work(self) -> str:
         return f"{self.root}/work"
@@ -167,7 +176,8 @@ def read_silver(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
 
 def read_gold(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
     """The tables a dashboard opens."""
-    return {n: read_table(spark, f"{layout.gold}/{n}") for n in GOLD_TABLES}
+    kept = {SUMMARY: upkeep.read_summary(spark, layout.summary)} if upkeep.is_kept(spark, layout.summary) else {}
+    return kept | {n: read_table(spark, f"{layout.gold}/{n}") for n in GOLD_TABLES if n not in kept}
 
 
 def rebuild_gold(
@@ -282,15 +292,23 @@ def run(
 
     def refresh(name: str) -> int:
         return silver.refresh(
-            spark, name, layout.bronze, layout.silver, as_of, options.buckets
-        ).added_rows
+            spark, name, layout.bronze, layout.silver, as_of, options.buckets,
+            keep_retired=options.upkeep and name in (upkeep.TX, upkeep.PLAYERS),
+        ).added_rows
+
+    def gold(name: str) -> int:
+        if options.upkeep and name == SUMMARY:
+            return upkeep.refresh_summary(
+                spark, layout.silver, layout.summary, work, as_of, options.buckets
+            )
+        return rebuild_gold(spark, layout, as_of, work, name)
 
     try:
         for stage, names, step in (
             ("check", FILES, check),
             ("bronze", FILES, load),
             ("silver", silver.SILVER, refresh),
-            ("gold", GOLD_TABLES, partial(rebuild_gold, spark, layout, as_of, work)),
+            ("gold", GOLD_TABLES, gold),
             ("mart", MARTS, partial(rebuild_mart, spark, layout, work)),
         ):
             _all(partial(log.stage, stage, name, partial(step, name)) for name in names)
@@ -300,6 +318,8 @@ def run(
             expire(spark, f"{layout.silver}/{name}")
         for name in (*GOLD_TABLES, *MARTS, PLAYER_PAGES):
             expire(spark, f"{layout.gold}/{name}")
+        for name in upkeep.PARTS:
+            expire(spark, f"{layout.summary}/{name}")
         tables = read_silver(spark, layout) | read_gold(spark, layout)
         metrics = quality_metrics(
             delivered, loaded, tables, log.entries, as_of, options.expected_rows

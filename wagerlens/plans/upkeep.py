@@ -35,6 +35,7 @@ from wagerlens.sources.scratch import WorkTables
 from wagerlens.sources.tables import (
     BUCKETS,
     buckets_of,
+    forget_retired,
     merge_table,
     read_added,
     read_retired,
@@ -45,6 +46,7 @@ from wagerlens.sources.tables import (
 
 KEY = ["player_id"]
 TX, PLAYERS = "fct_transactions", "dim_players"
+PARTS = ("player_days", "player_metrics", "cities")
 CITY_SUMS = ["city_total_deposits", "city_total_withdrawals", "city_total_bets", "city_ggr"]
 
 
@@ -83,7 +85,12 @@ def _summed_cities(rows: DataFrame) -> DataFrame:
 
 
 def refresh_summary(
-    spark: SparkSession, silver_root: str, root: str, work: WorkTables, buckets: int = BUCKETS
+    spark: SparkSession,
+    silver_root: str,
+    root: str,
+    work: WorkTables,
+    as_of: datetime,
+    buckets: int = BUCKETS,
 ) -> int:
     """Take in the silver rows added since the last call; returns the number of players worked out.
 
@@ -92,7 +99,7 @@ def refresh_summary(
     it as the last step of a load, and rebuild (delete `root`) after a failure between its steps.
     """
     silver = {n: f"{silver_root}/{n}" for n in (TX, PLAYERS)}
-    days_at, metrics_at, cities_at = (f"{root}/{n}" for n in ("player_days", "player_metrics", "cities"))
+    days_at, metrics_at, cities_at = (f"{root}/{n}" for n in PARTS)
     marks = {n: state(spark, path).load for n, path in silver.items()}
     old = state(spark, metrics_at)
     if old is None:
@@ -101,7 +108,8 @@ def refresh_summary(
         totals = totals_of_days(read_table(spark, days_at))
         metrics = financial_metrics(totals, read_table(spark, silver[PLAYERS]))
         done = replace_table(spark, metrics_at, metrics, KEY, buckets=buckets, marks=marks)
-        replace_table(spark, cities_at, city_metrics(read_table(spark, metrics_at)))
+        cities = city_metrics(read_table(spark, metrics_at))
+        replace_table(spark, cities_at, cities.withColumn("_gold_processed_at", stamp(as_of)))
         return done.added_rows
 
     known = F.col("player_id").isNotNull()
@@ -133,17 +141,24 @@ def refresh_summary(
     before = work.keep("before", _of_players(spark, metrics_at, touched))
     cities = read_table(spark, cities_at).select("city", "total_players", *CITY_SUMS)
     cities = work.keep("cities", _summed_cities(cities.unionByName(_city_changes(before, after))))
-    replace_table(spark, cities_at, cities)
-    return merge_table(
-        spark, metrics_at, after, KEY, retire_by=touched, marks=marks
-    ).added_rows
+    replace_table(spark, cities_at, cities.withColumn("_gold_processed_at", stamp(as_of)))
+    done = merge_table(spark, metrics_at, after, KEY, retire_by=touched, marks=marks)
+    for n, path in silver.items():
+        forget_retired(spark, path, marks[n])
+    return done.added_rows
 
 
-def read_summary(spark: SparkSession, root: str, as_of: datetime) -> DataFrame:
+def is_kept(spark: SparkSession, root: str) -> bool:
+    """Whether a summary is kept up to date in this folder."""
+    return state(spark, f"{root}/player_metrics") is not None
+
+
+def read_summary(spark: SparkSession, root: str) -> DataFrame:
     """The financial summary, as plans.finance.financial_summary() builds it."""
     metrics, cities = (read_table(spark, f"{root}/{n}") for n in ("player_metrics", "cities"))
+    processed = cities.agg(F.max("_gold_processed_at"))
     return (
         with_global(with_city(metrics, cities), global_metrics(cities))
         .withColumn("risk_classification", risk_class())
-        .select(*SUMMARY_COLUMNS, stamp(as_of).alias("_gold_processed_at"))
+        .select(*SUMMARY_COLUMNS, processed.scalar().alias("_gold_processed_at"))
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
@@ -15,6 +17,8 @@ def local_session(cores: int | str = 8, app: str = "wagerlens") -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "12g")
+        # One machine only; a cluster names a folder that all of its machines see.
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="wagerlens-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -225,6 +225,13 @@ def read_retired(spark: SparkSession, path: str, after: int) -> DataFrame:
     return spark.read.schema(s.schema).parquet(*[_load_dir(folder, n) for n in loads])
 
 
+def forget_retired(spark: SparkSession, path: str, upto: int) -> None:
+    """Delete retired rows that everyone who needs them has read."""
+    for n in _numbers(spark, f"{path}/{RETIRED}"):
+        if n <= upto:
+            delete(spark, _load_dir(f"{path}/{RETIRED}", n))
+
+
 # --- writing ---
 
 
@@ -365,12 +372,10 @@ def merge_table(
 
 
 def expire(spark: SparkSession, path: str, keep: int = 2) -> None:
-    """Delete rows that were replaced or retired, and what is known of loads, before the newest `keep`."""
+    """Delete rows that were replaced, and what is known of loads before the newest `keep`."""
     s = state(spark, path)
     if s is None:
         return
-    for n in _numbers(spark, f"{path}/{RETIRED}")[:-keep]:
-        delete(spark, _load_dir(f"{path}/{RETIRED}", n))
     for n in _numbers(spark, f"{path}/{LOG}")[:-keep]:
         delete(spark, _load_dir(f"{path}/{LOG}", n))
     for n in _numbers(spark, path):
