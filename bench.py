@@ -34,7 +34,7 @@ SILVER = ["m5_w1_dim_players", "m6_w2_dim_sessions", "m7_w3_fct_transactions",
           "m8_w4_dim_affiliates"]
 GOLD = ["m9_fct_fraud_signals", "m10_fct_affiliate_performance", "m11_fct_financial_summary"]
 PARTS = ["m9a_multi_accounting", "m9c_device_sharing", "m9d_rapid_deposit_withdraw",
-         "m12_bridge_player_sessions", "m15_fct_affiliate_fraud", "m18_ip_logins_per_hour",
+         "m12_bridge_player_sessions", "m15_fct_affiliate_fraud", "m18_ip_logins_per_hour", "m18_trailing_hour",
          "m19_period_totals"]
 DASHBOARD = ["b4_signals_by_type", "b5_signals_by_city", "b7_latest_signals",
              "b9_k3_ftd_by_affiliate", "b12_k2_top_affiliates", "b14_k4_ggr_by_city",
