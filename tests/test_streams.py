@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from wagerlens.plans import fraud
 from wagerlens.schemas import FILE_SCHEMAS
-from wagerlens.sources import bronze
+from wagerlens.sources import bronze, tables
 from wagerlens.sources.files import write_file
 from wagerlens.streaming import ingest, live
 
@@ -71,6 +71,48 @@ def test_live_sharing_counts_distinct_players(spark, root):
     assert rows(got, "ip", "hour_start", "logins", "distinct_players") == want and len(want) > 30
 
 
+VERSION = "k string, v long, t timestamp, _ingested_at timestamp"
+
+
+def deliver(spark, root, n, data):
+    frame = spark.createDataFrame([(k, v, at(t), at(i)) for k, v, t, i in data], VERSION)
+    frame.coalesce(1).write.parquet(f"{root}/{n}")
+    (name,) = [f for f in os.listdir(f"{root}/{n}") if f.startswith("part-")]
+    os.makedirs(f"{root}/versions", exist_ok=True)
+    os.rename(f"{root}/{n}/{name}", f"{root}/versions/{n}-{name}")
+    os.utime(f"{root}/versions/{n}-{name}", (1_700_000_000 + n, 1_700_000_000 + n))
+
+
+def follow(spark, root):
+    rows_in = spark.readStream.schema(VERSION).option("maxFilesPerTrigger", 1).parquet(f"{root}/versions")
+    order = ["_ingested_at", "v"]
+    changes = live.latest_per_key(rows_in, ["k"], order, "t", "2 days")
+    live.store_latest(changes, f"{root}/latest", ["k"], order, f"{root}/check").awaitTermination()
+    return rows(tables.read_table(spark, f"{root}/latest"), "k", "v")
+
+
+def test_a_later_delivery_corrects_what_a_stream_has_stored(spark, root):
+    deliver(spark, root, 0, [
+        ("a", 1, "2024-01-01 10:00", "2024-01-05"), ("b", 1, "2024-01-01 11:00", "2024-01-05"),
+        ("b", 2, "2024-01-01 11:00", "2024-01-05"), ("c", 9, "2024-01-01 12:00", "2024-01-05"),
+    ])
+    deliver(spark, root, 1, [
+        ("a", 3, "2024-01-01 10:30", "2024-01-06"),  # newer
+        ("b", 7, "2024-01-02 11:00", "2024-01-04"),  # older, of another day
+        ("c", None, "2024-01-01 12:00", "2024-01-05"),  # NULL is the smallest
+    ])
+    assert follow(spark, root) == [("a", 3), ("b", 2), ("c", 9)]
+    # The event time moves to another day, by which state of the first is gone afterwards.
+    deliver(spark, root, 2, [("a", 4, "2024-01-20 10:00", "2024-01-07")])
+    deliver(spark, root, 3, [
+        ("a", 0, "2024-01-20 10:00", "2024-01-06"), ("d", 5, "2024-01-19 10:00", "2024-01-07"),
+    ])
+    assert follow(spark, root) == [("a", 4), ("b", 2), ("c", 9), ("d", 5)]
+    deliver(spark, root, 4, [("b", 8, "2024-01-02 11:00", "2024-01-30")])  # late
+    assert follow(spark, root) == [("a", 4), ("b", 2), ("c", 9), ("d", 5)]
+    assert not os.listdir(f"{root}/check-run")
+
+
 def delivery(spark, root, n, data):
     frame = spark.createDataFrame(
         [(i, "p", "ip", "ios", at(t)) for i, t in data], FILE_SCHEMAS["sessions"]

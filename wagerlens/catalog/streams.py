@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame
 from wagerlens.catalog.lake import Lake
 from wagerlens.catalog.registry import query
 from wagerlens.catalog.sqlparts import money, ts
+from wagerlens.plans.silver import TIES
+from wagerlens.plans.staging import stg_sessions
 from wagerlens.sources.bronze import read_bronze
 from wagerlens.sources.files import write_file
 from wagerlens.sources.scratch import scratch_dir
+from wagerlens.sources.tables import read_table
 from wagerlens.streaming import live
 from wagerlens.streaming.ingest import ingest_available
 
@@ -59,6 +62,27 @@ def _(lake: Lake) -> DataFrame:
     return _drain(lake, unique.select("session_id", "player_id"))
 
 
+@query(
+    "x2_stream_latest",
+    f"""SELECT session_id, player_id, ip, device, {ts('session_timestamp')} AS session_timestamp,
+          {ts('_ingested_at')} AS _ingested_at FROM dim_sessions""",
+)
+def _(lake: Lake) -> DataFrame:
+    """Sessions kept up to date by a stream: deliveries repeat and correct rows of earlier batches."""
+    root = scratch_dir(lake.spark, "latest")
+    raw = lake.raw["sessions"]
+    raw.repartition(3).write.parquet(f"{root}/in")
+    delivered = (
+        lake.spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    )
+    keys, order = ["session_id"], ["_ingested_at", *TIES["dim_sessions"]]
+    changes = live.latest_per_key(
+        stg_sessions(delivered), keys, order, "session_timestamp", "60 days"
+    )
+    live.store_latest(changes, f"{root}/out", keys, order, f"{root}/checkpoint").awaitTermination()
+    return read_table(lake.spark, f"{root}/out")
+
+
 @query(
     "x3_stream_rapid_cycles",
     f"""SELECT player_id AS deposit_player, player_id AS withdraw_player, deposit_id, withdraw_id,

@@ -1,11 +1,16 @@
-"""Live forms of three batch results, with state bounded by watermarks."""
+"""Live forms of batch results, with state bounded by watermarks."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
+from wagerlens.operators.dedup import latest
 from wagerlens.plans.fraud import RAPID_MINUTES
+from wagerlens.sources.tables import buckets_of, delete, merge_table, read_table, state
 
 
 def first_per_key(stream: DataFrame, key: str, event_ts: str, delay: str = "1 day") -> DataFrame:
@@ -14,6 +19,65 @@ def first_per_key(stream: DataFrame, key: str, event_ts: str, delay: str = "1 da
     return stream.withWatermark(event_ts, delay).dropDuplicatesWithinWatermark([key])
 
 
+def latest_per_key(
+    stream: DataFrame, keys: Sequence[str], order: Sequence[str], event_ts: str, delay: str = "1 day"
+) -> DataFrame:
+    """The newest row of each key and day of event time, given out again whenever a newer one arrives.
+
+    For update mode and store_latest(), which settles a key whose event time moved to another day. Newest
+    is the largest in the columns of `order`, compared one after the other, NULL being the smallest, as in
+    operators.dedup. Rows are cut to one per key and day in every task before the shuffle, so a
+    busy key costs little, and state holds one row of each, until the watermark is past the day. Rows
+    that are later than that, and rows without an event time, are left out.
+    """
+    rest = [c for c in stream.columns if c not in order]
+    newest = F.max(F.struct(*order, *rest)).alias("newest")
+    return (
+        stream.withWatermark(event_ts, delay)
+        .groupBy(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], F.window(event_ts, "1 day"))
+        .agg(newest)
+        .select(*[F.col(f"newest.{c}").alias(c) for c in stream.columns])
+    )
+
+
+def store_latest(
+    changes: DataFrame, path: str, keys: Sequence[str], order: Sequence[str], checkpoint: str
+) -> StreamingQuery:
+    """Merge what latest_per_key() gives out into a keyed stored table; returns the running query.
+
+    Stored rows of the same keys compete once more, so that a batch that is run again, or a key whose
+    state is gone already, never puts an older row over a newer one. Read and written are the buckets
+    of the batch's keys. As in every merge, a row without a key matches none that is stored. A batch is
+    written to a folder beside the checkpoint first: a merge reads it several times, and each would
+    count it anew.
+    """
+
+    def merge(changed: DataFrame, batch_id: int) -> None:
+        session = changed.sparkSession
+        folder = f"{checkpoint.rstrip('/')}-run/batch={batch_id}"
+        changed.write.mode("overwrite").parquet(folder)
+        batch = session.read.schema(changed.schema).parquet(folder)
+        if batch.isEmpty():
+            delete(session, folder)
+            return
+        old = state(session, path)
+        if old is not None:
+            some = None if old.buckets == 1 else buckets_of(batch, old)
+            held = read_table(session, path, buckets=some)
+            held = held.join(batch.select(*keys), list(keys), "left_semi").select(batch.columns)
+            batch = batch.unionByName(held)
+        merge_table(session, path, latest(batch, keys, order[1:], order[0]), keys)
+        delete(session, folder)
+
+    return (
+        changes.writeStream.foreachBatch(merge)
+        .outputMode("update")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def rapid_cycles(transactions: DataFrame, delay: str = "10 minutes") -> DataFrame:
     """Withdrawals less than an hour after a deposit, as they happen.
 
