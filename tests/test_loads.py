@@ -517,3 +517,23 @@ def test_a_run_keeps_rejected_rows_and_logs_them(spark, root, lake):
     assert rows(spark.read.parquet(layout.rejected), "dataset", "text") == [("players", "{broken")]
     log = spark.read.parquet(layout.run_log).filter("stage = 'rejected'")
     assert rows(log, "dataset", "rows_out") == [("players", 1)]
+
+
+def test_a_load_counts_what_it_writes_without_reading_it(spark, root, monkeypatch):
+    path, log, stamp = f"{root}/keyed", f"{root}/log", "2024-01-05 00:00:00.000001"
+    monkeypatch.setattr(tables, "_stored", None)  # reads nothing
+    keyed = replace_table(spark, path, _kv(spark, [("a", 1, "2024-01-03"), ("b", 2, stamp)]), ["k"])
+    assert (keyed.added_rows, keyed.newest, keyed.high) == (2, at(stamp), None)
+    tables.create_table(spark, log, _kv(spark, []).schema)
+    for batch, n, high in (
+        ([("a", 1, "2024-01-03"), (None, None, stamp)], 2, at(stamp)),
+        ([("d", 1, "2024-01-02")], 1, at(stamp)), ([], 0, at(stamp)), ([("e", 1, "2024-02-01")], 1, at("2024-02-01")),
+    ):
+        got = tables.append_table(spark, log, _kv(spark, batch), "_ingested_at")
+        assert (got.added_rows, got.newest, got.high) == (n, high, high)
+        assert state(spark, log) == got
+    monkeypatch.undo()
+    # Rows that stay are not counted again.
+    merged = merge_table(spark, path, _kv(spark, [("b", 9, "2024-01-01"), ("z", 1, "2024-01-02")]), ["k"])
+    assert (merged.added_rows, merged.newest) == (2, at(stamp))
+    assert merge_table(spark, path, _kv(spark, []), ["k"]).added_rows == 0

@@ -26,7 +26,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -235,13 +235,36 @@ def forget_retired(spark: SparkSession, path: str, upto: int) -> None:
 # --- writing ---
 
 
-def _write(df: DataFrame, folder: str, by: Sequence[str], dynamic: bool = False) -> None:
+def _write(
+    df: DataFrame, folder: str, by: Sequence[str], s: State, event: str | None, dynamic: bool = False
+) -> State:
+    """Write rows in partitions; returns the state with what the rows of load `s.load` say of themselves.
+
+    They are observed by the tasks that write them, after the shuffle, so that nothing is read back;
+    the result of a task that is run again counts once.
+    """
     # Splits a large partition over several tasks and keeps a small one in one file.
     laid_out = df.hint("rebalance", *[F.col(c) for c in by])
-    out = laid_out.write.partitionBy(*by)
+    own = F.col("_added") == s.load if s.keyed else F.lit(True)
+    newest = F.col(STAMP) if STAMP in s.schema.names else F.lit(None).cast("timestamp")
+    high = F.col(event) if event else F.lit(None).cast("timestamp")
+    seen = Observation()
+    out = laid_out.observe(
+        seen, F.count_if(own).alias("rows"),
+        F.max(F.when(own, F.unix_micros(newest.cast("timestamp")))).alias("newest"),
+        F.max(F.when(own, F.unix_micros(high.cast("timestamp")))).alias("high"),
+    ).write.partitionBy(*by)
     if dynamic:
         out = out.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     out.parquet(folder)
+    found = seen.get
+    later = lambda known, us: max(
+        (x for x in (known, T.TimestampType().fromInternal(us)) if x is not None), default=None
+    )
+    return replace(
+        s, added_rows=found["rows"], newest=later(s.newest, found["newest"]),
+        high=later(s.high, found["high"]),
+    )
 
 
 def _period(s: State) -> Column:
@@ -250,27 +273,17 @@ def _period(s: State) -> Column:
     return F.lit(None).cast("date")
 
 
-def _measured(rows: DataFrame, s: State, event: str | None) -> State:
-    """The state with what the rows of its load, read back, say of themselves."""
-    none = F.lit(None).cast("timestamp")
-    stamp = F.max(STAMP) if STAMP in s.schema.names else none
-    high = F.max(event) if event else none
-    n, newest, highest = rows.agg(F.count(F.lit(1)), stamp, high).first()
-    later = lambda a, b: max((x for x in (a, b) if x is not None), default=None)
-    return replace(s, added_rows=n, newest=later(s.newest, newest), high=later(s.high, highest))
-
-
 def _add_load(
     spark: SparkSession, path: str, df: DataFrame, s: State, event: str | None
 ) -> State:
     """Write rows as the folder of load `s.load`."""
     if s.keyed:
         laid_out = df.withColumns({"_added": F.lit(s.load), "_bucket": _bucket(s.keys, s.buckets)})
-        _write(laid_out, _load_dir(path, s.load), ["_bucket"])
+        by = ["_bucket"]
     else:
         laid_out = df.withColumns({"_period": _period(s), "_bucket": _bucket(s.keys, s.buckets)})
-        _write(laid_out, _load_dir(path, s.load), ["_period", "_bucket"])
-    return _write_state(spark, path, _measured(_stored(spark, path, s, s.load - 1), s, event))
+        by = ["_period", "_bucket"]
+    return _write_state(spark, path, _write(laid_out, _load_dir(path, s.load), by, s, event))
 
 
 def create_table(
@@ -362,13 +375,12 @@ def merge_table(
         gone = stored.alias("old").join(retiring.alias("new"), on, "left_semi")
         gone.select(*old.schema.names).write.parquet(_load_dir(f"{path}/{RETIRED}", load))
     fresh = new_rows.withColumns({"_added": F.lit(load), "_bucket": _bucket(old.keys, old.buckets)})
-    _write(remaining.unionByName(fresh), base, ["_bucket"], dynamic=True)
+    done = _write(remaining.unionByName(fresh), base, ["_bucket"], s, None, dynamic=True)
     for b, names in files.items():
         # Spark leaves a partition alone for which there are no rows: all of its rows were retired.
         if names and set(children(spark, f"{base}/_bucket={b}")) == names:
             delete(spark, f"{base}/_bucket={b}")
-    written = _stored(spark, path, s, load - 1, buckets=touched)
-    return _write_state(spark, path, _measured(written, s, None))
+    return _write_state(spark, path, done)
 
 
 def expire(spark: SparkSession, path: str, keep: int = 2) -> None:
