@@ -10,11 +10,12 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wagerlens.operators.dedup import by_key
 from wagerlens.plans.finance import player_financials
 from wagerlens.plans.medallion import gold_frame
 from wagerlens.plans.silver import SILVER
 from wagerlens.plans.staging import STAGING
-from wagerlens.schemas import GOLD_TABLES, SILVER_SOURCE
+from wagerlens.schemas import GOLD_TABLES, SILVER_KEYS, SILVER_SOURCE
 from wagerlens.sources.fixtures import bronze_frames
 from wagerlens.sources.scratch import WorkTables, scratch_dir
 
@@ -34,7 +35,7 @@ class Lake:
 
     def silver_model(self, name: str) -> DataFrame:
         """A silver model built from the raw tables, not stored."""
-        return SILVER[name](self.staging(SILVER_SOURCE[name]))
+        return SILVER[name](by_key(self.staging(SILVER_SOURCE[name]), SILVER_KEYS[name]))
 
     def _store(self, name: str, build) -> DataFrame:
         if name not in self._stored:

@@ -21,3 +21,14 @@ def latest(
 ) -> DataFrame:
     # `rn = 1` lets Spark cut each key to one row per task before the shuffle.
     return numbered(df, keys, tie_break, stamp).filter("rn = 1").drop("rn")
+
+
+def by_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows shuffled by key, for latest() of rows that rarely share one.
+
+    The cut per task sorts all rows of a task to drop next to none of them, whatever the size of an input
+    split, and the rows are sorted again after the shuffle. Of rows that come shuffled by key Spark
+    sorts each partition once, whose size adaptive execution chooses. All rows of a key, or without
+    one, meet in one task: leave rows with many copies of a key to the cut.
+    """
+    return df.repartition(*keys)
