@@ -18,3 +18,11 @@ def plan_of(df) -> str:
 def test_a_silver_table_is_sorted_once_after_the_shuffle(lake, name):
     plan = plan_of(lake.silver_model(name))
     assert "WindowGroupLimit" in plan and "Partial" not in plan
+
+
+def test_sets_are_added_up_without_sorting_them(spark):
+    frame = spark.createDataFrame([(1, 5), (1, 64), (1, 64), (2, 5)], "day int, number long")
+    sets = distinct_sets(frame, ["day"])
+    counts = distinct_counts(merged_sets(sets, sets), [])
+    assert "SortAggregate" not in plan_of(counts)
+    assert rows(counts) == [(2,)]
