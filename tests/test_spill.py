@@ -26,3 +26,27 @@ def test_sets_are_added_up_without_sorting_them(spark):
     counts = distinct_counts(merged_sets(sets, sets), [])
     assert "SortAggregate" not in plan_of(counts)
     assert rows(counts) == [(2,)]
+
+
+def _affiliates(spark, moment, *pairs):
+    data = [(a, p, "BR", 4, 2, 1, 1.5, at(moment)) for a, p in pairs]
+    columns = "affiliate_id string, player_id string, country string, clicks long, registrations long"
+    return spark.createDataFrame(data, f"{columns}, ftd int, cpa_value double, _ingested_at timestamp")
+
+
+def test_an_upsert_does_not_count_its_pairs_to_join_them(spark, root, monkeypatch):
+    merged = []
+
+    def merge(spark, path, new_rows, *a, **k):
+        merged.append(plan_of(new_rows))
+        return plain(spark, path, new_rows, *a, **k)
+
+    plain = bronze.merge_table
+    monkeypatch.setattr(bronze, "merge_table", merge)
+    first = _affiliates(spark, "2024-01-01", ("a", "1"), ("b", "1")).drop("_ingested_at")
+    second = _affiliates(spark, "2024-01-02", ("a", "1"), ("c", "1")).drop("_ingested_at")
+    bronze.upsert_affiliates(spark, root, first, at("2024-01-01"))
+    bronze.upsert_affiliates(spark, root, second, at("2024-01-02"))
+    assert not any("_slice" in p for p in merged)
+    got = bronze.read_bronze(spark, root, "affiliates")
+    assert rows(got.selectExpr("affiliate_id", "day(_ingested_at)")) == [("a", 2), ("b", 1), ("c", 2)]

@@ -14,7 +14,7 @@ from wagerlens.catalog.registry import query
 from wagerlens.catalog.sqlparts import AS_OF as AS_OF_SQL
 from wagerlens.catalog.sqlparts import RELATIONS, day, ts
 from wagerlens.functions.times import stamp
-from wagerlens.operators.dedup import latest
+from wagerlens.operators.dedup import by_key, latest
 from wagerlens.plans import medallion, upkeep
 from wagerlens.plans.silver import dim_sessions, refresh
 from wagerlens.plans.staging import register_views
@@ -218,7 +218,7 @@ _AFFILIATE_CUT = "1998-01-01"
 def _one_per_pair(lake: Lake, condition: str) -> DataFrame:
     rows = lake.raw["affiliates"].filter(condition)
     return latest(
-        rows,
+        by_key(rows, bronze.AFFILIATE_KEYS),
         bronze.AFFILIATE_KEYS,
         ["clicks", "registrations", "ftd", "cpa_value", "country"],
     ).drop("_ingested_at")

@@ -190,9 +190,7 @@ def upsert_affiliates(
     if not per_pair.filter("count > 1").join(held, keys, "left_semi").isEmpty():
         raise MergeConflict("two rows of the batch match one stored affiliate and player")
     updated = batch.join(held, keys).filter("_ingested_at > _stored_at").drop("_stored_at")
-    inserted = salted_join(
-        batch, held.select(*keys).distinct(), keys, "left_anti", weights=(per_pair, "count")
-    )
+    inserted = salted_join(batch, held.select(*keys).distinct(), keys, "left_anti")
     columns = BRONZE["affiliates"].names
     merge_table(
         spark,
