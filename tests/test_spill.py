@@ -50,3 +50,31 @@ def test_an_upsert_does_not_count_its_pairs_to_join_them(spark, root, monkeypatc
     assert not any("_slice" in p for p in merged)
     got = bronze.read_bronze(spark, root, "affiliates")
     assert rows(got.selectExpr("affiliate_id", "day(_ingested_at)")) == [("a", 2), ("b", 1), ("c", 2)]
+
+
+def test_rows_of_a_refresh_are_worked_out_once(spark, root, monkeypatch):
+    b, s, merged = f"{root}/bronze", f"{root}/silver", []
+
+    def merge(spark, path, new_rows, *a, **k):
+        merged.append(plan_of(new_rows))
+        return plain(spark, path, new_rows, *a, **k)
+
+    plain = silver.merge_table
+    monkeypatch.setattr(silver, "merge_table", merge)
+    names = bronze.BRONZE["affiliates"].names
+    for moment, pairs in (
+        ("2024-01-01", [("a", "1"), ("b", "1"), (None, "1")]),
+        ("2024-01-02", [("a", "1"), ("a", "2"), ("a", "2")]),
+        ("2023-12-01", [("a", "1"), ("c", "1")]),
+    ):
+        delivery = _affiliates(spark, moment, *pairs)
+        cast = [delivery[f.name].cast(f.dataType) for f in bronze.BRONZE["affiliates"].fields]
+        bronze.backfill(spark, b, "affiliates", delivery.select(cast).toDF(*names))
+        silver.refresh(spark, "dim_affiliates", b, s, at("2024-02-01"))
+    assert len(merged) == 2 and not any("Window" in p for p in merged)
+    got = silver.read_table(spark, f"{s}/dim_affiliates")
+    assert rows(got.selectExpr("affiliate_id", "player_id", "date(_ingested_at)")) == sorted(
+        [("a", "1", at("2024-01-02").date()), ("a", "2", at("2024-01-02").date()),
+         ("b", "1", at("2024-01-01").date()), ("c", "1", at("2023-12-01").date()),
+         (None, "1", at("2024-01-01").date())], key=repr,
+    )

@@ -9,15 +9,17 @@ from pyspark.sql import functions as F
 
 from wagerlens.functions.measures import MONEY, amount_if, percent
 from wagerlens.functions.times import stamp
-from wagerlens.operators.dedup import latest
+from wagerlens.operators.dedup import by_key, latest
 from wagerlens.operators.skew import salted_join
 from wagerlens.plans.staging import STAGING
 from wagerlens.schemas import SILVER_KEYS, SILVER_SOURCE
 from wagerlens.sources.bronze import read_bronze, table_path
+from wagerlens.sources.scratch import WorkTables, scratch_dir
 from wagerlens.sources.tables import (
     BUCKETS,
     State,
     buckets_of,
+    delete,
     merge_table,
     read_added,
     read_table,
@@ -129,6 +131,7 @@ def refresh(
     is sorted, and only the buckets of its keys are read and written. If some of its rows are not newer
     than all of silver (a second delivery under one stamp, an earlier one, a backfill), stored rows
     of the same keys compete with them. `keep_retired` is for tables that others are kept up to date from.
+    The rows to merge are worked out once, into a table of their own that is deleted after the merge.
     """
     path, keys = f"{silver_root}/{name}", SILVER_KEYS[name]
     build = model or SILVER[name]
@@ -139,16 +142,21 @@ def refresh(
     old = state(spark, path)
     if old is None:
         raw = read_bronze(spark, bronze_root, dataset)
-        rows = audited(build(STAGING[dataset](raw)), as_of)
+        rows = audited(build(by_key(STAGING[dataset](raw), keys)), as_of)
         return replace_table(spark, path, rows, keys, buckets=buckets, marks=marks)
     raw = read_added(spark, source, old.marks.get(dataset, 0))
-    rows = audited(build(STAGING[dataset](raw)), as_of)
-    if old.newest and not raw.filter(F.col("_ingested_at") <= stamp(old.newest)).isEmpty():
-        some = None if old.buckets == 1 else buckets_of(rows, old)
-        held = read_table(spark, path, buckets=some).join(rows.select(*keys), keys, "left_semi")
-        both = rows.unionByName(held, allowMissingColumns=True).select(rows.columns)
-        rows = _latest(both, name)
-    return merge_table(spark, path, rows, keys, marks=marks, keep_retired=keep_retired)
+    work_dir = scratch_dir(spark, "refresh")
+    work = WorkTables(spark, work_dir)
+    try:
+        rows = work.keep("rows", audited(build(by_key(STAGING[dataset](raw), keys)), as_of))
+        if old.newest and not raw.filter(F.col("_ingested_at") <= stamp(old.newest)).isEmpty():
+            some = None if old.buckets == 1 else buckets_of(rows, old)
+            held = read_table(spark, path, buckets=some).join(rows.select(*keys), keys, "left_semi")
+            both = rows.unionByName(held, allowMissingColumns=True).select(rows.columns)
+            rows = work.keep("latest", _latest(by_key(both, keys), name))
+        return merge_table(spark, path, rows, keys, marks=marks, keep_retired=keep_retired)
+    finally:
+        delete(spark, work_dir)
 
 
 def bridge_player_sessions(sessions: DataFrame, players: DataFrame) -> DataFrame:
