@@ -19,6 +19,7 @@ from wagerlens.plans import medallion, upkeep
 from wagerlens.plans.silver import dim_sessions, refresh
 from wagerlens.plans.staging import register_views
 from wagerlens.schemas import BRONZE, FILE_SCHEMAS, SILVER_KEYS, SILVER_SOURCE
+from wagerlens.session import shuffles_dropped
 from wagerlens.sources import bronze
 from wagerlens.sources.files import (
     good_rows,
@@ -437,8 +438,9 @@ def _run_relations() -> dict[str, str]:
 def _(lake: Lake) -> DataFrame:
     """Files to gold in one run."""
     root = scratch_dir(lake.spark, "run")
-    for dataset, file in medallion.FILES.items():
-        write_file(lake.raw[dataset], dataset, f"{root}/in/{file}")
+    with shuffles_dropped(lake.spark):
+        for dataset, file in medallion.FILES.items():
+            write_file(lake.raw[dataset], dataset, f"{root}/in/{file}", "gzip")
     out = f"{root}/out"
     medallion.run(lake.spark, f"{root}/in", out, FIRST_RUN)
     gold = medallion.read_gold(lake.spark, medallion.Layout(out))

@@ -61,14 +61,18 @@ def _signal(df: DataFrame, kind: str, risk: str, event: list[str], **cols) -> Da
     ).select(*SIGNAL_COLUMNS)
 
 
-def ip_sharing(sessions: DataFrame) -> DataFrame:
+def _pairs(sessions: DataFrame, key: str, work: WorkTables | None) -> DataFrame:
+    return kept(work, f"{key}_players", shared_pairs(sessions, key))
+
+
+def ip_sharing(sessions: DataFrame, work: WorkTables | None = None) -> DataFrame:
     """Addresses used by more than one player."""
-    return sharing_groups(shared_pairs(sessions, "ip"), "ip", IP_PLAYERS_OVER)
+    return sharing_groups(_pairs(sessions, "ip", work), "ip", IP_PLAYERS_OVER)
 
 
-def device_sharing(sessions: DataFrame) -> DataFrame:
+def device_sharing(sessions: DataFrame, work: WorkTables | None = None) -> DataFrame:
     """Devices used by more than five players."""
-    return sharing_groups(shared_pairs(sessions, "device"), "device", DEVICE_PLAYERS_OVER)
+    return sharing_groups(_pairs(sessions, "device", work), "device", DEVICE_PLAYERS_OVER)
 
 
 def sharing_members(
@@ -79,7 +83,7 @@ def sharing_members(
     min_rows: int | None = None,
 ) -> DataFrame:
     """Players of each shared value. The pairs are read three times, so they are worth keeping."""
-    pairs = kept(work, f"{key}_players", shared_pairs(sessions, key))
+    pairs = _pairs(sessions, key, work)
     return group_members(pairs, sharing_groups(pairs, key, more_than), key, min_rows)
 
 
@@ -234,13 +238,13 @@ def related_player_pages(
     return pages("ip", IP_PLAYERS_OVER).unionByName(pages("device", DEVICE_PLAYERS_OVER))
 
 
-def multi_accounting_groups(sessions: DataFrame) -> DataFrame:
+def multi_accounting_groups(sessions: DataFrame, work: WorkTables | None = None) -> DataFrame:
     """Shared addresses and devices, one row per group."""
     return (
-        ip_sharing(sessions)
+        ip_sharing(sessions, work)
         .select(F.lit("ip").alias("kind"), F.col("ip").alias("shared_value"), *_GROUP_COLUMNS)
         .unionByName(
-            device_sharing(sessions).select(
+            device_sharing(sessions, work).select(
                 F.lit("device").alias("kind"),
                 F.col("device").alias("shared_value"),
                 *_GROUP_COLUMNS,

@@ -18,7 +18,7 @@ from wagerlens.operators.quality import append_run_log
 from wagerlens.plans import affiliates, declared, finance, fraud, silver, upkeep
 from wagerlens.plans.staging import STAGING
 from wagerlens.schemas import BRONZE_TABLES, GOLD_TABLES
-from wagerlens.session import prepare
+from wagerlens.session import prepare, shuffles_dropped
 from wagerlens.sources.bronze import FIRST_MARK, LOADS, read_bronze, table_path
 from wagerlens.sources.files import (
     check_added,
@@ -198,7 +198,7 @@ def mart_frame(name: str, tables: Mapping[str, DataFrame], work: WorkTables | No
     if name == "bridge_player_sessions":
         return silver.bridge_player_sessions(tables["dim_sessions"], tables["dim_players"])
     if name == "fct_multi_accounting":
-        return fraud.multi_accounting_groups(tables["dim_sessions"])
+        return fraud.multi_accounting_groups(tables["dim_sessions"], work)
     if name == "fct_deposit_without_bet":
         totals = kept(work, "player_totals", finance.player_financials(tables["fct_transactions"]))
         return fraud.player_deposits_without_bet(totals)
@@ -304,14 +304,15 @@ def run(
         return rebuild_gold(spark, layout, as_of, work, name)
 
     try:
-        for stage, names, step in (
-            ("check", FILES, check),
-            ("bronze", FILES, load),
-            ("silver", silver.SILVER, refresh),
-            ("gold", GOLD_TABLES, gold),
-            ("mart", MARTS, partial(rebuild_mart, spark, layout, work)),
-        ):
-            _all(partial(log.stage, stage, name, partial(step, name)) for name in names)
+        with shuffles_dropped(spark):
+            for stage, names, step in (
+                ("check", FILES, check),
+                ("bronze", FILES, load),
+                ("silver", silver.SILVER, refresh),
+                ("gold", GOLD_TABLES, gold),
+                ("mart", MARTS, partial(rebuild_mart, spark, layout, work)),
+            ):
+                _all(partial(log.stage, stage, name, partial(step, name)) for name in names)
         for dataset in FILES:
             expire(spark, table_path(layout.bronze, dataset))
         for name in silver.SILVER:
@@ -321,10 +322,11 @@ def run(
         for name in upkeep.PARTS:
             expire(spark, f"{layout.summary}/{name}")
         tables = read_silver(spark, layout) | read_gold(spark, layout)
-        metrics = quality_metrics(
-            delivered, loaded, tables, log.entries, as_of, options.expected_rows
-        )
-        metrics.withColumn("run_at", stamp(as_of)).write.mode("append").parquet(layout.metrics)
+        with shuffles_dropped(spark):
+            metrics = quality_metrics(
+                delivered, loaded, tables, log.entries, as_of, options.expected_rows
+            )
+            metrics.withColumn("run_at", stamp(as_of)).write.mode("append").parquet(layout.metrics)
         delete(spark, work_dir)
     finally:
         append_run_log(spark, layout.run_log, log.entries)

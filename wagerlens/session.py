@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -25,6 +27,27 @@ def local_session(cores: int | str = 8, app: str = "wagerlens") -> SparkSession:
     return spark
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is run inside are deleted when its query ends.
+
+    Else they stay until the driver collects its garbage, and a driver that only plans has little: a run of
+    many steps then holds the shuffles of all of them on disk. A frame that is run twice is shuffled twice.
+    """
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def prepare(spark: SparkSession) -> None:
     """Settings the results or their storage depend on.
 

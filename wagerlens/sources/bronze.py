@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +12,7 @@ from wagerlens.operators.skew import salted_join
 from wagerlens.schemas import BRONZE, BRONZE_TABLES
 from wagerlens.sources.tables import (
     BUCKETS,
+    STAMP,
     append_table,
     buckets_of,
     create_table,
@@ -62,6 +63,13 @@ def with_stamp(df: DataFrame, dataset: str, as_of: datetime) -> DataFrame:
     return stamped.select(*[F.col(f.name).cast(f.dataType) for f in BRONZE[dataset].fields])
 
 
+def _moment(rows: DataFrame, as_of: datetime) -> datetime | None:
+    """The stamp that with_stamp() gives all rows, in UTC, if they have none of their own."""
+    if STAMP in rows.columns:
+        return None
+    return as_of.astimezone(timezone.utc).replace(tzinfo=None) if as_of.tzinfo else as_of
+
+
 def read_bronze(
     spark: SparkSession, root: str, dataset: str, since: datetime | None = None
 ) -> DataFrame:
@@ -92,11 +100,11 @@ def append_players(
     """Load every row of the delivery. `full_reload` replaces what earlier runs loaded."""
     create_bronze(spark, root, "players", buckets)
     batch = with_stamp(rows.withColumn("created_at", F.to_date("created_at")), "players", as_of)
-    path = table_path(root, "players")
+    path, moment = table_path(root, "players"), _moment(rows, as_of)
     if full_reload:
-        replace_table(spark, path, batch, period="day", keyed=False)
+        replace_table(spark, path, batch, period="day", keyed=False, moment=moment)
     else:
-        append_table(spark, path, batch)
+        append_table(spark, path, batch, moment=moment)
 
 
 def high_water_mark(
@@ -157,7 +165,7 @@ def insert_new(
     some = None if known.buckets == 1 else buckets_of(fresh, known)
     table = read_table(spark, path, buckets=some)
     new = with_stamp(unseen(fresh, table, key), dataset, as_of)
-    append_table(spark, path, new, EVENT.get(dataset))
+    append_table(spark, path, new, EVENT.get(dataset), moment=_moment(rows, as_of))
     return late
 
 
@@ -197,7 +205,7 @@ def upsert_affiliates(
         path,
         updated.select(columns).unionByName(inserted.select(columns)),
         keys,
-        retire_by=batch.select(*keys, "_ingested_at").distinct(),
+        retire_by=batch.select(*keys, "_ingested_at"),
         retire_if=F.col("new._ingested_at") > F.col("old._ingested_at"),
     )
 

@@ -20,6 +20,9 @@ FORMATS = {
 # Spark writes milliseconds unless told otherwise; it reads any number of digits.
 TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
+# Rows of one compressed file: some tens of MB, which one task reads.
+FILE_ROWS = 1_000_000
+
 # The checks of these two also reject a file without rows.
 NON_EMPTY = ("players", "sessions")
 
@@ -140,10 +143,15 @@ def check_added(dataset: str, found: list[str]) -> None:
         raise SourceError(f"{dataset}: added columns {added}")
 
 
-def write_file(df: DataFrame, dataset: str, path: str) -> None:
-    """Write rows in the dataset's file format: JSON Lines, or CSV with a header."""
+def write_file(df: DataFrame, dataset: str, path: str, compression: str | None = None) -> None:
+    """Write rows in the dataset's file format: JSON Lines, or CSV with a header.
+
+    A compressed file can't be split when it is read, so none has more than FILE_ROWS rows.
+    """
     rows = df.select(*FILE_SCHEMAS[dataset].names)
     out = rows.write.mode("overwrite").option("timestampFormat", TIMESTAMP_FORMAT)
+    if compression:
+        out = out.option("compression", compression).option("maxRecordsPerFile", FILE_ROWS)
     if FORMATS[dataset] == "json":
         out.option("ignoreNullFields", False).json(path)
     else:

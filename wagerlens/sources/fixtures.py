@@ -130,10 +130,12 @@ def raw_affiliates(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     supplier = _read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey", "s_acctbal")
     nation = _read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    partners = supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    # Nations last: Spark takes the suppliers with them for a large table, for which it would shuffle
+    # the lines a second time.
     return _shape(
         lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(partners, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
         .select(
             F.concat(F.lit("A"), F.col("l_suppkey").cast("string")).alias("affiliate_id"),
             F.col("o_custkey").cast("string").alias("player_id"),

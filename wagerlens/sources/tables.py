@@ -180,7 +180,8 @@ def _stored(
     schema = T.StructType([*s.schema.fields, *T.StructType.fromDDL(extra).fields])
     folders = _folders(spark, path, s, after, day, buckets)
     if not folders:
-        return spark.createDataFrame([], schema)
+        # The filter tells Spark that there are no rows, so that joins with them are left out of the plan.
+        return spark.createDataFrame([], schema).filter(F.lit(False))
     base = _load_dir(path, s.first) if s.keyed else path
     rows = spark.read.schema(schema).option("basePath", base).parquet(*folders)
     return rows.filter(F.col("_added") > after) if s.keyed and after else rows
@@ -236,15 +237,16 @@ def forget_retired(spark: SparkSession, path: str, upto: int) -> None:
 
 
 def _write(
-    df: DataFrame, folder: str, by: Sequence[str], s: State, event: str | None, dynamic: bool = False
+    df: DataFrame, folder: str, by: Sequence[str], s: State, event: str | None, mode: str = "error"
 ) -> State:
     """Write rows in partitions; returns the state with what the rows of load `s.load` say of themselves.
 
     They are observed by the tasks that write them, after the shuffle, so that nothing is read back;
-    the result of a task that is run again counts once.
+    the result of a task that is run again counts once. With no columns to partition by, each task
+    writes its rows as they come, without a shuffle or a sort. `mode` may be dynamic.
     """
     # Splits a large partition over several tasks and keeps a small one in one file.
-    laid_out = df.hint("rebalance", *[F.col(c) for c in by])
+    laid_out = df.hint("rebalance", *[F.col(c) for c in by]) if by else df
     own = F.col("_added") == s.load if s.keyed else F.lit(True)
     newest = F.col(STAMP) if STAMP in s.schema.names else F.lit(None).cast("timestamp")
     high = F.col(event) if event else F.lit(None).cast("timestamp")
@@ -254,8 +256,10 @@ def _write(
         F.max(F.when(own, F.unix_micros(newest.cast("timestamp")))).alias("newest"),
         F.max(F.when(own, F.unix_micros(high.cast("timestamp")))).alias("high"),
     ).write.partitionBy(*by)
-    if dynamic:
+    if mode == "dynamic":
         out = out.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    else:
+        out = out.mode(mode)
     out.parquet(folder)
     found = seen.get
     later = lambda known, us: max(
@@ -273,17 +277,41 @@ def _period(s: State) -> Column:
     return F.lit(None).cast("date")
 
 
+def _only_folder(s: State, moment: datetime | None) -> str | None:
+    """Folder of all rows of a table's first load, or of a rebuild, if there is but one.
+
+    Later loads of a log are shuffled into few files, which add up.
+    """
+    if s.buckets > 1 or s.load != s.first:
+        return None
+    if s.keyed:
+        return "_bucket=0"
+    if STAMP not in s.schema.names:
+        return f"_period={NO_DATE}/_bucket=0"
+    return f"_period={_first_day(moment, s.period)}/_bucket=0" if moment else None
+
+
 def _add_load(
-    spark: SparkSession, path: str, df: DataFrame, s: State, event: str | None
+    spark: SparkSession,
+    path: str,
+    df: DataFrame,
+    s: State,
+    event: str | None,
+    moment: datetime | None = None,
 ) -> State:
-    """Write rows as the folder of load `s.load`."""
+    """Write rows as the folder of load `s.load`. `moment` is the ingest stamp of all rows, if they share
+    one."""
+    folder, only = _load_dir(path, s.load), _only_folder(s, moment)
+    if only:
+        rows = df.withColumn("_added", F.lit(s.load)) if s.keyed else df
+        return _write_state(spark, path, _write(rows, f"{folder}/{only}", [], s, event))
     if s.keyed:
         laid_out = df.withColumns({"_added": F.lit(s.load), "_bucket": _bucket(s.keys, s.buckets)})
         by = ["_bucket"]
     else:
         laid_out = df.withColumns({"_period": _period(s), "_bucket": _bucket(s.keys, s.buckets)})
         by = ["_period", "_bucket"]
-    return _write_state(spark, path, _write(laid_out, _load_dir(path, s.load), by, s, event))
+    return _write_state(spark, path, _write(laid_out, folder, by, s, event))
 
 
 def create_table(
@@ -313,23 +341,30 @@ def replace_table(
     marks: dict[str, int] | None = None,
     keyed: bool | None = None,
     event: str | None = None,
+    moment: datetime | None = None,
 ) -> State:
-    """Full rebuild: readers see the old rows until the new ones are complete."""
+    """Full rebuild: readers see the old rows until the new ones are complete. `moment` is the ingest
+    stamp of all rows, if they share one."""
     load = _next_load(spark, path, state(spark, path))
     is_keyed = bool(keys) if keyed is None else keyed
     s = State(load, load, is_keyed, df.schema, list(keys), period, buckets, marks=marks or {})
-    return _add_load(spark, path, df, s, event)
+    return _add_load(spark, path, df, s, event, moment)
 
 
 def append_table(
-    spark: SparkSession, path: str, rows: DataFrame, event: str | None = None
+    spark: SparkSession,
+    path: str,
+    rows: DataFrame,
+    event: str | None = None,
+    moment: datetime | None = None,
 ) -> State:
-    """Add rows to a log as a load of their own; nothing that is stored is rewritten."""
+    """Add rows to a log as a load of their own; nothing that is stored is rewritten. `moment` is the
+    ingest stamp of all rows, if they share one."""
     old = _known(spark, path)
     if old.keyed:
         raise ValueError(f"{path} is merged into, not added to")
     s = replace(old, load=_next_load(spark, path, old), schema=rows.schema)
-    return _add_load(spark, path, rows, s, event)
+    return _add_load(spark, path, rows, s, event, moment)
 
 
 def merge_table(
@@ -360,8 +395,13 @@ def merge_table(
     load = _next_load(spark, path, old)
     s = replace(old, load=load, schema=new_rows.schema, added_rows=0, marks=old.marks | (marks or {}))
     retiring = new_rows if retire_by is None else retire_by
-    searched = new_rows.select(*keys).unionByName(retiring.select(*keys)) if retire_by is not None else new_rows
-    touched = buckets_of(searched, old)
+    if old.buckets == 1:
+        # With one bucket there is nothing to choose, so the rows are not worked out for it.
+        searched = (retiring,) if retire_by is None else (retiring, new_rows)
+        touched = [] if all(rows.isEmpty() for rows in searched) else [0]
+    else:
+        keys_of = new_rows.select(*keys)
+        touched = buckets_of(keys_of if retire_by is None else keys_of.unionByName(retiring.select(*keys)), old)
     if not touched:
         return _write_state(spark, path, s)
     base = _load_dir(path, old.first)
@@ -374,8 +414,12 @@ def merge_table(
     if keep_retired:
         gone = stored.alias("old").join(retiring.alias("new"), on, "left_semi")
         gone.select(*old.schema.names).write.parquet(_load_dir(f"{path}/{RETIRED}", load))
-    fresh = new_rows.withColumns({"_added": F.lit(load), "_bucket": _bucket(old.keys, old.buckets)})
-    done = _write(remaining.unionByName(fresh), base, ["_bucket"], s, None, dynamic=True)
+    fresh = new_rows.withColumn("_added", F.lit(load))
+    if old.buckets == 1 and not files[0]:
+        done = _write(fresh, f"{base}/_bucket=0", [], s, None, "overwrite")
+        return _write_state(spark, path, done)
+    fresh = fresh.withColumn("_bucket", _bucket(old.keys, old.buckets))
+    done = _write(remaining.unionByName(fresh), base, ["_bucket"], s, None, "dynamic")
     for b, names in files.items():
         # Spark leaves a partition alone for which there are no rows: all of its rows were retired.
         if names and set(children(spark, f"{base}/_bucket={b}")) == names:
