@@ -9,7 +9,7 @@ import pytest
 from conftest import at, rows, same
 from pyspark.sql import functions as F
 
-from wagerlens.plans import fraud, medallion
+from wagerlens.plans import fraud, medallion, silver
 from wagerlens.session import SHUFFLE_CLEANUP, shuffles_dropped
 from wagerlens.sources import bronze, files, fixtures, tables
 from wagerlens.sources.scratch import WorkTables
@@ -73,7 +73,7 @@ def test_shuffle_files_go_with_their_query(spark, root):
     assert spark.read.parquet(f"{root}/a").count() == 1000
 
 
-def test_a_run_keeps_no_shuffle_files(spark, root):
+def test_a_run_keeps_no_shuffle_files_and_no_parsed_rows(spark, root, monkeypatch):
     deliveries = {
         "players": spark.createDataFrame(
             [(str(n), f"{n}@x", "Recife", at("2024-01-01").date()) for n in range(4)],
@@ -88,9 +88,20 @@ def test_a_run_keeps_no_shuffle_files(spark, root):
     }
     for dataset, file in medallion.FILES.items():
         files.write_file(deliveries[dataset], dataset, f"{root}/in/{file}", "gzip")
+    held, refresh = [], silver.refresh
+
+    def seen(*a, **k):
+        held.extend(d for d, _, names in os.walk(f"{root}/out/work") if any(n.startswith("part-") for n in names))
+        return refresh(*a, **k)
+
+    monkeypatch.setattr(silver, "refresh", seen)
     before = _shuffle_files(spark)
     medallion.run(spark, f"{root}/in", f"{root}/out", DAY)
-    assert _left_over(spark, before) == set()
+    assert _left_over(spark, before) == set() and held == []
+    metrics = spark.read.parquet(medallion.Layout(f"{root}/out").metrics)
+    counts = metrics.filter("check LIKE 'row_count:%'").selectExpr("substring(check, 11)", "value", "`limit`", "status")
+    assert rows(counts) == [("affiliates", 2, 2, "OK"), ("players", 4, 4, "OK"), ("sessions", 3, 3, "OK"),
+                            ("transactions", 4, 4, "OK")]
     gold = medallion.read_gold(spark, medallion.Layout(f"{root}/out"))
     assert rows(gold["fct_financial_summary"], "player_id") == [(str(n),) for n in range(4)]
     assert rows(gold["fct_affiliate_performance"], "affiliate_id", "total_players") == [("a", 1), ("b", 1)]

@@ -109,9 +109,10 @@ def load_count(source: DataFrame, loaded: DataFrame, dataset: str) -> DataFrame:
     )
 
 
-def counted_load(source: DataFrame, loaded: int, dataset: str) -> DataFrame:
-    """load_count() where the number of rows loaded is known."""
-    counted = source.agg(F.count(F.lit(1)).alias("expected")).withColumn("n", F.lit(loaded))
+def counted_load(delivered: DataFrame, loaded: int, dataset: str) -> DataFrame:
+    """load_count() where the number of rows loaded is known, and `delivered` has that of rows delivered,
+    `n`, in its one row."""
+    counted = delivered.select(F.col("n").alias("expected"), F.lit(loaded).alias("n"))
     return _metric(
         counted,
         f"row_count:{dataset}",
@@ -123,8 +124,13 @@ def counted_load(source: DataFrame, loaded: int, dataset: str) -> DataFrame:
 
 def volume_alert(loaded: DataFrame, expected: int, dataset: str) -> DataFrame:
     """Alert below 90 % of the expected rows."""
-    share = F.try_divide(F.count(F.lit(1)).cast("double"), F.lit(expected).cast("double"))
-    counted = loaded.agg(share.alias("share"))
+    return counted_volume(loaded.agg(F.count(F.lit(1)).alias("n")), expected, dataset)
+
+
+def counted_volume(loaded: DataFrame, expected: int, dataset: str) -> DataFrame:
+    """volume_alert() where `loaded` has the number of rows, `n`, in its one row."""
+    share = F.try_divide(F.col("n").cast("double"), F.lit(expected).cast("double"))
+    counted = loaded.select(share.alias("share"))
     ok = F.coalesce(F.col("share") >= MIN_VOLUME, F.lit(False))
     return _metric(counted, f"volume:{dataset}", F.col("share"), F.lit(MIN_VOLUME), ok)
 

@@ -214,7 +214,7 @@ def rebuild_mart(spark: SparkSession, layout: Layout, work: WorkTables | None, n
 
 
 def quality_metrics(
-    delivered: Mapping[str, DataFrame],
+    delivered: Mapping[str, int],
     loaded: Mapping[str, int],
     tables: Mapping[str, DataFrame],
     entries: list[tuple],
@@ -222,11 +222,12 @@ def quality_metrics(
     expected_rows: Mapping[str, int],
 ) -> DataFrame:
     """Metric rows of one run: volume and load counts per dataset, valid share and freshness of
-    transactions, signals per type, seconds per stage."""
+    transactions, signals per type, seconds per stage. `delivered` and `loaded` are numbers of rows."""
     tx, signals = tables["fct_transactions"], tables["fct_fraud_signals"]
     some = next(iter(tables.values())).sparkSession
-    found = [quality.volume_alert(delivered[d], n, d) for d, n in expected_rows.items()]
-    found += [quality.counted_load(rows, loaded[d], d) for d, rows in delivered.items()]
+    counted = {d: some.createDataFrame([(n,)], "n long") for d, n in delivered.items()}
+    found = [quality.counted_volume(counted[d], n, d) for d, n in expected_rows.items()]
+    found += [quality.counted_load(n, loaded[d], d) for d, n in counted.items()]
     found.append(quality.valid_share(quality.mark_violations(tx, quality.transaction_rules(as_of))))
     found.append(quality.freshness(tx, "transaction_timestamp", as_of, FRESH_HOURS))
     found.append(quality.signal_metrics(signals))
@@ -266,7 +267,7 @@ def run(
     # Two runs on one warehouse must not share work tables.
     work_dir = f"{layout.work}/{uuid.uuid4().hex}"
     work = WorkTables(spark, work_dir)
-    delivered: dict[str, DataFrame] = {}
+    delivered: dict[str, int] = {}
     loaded: dict[str, int] = {}
 
     def check(dataset: str) -> None:
@@ -274,20 +275,22 @@ def run(
         check_added(dataset, check_file(spark, dataset, path, json_array))
 
     def load(dataset: str) -> int:
-        # The file is parsed once, into the table the load reads.
+        # The file is parsed once, into the table the load reads, which goes with the load.
         rows = parse_file(spark, dataset, f"{in_dir}/{FILES[dataset]}", json_array)
-        parsed = work.keep(f"{BRONZE_TABLES[dataset]}_staging", rows)
+        staging = f"{work_dir}/{BRONZE_TABLES[dataset]}_staging"
+        parsed = WorkTables(spark, staging).keep("parsed", rows)
         bad = rejected_rows(parsed, dataset).withColumn("as_of", stamp(as_of))
         n_bad = bad.count()
         if n_bad:
             bad.write.mode("append").parquet(layout.rejected)
             log.entries.append((as_of, "rejected", dataset, n_bad, 0.0, None))
-        delivered[dataset] = good_rows(parsed)
-        load_options = options.of_load(dataset)
-        late = LOADS[dataset](spark, layout.bronze, delivered[dataset], as_of, **load_options)
+        good = good_rows(parsed)
+        delivered[dataset] = good.count()
+        late = LOADS[dataset](spark, layout.bronze, good, as_of, **options.of_load(dataset))
         if late:
             log.entries.append((as_of, "late", dataset, late, 0.0, None))
         loaded[dataset] = state(spark, table_path(layout.bronze, dataset)).added_rows
+        delete(spark, staging)
         return loaded[dataset]
 
     def refresh(name: str) -> int:

@@ -45,7 +45,7 @@ class WorkTables:
         with self._locks.setdefault(key, threading.Lock()):
             if key not in self._kept:
                 path = f"{self._root}/{key}"
-                df.write.mode("overwrite").parquet(path)
+                df.write.mode("overwrite").option("compression", "zstd").parquet(path)
                 self._kept[key] = self._spark.read.schema(df.schema).parquet(path)
             return self._kept[key]
 

@@ -255,7 +255,7 @@ def _write(
         seen, F.count_if(own).alias("rows"),
         F.max(F.when(own, F.unix_micros(newest.cast("timestamp")))).alias("newest"),
         F.max(F.when(own, F.unix_micros(high.cast("timestamp")))).alias("high"),
-    ).write.partitionBy(*by)
+    ).write.partitionBy(*by).option("compression", "zstd")
     if mode == "dynamic":
         out = out.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:
